@@ -1,0 +1,51 @@
+"""Physical-plan helpers: when to broadcast, how to keep hot keys harmless.
+
+Rules used across the package:
+
+* A side is broadcast only when its size has a bound: either a structural
+  one (e.g. one row per (year, quarter) -> at most 4 * 10,000 rows) via
+  :func:`broadcast_bounded`, or a measured one via :func:`join_small`, which
+  counts at most ``max_rows + 1`` rows of the small side before deciding and
+  otherwise leaves the join to the shuffle planner (sort-merge + AQE).
+* Facts are aggregated per join key *before* they meet a dimension whenever
+  the query aggregates anyway, so a key holding a third of all rows is
+  collapsed by the map-side partial aggregate instead of landing in one task.
+* Row-preserving joins on possibly hot keys rely on AQE skew-join splitting
+  (``spark.sql.adaptive.skewJoin.enabled``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Distinct (year, quarter) pairs a DATE can produce: years 0..9999, 4 quarters.
+MAX_PERIODS = 10_000 * 4
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_bounded(df: DataFrame, bound_rows: int, reason: str) -> DataFrame:
+    """Broadcast a side whose row count is bounded by construction.
+
+    ``bound_rows`` and ``reason`` document the proof at the call site; the
+    bound must not depend on the data volume.
+    """
+    if bound_rows > DEFAULT_MAX_BROADCAST_ROWS:
+        raise ValueError(f"bound {bound_rows} too large to broadcast ({reason})")
+    return F.broadcast(df)
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows (a bounded probe, not a full count)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast when a bounded probe proves it small;
+    otherwise a plain shuffle join that AQE may still re-plan at runtime."""
+    if fits(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
