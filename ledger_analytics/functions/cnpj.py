@@ -19,13 +19,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` (a lambda).
+
+    Predicates are pushed through projections by substituting expressions,
+    so a column referenced n times is computed n times; binding it as the
+    single element of an array keeps it to one evaluation and one copy.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def cnpj_digits(c) -> Column:
     """Keep ASCII digits only, left-pad to 14 with zeros, never truncate.
 
     NULL becomes the all-zero id, which the check rejects.
     """
     raw = F.regexp_replace(F.coalesce(_col(c).cast("string"), F.lit("")), "[^0-9]", "")
-    return F.when(F.length(raw) >= 14, raw).otherwise(F.lpad(raw, 14, "0"))
+    return let(raw, lambda r: F.when(F.length(r) >= 14, r).otherwise(F.lpad(r, 14, "0")))
 
 
 def _check_digit(d: Column, weights: list[int]) -> Column:
@@ -56,7 +66,7 @@ def cnpj_is_valid_digits(digits: Column) -> Column:
 def cnpj_is_valid(c) -> Column:
     """True when the id has 14 digits (after cleaning), is not one repeated
     digit and both check digits match.  Never NULL."""
-    return F.coalesce(cnpj_is_valid_digits(cnpj_digits(c)), F.lit(False))
+    return F.coalesce(let(cnpj_digits(c), cnpj_is_valid_digits), F.lit(False))
 
 
 # ----------------------------------------------------- driver-side helpers

@@ -1,0 +1,117 @@
+"""End-to-end batch pipeline: archives -> normalised lines -> consolidated
+expenses -> validation split -> aggregate report -> typed star schema.
+
+Each stage is written as Parquet and the next stage reads it back.  That
+cuts the lineage (a lost executor recomputes from the last written stage,
+not from the raw text) and lets later stages prune columns and push
+filters into the scan.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import consolidate as C
+from ..operators import load as L
+from ..operators.aggregate import expense_report
+from ..operators.normalize import normalize_accounts
+from ..operators.validate import split_valid
+from ..sinks.files import export_csv, write_if_any, write_parquet
+from ..sources.archives import extract_archives
+from ..sources.files import read_delimited, read_registry
+
+# Staging column lists (positional loads).
+STG_OPERATOR_COLUMNS = (
+    "registro_ans", "cnpj", "razao_social", "nome_fantasia", "modalidade", "logradouro", "numero", "complemento",
+    "bairro", "cidade", "uf", "cep", "ddd", "telefone", "fax", "email", "representante", "cargo_representante",
+    "regiao_comercializacao", "data_registro_ans")
+STG_EXPENSE_COLUMNS = ("cnpj", "razao_social", "trimestre", "ano", "valor_despesas", "registro_ans", "modalidade", "uf")
+STG_AGGREGATE_COLUMNS = ("razao_social", "uf", "total_despesas", "media_trimestral", "desvio_padrao_despesas")
+
+
+@dataclass
+class PipelineResult:
+    paths: dict[str, str] = field(default_factory=dict)
+    written: dict[str, bool] = field(default_factory=dict)
+
+
+def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: str,
+                 archives_dir: str | None = None, on_unmatched: str = "drop",
+                 export: bool = True) -> PipelineResult:
+    """The batch flow of the source application, stage by stage.
+
+    ``archives_dir`` (optional): ZIP files to extract into ``raw_dir``
+    first.  Outputs under ``out_dir``: ``normalized/`` (by source file),
+    ``invalid_dates/``, ``consolidated/`` (by Ano, Trimestre),
+    ``validation_errors/``, ``clean/``, ``aggregated/`` and, with
+    ``export``, gzip CSV copies of the consolidated and aggregated stages.
+    """
+    out = out_dir.rstrip("/")
+    res = PipelineResult()
+    if archives_dir:
+        status = extract_archives(spark, archives_dir, raw_dir)
+        write_parquet(status, f"{out}/archive_status")
+        res.paths["archive_status"] = f"{out}/archive_status"
+
+    lines = read_delimited(spark, raw_dir)
+    normalized = normalize_accounts(lines).withColumn("source_stem", F.substring_index("source_file", ".", 1))
+    write_parquet(normalized, f"{out}/normalized", partition_by=["source_stem"])
+    res.paths["normalized"] = f"{out}/normalized"
+
+    registry = read_registry(spark, registry_path)
+    stage = spark.read.parquet(f"{out}/normalized").drop("source_stem")
+    cons = C.consolidate(stage, registry, on_unmatched=on_unmatched)
+    res.written["invalid_dates"] = write_if_any(cons.invalid_dates, f"{out}/invalid_dates")
+    write_parquet(cons.consolidated, f"{out}/consolidated", partition_by=["Ano", "Trimestre"])
+    res.paths["consolidated"] = f"{out}/consolidated"
+
+    consolidated = spark.read.parquet(f"{out}/consolidated")
+    valid, invalid = split_valid(consolidated)
+    res.written["validation_errors"] = write_if_any(invalid, f"{out}/validation_errors")
+    write_parquet(valid, f"{out}/clean")
+    res.paths["clean"] = f"{out}/clean"
+
+    report = expense_report(spark.read.parquet(f"{out}/clean"))
+    write_parquet(report, f"{out}/aggregated")
+    res.paths["aggregated"] = f"{out}/aggregated"
+    if export:
+        export_csv(consolidated, f"{out}/export/consolidado_despesas", compression="gzip")
+        export_csv(spark.read.parquet(f"{out}/aggregated"), f"{out}/export/despesas_agregadas", compression="gzip")
+    return res
+
+
+def staged_text(df: DataFrame) -> DataFrame:
+    """A stage as the text a staging table holds (every column STRING)."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def load_star_schema(spark: SparkSession, registry: DataFrame, clean: DataFrame, aggregated: DataFrame,
+                     out_dir: str) -> dict[str, str]:
+    """Typed loads (Q13–Q15) into Parquet tables under ``out_dir``:
+    ``operadoras`` (dense key), ``despesas_consolidadas`` partitioned by
+    (ano, trimestre), ``despesas_agregadas``, plus the reject sets."""
+    out = out_dir.rstrip("/")
+    stg_ops = registry.select(
+        *[F.col(c.upper()).alias(c) if c.upper() in registry.columns else F.lit(None).cast("string").alias(c)
+          for c in STG_OPERATOR_COLUMNS],
+        *(["reg_order"] if "reg_order" in registry.columns else []))
+    ops = L.load_operators(stg_ops)
+    write_parquet(ops.rows, f"{out}/operadoras")
+    write_if_any(ops.rejects, f"{out}/rejects/operadoras")
+    dim = spark.read.parquet(f"{out}/operadoras")
+
+    stg_exp = staged_text(clean).toDF(*[c.lower() for c in clean.columns]) \
+        .withColumnRenamed("valordespesas", "valor_despesas").withColumnRenamed("razaosocial", "razao_social") \
+        .withColumnRenamed("registroans", "registro_ans")
+    facts = L.load_expenses(stg_exp, dim)
+    write_parquet(facts.rows, f"{out}/despesas_consolidadas", partition_by=["ano", "trimestre"])
+    write_if_any(facts.rejects, f"{out}/rejects/despesas_consolidadas")
+
+    stg_agg = staged_text(aggregated).toDF(*STG_AGGREGATE_COLUMNS)
+    aggs = L.load_aggregates(stg_agg)
+    write_parquet(aggs.rows, f"{out}/despesas_agregadas")
+    return {"operadoras": f"{out}/operadoras", "despesas_consolidadas": f"{out}/despesas_consolidadas",
+            "despesas_agregadas": f"{out}/despesas_agregadas"}

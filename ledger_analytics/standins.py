@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND, _check_digit
+from .functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND, _check_digit, let
 from .functions.text import format_locale_decimal
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -27,19 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ------------------------------------------------------------- operadoras
 
-def _cnpj_parts(custkey: Column):
-    base = F.lpad((custkey * 7919 + 1000001).cast("string"), 12, "0")
-    d1 = _check_digit(base, WEIGHTS_FIRST)
-    d2 = _check_digit(F.concat(base, d1), WEIGHTS_SECOND)
-    return base, d1, d2
-
-
 def stand_in_cnpj(custkey: Column) -> Column:
     """14-digit id whose check digits are right, except every fourth key,
     where the first check digit is shifted by one (invalid id)."""
-    base, d1, d2 = _cnpj_parts(custkey)
-    first = F.when(custkey % 4 == 0, ((d1.cast("int") + 1) % 10).cast("string")).otherwise(d1)
-    return F.concat(base, first, d2)
+    base = F.lpad((custkey * 7919 + 1000001).cast("string"), 12, "0")
+
+    def with_base(b):
+        def with_d1(d1):
+            first = F.when(custkey % 4 == 0, ((d1.cast("int") + 1) % 10).cast("string")).otherwise(d1)
+            return F.concat(b, first, _check_digit(F.concat(b, d1), WEIGHTS_SECOND))
+        return let(_check_digit(b, WEIGHTS_FIRST), with_d1)
+    return let(base, with_base)
 
 
 def operadoras(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +147,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = c.filter(k % 50 != 0).select(
         (k * 2).alias("reg_order"),
         (k + 300000).cast("string").alias("REGISTRO_OPERADORA"),
-        F.when(k % 9 == 0, _punctuated(cnpj)).otherwise(cnpj).alias("CNPJ"),
+        let(cnpj, lambda x: F.when(k % 9 == 0, _punctuated(x)).otherwise(x)).alias("CNPJ"),
         F.when(k % 250 == 7, F.lit("  "))
         .otherwise(F.concat(F.lit("Operator "), (k % 1000).cast("string"))).alias("RAZAO_SOCIAL"),
         F.col("c_mktsegment").alias("MODALIDADE"),
