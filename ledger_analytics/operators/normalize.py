@@ -162,6 +162,12 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
     return out.select("source_file", *OUTPUT_COLUMNS)
 
 
+def harmonize_file_group(df: DataFrame) -> DataFrame:
+    """Per-header-group hook for the file reader: canonical names before
+    files with different headers are unioned."""
+    return harmonize_columns(df)
+
+
 def dropped_null_operator(lines: DataFrame) -> DataFrame:
     """Account lines the leaf filter drops for lacking an operator id (D16),
     for the quarantine."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import consolidate as C
 from ..operators import load as L
 from ..operators.aggregate import expense_report
-from ..operators.normalize import normalize_accounts
+from ..operators.normalize import harmonize_file_group, normalize_accounts
 from ..operators.validate import split_valid
 from ..sinks.files import export_csv, write_if_any, write_parquet
 from ..sources.archives import extract_archives
@@ -56,7 +56,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir:
         write_parquet(status, f"{out}/archive_status")
         res.paths["archive_status"] = f"{out}/archive_status"
 
-    lines = read_delimited(spark, raw_dir)
+    lines = read_delimited(spark, raw_dir, per_group=harmonize_file_group)
     normalized = normalize_accounts(lines).withColumn("source_stem", F.substring_index("source_file", ".", 1))
     write_parquet(normalized, f"{out}/normalized", partition_by=["source_stem"])
     res.paths["normalized"] = f"{out}/normalized"
@@ -88,17 +88,26 @@ def staged_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def load_star_schema(spark: SparkSession, registry: DataFrame, clean: DataFrame, aggregated: DataFrame,
+def registry_as_staging(registry: DataFrame) -> DataFrame:
+    """The registry (read with its header) in the staging layout: lower-case
+    names, the id column named ``registro_ans``, absent columns NULL."""
+    source = {c: ("REGISTRO_OPERADORA" if c == "registro_ans" else c.upper()) for c in STG_OPERATOR_COLUMNS}
+    cols = [F.col(s).cast("string").alias(c) if s in registry.columns else F.lit(None).cast("string").alias(c)
+            for c, s in source.items()]
+    if "reg_order" in registry.columns:
+        cols.append(F.col("reg_order"))
+    return registry.select(*cols)
+
+
+def load_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataFrame, aggregated: DataFrame,
                      out_dir: str) -> dict[str, str]:
     """Typed loads (Q13–Q15) into Parquet tables under ``out_dir``:
     ``operadoras`` (dense key), ``despesas_consolidadas`` partitioned by
-    (ano, trimestre), ``despesas_agregadas``, plus the reject sets."""
+    (ano, trimestre), ``despesas_agregadas``, plus the reject sets.
+    ``stg_operators`` is the staging layout (:func:`registry_as_staging`
+    or a positional :func:`~ledger_analytics.sources.files.read_staging`)."""
     out = out_dir.rstrip("/")
-    stg_ops = registry.select(
-        *[F.col(c.upper()).alias(c) if c.upper() in registry.columns else F.lit(None).cast("string").alias(c)
-          for c in STG_OPERATOR_COLUMNS],
-        *(["reg_order"] if "reg_order" in registry.columns else []))
-    ops = L.load_operators(stg_ops)
+    ops = L.load_operators(stg_operators)
     write_parquet(ops.rows, f"{out}/operadoras")
     write_if_any(ops.rejects, f"{out}/rejects/operadoras")
     dim = spark.read.parquet(f"{out}/operadoras")

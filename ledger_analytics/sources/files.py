@@ -12,7 +12,7 @@ from __future__ import annotations
 import csv
 import re
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -85,25 +85,29 @@ def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str)
 
 
 def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENSIONS,
-                   encoding: str = "UTF-8") -> DataFrame:
+                   encoding: str = "UTF-8", per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """All delimited files under ``root`` as one all-string DataFrame (S1+S2).
 
     Header names are normalised (trim, upper, no quotes; first of equal
     names kept).  Files whose headers differ are read separately and
     unioned by name; missing columns are NULL.  Adds ``source_file``.
     Files whose first line cannot be read or split are skipped and can be
-    listed with :func:`file_headers`.
+    listed with :func:`file_headers`.  ``per_group`` is applied to each
+    header group before the union (e.g. renaming columns to canonical
+    names, so differently named files line up).
     """
-    return read_listed(spark, list_files(spark, root, exts), encoding)
+    return read_listed(spark, list_files(spark, root, exts), encoding, per_group)
 
 
-def read_delimited_paths(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+def read_delimited_paths(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8",
+                         per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """:func:`read_delimited` for an explicit list of files."""
     files = spark.createDataFrame([(p,) for p in paths], "path string")
-    return read_listed(spark, files, encoding)
+    return read_listed(spark, files, encoding, per_group)
 
 
-def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8",
+                per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Read the files of a listing (a DataFrame with ``path``)."""
     heads = file_headers(spark, files)
     # one row per file (a listing), so collecting it is metadata only
@@ -121,7 +125,8 @@ def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8")
             if new not in seen:
                 seen.add(new)
                 cols.append(F.col(f"`{name}`").alias(new))
-        frames.append(df.select(*cols, "source_file"))
+        group = df.select(*cols, "source_file")
+        frames.append(per_group(group) if per_group else group)
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField("source_file", T.StringType())]))
     out = frames[0]

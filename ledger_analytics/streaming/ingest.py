@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.normalize import normalize_accounts
+from ..operators.normalize import harmonize_file_group, normalize_accounts
 from ..sinks.files import write_parquet
 from ..sources.files import _glob, read_delimited_paths
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
 def new_files(spark: SparkSession, landing_dir: str, exts=("csv", "txt"), max_files_per_trigger: int = 64) -> DataFrame:
     """Streaming listing of files arriving under ``landing_dir``.  Only the
     ``path`` column is selected, so file contents are not read here."""
     return (spark.readStream.format("binaryFile")
+            .schema(BINARY_FILE_SCHEMA)
             .option("pathGlobFilter", _glob(exts))
             .option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -38,7 +42,7 @@ def normalize_batch(out_dir: str):
         if not paths:
             return
         spark = batch.sparkSession
-        lines = read_delimited_paths(spark, paths)
+        lines = read_delimited_paths(spark, paths, per_group=harmonize_file_group)
         out = normalize_accounts(lines).withColumn("source_stem", F.substring_index("source_file", ".", 1))
         write_parquet(out, out_dir, partition_by=["source_stem"])
     return handle
