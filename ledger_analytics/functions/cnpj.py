@@ -63,9 +63,30 @@ def cnpj_is_valid_digits(digits: Column) -> Column:
     )
 
 
+def check_digit_sql(var: str, weights: list[int]) -> str:
+    """SQL text of one check digit of the digit string ``var``."""
+    n = len(weights)
+    w = ", ".join(str(x) for x in weights)
+    return (f"aggregate(zip_with(transform(sequence(1, {n}), i -> ascii(substr({var}, i, 1)) - 48), array({w}), "
+            f"(a, b) -> a * b), 0, (acc, x) -> acc + x, "
+            f"s -> CASE WHEN s % 11 < 2 THEN '0' ELSE CAST(11 - s % 11 AS STRING) END)")
+
+
+def cnpj_is_valid_sql(column: str) -> str:
+    """:func:`cnpj_is_valid` as SQL text over a column name: one expression
+    the JVM parses in a single call, the cleaned id bound once."""
+    raw = f"regexp_replace(coalesce(CAST(`{column}` AS STRING), ''), '[^0-9]', '')"
+    digits = f"transform(array({raw}), r -> CASE WHEN length(r) >= 14 THEN r ELSE lpad(r, 14, '0') END)[0]"
+    check = (f"length(d) = 14 AND d <> repeat(substr(d, 1, 1), 14) AND substr(d, 13, 2) = "
+             f"concat({check_digit_sql('d', WEIGHTS_FIRST)}, {check_digit_sql('d', WEIGHTS_SECOND)})")
+    return f"coalesce(transform(array({digits}), d -> {check})[0], false)"
+
+
 def cnpj_is_valid(c) -> Column:
     """True when the id has 14 digits (after cleaning), is not one repeated
     digit and both check digits match.  Never NULL."""
+    if isinstance(c, str):
+        return F.expr(cnpj_is_valid_sql(c))
     return F.coalesce(let(cnpj_digits(c), cnpj_is_valid_digits), F.lit(False))
 
 

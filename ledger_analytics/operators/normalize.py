@@ -100,17 +100,21 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
 
     Sorted byte-wise, every code with prefix *p* directly follows *p*, so
     "the next code starts with mine" equals "some other code has my code as
-    a strict prefix".  That set is computed without sorting the group: each
-    code emits its proper prefixes, the distinct (group, prefix) pairs are
-    the parents, and rows whose code is a parent are removed by an anti
-    join on (group, code).  The work is split by code, not by group, so a
-    group holding a large share of the rows is not processed by one task.
+    a strict prefix".  That is decided per (group, code) instead of per
+    group: every row also emits a marker for each proper prefix of its
+    code, and a (group, code) key that received a marker is a parent.  The
+    work is split by code, so a group holding a large share of the rows is
+    not handled by a single task.
 
     Equal codes in a group (D2): the earlier of two equal codes counts as
-    the parent of the later one, so one row per code survives; which one is
-    fixed by ``tie_order`` (the last in that order).  ``keep_ties=True``
-    keeps all equal rows instead.  Rows with a NULL group key or code are
-    dropped (D16).
+    the parent of the later one, so one row per code survives: the last in
+    ``tie_order`` (NULLs first).  Rows and markers are ranked per key with
+    markers first and ``row_number() == 1`` is kept if it is a row; Spark
+    plans this with a partial WindowGroupLimit before the shuffle, so each
+    map task sends at most one row per key - one scan, one shuffle, and a
+    hot key cannot pile up.  ``keep_ties=True`` keeps all equal rows (anti
+    join against the distinct marker set).  Rows with a NULL group key or
+    code are dropped (D16).
     """
     keys = [*group_cols, code_col]
     clean = df.filter(F.col(code_col).isNotNull())
@@ -118,14 +122,25 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
         clean = clean.filter(F.col(g).isNotNull())
     code = F.col(code_col)
     prefixes = F.transform(F.sequence(F.lit(1), F.length(code) - 1), lambda i: F.substring(code, 1, i))
-    parents = (clean.filter(F.length(code) > 1)
-               .select(*group_cols, F.explode(prefixes).alias(code_col))
-               .distinct())
-    leaves = clean.join(parents, keys, "left_anti")
+    markers = (clean.filter(F.length(code) > 1)
+               .select(*group_cols, F.explode(prefixes).alias(code_col)))
     if keep_ties:
-        return leaves
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() for c in tie_order])
-    return leaves.withColumn("_tie", F.row_number().over(w)).filter(F.col("_tie") == 1).drop("_tie")
+        return clean.join(markers.distinct(), keys, "left_anti")
+    payload = [c for c in clean.columns if c not in keys]
+    # one pass: each row becomes itself plus one marker per proper prefix
+    own = F.array(F.struct(code.alias("_k"), F.lit(False).alias("_m")))
+    marks = F.filter(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(code) - 1, F.lit(1))),
+                    lambda i: F.struct(F.substring(code, 1, i).alias("_k"), F.lit(True).alias("_m"))),
+        lambda e: F.length(e["_k"]) < F.length(code))
+    entries = clean.select(*group_cols, *payload, F.explode(F.concat(own, marks)).alias("_e"))
+    flat = entries.select(*group_cols, F.col("_e._k").alias(code_col), F.col("_e._m").alias("_marker"),
+                          *[F.when(~F.col("_e._m"), F.col(c)).alias(c) for c in payload])
+    w = Window.partitionBy(*keys).orderBy(F.col("_marker").desc(),
+                                          *[F.col(c).desc_nulls_last() for c in tie_order])
+    ranked = flat.withColumn("_rn", F.row_number().over(w))
+    return ranked.filter((F.col("_rn") == 1) & ~F.col("_marker")).drop("_rn", "_marker") \
+        .select(*clean.columns)
 
 
 def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,

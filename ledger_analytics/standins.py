@@ -3,19 +3,19 @@ tables of the accounting pipeline (operators, expenses, account lines, the
 operator registry, staging text and a folder tree of links).
 
 Every stand-in is a pure DataFrame derivation of the given tables, so its
-size grows with them.  The definitions mirror the SQL in ``FIXTURES.md`` §3;
-``plans/oracle.py`` holds the same definitions as DuckDB SQL.  Dirty values
-(bad dates, locale numbers, junk text, duplicates, missing rows) are made
-by fixed rules over the keys, so both engines derive identical rows.
+size grows with them.  The definitions mirror the SQL in ``FIXTURES.md`` §3
+and are written as Spark SQL expressions (``selectExpr``): each column is
+one expression parsed once by the JVM.  ``plans/oracle.py`` holds the same
+definitions as DuckDB SQL.  Dirty values (bad dates, locale numbers, junk
+text, duplicates, missing rows) are made by fixed rules over the keys, so
+both engines derive identical rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND, _check_digit, let
-from .functions.text import format_locale_decimal
+from .functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND, check_digit_sql
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -25,32 +25,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# ------------------------------------------------------------- operadoras
+def _locale(expr: str) -> str:
+    """SQL rendering of a number as ``1.234,56``."""
+    return f"translate(format_number({expr}, 2), ',.', '.,')"
+
 
-def stand_in_cnpj(custkey: Column) -> Column:
-    """14-digit id whose check digits are right, except every fourth key,
-    where the first check digit is shifted by one (invalid id)."""
-    base = F.lpad((custkey * 7919 + 1000001).cast("string"), 12, "0")
+# ------------------------------------------------------------- operadoras
 
-    def with_base(b):
-        def with_d1(d1):
-            first = F.when(custkey % 4 == 0, ((d1.cast("int") + 1) % 10).cast("string")).otherwise(d1)
-            return F.concat(b, first, _check_digit(F.concat(b, d1), WEIGHTS_SECOND))
-        return let(_check_digit(b, WEIGHTS_FIRST), with_d1)
-    return let(base, with_base)
+# 14-digit id with right check digits, except every fourth key, where the
+# first check digit is shifted by one (invalid id).  The 12-digit base and
+# the first digit are bound once each (single-element transform).
+STAND_IN_CNPJ = (
+    "transform(array(lpad(CAST(c_custkey * 7919 + 1000001 AS STRING), 12, '0')), b -> "
+    f"transform(array({check_digit_sql('b', WEIGHTS_FIRST)}), d1 -> concat(b, "
+    "CASE WHEN c_custkey % 4 = 0 THEN CAST((CAST(d1 AS INT) + 1) % 10 AS STRING) ELSE d1 END, "
+    f"{check_digit_sql('concat(b, d1)', WEIGHTS_SECOND)}))[0])[0]"
+)
 
 
 def operadoras(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator dimension: one row per customer; names repeat every 1,000 keys."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    k = F.col("c_custkey")
-    return c.select(
-        k.cast("int").alias("cod_operadora"),
-        (k + 300000).cast("int").alias("registro_ans"),
-        stand_in_cnpj(k).alias("cnpj"),
-        F.concat(F.lit("Operator "), (k % 1000).cast("string")).alias("razao_social"),
-        F.col("c_mktsegment").alias("modalidade"),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("uf"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS INT) AS cod_operadora",
+        "CAST(c_custkey + 300000 AS INT) AS registro_ans",
+        f"{STAND_IN_CNPJ} AS cnpj",
+        "concat('Operator ', CAST(c_custkey % 1000 AS STRING)) AS razao_social",
+        "c_mktsegment AS modalidade",
+        "lpad(CAST(c_nationkey AS STRING), 2, '0') AS uf",
     )
 
 
@@ -58,15 +59,13 @@ def operadoras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def despesas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense fact: one row per (operator, year, quarter) with orders in it."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    return (
-        o.groupBy(
-            F.col("o_custkey").cast("int").alias("cod_operadora"),
-            F.year("o_orderdate").cast("int").alias("ano"),
-            F.quarter("o_orderdate").cast("int").alias("trimestre"),
-        )
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("valor_despesa"))
-    )
+    return (table(spark, sf_dir, "orders")
+            .selectExpr("CAST(o_custkey AS INT) AS cod_operadora", "CAST(year(o_orderdate) AS INT) AS ano",
+                        "CAST(quarter(o_orderdate) AS INT) AS trimestre",
+                        "CAST(o_totalprice AS DECIMAL(18,2)) AS v")
+            .groupBy("cod_operadora", "ano", "trimestre")
+            .agg({"v": "sum"})
+            .selectExpr("cod_operadora", "ano", "trimestre", "CAST(`sum(v)` AS DECIMAL(18,2)) AS valor_despesa"))
 
 
 # ------------------------------------------------------------ raw_accounts
@@ -75,27 +74,24 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed account lines: three code levels under two roots (311, 411);
     orders with key divisible by 3 stop at level two, so some level-two
     codes are leaves."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
-                                              "o_orderpriority", "o_totalprice")
-    k = F.col("o_orderkey")
-    root = F.when(k % 5 == 0, F.lit("311")).otherwise(F.lit("411"))
-    p = F.substring("o_orderpriority", 1, 1)
-    level3 = F.when(k % 3 != 0, F.concat(root, p, (k % 4).cast("string")))
-    codes = F.filter(F.array(root, F.concat(root, p), level3), lambda x: x.isNotNull())
-    lines = o.select(
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("T"),
-                 F.quarter("o_orderdate").cast("string")).alias("source_file"),
-        (F.col("o_custkey") + 300000).cast("int").alias("REGISTRO_OPERADORA"),
-        F.explode(codes).alias("CODIGO_CONTABIL"),
-        F.to_date("o_orderdate").alias("dt"),
-        k.alias("k"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("v"),
-    )
-    return lines.groupBy("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL").agg(
-        F.min("dt").alias("DATA_BASE"),
-        F.sum(F.when(F.col("k") % 2 == 0, F.col("v")).otherwise(F.lit(0))).cast("decimal(18,2)").alias("V_INICIAL"),
-        F.sum("v").cast("decimal(18,2)").alias("V_FINAL"),
-    )
+    root = "CASE WHEN o_orderkey % 5 = 0 THEN '311' ELSE '411' END"
+    p = "substr(o_orderpriority, 1, 1)"
+    lines = table(spark, sf_dir, "orders").selectExpr(
+        "concat(CAST(year(o_orderdate) AS STRING), 'T', CAST(quarter(o_orderdate) AS STRING)) AS source_file",
+        "CAST(o_custkey + 300000 AS INT) AS REGISTRO_OPERADORA",
+        f"explode(array({root}, concat({root}, {p}), "
+        f"CASE WHEN o_orderkey % 3 <> 0 THEN concat({root}, {p}, CAST(o_orderkey % 4 AS STRING)) END)) "
+        "AS CODIGO_CONTABIL",
+        "to_date(o_orderdate) AS dt",
+        "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END "
+        "AS vi",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS v",
+    ).where("CODIGO_CONTABIL IS NOT NULL")
+    return (lines.groupBy("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL")
+            .agg({"dt": "min", "vi": "sum", "v": "sum"})
+            .selectExpr("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL", "`min(dt)` AS DATA_BASE",
+                        "CAST(`sum(vi)` AS DECIMAL(18,2)) AS V_INICIAL",
+                        "CAST(`sum(v)` AS DECIMAL(18,2)) AS V_FINAL"))
 
 
 def account_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,29 +101,21 @@ def account_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``<year>-02-30``; a line dated on day 13 has ``n/d`` as opening
     balance (parses to 0); operators with id divisible by 5 pad their
     codes with a leading blank."""
-    r = raw_accounts(spark, sf_dir)
-    day = F.dayofmonth("DATA_BASE")
-    return r.select(
-        F.col("source_file"),
-        F.when(day == 7, F.concat(F.year("DATA_BASE").cast("string"), F.lit("-02-30")))
-        .otherwise(F.date_format("DATA_BASE", "yyyy-MM-dd")).alias("DATA"),
-        F.col("REGISTRO_OPERADORA").cast("string").alias("REG_ANS"),
-        F.when(F.col("REGISTRO_OPERADORA") % 5 == 0, F.concat(F.lit(" "), F.col("CODIGO_CONTABIL")))
-        .otherwise(F.col("CODIGO_CONTABIL")).alias("CD_CONTA_CONTABIL"),
-        F.concat(F.lit("CONTA "), F.col("CODIGO_CONTABIL")).alias("DESCRICAO"),
-        F.when(day == 13, F.lit("n/d")).otherwise(format_locale_decimal("V_INICIAL")).alias("VL_SALDO_INICIAL"),
-        format_locale_decimal("V_FINAL").alias("VL_SALDO_FINAL"),
+    return raw_accounts(spark, sf_dir).selectExpr(
+        "source_file",
+        "CASE WHEN dayofmonth(DATA_BASE) = 7 THEN concat(CAST(year(DATA_BASE) AS STRING), '-02-30') "
+        "ELSE date_format(DATA_BASE, 'yyyy-MM-dd') END AS DATA",
+        "CAST(REGISTRO_OPERADORA AS STRING) AS REG_ANS",
+        "CASE WHEN REGISTRO_OPERADORA % 5 = 0 THEN concat(' ', CODIGO_CONTABIL) ELSE CODIGO_CONTABIL END "
+        "AS CD_CONTA_CONTABIL",
+        "concat('CONTA ', CODIGO_CONTABIL) AS DESCRICAO",
+        f"CASE WHEN dayofmonth(DATA_BASE) = 13 THEN 'n/d' ELSE {_locale('V_INICIAL')} END AS VL_SALDO_INICIAL",
+        f"{_locale('V_FINAL')} AS VL_SALDO_FINAL",
     )
 
 
 # ---------------------------------------------------------------- registry
 
-def _punctuated(cnpj: Column) -> Column:
-    return F.concat(F.substring(cnpj, 1, 2), F.lit("."), F.substring(cnpj, 3, 3), F.lit("."),
-                    F.substring(cnpj, 6, 3), F.lit("/"), F.substring(cnpj, 9, 4), F.lit("-"),
-                    F.substring(cnpj, 13, 2))
-
-
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator registry as read from its file (all text, upper-case names)
     plus ``reg_order``, the row's position in the file.
@@ -135,59 +123,44 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rules: keys divisible by 50 are missing (unmatched facts); keys
     divisible by 97 have no state; keys divisible by 9 write the id with
     punctuation; keys divisible by 11 write the registration date as
-    ``dd/MM/yyyy``; keys ending in 07 under 250 have a blank name; keys with
+    ``dd/MM/yyyy``; keys with ``k % 250 = 7`` have a blank name; keys with
     ``k % 100 = 1`` have a second row (another registration, same id);
     keys with ``k % 100 = 2`` have a second row with the same registration
     and another name.
     """
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    k = F.col("c_custkey")
-    cnpj = stand_in_cnpj(k)
-    reg_date = F.date_add(F.lit("2000-01-01").cast("date"), (k % 5000).cast("int"))
-    base = c.filter(k % 50 != 0).select(
-        (k * 2).alias("reg_order"),
-        (k + 300000).cast("string").alias("REGISTRO_OPERADORA"),
-        let(cnpj, lambda x: F.when(k % 9 == 0, _punctuated(x)).otherwise(x)).alias("CNPJ"),
-        F.when(k % 250 == 7, F.lit("  "))
-        .otherwise(F.concat(F.lit("Operator "), (k % 1000).cast("string"))).alias("RAZAO_SOCIAL"),
-        F.col("c_mktsegment").alias("MODALIDADE"),
-        F.concat(F.lit("City "), F.col("c_nationkey").cast("string")).alias("CIDADE"),
-        F.when(k % 97 == 0, F.lit(None).cast("string"))
-        .otherwise(F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("UF"),
-        F.when(k % 11 == 0, F.date_format(reg_date, "dd/MM/yyyy"))
-        .otherwise(F.date_format(reg_date, "yyyy-MM-dd")).alias("DATA_REGISTRO_ANS"),
-        k.alias("_k"),
-    )
-    extra_reg = base.filter(F.col("_k") % 100 == 1).select(
-        (F.col("reg_order") + 1).alias("reg_order"),
-        (F.col("_k") + 900000).cast("string").alias("REGISTRO_OPERADORA"),
-        "CNPJ",
-        F.concat(F.col("RAZAO_SOCIAL"), F.lit(" FILIAL")).alias("RAZAO_SOCIAL"),
-        "MODALIDADE", "CIDADE", "UF", "DATA_REGISTRO_ANS", "_k",
-    )
-    extra_name = base.filter(F.col("_k") % 100 == 2).select(
-        (F.col("reg_order") + 1).alias("reg_order"),
-        "REGISTRO_OPERADORA", "CNPJ",
-        F.concat(F.col("RAZAO_SOCIAL"), F.lit(" LTDA")).alias("RAZAO_SOCIAL"),
-        "MODALIDADE", "CIDADE", "UF", "DATA_REGISTRO_ANS", "_k",
+    punct = ("concat(substr(x, 1, 2), '.', substr(x, 3, 3), '.', substr(x, 6, 3), '/', substr(x, 9, 4), '-', "
+             "substr(x, 13, 2))")
+    reg_date = "date_add(DATE'2000-01-01', CAST(c_custkey % 5000 AS INT))"
+    base = table(spark, sf_dir, "customer").where("c_custkey % 50 <> 0").selectExpr(
+        "c_custkey * 2 AS reg_order",
+        "CAST(c_custkey + 300000 AS STRING) AS REGISTRO_OPERADORA",
+        f"transform(array({STAND_IN_CNPJ}), x -> CASE WHEN c_custkey % 9 = 0 THEN {punct} ELSE x END)[0] AS CNPJ",
+        "CASE WHEN c_custkey % 250 = 7 THEN '  ' "
+        "ELSE concat('Operator ', CAST(c_custkey % 1000 AS STRING)) END AS RAZAO_SOCIAL",
+        "c_mktsegment AS MODALIDADE",
+        "concat('City ', CAST(c_nationkey AS STRING)) AS CIDADE",
+        "CASE WHEN c_custkey % 97 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE lpad(CAST(c_nationkey AS STRING), 2, '0') END AS UF",
+        f"CASE WHEN c_custkey % 11 = 0 THEN date_format({reg_date}, 'dd/MM/yyyy') "
+        f"ELSE date_format({reg_date}, 'yyyy-MM-dd') END AS DATA_REGISTRO_ANS",
+        "c_custkey AS _k",
     )
+    rest = ["MODALIDADE", "CIDADE", "UF", "DATA_REGISTRO_ANS", "_k"]
+    extra_reg = base.where("_k % 100 = 1").selectExpr(
+        "reg_order + 1 AS reg_order", "CAST(_k + 900000 AS STRING) AS REGISTRO_OPERADORA", "CNPJ",
+        "concat(RAZAO_SOCIAL, ' FILIAL') AS RAZAO_SOCIAL", *rest)
+    extra_name = base.where("_k % 100 = 2").selectExpr(
+        "reg_order + 1 AS reg_order", "REGISTRO_OPERADORA", "CNPJ",
+        "concat(RAZAO_SOCIAL, ' LTDA') AS RAZAO_SOCIAL", *rest)
     return base.unionByName(extra_reg).unionByName(extra_name).drop("_k")
 
 
 def staging_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stg_operadoras``: the registry file loaded by position into text
     columns with lower-case names (the columns the load uses)."""
-    r = registry(spark, sf_dir)
-    return r.select(
-        "reg_order",
-        F.col("REGISTRO_OPERADORA").alias("registro_ans"),
-        F.col("CNPJ").alias("cnpj"),
-        F.col("RAZAO_SOCIAL").alias("razao_social"),
-        F.col("MODALIDADE").alias("modalidade"),
-        F.col("CIDADE").alias("cidade"),
-        F.col("UF").alias("uf"),
-        F.col("DATA_REGISTRO_ANS").alias("data_registro_ans"),
-    )
+    return registry(spark, sf_dir).selectExpr(
+        "reg_order", "REGISTRO_OPERADORA AS registro_ans", "CNPJ AS cnpj", "RAZAO_SOCIAL AS razao_social",
+        "MODALIDADE AS modalidade", "CIDADE AS cidade", "UF AS uf", "DATA_REGISTRO_ANS AS data_registro_ans")
 
 
 def staging_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,51 +168,38 @@ def staging_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``h = cod_operadora + ano + trimestre``: h % 17 = 0 negative amount,
     h % 19 = 0 decimal comma, h % 23 = 0 the text ``1.2.3``, h % 29 = 0
     blank year."""
-    d = despesas(spark, sf_dir)
-    o = operadoras(spark, sf_dir)
-    h = F.col("cod_operadora") + F.col("ano") + F.col("trimestre")
-    v = F.col("valor_despesa").cast("string")
-    return d.join(o, "cod_operadora").select(
-        F.col("cnpj"), F.col("razao_social"),
-        F.col("trimestre").cast("string").alias("trimestre"),
-        F.when(h % 29 == 0, F.lit("")).otherwise(F.col("ano").cast("string")).alias("ano"),
-        F.when(h % 17 == 0, F.concat(F.lit("-"), v))
-        .when(h % 19 == 0, F.replace(v, F.lit("."), F.lit(",")))
-        .when(h % 23 == 0, F.lit("1.2.3"))
-        .otherwise(v).alias("valor_despesas"),
-        F.col("registro_ans").cast("string").alias("registro_ans"),
-        F.col("modalidade"), F.col("uf"),
-    )
+    d = despesas(spark, sf_dir).selectExpr(
+        "*", "cod_operadora + ano + trimestre AS h", "CAST(valor_despesa AS STRING) AS v")
+    return d.join(operadoras(spark, sf_dir), "cod_operadora").selectExpr(
+        "cnpj", "razao_social", "CAST(trimestre AS STRING) AS trimestre",
+        "CASE WHEN h % 29 = 0 THEN '' ELSE CAST(ano AS STRING) END AS ano",
+        "CASE WHEN h % 17 = 0 THEN concat('-', v) WHEN h % 19 = 0 THEN replace(v, '.', ',') "
+        "WHEN h % 23 = 0 THEN '1.2.3' ELSE v END AS valor_despesas",
+        "CAST(registro_ans AS STRING) AS registro_ans", "modalidade", "uf")
 
 
 def staging_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stg_agregados``: per (name, state) text figures with more decimals
     than the target type (total, mean to 6 places, and the half range as the
     spread figure); names of state ``00`` are missing."""
-    d = despesas(spark, sf_dir)
-    o = operadoras(spark, sf_dir)
-    g = d.join(o, "cod_operadora").groupBy("razao_social", "uf").agg(
-        F.sum("valor_despesa").alias("s"), F.count("valor_despesa").alias("n"),
-        F.max("valor_despesa").alias("mx"), F.min("valor_despesa").alias("mn"))
-    return g.select(
-        F.when(F.col("uf") == "00", F.lit(None).cast("string")).otherwise(F.col("razao_social")).alias("razao_social"),
-        F.col("uf"),
-        F.col("s").cast("string").alias("total_despesas"),
-        (F.col("s") / F.col("n").cast("decimal(20,0)")).cast("decimal(38,6)").cast("string").alias("media_trimestral"),
-        ((F.col("mx") - F.col("mn")) / F.lit(2).cast("decimal(1,0)")).cast("decimal(38,6)").cast("string")
-        .alias("desvio_padrao_despesas"),
-    )
+    joined = despesas(spark, sf_dir).join(operadoras(spark, sf_dir), "cod_operadora").selectExpr(
+        "razao_social", "uf", "valor_despesa AS s", "valor_despesa AS mx", "valor_despesa AS mn")
+    g = joined.groupBy("razao_social", "uf").agg({"s": "sum", "mx": "max", "mn": "min", "*": "count"})
+    return g.selectExpr(
+        "CASE WHEN uf = '00' THEN CAST(NULL AS STRING) ELSE razao_social END AS razao_social", "uf",
+        "CAST(`sum(s)` AS STRING) AS total_despesas",
+        "CAST(CAST(`sum(s)` / CAST(`count(1)` AS DECIMAL(20,0)) AS DECIMAL(38,6)) AS STRING) AS media_trimestral",
+        "CAST(CAST((`max(mx)` - `min(mn)`) / CAST(2 AS DECIMAL(1,0)) AS DECIMAL(38,6)) AS STRING) "
+        "AS desvio_padrao_despesas")
 
 
 def locale_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order totals written as locale text; orders with key divisible by 7
     carry the junk text ``R$ -`` (parses to 0)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return o.select(
-        F.col("o_orderkey"),
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit("R$ -"))
-        .otherwise(format_locale_decimal(F.col("o_totalprice").cast("decimal(18,2)"))).alias("valor_texto"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        f"CASE WHEN o_orderkey % 7 = 0 THEN 'R$ -' ELSE {_locale('CAST(o_totalprice AS DECIMAL(18,2))')} END "
+        "AS valor_texto")
 
 
 # ------------------------------------------------------------------- links
@@ -250,26 +210,14 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    lvl1 = region.select(
-        F.lit("/").alias("page"), F.col("r_regionkey").cast("int").alias("pos"),
-        F.concat("r_name", F.lit("/")).alias("href"),
-        F.concat(F.lit("/"), "r_name", F.lit("/")).alias("target"))
-    rn = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    lvl2 = rn.select(
-        F.concat(F.lit("/"), "r_name", F.lit("/")).alias("page"),
-        F.col("n_nationkey").cast("int").alias("pos"),
-        F.concat("n_name", F.lit("/")).alias("href"),
-        F.concat(F.lit("/"), "r_name", F.lit("/"), "n_name", F.lit("/")).alias("target"))
-    ext = (F.when(F.col("c_custkey") % 4 == 0, F.lit(".ZIP"))
-           .when(F.col("c_custkey") % 4 == 1, F.lit(".csv"))
-           .when(F.col("c_custkey") % 4 == 2, F.lit(".pdf"))
-           .otherwise(F.lit(".html")))
-    fname = F.concat(F.lit("f"), F.col("c_custkey").cast("string"), ext)
-    crn = customer.join(rn.select("n_nationkey", "n_name", "r_name"),
-                        F.col("c_nationkey") == F.col("n_nationkey"))
-    lvl3 = crn.select(
-        F.concat(F.lit("/"), "r_name", F.lit("/"), "n_name", F.lit("/")).alias("page"),
-        F.col("c_custkey").cast("int").alias("pos"),
-        fname.alias("href"),
-        F.concat(F.lit("/"), "r_name", F.lit("/"), "n_name", F.lit("/"), fname).alias("target"))
+    lvl1 = region.selectExpr("'/' AS page", "CAST(r_regionkey AS INT) AS pos", "concat(r_name, '/') AS href",
+                             "concat('/', r_name, '/') AS target")
+    rn = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    lvl2 = rn.selectExpr("concat('/', r_name, '/') AS page", "CAST(n_nationkey AS INT) AS pos",
+                         "concat(n_name, '/') AS href", "concat('/', r_name, '/', n_name, '/') AS target")
+    fname = ("concat('f', CAST(c_custkey AS STRING), CASE c_custkey % 4 WHEN 0 THEN '.ZIP' WHEN 1 THEN '.csv' "
+             "WHEN 2 THEN '.pdf' ELSE '.html' END)")
+    crn = customer.join(rn.select("n_nationkey", "n_name", "r_name"), customer.c_nationkey == rn.n_nationkey)
+    lvl3 = crn.selectExpr("concat('/', r_name, '/', n_name, '/') AS page", "CAST(c_custkey AS INT) AS pos",
+                          f"{fname} AS href", f"concat('/', r_name, '/', n_name, '/', {fname}) AS target")
     return lvl1.unionByName(lvl2).unionByName(lvl3)
