@@ -1,7 +1,9 @@
 """Scalar text helpers: header names, locale numbers, dates, staging casts.
 
-All helpers return Columns (Catalyst expressions); the only driver-side
-code works on column *names*, never on rows.
+All helpers return Columns (Catalyst expressions).  Given a column *name*
+they build the expression from SQL text (one parse on the JVM instead of a
+round trip per function call while the plan is being built); given a
+Column they use the Column API.  Both forms are the same expression.
 """
 
 from __future__ import annotations
@@ -14,6 +16,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 # ---------------------------------------------------------------- headers
 
 def normalize_header(name: str) -> str:
@@ -23,12 +33,27 @@ def normalize_header(name: str) -> str:
 
 # ---------------------------------------------------- locale numbers (P5, M9)
 
+def parse_locale_decimal_sql(column: str, precision: int = 18, scale: int = 2,
+                             thousands: str = ".", decimal: str = ",", default=0) -> str:
+    txt = f"CAST({_q(column)} AS STRING)"
+    if thousands:
+        txt = f"replace({txt}, {_lit(thousands)}, '')"
+    if decimal and decimal != ".":
+        txt = f"replace({txt}, {_lit(decimal)}, '.')"
+    parsed = f"try_cast(trim({txt}) AS DECIMAL({precision},{scale}))"
+    if default is None:
+        return parsed
+    return f"coalesce({parsed}, CAST({default} AS DECIMAL({precision},{scale})))"
+
+
 def parse_locale_decimal(c, precision: int = 18, scale: int = 2,
                          thousands: str = ".", decimal: str = ",", default=0) -> Column:
     """Parse ``1.234,56`` style text into DECIMAL: drop the thousands mark,
     turn the decimal mark into a point, cast; bad or NULL text gives
     ``default`` (0 like the source pipeline; pass None to keep NULL)."""
-    txt = _col(c).cast("string")
+    if isinstance(c, str):
+        return F.expr(parse_locale_decimal_sql(c, precision, scale, thousands, decimal, default))
+    txt = c.cast("string")
     if thousands:
         txt = F.replace(txt, F.lit(thousands), F.lit(""))
     if decimal and decimal != ".":
@@ -38,7 +63,7 @@ def parse_locale_decimal(c, precision: int = 18, scale: int = 2,
 
 
 def format_locale_decimal(c, thousands: str = ".", decimal: str = ",") -> Column:
-    """Render a number as ``1.234,56`` text (used by exports and stand-ins)."""
+    """Render a number as ``1.234,56`` text (exports)."""
     return F.translate(F.format_number(_col(c), 2), ",.", thousands + decimal)
 
 
@@ -50,7 +75,10 @@ DEFAULT_DATE_FORMATS = ("yyyy-MM-dd",)
 def parse_date(c, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; impossible dates (``2025-02-30``) and
     other formats give NULL instead of an error."""
-    txt = F.trim(_col(c).cast("string"))
+    if isinstance(c, str):
+        txt = f"trim(CAST({_q(c)} AS STRING))"
+        return F.expr("coalesce(" + ", ".join(f"try_to_date({txt}, {_lit(f)})" for f in formats) + ")")
+    txt = F.trim(c.cast("string"))
     return F.coalesce(*[F.try_to_date(txt, f) for f in formats])
 
 
@@ -59,7 +87,10 @@ ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 def iso_date_or_null(c) -> Column:
     """Staging date guard (P11): regex first, then a cast that cannot throw."""
-    txt = _col(c).cast("string")
+    if isinstance(c, str):
+        t = f"CAST({_q(c)} AS STRING)"
+        return F.expr(f"CASE WHEN {t} RLIKE {_lit(ISO_DATE_PATTERN)} THEN try_to_date({t}, 'yyyy-MM-dd') END")
+    txt = c.cast("string")
     return F.when(txt.rlike(ISO_DATE_PATTERN), F.try_to_date(txt, "yyyy-MM-dd"))
 
 
@@ -72,12 +103,16 @@ def blank_to_null(c) -> Column:
 
 def text_to_int(c) -> Column:
     """Blank -> NULL -> INT, bad text -> NULL (P10)."""
-    return F.nullif(_col(c).cast("string"), F.lit("")).try_cast("int")
+    if isinstance(c, str):
+        return F.expr(f"try_cast(nullif(CAST({_q(c)} AS STRING), '') AS INT)")
+    return F.nullif(c.cast("string"), F.lit("")).try_cast("int")
 
 
 def text_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """Text -> DECIMAL with half-up rounding, bad text -> NULL."""
-    return _col(c).cast("string").try_cast(f"decimal({precision},{scale})")
+    if isinstance(c, str):
+        return F.expr(f"try_cast(CAST({_q(c)} AS STRING) AS DECIMAL({precision},{scale}))")
+    return c.cast("string").try_cast(f"decimal({precision},{scale})")
 
 
 NUMERIC_TEXT_PATTERN = r"^[0-9.]+$"
@@ -85,7 +120,9 @@ NUMERIC_TEXT_PATTERN = r"^[0-9.]+$"
 
 def numeric_text_guard(c) -> Column:
     """The staging guard ``~ '^[0-9.]+$'`` (F9); also rejects negatives."""
-    return F.coalesce(_col(c).cast("string").rlike(NUMERIC_TEXT_PATTERN), F.lit(False))
+    if isinstance(c, str):
+        return F.expr(f"coalesce(CAST({_q(c)} AS STRING) RLIKE {_lit(NUMERIC_TEXT_PATTERN)}, false)")
+    return F.coalesce(c.cast("string").rlike(NUMERIC_TEXT_PATTERN), F.lit(False))
 
 
 def is_blank(c) -> Column:

@@ -32,27 +32,21 @@ def prepare_registry(registry: DataFrame) -> DataFrame:
     ``reg_order`` (the row's place in the registry file) decides "first";
     if the input has none, the registration id is used.
     """
-    r = registry
-    if "reg_order" not in r.columns:
-        r = r.withColumn("reg_order", text_to_int("REGISTRO_OPERADORA").cast("long"))
-    return r.select(
-        text_to_int("REGISTRO_OPERADORA").alias("RegistroANS"),
-        F.col("CNPJ").cast("string").alias("CNPJ"),
-        F.col("RAZAO_SOCIAL").alias("RAZAO_SOCIAL"),
-        F.col("MODALIDADE"), F.col("UF"), F.col("reg_order"),
-    )
+    reg_id = "try_cast(nullif(CAST(REGISTRO_OPERADORA AS STRING), '') AS INT)"
+    order = "reg_order" if "reg_order" in registry.columns else f"CAST({reg_id} AS BIGINT) AS reg_order"
+    return registry.selectExpr(f"{reg_id} AS RegistroANS", "CAST(CNPJ AS STRING) AS CNPJ", "RAZAO_SOCIAL",
+                               "MODALIDADE", "UF", order)
 
 
 def split_dates(normalized: DataFrame, formats=DEFAULT_DATE_FORMATS) -> tuple[DataFrame, DataFrame]:
     """Rows with a parsable ``DATA_BASE`` (plus Ano, Trimestre) and the
     rest (F4, M2, M3)."""
     parsed = normalized.withColumn("_date", parse_date("DATA_BASE", formats))
-    valid = parsed.filter(F.col("_date").isNotNull()).withColumns({
-        "Ano": F.year("_date").cast("int"),
-        "Trimestre": F.quarter("_date").cast("int"),
-    }).drop("_date")
-    invalid = parsed.filter(F.col("_date").isNull()).drop("_date") \
-        .withColumn("reject_reason", F.lit("invalid_date"))
+    valid = parsed.where("_date IS NOT NULL").selectExpr(
+        *[f"`{c}`" for c in normalized.columns],
+        "CAST(year(_date) AS INT) AS Ano", "CAST(quarter(_date) AS INT) AS Trimestre")
+    invalid = parsed.where("_date IS NULL").selectExpr(
+        *[f"`{c}`" for c in normalized.columns], "'invalid_date' AS reject_reason")
     return valid, invalid
 
 
@@ -82,25 +76,20 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
     valid, invalid = split_dates(normalized, formats)
     reg = prepare_registry(registry)
 
-    pre = (valid.withColumn("RegistroANS", F.col("REGISTRO_OPERADORA"))
-           .groupBy("RegistroANS", "Ano", "Trimestre")
+    pre = (valid.groupBy(F.col("REGISTRO_OPERADORA").alias("RegistroANS"), "Ano", "Trimestre")
            .agg(F.sum("VALOR_DESPESAS").alias("_net")))
     by_reg = reg.select("RegistroANS", "CNPJ", "RAZAO_SOCIAL", "reg_order")
     by_cnpj = dedup_first(reg.select("CNPJ", "MODALIDADE", "UF", "reg_order"), ["CNPJ"], ["reg_order"]) \
         .drop("reg_order")
     joined = pre.join(by_reg, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left")
     if on_unmatched == "drop":
-        cond = None
-        for k in GROUP_KEYS:
-            c = F.col(k).isNotNull()
-            cond = c if cond is None else cond & c
-        joined = joined.filter(cond)
-    named = F.when(F.col("RAZAO_SOCIAL").isNotNull(), F.struct(F.col("reg_order").alias("o"),
-                                                                F.col("RAZAO_SOCIAL").alias("n")))
+        joined = joined.where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
     out = (joined.groupBy(*GROUP_KEYS)
-           .agg(F.sum("_net").cast("decimal(18,2)").alias("ValorDespesas"),
-                F.min(named).getField("n").alias("RazaoSocial"))
-           .filter(F.col("ValorDespesas") > 0)
+           .agg(F.expr("CAST(sum(_net) AS DECIMAL(18,2))").alias("ValorDespesas"),
+                # first non-NULL name in registry order
+                F.expr("min(CASE WHEN RAZAO_SOCIAL IS NOT NULL THEN named_struct('o', reg_order, 'n', RAZAO_SOCIAL) "
+                       "END).n").alias("RazaoSocial"))
+           .where("ValorDespesas > 0")
            .select(*OUTPUT_COLUMNS))
     return Consolidation(out, invalid)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from ..functions.text import _q
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -13,8 +14,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     ``dropDuplicates`` is not).  ``row_number() == 1`` is planned with a
     partial WindowGroupLimit before the shuffle, so a key holding a large
     share of the rows sends one row per map task."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    part = ", ".join(_q(k) for k in keys)
+    by = ", ".join(f"{_q(c)} ASC NULLS LAST" for c in order)
+    return df.selectExpr("*", f"row_number() OVER (PARTITION BY {part} ORDER BY {by}) AS _rn") \
+        .where("_rn = 1").drop("_rn")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_header, parse_locale_decimal, text_to_int
+from ..functions.text import _q, normalize_header, parse_locale_decimal, text_to_int
 
 # Header rules in priority order (the first rule whose any
 # substring occurs in the upper-cased header decides the canonical name).
@@ -87,8 +87,9 @@ def harmonize_columns(df: DataFrame, rules=CANONICAL_RULES, keep: Iterable[str]
 def filter_account_prefix(df: DataFrame, code_col: str = "CODIGO_CONTABIL",
                           prefix: str = EXPENSE_ACCOUNT_PREFIX) -> DataFrame:
     """Trim the code (P6) and keep codes starting with ``prefix`` (F1)."""
-    return df.withColumn(code_col, F.trim(F.col(code_col).cast("string"))) \
-        .filter(F.col(code_col).startswith(prefix))
+    c = _q(code_col)
+    return df.withColumn(code_col, F.expr(f"trim(CAST({c} AS STRING))")) \
+        .where(F.col(code_col).startswith(prefix))
 
 
 def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "REGISTRO_OPERADORA"),
@@ -117,30 +118,23 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
     code are dropped (D16).
     """
     keys = [*group_cols, code_col]
-    clean = df.filter(F.col(code_col).isNotNull())
-    for g in group_cols:
-        clean = clean.filter(F.col(g).isNotNull())
-    code = F.col(code_col)
-    prefixes = F.transform(F.sequence(F.lit(1), F.length(code) - 1), lambda i: F.substring(code, 1, i))
-    markers = (clean.filter(F.length(code) > 1)
-               .select(*group_cols, F.explode(prefixes).alias(code_col)))
+    clean = df.where(" AND ".join(f"{_q(k)} IS NOT NULL" for k in keys))
+    c = _q(code_col)
+    proper_prefixes = (f"filter(transform(sequence(1, greatest(length({c}) - 1, 1)), "
+                       f"i -> named_struct('_k', substr({c}, 1, i), '_m', true)), e -> length(e._k) < length({c}))")
     if keep_ties:
+        markers = clean.selectExpr(*[_q(g) for g in group_cols], f"explode(transform({proper_prefixes}, e -> e._k)) AS {c}")
         return clean.join(markers.distinct(), keys, "left_anti")
-    payload = [c for c in clean.columns if c not in keys]
+    payload = [x for x in clean.columns if x not in keys]
     # one pass: each row becomes itself plus one marker per proper prefix
-    own = F.array(F.struct(code.alias("_k"), F.lit(False).alias("_m")))
-    marks = F.filter(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(code) - 1, F.lit(1))),
-                    lambda i: F.struct(F.substring(code, 1, i).alias("_k"), F.lit(True).alias("_m"))),
-        lambda e: F.length(e["_k"]) < F.length(code))
-    entries = clean.select(*group_cols, *payload, F.explode(F.concat(own, marks)).alias("_e"))
-    flat = entries.select(*group_cols, F.col("_e._k").alias(code_col), F.col("_e._m").alias("_marker"),
-                          *[F.when(~F.col("_e._m"), F.col(c)).alias(c) for c in payload])
+    entries = clean.selectExpr(*[_q(x) for x in [*group_cols, *payload]],
+                               f"explode(concat(array(named_struct('_k', {c}, '_m', false)), {proper_prefixes})) AS _e")
+    flat = entries.selectExpr(*[_q(g) for g in group_cols], f"_e._k AS {c}", "_e._m AS _marker",
+                              *[f"CASE WHEN NOT _e._m THEN {_q(x)} END AS {_q(x)}" for x in payload])
     w = Window.partitionBy(*keys).orderBy(F.col("_marker").desc(),
-                                          *[F.col(c).desc_nulls_last() for c in tie_order])
+                                          *[F.col(x).desc_nulls_last() for x in tie_order])
     ranked = flat.withColumn("_rn", F.row_number().over(w))
-    return ranked.filter((F.col("_rn") == 1) & ~F.col("_marker")).drop("_rn", "_marker") \
-        .select(*clean.columns)
+    return ranked.where("_rn = 1 AND NOT _marker").select(*clean.columns)
 
 
 def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,

@@ -34,15 +34,16 @@ WIDTH_LIMITS = {"cnpj": 14, "razao_social": 255, "modalidade": 100, "uf": 2, "ci
 
 def to_edge(df: DataFrame) -> DataFrame:
     """DECIMAL -> DOUBLE and DATE -> 'yyyy-MM-dd' for comparison."""
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            exprs.append(f"CAST({q} AS DOUBLE) AS {q}")
         elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"date_format({q}, 'yyyy-MM-dd') AS {q}")
+        else:
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 # ------------------------------------------------------------ shared chains
