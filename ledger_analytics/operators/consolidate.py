@@ -66,10 +66,13 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
       groups (the documented intent, D1).
     * F3: only totals > 0 survive, after netting.
 
-    Plan: lines are summed per (registration, year, quarter) *before* the
-    registry joins.  Every line of such a group meets the same registry
-    rows, so the sums per final group are unchanged, the joins move one row
-    per operator and period, and a hot operator is collapsed map-side.
+    Plan: lines are summed per (registration, year, quarter) and registry
+    rows are counted per (registration, tax id) with their first name, both
+    map-side combined, *before* they meet.  A registration repeated k times
+    with one tax id then contributes ``net * k`` - what the fan-out of J1
+    followed by the sum gives - without materialising the k copies, and
+    each output key (tax id, period, registration) is produced by exactly
+    one joined row, so no aggregation is needed after the joins.
     """
     if on_unmatched not in ("drop", "keep"):
         raise ValueError("on_unmatched must be 'drop' or 'keep'")
@@ -78,17 +81,18 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
 
     pre = (valid.groupBy(F.col("REGISTRO_OPERADORA").alias("RegistroANS"), "Ano", "Trimestre")
            .agg(F.sum("VALOR_DESPESAS").alias("_net")))
-    by_reg = reg.select("RegistroANS", "CNPJ", "RAZAO_SOCIAL", "reg_order")
+    by_reg = reg.groupBy("RegistroANS", "CNPJ").agg(
+        F.count(F.lit(1)).alias("_copies"),
+        # first non-NULL name in registry order
+        F.expr("min(CASE WHEN RAZAO_SOCIAL IS NOT NULL THEN named_struct('o', reg_order, 'n', RAZAO_SOCIAL) "
+               "END).n").alias("RazaoSocial"))
     by_cnpj = dedup_first(reg.select("CNPJ", "MODALIDADE", "UF", "reg_order"), ["CNPJ"], ["reg_order"]) \
         .drop("reg_order")
     joined = pre.join(by_reg, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left")
     if on_unmatched == "drop":
         joined = joined.where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
-    out = (joined.groupBy(*GROUP_KEYS)
-           .agg(F.expr("CAST(sum(_net) AS DECIMAL(18,2))").alias("ValorDespesas"),
-                # first non-NULL name in registry order
-                F.expr("min(CASE WHEN RAZAO_SOCIAL IS NOT NULL THEN named_struct('o', reg_order, 'n', RAZAO_SOCIAL) "
-                       "END).n").alias("RazaoSocial"))
+    out = (joined.withColumn("ValorDespesas", F.expr(
+                "CAST(_net * CAST(coalesce(_copies, 1) AS DECIMAL(20,0)) AS DECIMAL(18,2))"))
            .where("ValorDespesas > 0")
            .select(*OUTPUT_COLUMNS))
     return Consolidation(out, invalid)
