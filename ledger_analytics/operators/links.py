@@ -49,20 +49,52 @@ def _is_folder(href):
 
 
 def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_EXTENSIONS,
-                 max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
+                 max_depth: int = 32) -> DataFrame:
     """The first ``n`` data files met by a depth-first walk from ``root``
     that visits a page's links last-first (S11).
 
     A link is a folder when it ends with ``/`` or has no ``.``; a file
-    counts when its href ends with one of ``extensions``.  Each node gets
-    the path key ``[-pos at level 1, -pos at level 2, ...]``; sorting by
-    that array gives the depth-first visiting order, so the walk is a
-    level-by-level join (one join per depth) followed by a top-n.
+    counts when its href ends with one of ``extensions``.  Each folder gets
+    the path key ``[-pos at level 1, -pos at level 2, ...]``; sorting files
+    by that array gives the depth-first visiting order, so the walk is a
+    recursive CTE over the folders (one join per level, run by Spark's
+    union loop) followed by a top-n (TakeOrderedAndProject).
 
     To avoid cycles (D14) a folder link is followed only when its target
     extends the current page path, and at most ``max_depth`` levels are
-    walked.  Output: ``ordem`` (1..n), ``target``, ``href``.
+    walked.  Spark bounds recursive CTEs (``spark.sql.cteRecursionLevelLimit``,
+    ``spark.sql.cteRecursionRowLimit``); only folders are recursed into,
+    files are joined once at the end.  :func:`latest_files_by_level` does
+    the same walk without those limits.  Output: ``ordem`` (1..n),
+    ``target``, ``href``.
     """
+    spark = edges.sparkSession
+    folder = "(endswith(l.href, '/') OR NOT contains(l.href, '.'))"
+    query = f"""
+    WITH RECURSIVE walk(page, ord, depth) AS (
+      SELECT :root AS page, CAST(array() AS ARRAY<INT>) AS ord, 0 AS depth
+      UNION ALL
+      SELECT l.target, concat(w.ord, array(-l.pos)), w.depth + 1
+      FROM walk w JOIN {{edges}} l ON l.page = w.page
+      WHERE {folder} AND startswith(l.target, w.page) AND length(l.target) > length(w.page)
+        AND w.depth < :max_depth)
+    SELECT l.target, l.href, concat(w.ord, array(-l.pos)) AS ord
+    FROM walk w JOIN {{edges}} l ON l.page = w.page
+    WHERE NOT {folder} AND lower(l.href) RLIKE :pattern
+    ORDER BY ord LIMIT {int(n)}
+    """
+    top = spark.sql(query, args={"root": root, "max_depth": max_depth, "pattern": extension_pattern(extensions)},
+                    edges=edges.select("page", "pos", "href", "target"))
+    # n rows only: the numbering window runs on the top-n result.
+    return top.select(F.row_number().over(Window.orderBy("ord")).alias("ordem"), "target", "href")
+
+
+def latest_files_by_level(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_EXTENSIONS,
+                          max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
+    """:func:`latest_files` as one DataFrame join per level driven from
+    the driver, for trees deeper or wider than the recursive-CTE limits.
+    The frontier is checkpointed (``spark.checkpoint.dir``) every
+    ``checkpoint_every`` levels to keep the plan short."""
     e = edges.select("page", "pos", "href", "target")
     frontier = e.sparkSession.createDataFrame([(root, [])], "page string, ord array<int>")
     files = None
@@ -78,11 +110,9 @@ def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_
                                (F.length("target") > F.length("page"))) \
             .select(F.col("target").alias("page"), "ord")
         if (depth + 1) % checkpoint_every == 0:
-            # reliable checkpoint (spark.checkpoint.dir) keeps the plan short
             frontier = frontier.checkpoint()
             files = files.checkpoint()
         if frontier.isEmpty():
             break
     top = files.orderBy("ord").limit(n)
-    # n rows only: the numbering window runs on the top-n result.
     return top.select(F.row_number().over(Window.orderBy("ord")).alias("ordem"), "target", "href")

@@ -119,3 +119,32 @@ def test_streaming_ingest_processes_new_files_once(spark):
     stems = sorted(r["source_stem"] for r in spark.read.parquet(out).select("source_stem").distinct().collect())
     assert stems == ["1T2025", "2T2025"]
     assert spark.read.parquet(out).count() == 4
+
+
+def test_positional_staging_and_tables(spark):
+    from ledger_analytics.plans.pipeline import STG_AGGREGATE_COLUMNS
+    from ledger_analytics.sinks.files import save_table
+    from ledger_analytics.sources.files import read_staging
+
+    root = _tmp()
+    _write(f"{root}/agg.csv", "Nome;Estado;Total;Media;Desvio\nA;SP;10.005;3.3333;0.125\n;RJ;1;1;1\n")
+    stg = read_staging(spark, f"{root}/agg.csv", STG_AGGREGATE_COLUMNS)
+    assert stg.columns[:5] == list(STG_AGGREGATE_COLUMNS)
+    rows = stg.orderBy("reg_order").collect()
+    assert [r["razao_social"] for r in rows] == ["A", None]
+    facts = spark.createDataFrame([(1, 2025, 1, Decimal("1.00")), (1, 2025, 2, Decimal("2.00"))],
+                                  "cod_operadora int, ano int, trimestre int, valor_despesa decimal(18,2)")
+    name = "despesas_test_" + os.path.basename(root).replace("-", "_")
+    save_table(facts, name, partition_by=["ano", "trimestre"], path=f"{root}/tbl")
+    save_table(facts.filter("trimestre = 2"), name, partition_by=["ano", "trimestre"])  # re-run of one period
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_surrogate_key_is_stable(spark):
+    from ledger_analytics.operators.load import surrogate_key
+
+    df = spark.range(0, 3000).selectExpr("CAST((id * 37) % 3001 AS INT) AS k").repartition(5)
+    a = {r["k"]: r["sk"] for r in surrogate_key(df, "k", "sk").collect()}
+    b = {r["k"]: r["sk"] for r in surrogate_key(df.repartition(3), "k", "sk").collect()}
+    assert a == b and sorted(a.values()) == list(range(1, 3001))

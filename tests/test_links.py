@@ -1,4 +1,6 @@
-from ledger_analytics.operators.links import first_matching_link, latest_files, links_by_extension, page_links
+from ledger_analytics.operators.links import (
+    first_matching_link, latest_files, latest_files_by_level, links_by_extension, page_links,
+)
 
 
 def test_latest_files_fixture(spark):
@@ -10,6 +12,7 @@ def test_latest_files_fixture(spark):
     got = [r["href"] for r in latest_files(edges, n=3).collect()]
     assert got == ["c.zip", "b.zip", "a.zip"]
     assert [r["href"] for r in latest_files(edges, n=10).collect()] == ["c.zip", "b.zip", "a.zip"]
+    assert [r["href"] for r in latest_files_by_level(edges, n=3, checkpoint_every=1).collect()] == got
 
 
 def test_page_links_and_filters(spark):
