@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import decode_entities, extract_hrefs, resolve_url
+from ..session import ensure_checkpoint_dir
 
 # Extensions the registry download keeps, and those the
 # recursive walk counts as data files.
@@ -96,6 +97,7 @@ def latest_files_by_level(edges: DataFrame, root: str = "/", n: int = 3, extensi
     The frontier is checkpointed (``spark.checkpoint.dir``) every
     ``checkpoint_every`` levels to keep the plan short."""
     e = edges.select("page", "pos", "href", "target")
+    ensure_checkpoint_dir(e.sparkSession)
     frontier = e.sparkSession.createDataFrame([(root, [])], "page string, ord array<int>")
     files = None
     for depth in range(max_depth + 1):

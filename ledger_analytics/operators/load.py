@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import iso_date_or_null, numeric_text_guard, text_to_decimal, text_to_int
+from ..session import ensure_checkpoint_dir
 from .dedup import dedup_first
 
 OPERATOR_COLUMNS = ("registro_ans", "cnpj", "razao_social", "modalidade", "uf", "cidade", "data_registro_ans")
@@ -25,10 +26,18 @@ def surrogate_key(df: DataFrame, order_col: str, name: str, start: int = 1) -> D
     partition numbers its rows locally (``monotonically_increasing_id``
     minus the partition base) and adds the row count of all earlier
     partitions.  The count table has one row per partition, so it is
-    broadcast.  ``order_col`` must be unique for the numbering to be stable
-    across task retries.
+    broadcast.
+
+    Row numbers and partition counts must come from the *same*
+    partitioning: range bounds are sampled, and a recomputation could draw
+    other bounds.  So the ranged rows are written once with ``checkpoint()``
+    (reliable, into ``spark.checkpoint.dir``) and both passes read that
+    copy, which also keeps the ids stable when an executor is lost.
+    ``order_col`` should be unique for the order among equal values to be
+    fixed.
     """
-    ranged = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col).checkpoint(eager=True)
     pos = ranged.withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -68,3 +68,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="ledger-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 512 * 1024 * 1024,
+                   max_partitions: int = 65536) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Input splits and shuffle partitions aim at ``partition_bytes`` each
+    (default 512 MiB, comfortable for executors of 8+ GiB per core with
+    spill), with at least two tasks per core and at most ``max_partitions``
+    shuffle partitions (shuffle block count grows with map x reduce).  AQE
+    then coalesces the small post-aggregation stages to the advisory size
+    and splits skewed join partitions above 4x the median.
+
+    Example: 100 TB on 1,000 executors x 8 cores gives 65,536 shuffle
+    partitions (the cap) and 512 MiB input splits.
+    """
+    want = -(-input_bytes // partition_bytes)
+    shuffle = max(2 * total_cores, min(max_partitions, want))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * partition_bytes // (1024 * 1024)}m",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, total_cores: int, **kw) -> SparkSession:
+    """Set :func:`scale_settings` on a running session (runtime SQL confs)."""
+    for k, v in scale_settings(input_bytes, total_cores, **kw).items():
+        spark.conf.set(k, v)
+    return spark
