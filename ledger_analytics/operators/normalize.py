@@ -171,10 +171,20 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
     return out.select("source_file", *OUTPUT_COLUMNS)
 
 
-def harmonize_file_group(df: DataFrame) -> DataFrame:
+REQUIRED_COLUMNS = ("REGISTRO_OPERADORA", "CODIGO_CONTABIL", "V_INICIAL", "V_FINAL")
+
+
+def harmonize_file_group(df: DataFrame) -> DataFrame | None:
     """Per-header-group hook for the file reader: canonical names before
-    files with different headers are unioned."""
-    return harmonize_columns(df)
+    files with different headers are unioned.  Files without a code column
+    or without both balances are skipped whole, as the source pipeline
+    skips them (returns None)."""
+    if find_code_column(df.columns) is None:
+        return None
+    out = harmonize_columns(df)
+    if any(c not in out.columns for c in REQUIRED_COLUMNS):
+        return None
+    return out
 
 
 def dropped_null_operator(lines: DataFrame) -> DataFrame:

@@ -85,7 +85,8 @@ def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str)
 
 
 def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENSIONS,
-                   encoding: str = "UTF-8", per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                   encoding: str = "UTF-8", per_group: Callable[[DataFrame], DataFrame | None] | None = None,
+                   skipped: list | None = None) -> DataFrame:
     """All delimited files under ``root`` as one all-string DataFrame (S1+S2).
 
     Header names are normalised (trim, upper, no quotes; first of equal
@@ -94,25 +95,33 @@ def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EX
     Files whose first line cannot be read or split are skipped and can be
     listed with :func:`file_headers`.  ``per_group`` is applied to each
     header group before the union (e.g. renaming columns to canonical
-    names, so differently named files line up).
+    names, so differently named files line up); when it returns None the
+    group's files are left out and listed in ``skipped`` (if given) as
+    ``(path, reason)``.
     """
-    return read_listed(spark, list_files(spark, root, exts), encoding, per_group)
+    return read_listed(spark, list_files(spark, root, exts), encoding, per_group, skipped)
 
 
 def read_delimited_paths(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8",
-                         per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                         per_group: Callable[[DataFrame], DataFrame | None] | None = None,
+                         skipped: list | None = None) -> DataFrame:
     """:func:`read_delimited` for an explicit list of files."""
     files = spark.createDataFrame([(p,) for p in paths], "path string")
-    return read_listed(spark, files, encoding, per_group)
+    return read_listed(spark, files, encoding, per_group, skipped)
 
 
 def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8",
-                per_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                per_group: Callable[[DataFrame], DataFrame | None] | None = None,
+                skipped: list | None = None) -> DataFrame:
     """Read the files of a listing (a DataFrame with ``path``)."""
     heads = file_headers(spark, files)
     # one row per file (a listing), so collecting it is metadata only
     groups: dict[tuple[str, str], list[str]] = {}
-    for r in heads.filter(F.col("delimiter").isNotNull()).collect():
+    for r in heads.collect():
+        if r["delimiter"] is None:
+            if skipped is not None:
+                skipped.append((r["path"], r["error"] or "no delimiter in the first line"))
+            continue
         groups.setdefault((r["delimiter"], r["header_line"]), []).append(r["path"])
     frames = []
     for (sep, header), paths in sorted(groups.items()):
@@ -126,7 +135,13 @@ def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8",
                 seen.add(new)
                 cols.append(F.col(f"`{name}`").alias(new))
         group = df.select(*cols, "source_file")
-        frames.append(per_group(group) if per_group else group)
+        if per_group is not None:
+            group = per_group(group)
+            if group is None:
+                if skipped is not None:
+                    skipped.extend((p, f"columns not usable: {raw_names}") for p in paths)
+                continue
+        frames.append(group)
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField("source_file", T.StringType())]))
     out = frames[0]
