@@ -4,6 +4,6 @@ from .cnpj import cnpj_digits, cnpj_is_valid, cnpj_is_valid_digits, cnpj_check_d
 from .text import (  # noqa: F401
     blank_to_null, format_locale_decimal, is_blank, iso_date_or_null, normalize_header,
     numeric_text_guard, parse_date, parse_locale_decimal, round_half_up_ratio,
-    text_to_decimal, text_to_int,
+    text_to_decimal, text_to_int, text_to_long,
 )
 from .urls import decode_entities, extract_hrefs, file_stem, resolve_url, url_file_name  # noqa: F401

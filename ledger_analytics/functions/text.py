@@ -108,6 +108,13 @@ def text_to_int(c) -> Column:
     return F.nullif(c.cast("string"), F.lit("")).try_cast("int")
 
 
+def text_to_long(c) -> Column:
+    """Blank -> NULL -> BIGINT, bad text -> NULL (identifiers)."""
+    if isinstance(c, str):
+        return F.expr(f"try_cast(nullif(CAST({_q(c)} AS STRING), '') AS BIGINT)")
+    return F.nullif(c.cast("string"), F.lit("")).try_cast("bigint")
+
+
 def text_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """Text -> DECIMAL with half-up rounding, bad text -> NULL."""
     if isinstance(c, str):

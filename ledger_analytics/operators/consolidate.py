@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DEFAULT_DATE_FORMATS, parse_date, text_to_int
+from ..functions.text import DEFAULT_DATE_FORMATS, parse_date
 from .dedup import dedup_first
 
 # Grouping keys of the net expense and the output order.
@@ -32,7 +32,7 @@ def prepare_registry(registry: DataFrame) -> DataFrame:
     ``reg_order`` (the row's place in the registry file) decides "first";
     if the input has none, the registration id is used.
     """
-    reg_id = "try_cast(nullif(CAST(REGISTRO_OPERADORA AS STRING), '') AS INT)"
+    reg_id = "try_cast(nullif(CAST(REGISTRO_OPERADORA AS STRING), '') AS BIGINT)"
     order = "reg_order" if "reg_order" in registry.columns else f"CAST({reg_id} AS BIGINT) AS reg_order"
     return registry.selectExpr(f"{reg_id} AS RegistroANS", "CAST(CNPJ AS STRING) AS CNPJ", "RAZAO_SOCIAL",
                                "MODALIDADE", "UF", order)

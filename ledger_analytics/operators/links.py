@@ -73,13 +73,13 @@ def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_
     folder = "(endswith(l.href, '/') OR NOT contains(l.href, '.'))"
     query = f"""
     WITH RECURSIVE walk(page, ord, depth) AS (
-      SELECT :root AS page, CAST(array() AS ARRAY<INT>) AS ord, 0 AS depth
+      SELECT :root AS page, CAST(array() AS ARRAY<BIGINT>) AS ord, 0 AS depth
       UNION ALL
-      SELECT l.target, concat(w.ord, array(-l.pos)), w.depth + 1
+      SELECT l.target, concat(w.ord, array(-CAST(l.pos AS BIGINT))), w.depth + 1
       FROM walk w JOIN {{edges}} l ON l.page = w.page
       WHERE {folder} AND startswith(l.target, w.page) AND length(l.target) > length(w.page)
         AND w.depth < :max_depth)
-    SELECT l.target, l.href, concat(w.ord, array(-l.pos)) AS ord
+    SELECT l.target, l.href, concat(w.ord, array(-CAST(l.pos AS BIGINT))) AS ord
     FROM walk w JOIN {{edges}} l ON l.page = w.page
     WHERE NOT {folder} AND lower(l.href) RLIKE :pattern
     ORDER BY ord LIMIT {int(n)}
@@ -98,10 +98,10 @@ def latest_files_by_level(edges: DataFrame, root: str = "/", n: int = 3, extensi
     ``checkpoint_every`` levels to keep the plan short."""
     e = edges.select("page", "pos", "href", "target")
     ensure_checkpoint_dir(e.sparkSession)
-    frontier = e.sparkSession.createDataFrame([(root, [])], "page string, ord array<int>")
+    frontier = e.sparkSession.createDataFrame([(root, [])], "page string, ord array<bigint>")
     files = None
     for depth in range(max_depth + 1):
-        step = frontier.join(e, "page").withColumn("ord", F.concat(F.col("ord"), F.array(-F.col("pos"))))
+        step = frontier.join(e, "page").withColumn("ord", F.concat(F.col("ord"), F.array(-F.col("pos").cast("long"))))
         found = step.filter(~_is_folder(F.col("href")) &
                             F.lower(F.col("href")).rlike(extension_pattern(extensions))) \
             .select("target", "href", "ord")

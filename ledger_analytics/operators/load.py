@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import iso_date_or_null, numeric_text_guard, text_to_decimal, text_to_int
+from ..functions.text import iso_date_or_null, numeric_text_guard, text_to_decimal, text_to_int, text_to_long
 from ..session import ensure_checkpoint_dir
 from .dedup import dedup_first
 
@@ -60,7 +60,7 @@ def operator_candidates(stg: DataFrame) -> DataFrame:
     order = F.col("reg_order") if "reg_order" in stg.columns else F.lit(0).cast("long")
     base = stg.filter(F.col("registro_ans").isNotNull() & F.col("cnpj").isNotNull())
     typed = base.select(
-        text_to_int("registro_ans").alias("registro_ans"),
+        text_to_long("registro_ans").alias("registro_ans"),
         F.col("cnpj"), F.col("razao_social"), F.col("modalidade"), F.col("uf"), F.col("cidade"),
         iso_date_or_null("data_registro_ans").alias("data_registro_ans"),
         order.alias("_order"),
@@ -92,7 +92,7 @@ def load_expenses(stg: DataFrame, operadoras: DataFrame) -> Load:
     ``^[0-9.]+$`` and cast, year and quarter must be integers, and the
     registration must exist in ``operadoras`` (inner join, J3)."""
     typed = stg.select(
-        text_to_int("registro_ans").alias("registro_ans"),
+        text_to_long("registro_ans").alias("registro_ans"),
         text_to_int("ano").alias("ano"),
         text_to_int("trimestre").alias("trimestre"),
         F.col("valor_despesas"),

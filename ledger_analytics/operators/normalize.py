@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import _q, normalize_header, parse_locale_decimal, text_to_int
+from ..functions.text import _q, normalize_header, parse_locale_decimal, text_to_long
 
 # Header rules in priority order (the first rule whose any
 # substring occurs in the upper-cased header decides the canonical name).
@@ -156,7 +156,7 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
         raise ValueError(f"account lines lack {sorted(missing)}")
     df = filter_account_prefix(df, prefix=prefix)
     df = df.withColumns({
-        "REGISTRO_OPERADORA": text_to_int("REGISTRO_OPERADORA"),
+        "REGISTRO_OPERADORA": text_to_long("REGISTRO_OPERADORA"),
         "V_INICIAL": parse_locale_decimal("V_INICIAL", thousands=thousands, decimal=decimal),
         "V_FINAL": parse_locale_decimal("V_FINAL", thousands=thousands, decimal=decimal),
     })
@@ -191,5 +191,5 @@ def dropped_null_operator(lines: DataFrame) -> DataFrame:
     """Account lines the leaf filter drops for lacking an operator id (D16),
     for the quarantine."""
     df = harmonize_columns(normalize_headers(lines))
-    return df.filter(text_to_int("REGISTRO_OPERADORA").isNull()) \
+    return df.filter(text_to_long("REGISTRO_OPERADORA").isNull()) \
         .withColumn("reject_reason", F.lit("null_operator"))

@@ -42,16 +42,16 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "op_g": (f"SELECT *, {_terms('base', _W2_12, '+d1*2')}%11 AS r2 FROM op_e", ("op_e",)),
     "op_h": ("SELECT *, CASE WHEN r2<2 THEN 0 ELSE 11-r2 END AS d2 FROM op_g", ("op_g",)),
     "operadoras": (
-        "SELECT CAST(c_custkey AS INT) AS cod_operadora, CAST(300000+c_custkey AS INT) AS registro_ans, "
+        "SELECT CAST(c_custkey AS BIGINT) AS cod_operadora, CAST(300000+c_custkey AS BIGINT) AS registro_ans, "
         "concat(base, CAST(CASE WHEN c_custkey%4=0 THEN (d1+1)%10 ELSE d1 END AS VARCHAR), CAST(d2 AS VARCHAR)) AS cnpj, "
         "concat('Operator ', CAST(c_custkey%1000 AS VARCHAR)) AS razao_social, c_mktsegment AS modalidade, "
         "lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS uf FROM op_h", ("op_h",)),
     "despesas": (
-        "SELECT CAST(o_custkey AS INT) AS cod_operadora, CAST(year(o_orderdate) AS INT) AS ano, "
+        "SELECT CAST(o_custkey AS BIGINT) AS cod_operadora, CAST(year(o_orderdate) AS INT) AS ano, "
         "CAST(quarter(o_orderdate) AS INT) AS trimestre, "
         "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS valor_despesa FROM orders GROUP BY 1,2,3", ()),
     "ra_o": (
-        "SELECT CAST(300000+o_custkey AS INT) AS reg, CAST(o_orderdate AS DATE) AS dt, "
+        "SELECT CAST(300000+o_custkey AS BIGINT) AS reg, CAST(o_orderdate AS DATE) AS dt, "
         "concat(CAST(year(o_orderdate) AS VARCHAR),'T',CAST(quarter(o_orderdate) AS VARCHAR)) AS f, "
         "substr(o_orderpriority,1,1) AS p, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS v, "
         "CASE WHEN o_orderkey%5=0 THEN '311' ELSE '411' END AS root FROM orders", ()),
@@ -77,24 +77,23 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "normalized": (
         "SELECT *, CAST(V_FINAL - V_INICIAL AS DECIMAL(18,2)) AS VALOR_DESPESAS FROM n_text "
         "WHERE V_FINAL - V_INICIAL <> 0", ("n_text",)),
-    "reg_base": (
-        "SELECT c_custkey*2 AS reg_order, CAST(c_custkey+300000 AS VARCHAR) AS REGISTRO_OPERADORA, "
-        "CASE WHEN c_custkey%9=0 THEN substr(o.cnpj,1,2)||'.'||substr(o.cnpj,3,3)||'.'||substr(o.cnpj,6,3)||'/'"
-        "||substr(o.cnpj,9,4)||'-'||substr(o.cnpj,13,2) ELSE o.cnpj END AS CNPJ, "
-        "CASE WHEN c_custkey%250=7 THEN '  ' ELSE concat('Operator ', CAST(c_custkey%1000 AS VARCHAR)) END AS RAZAO_SOCIAL, "
+    "reg_copies": ("SELECT c_custkey, c_nationkey, c_mktsegment, o.cnpj, unnest(range(CASE WHEN c_custkey%100 IN (1,2) "
+                   "THEN 2 ELSE 1 END)) AS copy FROM customer JOIN operadoras o ON o.cod_operadora = c_custkey",
+                   ("operadoras",)),
+    "registry": (
+        "SELECT c_custkey*2 + copy AS reg_order, "
+        "CAST(CASE WHEN copy=1 AND c_custkey%100=1 THEN c_custkey+1000000000000 "
+        "WHEN c_custkey%50=0 THEN c_custkey+2000000000000 ELSE c_custkey+300000 END AS VARCHAR) AS REGISTRO_OPERADORA, "
+        "CASE WHEN c_custkey%9=0 THEN substr(cnpj,1,2)||'.'||substr(cnpj,3,3)||'.'||substr(cnpj,6,3)||'/'"
+        "||substr(cnpj,9,4)||'-'||substr(cnpj,13,2) ELSE cnpj END AS CNPJ, "
+        "CASE WHEN c_custkey%250=7 THEN '  ' ELSE concat('Operator ', CAST(c_custkey%1000 AS VARCHAR)) END "
+        "|| CASE WHEN copy=0 THEN '' WHEN c_custkey%100=1 THEN ' FILIAL' ELSE ' LTDA' END AS RAZAO_SOCIAL, "
         "c_mktsegment AS MODALIDADE, concat('City ', CAST(c_nationkey AS VARCHAR)) AS CIDADE, "
         "CASE WHEN c_custkey%97=0 THEN NULL ELSE lpad(CAST(c_nationkey AS VARCHAR),2,'0') END AS UF, "
         "CASE WHEN c_custkey%11=0 THEN strftime(DATE '2000-01-01' + CAST(c_custkey%5000 AS INTEGER), '%d/%m/%Y') "
-        "ELSE strftime(DATE '2000-01-01' + CAST(c_custkey%5000 AS INTEGER), '%Y-%m-%d') END AS DATA_REGISTRO_ANS, "
-        "c_custkey AS k FROM customer JOIN operadoras o ON o.cod_operadora = c_custkey WHERE c_custkey%50<>0",
-        ("operadoras",)),
-    "registry": (
-        "SELECT reg_order, REGISTRO_OPERADORA, CNPJ, RAZAO_SOCIAL, MODALIDADE, CIDADE, UF, DATA_REGISTRO_ANS FROM reg_base "
-        "UNION ALL SELECT reg_order+1, CAST(k+900000 AS VARCHAR), CNPJ, RAZAO_SOCIAL||' FILIAL', MODALIDADE, CIDADE, UF, "
-        "DATA_REGISTRO_ANS FROM reg_base WHERE k%100=1 "
-        "UNION ALL SELECT reg_order+1, REGISTRO_OPERADORA, CNPJ, RAZAO_SOCIAL||' LTDA', MODALIDADE, CIDADE, UF, "
-        "DATA_REGISTRO_ANS FROM reg_base WHERE k%100=2", ("reg_base",)),
-    "c_reg1": ("SELECT TRY_CAST(NULLIF(REGISTRO_OPERADORA,'') AS INTEGER) AS RegistroANS, CNPJ, RAZAO_SOCIAL, reg_order "
+        "ELSE strftime(DATE '2000-01-01' + CAST(c_custkey%5000 AS INTEGER), '%Y-%m-%d') END AS DATA_REGISTRO_ANS "
+        "FROM reg_copies", ("reg_copies",)),
+    "c_reg1": ("SELECT TRY_CAST(NULLIF(REGISTRO_OPERADORA,'') AS BIGINT) AS RegistroANS, CNPJ, RAZAO_SOCIAL, reg_order "
                "FROM registry", ("registry",)),
     "c_reg2": ("SELECT CNPJ, MODALIDADE, UF FROM (SELECT CNPJ, MODALIDADE, UF, row_number() OVER "
                "(PARTITION BY CNPJ ORDER BY reg_order) AS rn FROM registry) WHERE rn=1", ("registry",)),
@@ -127,7 +126,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         "MODALIDADE AS modalidade, CIDADE AS cidade, UF AS uf, DATA_REGISTRO_ANS AS data_registro_ans FROM registry",
         ("registry",)),
     "lo_c": (
-        "SELECT TRY_CAST(NULLIF(registro_ans,'') AS INTEGER) AS registro_ans, cnpj, razao_social, modalidade, uf, cidade, "
+        "SELECT TRY_CAST(NULLIF(registro_ans,'') AS BIGINT) AS registro_ans, cnpj, razao_social, modalidade, uf, cidade, "
         "CASE WHEN regexp_matches(data_registro_ans, '^\\d{4}-\\d{2}-\\d{2}$') THEN TRY_CAST(data_registro_ans AS DATE) "
         "END AS data_registro_ans, reg_order FROM stg_operadoras WHERE registro_ans IS NOT NULL AND cnpj IS NOT NULL",
         ("stg_operadoras",)),
@@ -166,10 +165,10 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         "length(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) + 1), '[^/]*$', ''), ''), '/') || href "
         "END AS resolved FROM pl", ("pl",)),
     "links": (
-        "SELECT '/' AS page, CAST(r_regionkey AS INT) AS pos, concat(r_name,'/') AS href, concat('/',r_name,'/') AS target FROM region "
-        "UNION ALL SELECT concat('/',r_name,'/'), CAST(n_nationkey AS INT), concat(n_name,'/'), concat('/',r_name,'/',n_name,'/') "
+        "SELECT '/' AS page, CAST(r_regionkey AS BIGINT) AS pos, concat(r_name,'/') AS href, concat('/',r_name,'/') AS target FROM region "
+        "UNION ALL SELECT concat('/',r_name,'/'), CAST(n_nationkey AS BIGINT), concat(n_name,'/'), concat('/',r_name,'/',n_name,'/') "
         "FROM nation JOIN region ON n_regionkey=r_regionkey "
-        "UNION ALL SELECT concat('/',r_name,'/',n_name,'/'), CAST(c_custkey AS INT), "
+        "UNION ALL SELECT concat('/',r_name,'/',n_name,'/'), CAST(c_custkey AS BIGINT), "
         "concat('f',CAST(c_custkey AS VARCHAR),CASE c_custkey%4 WHEN 0 THEN '.ZIP' WHEN 1 THEN '.csv' WHEN 2 THEN '.pdf' ELSE '.html' END), "
         "concat('/',r_name,'/',n_name,'/f',CAST(c_custkey AS VARCHAR),CASE c_custkey%4 WHEN 0 THEN '.ZIP' WHEN 1 THEN '.csv' "
         "WHEN 2 THEN '.pdf' ELSE '.html' END) FROM customer JOIN nation ON c_nationkey=n_nationkey "
@@ -279,7 +278,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT o.cod_operadora, TRY_CAST(NULLIF(s.ano,'') AS INTEGER) AS ano, "
         "TRY_CAST(NULLIF(s.trimestre,'') AS INTEGER) AS trimestre, "
         "CAST(TRY_CAST(s.valor_despesas AS DECIMAL(18,2)) AS DOUBLE) AS valor_despesa "
-        "FROM stg_ans s JOIN loaded_operators o ON TRY_CAST(s.registro_ans AS INTEGER) = o.registro_ans "
+        "FROM stg_ans s JOIN loaded_operators o ON TRY_CAST(s.registro_ans AS BIGINT) = o.registro_ans "
         "WHERE regexp_matches(s.valor_despesas, '^[0-9.]+$') AND TRY_CAST(s.valor_despesas AS DECIMAL(18,2)) IS NOT NULL "
         "AND TRY_CAST(NULLIF(s.ano,'') AS INTEGER) IS NOT NULL AND TRY_CAST(NULLIF(s.trimestre,'') AS INTEGER) IS NOT NULL",
         "stg_ans", "loaded_operators")
@@ -291,11 +290,11 @@ def oracle_sql() -> dict[str, str]:
     q["unmatched_registry"] = with_ctes(
         f"SELECT REGISTRO_OPERADORA, COUNT(*) AS n_linhas, {_D('SUM(VALOR_DESPESAS)')} AS valor_total "
         "FROM normalized n WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE "
-        "TRY_CAST(NULLIF(r.REGISTRO_OPERADORA,'') AS INTEGER) = n.REGISTRO_OPERADORA) GROUP BY REGISTRO_OPERADORA",
+        "TRY_CAST(NULLIF(r.REGISTRO_OPERADORA,'') AS BIGINT) = n.REGISTRO_OPERADORA) GROUP BY REGISTRO_OPERADORA",
         "normalized", "registry")
     q["orphan_facts"] = with_ctes(
         "SELECT registro_ans, ano, trimestre, valor_despesas FROM stg_ans s WHERE NOT EXISTS "
-        "(SELECT 1 FROM loaded_operators o WHERE o.registro_ans = TRY_CAST(s.registro_ans AS INTEGER))",
+        "(SELECT 1 FROM loaded_operators o WHERE o.registro_ans = TRY_CAST(s.registro_ans AS BIGINT))",
         "stg_ans", "loaded_operators")
     q["duplicate_keys"] = with_ctes(
         "SELECT cnpj, COUNT(*) AS n_rows FROM loaded_operators WHERE cnpj IS NOT NULL GROUP BY cnpj HAVING COUNT(*) > 1",
@@ -319,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
     q["links_by_extension"] = with_ctes(
         "SELECT page, pos, href, target FROM links WHERE regexp_matches(lower(href), '\\.(zip|csv|xlsx|rar|txt|pdf)$')",
         "links")
-    walk = ("walk(page, ord, depth) AS (SELECT '/' AS page, CAST([] AS INTEGER[]) AS ord, 0 AS depth "
+    walk = ("walk(page, ord, depth) AS (SELECT '/' AS page, CAST([] AS BIGINT[]) AS ord, 0 AS depth "
             "UNION ALL SELECT l.target, list_append(w.ord, -l.pos), w.depth + 1 FROM walk w JOIN links l ON l.page = w.page "
             "WHERE (ends_with(l.href, '/') OR NOT contains(l.href, '.')) AND starts_with(l.target, w.page) "
             "AND length(l.target) > length(w.page) AND w.depth < 32), "

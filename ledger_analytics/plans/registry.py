@@ -146,7 +146,7 @@ def q_unmatched_registry(spark, d):
 
 def q_orphan_facts(spark, d):
     stg = S.staging_expenses(spark, d)
-    return checks.orphan_rows(stg, _loaded_operators(spark, d), F.col("registro_ans").try_cast("int"),
+    return checks.orphan_rows(stg, _loaded_operators(spark, d), F.col("registro_ans").try_cast("bigint"),
                               "registro_ans").select("registro_ans", "ano", "trimestre", "valor_despesas")
 
 

@@ -46,8 +46,8 @@ STAND_IN_CNPJ = (
 def operadoras(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator dimension: one row per customer; names repeat every 1,000 keys."""
     return table(spark, sf_dir, "customer").selectExpr(
-        "CAST(c_custkey AS INT) AS cod_operadora",
-        "CAST(c_custkey + 300000 AS INT) AS registro_ans",
+        "CAST(c_custkey AS BIGINT) AS cod_operadora",
+        "CAST(c_custkey + 300000 AS BIGINT) AS registro_ans",
         f"{STAND_IN_CNPJ} AS cnpj",
         "concat('Operator ', CAST(c_custkey % 1000 AS STRING)) AS razao_social",
         "c_mktsegment AS modalidade",
@@ -60,7 +60,7 @@ def operadoras(spark: SparkSession, sf_dir: str) -> DataFrame:
 def despesas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense fact: one row per (operator, year, quarter) with orders in it."""
     return (table(spark, sf_dir, "orders")
-            .selectExpr("CAST(o_custkey AS INT) AS cod_operadora", "CAST(year(o_orderdate) AS INT) AS ano",
+            .selectExpr("CAST(o_custkey AS BIGINT) AS cod_operadora", "CAST(year(o_orderdate) AS INT) AS ano",
                         "CAST(quarter(o_orderdate) AS INT) AS trimestre",
                         "CAST(o_totalprice AS DECIMAL(18,2)) AS v")
             .groupBy("cod_operadora", "ano", "trimestre")
@@ -78,15 +78,15 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = "substr(o_orderpriority, 1, 1)"
     lines = table(spark, sf_dir, "orders").selectExpr(
         "concat(CAST(year(o_orderdate) AS STRING), 'T', CAST(quarter(o_orderdate) AS STRING)) AS source_file",
-        "CAST(o_custkey + 300000 AS INT) AS REGISTRO_OPERADORA",
-        f"explode(array({root}, concat({root}, {p}), "
-        f"CASE WHEN o_orderkey % 3 <> 0 THEN concat({root}, {p}, CAST(o_orderkey % 4 AS STRING)) END)) "
-        "AS CODIGO_CONTABIL",
+        "CAST(o_custkey + 300000 AS BIGINT) AS REGISTRO_OPERADORA",
+        f"explode(CASE WHEN o_orderkey % 3 <> 0 "
+        f"THEN array({root}, concat({root}, {p}), concat({root}, {p}, CAST(o_orderkey % 4 AS STRING))) "
+        f"ELSE array({root}, concat({root}, {p})) END) AS CODIGO_CONTABIL",
         "to_date(o_orderdate) AS dt",
         "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END "
         "AS vi",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS v",
-    ).where("CODIGO_CONTABIL IS NOT NULL")
+    )
     return (lines.groupBy("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL")
             .agg({"dt": "min", "vi": "sum", "v": "sum"})
             .selectExpr("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL", "`min(dt)` AS DATA_BASE",
@@ -118,41 +118,39 @@ def account_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator registry as read from its file (all text, upper-case names)
-    plus ``reg_order``, the row's position in the file.
-
-    Rules: keys divisible by 50 are missing (unmatched facts); keys
-    divisible by 97 have no state; keys divisible by 9 write the id with
-    punctuation; keys divisible by 11 write the registration date as
-    ``dd/MM/yyyy``; keys with ``k % 250 = 7`` have a blank name; keys with
-    ``k % 100 = 1`` have a second row (another registration, same id);
-    keys with ``k % 100 = 2`` have a second row with the same registration
-    and another name.
+    plus ``reg_order``, the row's position in the file.  Every customer is
+    in it; rules over the key ``k`` make the dirty cases:
+
+    * ``k % 50 = 0``: registered under an id no account line uses
+      (``2e12 + k``), so those lines find no registry row (D1);
+    * ``k % 97 = 0``: no state; ``k % 9 = 0``: id written with punctuation;
+      ``k % 11 = 0``: registration date as ``dd/MM/yyyy``; ``k % 250 = 7``:
+      blank name;
+    * ``k % 100 = 1``: a second row, another registration (``1e12 + k``)
+      with the same tax id; ``k % 100 = 2``: a second row with the same
+      registration and another name (J1 fan-out, first-name rule).
     """
     punct = ("concat(substr(x, 1, 2), '.', substr(x, 3, 3), '.', substr(x, 6, 3), '/', substr(x, 9, 4), '-', "
              "substr(x, 13, 2))")
     reg_date = "date_add(DATE'2000-01-01', CAST(c_custkey % 5000 AS INT))"
-    base = table(spark, sf_dir, "customer").where("c_custkey % 50 <> 0").selectExpr(
-        "c_custkey * 2 AS reg_order",
-        "CAST(c_custkey + 300000 AS STRING) AS REGISTRO_OPERADORA",
+    copies = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_nationkey", "c_mktsegment",
+        "explode(sequence(0, CASE WHEN c_custkey % 100 IN (1, 2) THEN 1 ELSE 0 END)) AS copy")
+    return copies.selectExpr(
+        "c_custkey * 2 + copy AS reg_order",
+        "CAST(CASE WHEN copy = 1 AND c_custkey % 100 = 1 THEN c_custkey + 1000000000000 "
+        "WHEN c_custkey % 50 = 0 THEN c_custkey + 2000000000000 ELSE c_custkey + 300000 END AS STRING) "
+        "AS REGISTRO_OPERADORA",
         f"transform(array({STAND_IN_CNPJ}), x -> CASE WHEN c_custkey % 9 = 0 THEN {punct} ELSE x END)[0] AS CNPJ",
-        "CASE WHEN c_custkey % 250 = 7 THEN '  ' "
-        "ELSE concat('Operator ', CAST(c_custkey % 1000 AS STRING)) END AS RAZAO_SOCIAL",
+        "concat(CASE WHEN c_custkey % 250 = 7 THEN '  ' ELSE concat('Operator ', CAST(c_custkey % 1000 AS STRING)) "
+        "END, CASE WHEN copy = 0 THEN '' WHEN c_custkey % 100 = 1 THEN ' FILIAL' ELSE ' LTDA' END) AS RAZAO_SOCIAL",
         "c_mktsegment AS MODALIDADE",
         "concat('City ', CAST(c_nationkey AS STRING)) AS CIDADE",
         "CASE WHEN c_custkey % 97 = 0 THEN CAST(NULL AS STRING) "
         "ELSE lpad(CAST(c_nationkey AS STRING), 2, '0') END AS UF",
         f"CASE WHEN c_custkey % 11 = 0 THEN date_format({reg_date}, 'dd/MM/yyyy') "
         f"ELSE date_format({reg_date}, 'yyyy-MM-dd') END AS DATA_REGISTRO_ANS",
-        "c_custkey AS _k",
     )
-    rest = ["MODALIDADE", "CIDADE", "UF", "DATA_REGISTRO_ANS", "_k"]
-    extra_reg = base.where("_k % 100 = 1").selectExpr(
-        "reg_order + 1 AS reg_order", "CAST(_k + 900000 AS STRING) AS REGISTRO_OPERADORA", "CNPJ",
-        "concat(RAZAO_SOCIAL, ' FILIAL') AS RAZAO_SOCIAL", *rest)
-    extra_name = base.where("_k % 100 = 2").selectExpr(
-        "reg_order + 1 AS reg_order", "REGISTRO_OPERADORA", "CNPJ",
-        "concat(RAZAO_SOCIAL, ' LTDA') AS RAZAO_SOCIAL", *rest)
-    return base.unionByName(extra_reg).unionByName(extra_name).drop("_k")
 
 
 def staging_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,14 +208,14 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    lvl1 = region.selectExpr("'/' AS page", "CAST(r_regionkey AS INT) AS pos", "concat(r_name, '/') AS href",
+    lvl1 = region.selectExpr("'/' AS page", "CAST(r_regionkey AS BIGINT) AS pos", "concat(r_name, '/') AS href",
                              "concat('/', r_name, '/') AS target")
     rn = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    lvl2 = rn.selectExpr("concat('/', r_name, '/') AS page", "CAST(n_nationkey AS INT) AS pos",
+    lvl2 = rn.selectExpr("concat('/', r_name, '/') AS page", "CAST(n_nationkey AS BIGINT) AS pos",
                          "concat(n_name, '/') AS href", "concat('/', r_name, '/', n_name, '/') AS target")
     fname = ("concat('f', CAST(c_custkey AS STRING), CASE c_custkey % 4 WHEN 0 THEN '.ZIP' WHEN 1 THEN '.csv' "
              "WHEN 2 THEN '.pdf' ELSE '.html' END)")
     crn = customer.join(rn.select("n_nationkey", "n_name", "r_name"), customer.c_nationkey == rn.n_nationkey)
-    lvl3 = crn.selectExpr("concat('/', r_name, '/', n_name, '/') AS page", "CAST(c_custkey AS INT) AS pos",
+    lvl3 = crn.selectExpr("concat('/', r_name, '/', n_name, '/') AS page", "CAST(c_custkey AS BIGINT) AS pos",
                           f"{fname} AS href", f"concat('/', r_name, '/', n_name, '/', {fname}) AS target")
     return lvl1.unionByName(lvl2).unionByName(lvl3)
