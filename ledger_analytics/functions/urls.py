@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# <a ... href="..."> with single or double quotes, case-insensitive.
-HREF_PATTERN = r"""(?i)<a\b[^>]*?href\s*=\s*["']([^"']*)["']"""
+# <a ... href=...>: the attribute must follow white space (so data-href
+# does not count); the value is double-quoted, single-quoted or bare.
+HREF_PATTERN = r"""(?i)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Strips the quotes the value was written with.
+QUOTES_PATTERN = r"""^["']|["']$"""
 
 
 def _col(c) -> Column:
@@ -15,7 +18,8 @@ def _col(c) -> Column:
 
 def extract_hrefs(html) -> Column:
     """All href values of ``<a>`` tags, in page order (array<string>)."""
-    return F.regexp_extract_all(_col(html), F.lit(HREF_PATTERN), F.lit(1))
+    raw = F.regexp_extract_all(_col(html), F.lit(HREF_PATTERN), F.lit(1))
+    return F.transform(raw, lambda v: F.regexp_replace(v, QUOTES_PATTERN, ""))
 
 
 def decode_entities(c) -> Column:

@@ -11,7 +11,7 @@ dates as ISO text.
 from __future__ import annotations
 
 from ..functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND
-from ..functions.urls import HREF_PATTERN
+from ..functions.urls import HREF_PATTERN, QUOTES_PATTERN
 from .registry import (GROWTH_PERIOD, LINK_NEEDLE, LOOKUP_CNPJ, NOT_NULL_COLUMNS, PAGE, PAGE_SIZE,
                        WALK_FILES, WIDTH_LIMITS)
 
@@ -147,7 +147,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "sa_g": ("SELECT razao_social, uf, SUM(valor_despesa) AS s, COUNT(valor_despesa) AS n, MAX(valor_despesa) AS mx, "
              "MIN(valor_despesa) AS mn FROM despesas d JOIN operadoras o ON o.cod_operadora=d.cod_operadora "
              "GROUP BY razao_social, uf", ("despesas", "operadoras")),
-    "pl_x": (f"SELECT page_id, url, regexp_extract_all(html, '{_q(HREF_PATTERN)}', 1) AS hs FROM pages", ()),
+    "pl_x": (f"SELECT page_id, url, list_transform(regexp_extract_all(html, '{_q(HREF_PATTERN)}', 1), "
+             f"lambda x: regexp_replace(x, '{_q(QUOTES_PATTERN)}', '', 'g')) AS hs FROM pages", ()),
     "pl_u": ("SELECT page_id, url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, unnest(hs) AS raw FROM pl_x",
              ("pl_x",)),
     "pl": ("SELECT page_id, pos, replace(replace(replace(replace(replace(raw,'&lt;','<'),'&gt;','>'),'&quot;','\"'),"

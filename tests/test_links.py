@@ -18,14 +18,14 @@ def test_latest_files_fixture(spark):
 def test_page_links_and_filters(spark):
     html = ('<html><a href="/x/a.ZIP">1</a> <A class="k" HREF=\'sub/b.csv\'>2</A>'
             '<a name="n">no</a><a href="https://o.org/demonstracoes_contabeis/">3</a>'
-            '<a href="/q?a=1&amp;b=2">4</a></html>')
+            '<a href="/q?a=1&amp;b=2">4</a><a data-href="/no" title=x>5</a><a id=z href=/bare.txt>6</a></html>')
     pages = spark.createDataFrame([(1, "http://h.org/dir/p.html", html)], "page_id long, url string, html string")
     links = page_links(pages)
     got = [(r["pos"], r["href"], r["resolved"]) for r in links.orderBy("pos").collect()]
     assert got == [(0, "/x/a.ZIP", "http://h.org/x/a.ZIP"), (1, "sub/b.csv", "http://h.org/dir/sub/b.csv"),
                    (2, "https://o.org/demonstracoes_contabeis/", "https://o.org/demonstracoes_contabeis/"),
-                   (3, "/q?a=1&b=2", "http://h.org/q?a=1&b=2")]
+                   (3, "/q?a=1&b=2", "http://h.org/q?a=1&b=2"), (4, "/bare.txt", "http://h.org/bare.txt")]
     first = first_matching_link(links, "demonstracoes_contabeis").collect()
     assert [r["pos"] for r in first] == [2]
     ext = links_by_extension(links.withColumnRenamed("page_id", "page")).collect()
-    assert sorted(r["href"] for r in ext) == ["/x/a.ZIP", "sub/b.csv"]
+    assert sorted(r["href"] for r in ext) == ["/bare.txt", "/x/a.ZIP", "sub/b.csv"]
