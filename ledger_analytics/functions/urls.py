@@ -30,27 +30,45 @@ def decode_entities(c) -> Column:
     return x
 
 
-def resolve_url(base, href) -> Column:
-    """Resolve ``href`` against the page URL ``base`` like a browser would
-    for the common forms: absolute, ``//host``, ``/path``, ``?query``,
-    ``#fragment`` and relative paths (dot segments are left as written)."""
-    b, h = _col(base), _col(href)
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    no_frag = F.regexp_replace(b, r"#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    path = F.substring(no_query, F.length(origin) + 1, 1 << 30)
-    directory = F.regexp_replace(path, r"[^/]*$", "")
-    directory = F.when(directory == "", F.lit("/")).otherwise(directory)
-    return (
-        F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .when(h == "", no_frag)
-        .when(h.startswith("#"), F.concat(no_frag, h))
-        .when(h.startswith("?"), F.concat(no_query, h))
-        .otherwise(F.concat(origin, directory, h))
-    )
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _dot_free_sql(path: str) -> str:
+    """SQL text: remove ``.`` and ``..`` segments from an absolute path
+    (``/a/b/../c/./d`` -> ``/a/c/d``); empty inner segments are dropped and
+    a path ending in a dot segment keeps a trailing slash."""
+    stack = ("aggregate(filter(slice(s, 2, greatest(size(s) - 1, 0)), (x, i) -> x <> '' OR i = size(s) - 2), "
+             "CAST(array() AS ARRAY<STRING>), (acc, x) -> CASE WHEN x = '..' THEN slice(acc, 1, greatest(size(acc) - 1, 0)) "
+             "WHEN x = '.' THEN acc ELSE concat(acc, array(x)) END)")
+    return (f"transform(array(split({path}, '/')), s -> concat('/', array_join(CASE WHEN element_at(s, -1) IN ('.', '..') "
+            f"THEN concat({stack}, array('')) ELSE {stack} END, '/')))[0]")
+
+
+def resolve_url_sql(base: str, href: str) -> str:
+    """SQL text of :func:`resolve_url` over two column names."""
+    b, h = _q(base), _q(href)
+    origin = f"regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+    no_frag = f"regexp_replace({b}, '#.*$', '')"
+    no_query = f"regexp_replace({no_frag}, '\\\\?.*$', '')"
+    directory = f"coalesce(nullif(regexp_replace(substr({no_query}, length({origin}) + 1), '[^/]*$', ''), ''), '/')"
+    hpath = f"regexp_extract({h}, '^[^?#]*', 0)"
+    hrest = f"substr({h}, length({hpath}) + 1)"
+    return (f"CASE WHEN {h} RLIKE '^[A-Za-z][A-Za-z0-9+.-]*:' THEN {h} "
+            f"WHEN startswith({h}, '//') THEN concat(regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1), ':', {h}) "
+            f"WHEN startswith({h}, '/') THEN concat({origin}, {_dot_free_sql(hpath)}, {hrest}) "
+            f"WHEN {h} = '' THEN {no_frag} "
+            f"WHEN startswith({h}, '#') THEN concat({no_frag}, {h}) "
+            f"WHEN startswith({h}, '?') THEN concat({no_query}, {h}) "
+            f"ELSE concat({origin}, {_dot_free_sql(f'concat({directory}, {hpath})')}, {hrest}) END")
+
+
+def resolve_url(base: str, href: str) -> Column:
+    """Resolve the link in column ``href`` against the page URL in column
+    ``base`` like a browser: absolute, ``//host``, ``/path``, ``?query``,
+    ``#fragment`` and relative forms, with ``.``/``..`` segments removed
+    from the path."""
+    return F.expr(resolve_url_sql(base, href))
 
 
 def url_file_name(url) -> Column:

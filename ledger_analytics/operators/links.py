@@ -21,11 +21,11 @@ WALK_EXTENSIONS = ("zip", "csv", "xlsx")
 def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every ``<a href>`` of every page in page order, resolved against the
     page URL (S8).  One row per link: ``page_id, pos, href, resolved``."""
-    exploded = pages.select(F.col(id_col), F.col(url_col),
+    exploded = pages.select(F.col(id_col), F.col(url_col).alias("_url"),
                             F.posexplode(extract_hrefs(html_col)).alias("pos", "_raw"))
-    href = decode_entities(F.col("_raw"))
-    return exploded.select(F.col(id_col), F.col("pos").cast("int").alias("pos"), href.alias("href"),
-                           resolve_url(F.col(url_col), href).alias("resolved"))
+    links = exploded.select(F.col(id_col), "_url", F.col("pos").cast("int").alias("pos"),
+                            decode_entities(F.col("_raw")).alias("href"))
+    return links.select(F.col(id_col), "pos", "href", resolve_url("_url", "href").alias("resolved"))
 
 
 def first_matching_link(links: DataFrame, needle: str, id_col: str = "page_id") -> DataFrame:

@@ -33,6 +33,16 @@ def _half_up_cents(cents: str, den: str) -> str:
 
 _W2_12 = WEIGHTS_SECOND[:12]
 
+
+def _dot_free(path: str) -> str:
+    """DuckDB: drop '.' and '..' segments of an absolute path."""
+    segs = f"string_split({path}, '/')"
+    stack = (f"list_reduce(list_filter({segs}[2:], lambda x, i: x <> '' OR i = len({segs}) - 1), "
+             "lambda acc, x: CASE WHEN x = '..' THEN acc[:-2] WHEN x = '.' THEN acc ELSE list_append(acc, x) END, "
+             "CAST([] AS VARCHAR[]))")
+    return (f"('/' || array_to_string(CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({stack}, '') "
+            f"ELSE {stack} END, '/'))")
+
 # name -> (body, dependencies); bodies may only use earlier names.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "op_b": ("SELECT c_custkey, c_mktsegment, c_nationkey, "
@@ -153,18 +163,22 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
              ("pl_x",)),
     "pl": ("SELECT page_id, pos, replace(replace(replace(replace(replace(raw,'&lt;','<'),'&gt;','>'),'&quot;','\"'),"
            "'&#39;',''''),'&amp;','&') AS href, url FROM pl_u", ("pl_u",)),
+    "pl_parts": (
+        "SELECT *, regexp_extract(href, '^[^?#]*', 0) AS hpath, "
+        "substr(href, length(regexp_extract(href, '^[^?#]*', 0)) + 1) AS hrest, "
+        "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin, "
+        "coalesce(nullif(regexp_replace(substr(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), "
+        "length(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) + 1), '[^/]*$', ''), ''), '/') AS dir "
+        "FROM pl", ("pl",)),
     "page_links": (
         "SELECT page_id, pos, href, CASE "
         "WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href "
         "WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href "
-        "WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href "
+        f"WHEN starts_with(href, '/') THEN origin || {_dot_free('hpath')} || hrest "
         "WHEN href = '' THEN regexp_replace(url, '#.*$', '') "
         "WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href "
         "WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href "
-        "ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || coalesce(nullif(regexp_replace("
-        "substr(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), "
-        "length(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) + 1), '[^/]*$', ''), ''), '/') || href "
-        "END AS resolved FROM pl", ("pl",)),
+        f"ELSE origin || {_dot_free('dir || hpath')} || hrest END AS resolved FROM pl_parts", ("pl_parts",)),
     "links": (
         "SELECT '/' AS page, CAST(r_regionkey AS BIGINT) AS pos, concat(r_name,'/') AS href, concat('/',r_name,'/') AS target FROM region "
         "UNION ALL SELECT concat('/',r_name,'/'), CAST(n_nationkey AS BIGINT), concat(n_name,'/'), concat('/',r_name,'/',n_name,'/') "

@@ -70,10 +70,13 @@ def test_half_up_ratio(spark):
 
 def test_url_helpers(spark):
     base = "https://h.example.org/a/b/page.html?q=1#top"
-    hrefs = ["http://x.org/f.zip", "//cdn.org/x", "/root.csv", "rel/f.txt", "?p=2", "#s", ""]
+    hrefs = ["http://x.org/f.zip", "//cdn.org/x", "/root.csv", "rel/f.txt", "?p=2", "#s", "",
+             "../up.zip", "./here/../x/.", "/a/./b/../../c?q=1", "../../../../top", "..", "sub//f.csv"]
     got = _one(spark, [(base, h) for h in hrefs], "u string, h string", resolve_url("u", "h"))
     assert got == ["http://x.org/f.zip", "https://cdn.org/x", "https://h.example.org/root.csv",
                    "https://h.example.org/a/b/rel/f.txt", "https://h.example.org/a/b/page.html?p=2",
-                   "https://h.example.org/a/b/page.html?q=1#s", "https://h.example.org/a/b/page.html?q=1"]
+                   "https://h.example.org/a/b/page.html?q=1#s", "https://h.example.org/a/b/page.html?q=1",
+                   "https://h.example.org/a/up.zip", "https://h.example.org/a/b/x/", "https://h.example.org/c?q=1",
+                   "https://h.example.org/top", "https://h.example.org/a/", "https://h.example.org/a/b/sub/f.csv"]
     assert _one(spark, [("http://x/a/b.zip?x=1",)], "u string", url_file_name("u")) == ["b.zip"]
     assert _one(spark, [("dir/a.b.csv",)], "u string", file_stem("u")) == ["a"]
