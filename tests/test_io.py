@@ -152,3 +152,12 @@ def test_surrogate_key_is_stable(spark):
     a = {r["k"]: r["sk"] for r in surrogate_key(df, "k", "sk").collect()}
     b = {r["k"]: r["sk"] for r in surrogate_key(df.repartition(3), "k", "sk").collect()}
     assert a == b and sorted(a.values()) == list(range(1, 3001))
+
+
+def test_duplicate_header_keeps_first(spark):
+    root = _tmp()
+    _write(f"{root}/q.csv", "DATA;REG_ANS;CD_CONTA_CONTABIL;DESCRICAO;VL_SALDO_INICIAL;VL_SALDO_FINAL;DESCRICAO\n"
+                            "2025-01-01;10;4111;first;0,00;5,00;second\n")
+    lines = read_delimited(spark, root, per_group=harmonize_file_group)
+    assert lines.columns.count("DESCRICAO") == 1
+    assert lines.first()["DESCRICAO"] == "first"
