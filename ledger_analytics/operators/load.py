@@ -7,9 +7,9 @@ ids) go to a reject set instead (D8, D9).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,31 +23,34 @@ OPERATOR_COLUMNS = ("registro_ans", "cnpj", "razao_social", "modalidade", "uf",
 def surrogate_key(df: DataFrame, order_col: str, name: str, start: int = 1) -> DataFrame:
     """Dense 1..N key in ``order_col`` order without a single-partition sort.
 
-    The rows are range-partitioned and sorted on ``order_col``; in the same
-    pass each row records its partition and its place in it, and that is
-    written once as Parquet under ``spark.checkpoint.dir`` (the cluster's
-    shared folder).  From the written table, the row count per partition
-    (one row per partition, so broadcast) gives each partition its offset,
-    and id = offset + place + ``start``.
-
-    Writing the places first matters: range bounds are sampled, so a
-    recomputation could partition differently; the written table fixes one
-    partitioning for both the counts and the ids and cuts the lineage, so a
-    lost executor does not change any id.  ``order_col`` should be unique
-    for the order among equal values to be fixed.
+    The rows are range-partitioned and sorted on ``order_col`` and saved
+    with a reliable ``checkpoint()`` (into ``spark.checkpoint.dir``, the
+    cluster's shared folder); the rows are cached while the checkpoint is
+    written so the input is computed once.  On the checkpointed rows each
+    partition numbers its rows (``monotonically_increasing_id`` minus the
+    partition base) and adds the row count of all earlier partitions (one
+    row per partition, so broadcast).
+
+    The checkpoint matters: range bounds are sampled, so a recomputation
+    could partition differently; the saved copy fixes one partitioning for
+    both the counts and the ids and cuts the lineage, so a lost executor
+    does not change any id.  ``order_col`` should be unique for the order
+    among equal values to be fixed.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/surrogate-{uuid.uuid4().hex}"
-    (df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
-       .withColumn("_pid", F.spark_partition_id())
-       .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-       .write.parquet(path))
-    staged = spark.read.parquet(path)
-    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+    ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        saved = ranged.checkpoint(eager=True)
+    finally:
+        ranged.unpersist()
+    pos = saved.withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)))
-    keyed = staged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
+    keyed = pos.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
     return keyed.withColumn(name, (F.col("_off") + F.col("_local") + F.lit(start)).cast("long")) \
         .drop("_pid", "_local", "_off")
 
