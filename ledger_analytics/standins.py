@@ -62,10 +62,12 @@ def despesas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "orders")
             .selectExpr("CAST(o_custkey AS BIGINT) AS cod_operadora", "CAST(year(o_orderdate) AS INT) AS ano",
                         "CAST(quarter(o_orderdate) AS INT) AS trimestre",
-                        "CAST(o_totalprice AS DECIMAL(18,2)) AS v")
+                        # whole cents: exact, and summed as BIGINT
+                        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS v")
             .groupBy("cod_operadora", "ano", "trimestre")
             .agg({"v": "sum"})
-            .selectExpr("cod_operadora", "ano", "trimestre", "CAST(`sum(v)` AS DECIMAL(18,2)) AS valor_despesa"))
+            .selectExpr("cod_operadora", "ano", "trimestre",
+                        "CAST(CAST(`sum(v)` AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS valor_despesa"))
 
 
 # ------------------------------------------------------------ raw_accounts
@@ -83,15 +85,16 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"THEN array({root}, concat({root}, {p}), concat({root}, {p}, CAST(o_orderkey % 4 AS STRING))) "
         f"ELSE array({root}, concat({root}, {p})) END) AS CODIGO_CONTABIL",
         "to_date(o_orderdate) AS dt",
-        "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END "
+        # amounts in whole cents: exact, and summed as BIGINT
+        "CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) ELSE 0 END "
         "AS vi",
-        "CAST(o_totalprice AS DECIMAL(18,2)) AS v",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS v",
     )
     return (lines.groupBy("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL")
             .agg({"dt": "min", "vi": "sum", "v": "sum"})
             .selectExpr("source_file", "REGISTRO_OPERADORA", "CODIGO_CONTABIL", "`min(dt)` AS DATA_BASE",
-                        "CAST(`sum(vi)` AS DECIMAL(18,2)) AS V_INICIAL",
-                        "CAST(`sum(v)` AS DECIMAL(18,2)) AS V_FINAL"))
+                        "CAST(CAST(`sum(vi)` AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS V_INICIAL",
+                        "CAST(CAST(`sum(v)` AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2)) AS V_FINAL"))
 
 
 def account_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
