@@ -161,3 +161,18 @@ def test_duplicate_header_keeps_first(spark):
     lines = read_delimited(spark, root, per_group=harmonize_file_group)
     assert lines.columns.count("DESCRICAO") == 1
     assert lines.first()["DESCRICAO"] == "first"
+
+
+def test_command_line(spark, capsys):
+    from ledger_analytics.__main__ import main
+
+    raw, out = _tmp(), _tmp()
+    _write(f"{raw}/1T2025.csv", Q1)
+    _write(f"{raw}/q3/3T2025.csv", Q1.replace("2025-01-01", "2025-07-01").replace("1.100,50", "2.100,50"))
+    _write(f"{out}/registry.csv", REGISTRY)
+    assert main(["pipeline", "--raw", raw, "--registry", f"{out}/registry.csv", "--out", f"{out}/o"]) == 0
+    assert main(["report", "--db", f"{out}/o/db", "--year", "2025", "--cnpj", "11222333000181",
+                 "--out", f"{out}/reports"]) == 0
+    growth = spark.read.option("header", "true").option("sep", ";").csv(f"{out}/reports/top_growth").collect()
+    assert [(r["razao_social"], r["valor_inicial"], r["valor_final"]) for r in growth] == \
+        [("OP TEN", "1000.50", "2000.50")]
