@@ -27,8 +27,9 @@ def _lit(s: str) -> str:
 # ---------------------------------------------------------------- headers
 
 def normalize_header(name: str) -> str:
-    """Trim, upper-case and drop double quotes from a header name."""
-    return name.strip().upper().replace('"', "")
+    """Trim, upper-case and drop double quotes (and a byte-order mark)
+    from a header name."""
+    return name.replace("\ufeff", "").strip().upper().replace('"', "")
 
 
 # ---------------------------------------------------- locale numbers (P5, M9)

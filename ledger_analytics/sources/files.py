@@ -156,7 +156,7 @@ def read_registry(spark: SparkSession, path: str, sep: str = ";", encoding: str
     ordered by file and offset, so the id is stable for a given input)."""
     df = (spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
           .option("inferSchema", "false").csv(path))
-    df = df.toDF(*[c.strip().upper() for c in df.columns])
+    df = df.toDF(*[c.replace("\ufeff", "").strip().upper() for c in df.columns])
     return df.withColumn("reg_order", F.monotonically_increasing_id())
 
 

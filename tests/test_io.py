@@ -23,7 +23,7 @@ Q1 = ("﻿DATA;REG_ANS;CD_CONTA_CONTABIL;DESCRICAO;VL_SALDO_INICIAL;VL_SALDO_FIN
 Q2 = ('"DT_REF","REGISTRO_ANS","CD_CONTA","DESCRICAO","SALDO_INI","SALDO_FIN"\n'
       '2025-04-01,10,4111,LEAF,"1.000,00","1.250,00"\n'
       '2025-04-01,12,4111,LEAF,"0,00","10,00"\n')
-REGISTRY = ("REGISTRO_OPERADORA;CNPJ;Razao_Social;MODALIDADE;UF;CIDADE;DATA_REGISTRO_ANS\n"
+REGISTRY = ("\ufeffREGISTRO_OPERADORA;CNPJ;Razao_Social;MODALIDADE;UF;CIDADE;DATA_REGISTRO_ANS\n"
             "10;11222333000181;OP TEN;Medicina;SP;Sao Paulo;2001-02-03\n"
             "11;11222333000180;OP ELEVEN;Medicina;RJ;Rio;2001-02-03\n"
             "12;00000000000191;OP TWELVE;Odonto;MG;BH;bad\n")
