@@ -49,9 +49,19 @@ def _first_lines(batches):
         for path in pdf["path"]:
             try:
                 fs, inner = pafs.FileSystem.from_uri(path)
+                chunks = []
                 with fs.open_input_stream(inner) as f:
-                    head = f.read(1 << 16)
-                line = head.split(b"\n", 1)[0].rstrip(b"\r")
+                    # the header line, however long: read up to the first newline
+                    while True:
+                        chunk = f.read(1 << 16)
+                        if not chunk:
+                            break
+                        cut = chunk.find(b"\n")
+                        if cut >= 0:
+                            chunks.append(chunk[:cut])
+                            break
+                        chunks.append(chunk)
+                line = b"".join(chunks).rstrip(b"\r")
                 if line.startswith(b"\xef\xbb\xbf"):
                     line = line[3:]
                 out.append((path, line.decode("utf-8", errors="replace"), None))
@@ -63,8 +73,8 @@ def _first_lines(batches):
 def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     """First line of every listed file plus its most frequent delimiter.
 
-    Runs as one Spark job: each task opens its files and reads at most the
-    first 64 KiB.  Delimiter choice: the candidate occurring most often in
+    Runs as one Spark job: each task opens its files and reads each up to
+    its first line break.  Delimiter choice: the candidate occurring most often in
     the header line (ties in :data:`DELIMITERS` order).
     """
     heads = files.select("path").mapInPandas(

@@ -176,3 +176,12 @@ def test_command_line(spark, capsys):
     growth = spark.read.option("header", "true").option("sep", ";").csv(f"{out}/reports/top_growth").collect()
     assert [(r["razao_social"], r["valor_inicial"], r["valor_final"]) for r in growth] == \
         [("OP TEN", "1000.50", "2000.50")]
+
+
+def test_long_header_line(spark):
+    root = _tmp()
+    wide = ";".join(f"EXTRA_COLUMN_{i}" for i in range(6000))
+    _write(f"{root}/w.csv", f"REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_INICIAL;VL_SALDO_FINAL;{wide}\n"
+                            f"10;4111;0,00;5,00;{';'.join('x' for _ in range(6000))}\n")
+    heads = file_headers(spark, list_files(spark, root)).collect()
+    assert len(heads[0]["header_line"]) > 1 << 16 and heads[0]["delimiter"] == ";"
