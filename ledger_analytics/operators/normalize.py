@@ -191,5 +191,5 @@ def dropped_null_operator(lines: DataFrame) -> DataFrame:
     """Account lines the leaf filter drops for lacking an operator id (D16),
     for the quarantine."""
     df = harmonize_columns(normalize_headers(lines))
-    return df.filter(text_to_long("REGISTRO_OPERADORA").isNull()) \
+    return filter_account_prefix(df).filter(text_to_long("REGISTRO_OPERADORA").isNull()) \
         .withColumn("reject_reason", F.lit("null_operator"))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..operators import consolidate as C
 from ..operators import load as L
 from ..operators.aggregate import expense_report
-from ..operators.normalize import harmonize_file_group, normalize_accounts
+from ..functions.urls import file_stem
+from ..operators.normalize import dropped_null_operator, harmonize_file_group, normalize_accounts
 from ..operators.validate import split_valid
 from ..sinks.files import export_csv, write_if_any, write_parquet
 from ..sources.archives import extract_archives
@@ -36,6 +37,7 @@ STG_AGGREGATE_COLUMNS = ("razao_social", "uf", "total_despesas", "media_trimestr
 class PipelineResult:
     paths: dict[str, str] = field(default_factory=dict)
     written: dict[str, bool] = field(default_factory=dict)
+    skipped_files: list = field(default_factory=list)
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: str,
@@ -45,9 +47,12 @@ def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir:
 
     ``archives_dir`` (optional): ZIP files to extract into ``raw_dir``
     first.  Outputs under ``out_dir``: ``normalized/`` (by source file),
-    ``invalid_dates/``, ``consolidated/`` (by Ano, Trimestre),
-    ``validation_errors/``, ``clean/``, ``aggregated/`` and, with
-    ``export``, gzip CSV copies of the consolidated and aggregated stages.
+    ``quarantine/null_operator/`` (D16), ``invalid_dates/``,
+    ``reports/unmatched_registry/`` (J8), ``consolidated/`` (by Ano,
+    Trimestre), ``validation_errors/``, ``clean/``, ``aggregated/`` and,
+    with ``export``, gzip CSV copies of the consolidated and aggregated
+    stages.  Quarantines and reports are written only when they have rows;
+    files skipped for unusable headers are listed in ``skipped_files``.
     """
     out = out_dir.rstrip("/")
     res = PipelineResult()
@@ -56,15 +61,20 @@ def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir:
         write_parquet(status, f"{out}/archive_status")
         res.paths["archive_status"] = f"{out}/archive_status"
 
-    lines = read_delimited(spark, raw_dir, per_group=harmonize_file_group)
-    normalized = normalize_accounts(lines).withColumn("source_stem", F.substring_index("source_file", ".", 1))
+    skipped: list = []
+    lines = read_delimited(spark, raw_dir, per_group=harmonize_file_group, skipped=skipped)
+    res.skipped_files = skipped
+    normalized = normalize_accounts(lines).withColumn("source_stem", file_stem("source_file"))
     write_parquet(normalized, f"{out}/normalized", partition_by=["source_stem"])
     res.paths["normalized"] = f"{out}/normalized"
+    res.written["null_operator"] = write_if_any(dropped_null_operator(lines), f"{out}/quarantine/null_operator")
 
     registry = read_registry(spark, registry_path)
     stage = spark.read.parquet(f"{out}/normalized").drop("source_stem")
     cons = C.consolidate(stage, registry, on_unmatched=on_unmatched)
     res.written["invalid_dates"] = write_if_any(cons.invalid_dates, f"{out}/invalid_dates")
+    res.written["unmatched_registry"] = write_if_any(C.unmatched_lines(stage, registry),
+                                                     f"{out}/reports/unmatched_registry")
     write_parquet(cons.consolidated, f"{out}/consolidated", partition_by=["Ano", "Trimestre"])
     res.paths["consolidated"] = f"{out}/consolidated"
 

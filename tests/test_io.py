@@ -90,7 +90,8 @@ def test_dynamic_overwrite_is_idempotent(spark):
 
 def test_pipeline_end_to_end(spark):
     raw, out, arch = _tmp(), _tmp(), _tmp()
-    _write(f"{raw}/q2/2T2025.csv", Q2)
+    _write(f"{raw}/q2/2T2025.csv", Q2 + '2025-04-01,,4111,NO OPERATOR,"0,00","1,00"\n'
+           + '2025-04-01,77,4111,NOT REGISTERED,"0,00","3,00"\n')
     with zipfile.ZipFile(f"{arch}/1T2025.zip", "w") as z:
         z.writestr("1T2025.csv", Q1)
     _write(f"{out}/in/registry.csv", REGISTRY)
@@ -101,6 +102,9 @@ def test_pipeline_end_to_end(spark):
                     (10, 2025, 2): Decimal("250.00"), (12, 2025, 2): Decimal("10.00")}
     clean = spark.read.parquet(res.paths["clean"])
     assert sorted(r["RegistroANS"] for r in clean.collect()) == [10, 10, 12]
+    assert res.written["null_operator"] and res.written["unmatched_registry"]
+    unmatched = spark.read.parquet(f"{out}/o/reports/unmatched_registry").collect()
+    assert [(r["REGISTRO_OPERADORA"], r["valor_total"]) for r in unmatched] == [(77, Decimal("3.00"))]
     assert res.written["validation_errors"]
     agg = {r["RazaoSocial"]: r["Total_Despesas"] for r in spark.read.parquet(res.paths["aggregated"]).collect()}
     assert agg == {"OP TEN": Decimal("1250.50"), "OP TWELVE": Decimal("10.00")}
