@@ -51,7 +51,7 @@ def split_dates(normalized: DataFrame, formats=DEFAULT_DATE_FORMATS) -> tuple[Da
 
 
 def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE_FORMATS,
-                on_unmatched: str = "drop") -> Consolidation:
+                on_unmatched: str = "drop", positive_only: bool = True) -> Consolidation:
     """Join lines with the registry, net them per period and keep positive
     totals.
 
@@ -64,7 +64,8 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
       registry order (D17).  ``on_unmatched="drop"`` drops rows with a NULL
       key, as the source code does; ``"keep"`` keeps them as their own
       groups (the documented intent, D1).
-    * F3: only totals > 0 survive, after netting.
+    * F3: only totals > 0 survive, after netting (``positive_only=False``
+      keeps all totals, e.g. to check that nothing is lost).
 
     Plan: lines are summed per (registration, year, quarter) and registry
     rows are counted per (registration, tax id) with their first name, both
@@ -91,10 +92,11 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
     joined = pre.join(by_reg, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left")
     if on_unmatched == "drop":
         joined = joined.where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
-    out = (joined.withColumn("ValorDespesas", F.expr(
-                "CAST(_net * CAST(coalesce(_copies, 1) AS DECIMAL(20,0)) AS DECIMAL(18,2))"))
-           .where("ValorDespesas > 0")
-           .select(*OUTPUT_COLUMNS))
+    out = joined.withColumn("ValorDespesas", F.expr(
+        "CAST(_net * CAST(coalesce(_copies, 1) AS DECIMAL(20,0)) AS DECIMAL(18,2))"))
+    if positive_only:
+        out = out.where("ValorDespesas > 0")
+    out = out.select(*OUTPUT_COLUMNS)
     return Consolidation(out, invalid)
 
 

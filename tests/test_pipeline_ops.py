@@ -56,3 +56,33 @@ def test_aggregates_fixture(spark):
                                  "cod_operadora int, ano int, trimestre int, valor_despesa decimal(18,2)")
     dim = spark.createDataFrame([(1, "A", "SP")], "cod_operadora int, razao_social string, uf string")
     assert operator_statistics(fact, dim).first()["Desvio_Padrao_Despesas"] is None
+
+
+def test_consolidation_conserves_the_total(spark):
+    """Before the positive filter, the consolidated total equals the input
+    total over lines with a date and a full registry match, each counted
+    once per registry copy; with it, only groups > 0 remain."""
+    import random
+    from collections import Counter, defaultdict
+
+    rnd = random.Random(11)
+    lines = [_line(rnd.randint(1, 40), f"{rnd.randint(-5000, 9000) / 100:.2f}",
+                   date=rnd.choice(["2025-01-15", "2025-05-02", "2025-09-30", "2025-02-30"]))
+             for _ in range(3000)]
+    reg = []
+    for r in range(1, 36):
+        for _ in range(rnd.choice([1, 1, 1, 2, 5])):
+            reg.append((len(reg), str(r), f"{r:014d}", f"N{r}", "M", None if r % 17 == 0 else "SP"))
+    n = spark.createDataFrame(lines, NORM)
+    registry = spark.createDataFrame(reg, REG)
+    copies = Counter(int(x[1]) for x in reg)
+    keyed = {int(x[1]) for x in reg if x[5] is not None}
+    want = sum(Decimal(l[7]) * copies[l[1]] for l in lines if l[2] != "2025-02-30" and l[1] in keyed)
+    all_rows = consolidate(n, registry, positive_only=False).consolidated
+    assert all_rows.agg({"ValorDespesas": "sum"}).first()[0] == want
+    groups = defaultdict(Decimal)
+    for l in lines:
+        if l[2] != "2025-02-30" and l[1] in keyed:
+            groups[(l[1], int(l[2][5:7]) // 4 + 1)] += Decimal(l[7]) * copies[l[1]]
+    positive = consolidate(n, registry).consolidated
+    assert positive.count() == sum(1 for v in groups.values() if v > 0)
