@@ -95,7 +95,7 @@ def filter_account_prefix(df: DataFrame, code_col: str = "CODIGO_CONTABIL",
 def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "REGISTRO_OPERADORA"),
                   code_col: str = "CODIGO_CONTABIL",
                   tie_order: Sequence[str] = ("DATA_BASE", "V_INICIAL", "V_FINAL"),
-                  keep_ties: bool = False) -> DataFrame:
+                  keep_ties: bool = False, min_code_length: int = 1) -> DataFrame:
     """Keep leaf accounts only (W1): within a group (one file, one
     operator), drop a row when another code of the group extends its code.
 
@@ -120,7 +120,8 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
     keys = [*group_cols, code_col]
     clean = df.where(" AND ".join(f"{_q(k)} IS NOT NULL" for k in keys))
     c = _q(code_col)
-    proper_prefixes = (f"filter(transform(sequence(1, greatest(length({c}) - 1, 1)), "
+    m = max(int(min_code_length), 1)
+    proper_prefixes = (f"filter(transform(sequence({m}, greatest(length({c}) - 1, {m})), "
                        f"i -> named_struct('_k', substr({c}, 1, i), '_m', true)), e -> length(e._k) < length({c}))")
     if keep_ties:
         markers = clean.selectExpr(*[_q(g) for g in group_cols], f"explode(transform({proper_prefixes}, e -> e._k)) AS {c}")
@@ -165,7 +166,7 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
             df = df.withColumn(c, F.lit(None).cast("string"))
     if "source_file" not in df.columns:
         df = df.withColumn("source_file", F.lit(None).cast("string"))
-    leaves = leaf_accounts(df, keep_ties=keep_ties)
+    leaves = leaf_accounts(df, keep_ties=keep_ties, min_code_length=len(prefix))
     out = leaves.withColumn("VALOR_DESPESAS", (F.col("V_FINAL") - F.col("V_INICIAL")).cast("decimal(18,2)")) \
         .filter(F.col("VALOR_DESPESAS") != 0)
     return out.select("source_file", *OUTPUT_COLUMNS)
