@@ -19,10 +19,11 @@ PLAN_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Only for sessions this package creates (tests, bench): results carry no
+# timestamps, so other sessions keep their own time zone.
+LOCAL_DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -37,7 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in {**PLAN_DEFAULTS, **(extra or {})}.items():
+    for k, v in {**PLAN_DEFAULTS, **LOCAL_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
