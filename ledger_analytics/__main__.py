@@ -1,6 +1,6 @@
 """Command line: ``python -m ledger_analytics <command> ...``
 
-* ``pipeline``: archives -> normalised -> consolidated -> validated ->
+* ``run``: archives -> normalised -> consolidated -> validated ->
   aggregated stages, then the typed star schema (Q9–Q15).
 * ``report``: the analytical and served queries (Q1–Q8) over a loaded
   star schema, printed or written as CSV.
@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans import analytics as A
-from .plans.pipeline import load_star_schema, registry_as_staging, run_pipeline
+from .plans.batch import load_star_schema, registry_as_staging, run_batch
 from .session import apply_plan_defaults, ensure_checkpoint_dir
 from .sinks.files import export_csv
 from .sources.files import read_registry
@@ -29,10 +29,10 @@ def _session() -> SparkSession:
     return spark
 
 
-def cmd_pipeline(args) -> None:
+def cmd_run(args) -> None:
     spark = _session()
-    res = run_pipeline(spark, args.raw, args.registry, args.out, archives_dir=args.archives,
-                       on_unmatched=args.on_unmatched)
+    res = run_batch(spark, args.raw, args.registry, args.out, archives_dir=args.archives,
+                    on_unmatched=args.on_unmatched)
     clean = spark.read.parquet(res.paths["clean"])
     agg = spark.read.parquet(res.paths["aggregated"])
     tables = load_star_schema(spark, registry_as_staging(read_registry(spark, args.registry)), clean, agg,
@@ -67,15 +67,15 @@ def cmd_report(args) -> None:
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="ledger_analytics")
     sub = p.add_subparsers(dest="command", required=True)
-    pp = sub.add_parser("pipeline", help="run the batch pipeline and load the star schema")
+    pp = sub.add_parser("run", help="run the batch stages and load the star schema")
     pp.add_argument("--raw", required=True, help="folder with quarterly account files (searched recursively)")
     pp.add_argument("--registry", required=True, help="operator registry file (';' separated)")
     pp.add_argument("--out", required=True, help="output folder for stages and tables")
     pp.add_argument("--archives", help="folder with .zip archives to extract into --raw first")
     pp.add_argument("--on-unmatched", choices=("drop", "keep"), default="drop")
-    pp.set_defaults(func=cmd_pipeline)
+    pp.set_defaults(func=cmd_run)
     pr = sub.add_parser("report", help="analytical queries over a loaded star schema")
-    pr.add_argument("--db", required=True, help="folder written by 'pipeline' (<out>/db)")
+    pr.add_argument("--db", required=True, help="folder written by 'run' (<out>/db)")
     pr.add_argument("--year", type=int, required=True)
     pr.add_argument("--first-quarter", type=int, default=1)
     pr.add_argument("--last-quarter", type=int, default=3)

@@ -34,15 +34,15 @@ STG_AGGREGATE_COLUMNS = ("razao_social", "uf", "total_despesas", "media_trimestr
 
 
 @dataclass
-class PipelineResult:
+class BatchResult:
     paths: dict[str, str] = field(default_factory=dict)
     written: dict[str, bool] = field(default_factory=dict)
     skipped_files: list = field(default_factory=list)
 
 
-def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: str,
+def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: str,
                  archives_dir: str | None = None, on_unmatched: str = "drop",
-                 export: bool = True) -> PipelineResult:
+                 export: bool = True) -> BatchResult:
     """The batch flow of the source application, stage by stage.
 
     ``archives_dir`` (optional): ZIP files to extract into ``raw_dir``
@@ -55,7 +55,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, registry_path: str, out_dir:
     files skipped for unusable headers are listed in ``skipped_files``.
     """
     out = out_dir.rstrip("/")
-    res = PipelineResult()
+    res = BatchResult()
     if archives_dir:
         status = extract_archives(spark, archives_dir, raw_dir)
         write_parquet(status, f"{out}/archive_status")

@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledger_analytics.operators.normalize import harmonize_file_group, normalize_accounts
-from ledger_analytics.plans.pipeline import load_star_schema, registry_as_staging, run_pipeline
+from ledger_analytics.plans.batch import load_star_schema, registry_as_staging, run_batch
 from ledger_analytics.sinks.files import write_parquet
 from ledger_analytics.sources.archives import extract_archives
 from ledger_analytics.sources.files import delimiter_of, file_headers, list_files, read_delimited, read_registry
@@ -95,7 +95,7 @@ def test_pipeline_end_to_end(spark):
     with zipfile.ZipFile(f"{arch}/1T2025.zip", "w") as z:
         z.writestr("1T2025.csv", Q1)
     _write(f"{out}/in/registry.csv", REGISTRY)
-    res = run_pipeline(spark, raw, f"{out}/in/registry.csv", f"{out}/o", archives_dir=arch)
+    res = run_batch(spark, raw, f"{out}/in/registry.csv", f"{out}/o", archives_dir=arch)
     cons = {(r["RegistroANS"], r["Ano"], r["Trimestre"]): r["ValorDespesas"]
             for r in spark.read.parquet(res.paths["consolidated"]).collect()}
     assert cons == {(10, 2025, 1): Decimal("1000.50"), (11, 2025, 1): Decimal("50.00"),
@@ -130,7 +130,7 @@ def test_streaming_ingest_processes_new_files_once(spark):
 
 
 def test_positional_staging_and_tables(spark):
-    from ledger_analytics.plans.pipeline import STG_AGGREGATE_COLUMNS
+    from ledger_analytics.plans.batch import STG_AGGREGATE_COLUMNS
     from ledger_analytics.sinks.files import save_table
     from ledger_analytics.sources.files import read_staging
 
@@ -174,7 +174,7 @@ def test_command_line(spark, capsys):
     _write(f"{raw}/1T2025.csv", Q1)
     _write(f"{raw}/q3/3T2025.csv", Q1.replace("2025-01-01", "2025-07-01").replace("1.100,50", "2.100,50"))
     _write(f"{out}/registry.csv", REGISTRY)
-    assert main(["pipeline", "--raw", raw, "--registry", f"{out}/registry.csv", "--out", f"{out}/o"]) == 0
+    assert main(["run", "--raw", raw, "--registry", f"{out}/registry.csv", "--out", f"{out}/o"]) == 0
     assert main(["report", "--db", f"{out}/o/db", "--year", "2025", "--cnpj", "11222333000181",
                  "--out", f"{out}/reports"]) == 0
     growth = spark.read.option("header", "true").option("sep", ";").csv(f"{out}/reports/top_growth").collect()
