@@ -1,0 +1,30 @@
+import pytest
+
+from ledger_analytics.plans.strategy import MAX_PERIODS, broadcast_bounded, fits, join_small
+
+
+def test_fits_reads_a_bounded_probe(spark):
+    df = spark.range(0, 1000)
+    assert fits(df, 1000) and not fits(df, 999) and fits(df.limit(0), 0)
+
+
+def test_join_small_broadcasts_only_when_proven_small(spark):
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = join_small(big, small, "k", max_rows=100)
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        plain = join_small(big, small, "k", max_rows=5)
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert hinted.count() == plain.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+
+
+def test_bounded_broadcast_rejects_large_bounds(spark):
+    assert broadcast_bounded(spark.range(3), MAX_PERIODS, "periods") is not None
+    with pytest.raises(ValueError):
+        broadcast_bounded(spark.range(3), 10 ** 9, "unbounded")
