@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import round_half_up_ratio
+from ..functions.text import _q
 
 
 def expense_report(valid: DataFrame, name_col: str = "RazaoSocial", state_col: str = "UF",
@@ -17,16 +17,16 @@ def expense_report(valid: DataFrame, name_col: str = "RazaoSocial", state_col: s
     cents (mean half-up on the exact decimal quotient, D3); sorted by total,
     largest first.  Same-named operators in one state merge (D6).
     """
-    keyed = valid.filter(F.col(name_col).isNotNull() & F.col(state_col).isNotNull())
-    agg = keyed.groupBy(name_col, state_col).agg(
-        F.sum(value_col).alias("_sum"),
-        F.count(value_col).alias("_n"),
-        F.stddev_samp(F.col(value_col).cast("double")).alias("_std"),
+    n, u, v = _q(name_col), _q(state_col), _q(value_col)
+    agg = valid.where(f"{n} IS NOT NULL AND {u} IS NOT NULL").groupBy(name_col, state_col).agg(
+        F.expr(f"sum({v})").alias("_sum"),
+        F.expr(f"count({v})").alias("_n"),
+        F.expr(f"stddev_samp(CAST({v} AS DOUBLE))").alias("_std"),
     )
-    return (agg.select(
-        F.col(name_col).alias("RazaoSocial"),
-        F.col(state_col).alias("UF"),
-        F.col("_sum").cast("decimal(38,2)").alias("Total_Despesas"),
-        round_half_up_ratio("_sum", "_n", 2).cast("decimal(38,2)").alias("Media_Trimestral"),
-        F.coalesce(F.round("_std", 2), F.lit(0.0)).alias("Desvio_Padrao_Despesas"),
+    return (agg.selectExpr(
+        f"{n} AS RazaoSocial", f"{u} AS UF",
+        "CAST(_sum AS DECIMAL(38,2)) AS Total_Despesas",
+        # mean rounded half-up on the exact decimal quotient
+        "CAST(round(_sum / CAST(_n AS DECIMAL(20,0)), 2) AS DECIMAL(38,2)) AS Media_Trimestral",
+        "coalesce(round(_std, 2), 0.0D) AS Desvio_Padrao_Despesas",
     ).orderBy(F.col("Total_Despesas").desc(), F.col("RazaoSocial"), F.col("UF")))

@@ -101,19 +101,20 @@ def load_expenses(stg: DataFrame, operadoras: DataFrame) -> Load:
         text_to_long("registro_ans").alias("registro_ans"),
         text_to_int("ano").alias("ano"),
         text_to_int("trimestre").alias("trimestre"),
+        numeric_text_guard("valor_despesas").alias("_numeric"),
         F.col("valor_despesas"),
-        F.when(numeric_text_guard("valor_despesas"), text_to_decimal("valor_despesas")).alias("valor_despesa"),
+        text_to_decimal("valor_despesas").alias("_amount"),
     )
-    reason = F.concat_ws(";",
-                         F.when(~numeric_text_guard("valor_despesas"), F.lit("non_numeric_amount"))
-                         .when(F.col("valor_despesa").isNull(), F.lit("bad_amount")),
-                         F.when(F.col("ano").isNull(), F.lit("bad_year")),
-                         F.when(F.col("trimestre").isNull(), F.lit("bad_quarter")))
-    tagged = typed.withColumn("reject_reason", F.nullif(reason, F.lit("")))
-    good = tagged.filter(F.col("reject_reason").isNull())
+    tagged = typed.selectExpr(
+        "registro_ans", "ano", "trimestre", "valor_despesas",
+        "CASE WHEN _numeric THEN _amount END AS valor_despesa",
+        "nullif(concat_ws(';', CASE WHEN NOT _numeric THEN 'non_numeric_amount' "
+        "WHEN _amount IS NULL THEN 'bad_amount' END, CASE WHEN ano IS NULL THEN 'bad_year' END, "
+        "CASE WHEN trimestre IS NULL THEN 'bad_quarter' END), '') AS reject_reason")
+    good = tagged.where("reject_reason IS NULL")
     dim = operadoras.select("registro_ans", "cod_operadora")
     rows = good.join(dim, "registro_ans").select("cod_operadora", "ano", "trimestre", "valor_despesa")
-    return Load(rows, tagged.filter(F.col("reject_reason").isNotNull()))
+    return Load(rows, tagged.where("reject_reason IS NOT NULL"))
 
 
 def load_aggregates(stg: DataFrame) -> Load:

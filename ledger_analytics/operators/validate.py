@@ -7,27 +7,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cnpj import cnpj_is_valid
+from ..functions.cnpj import cnpj_is_valid_sql
+from ..functions.text import _lit, _q
 
+BLANK_PATTERN = r"(?U)^\s*$"
 
-def name_present(c) -> Column:
+
+def name_present_sql(column: str) -> str:
     """Not NULL and not only white space (Unicode-aware, like str.strip)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(~col.cast("string").rlike(r"(?U)^\s*$"), F.lit(False))
+    return f"coalesce(NOT (CAST({_q(column)} AS STRING) RLIKE {_lit(BLANK_PATTERN)}), false)"
+
+
+def name_present(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(name_present_sql(c))
+    return F.coalesce(~c.cast("string").rlike(BLANK_PATTERN), F.lit(False))
 
 
 def with_reject_reason(df: DataFrame, name_col: str = "RazaoSocial", cnpj_col: str = "CNPJ") -> DataFrame:
     """Add ``reject_reason``: NULL when valid, else ``blank_name``,
     ``invalid_cnpj`` or both joined by ``;``."""
-    reason = F.concat_ws(";",
-                         F.when(~name_present(name_col), F.lit("blank_name")),
-                         F.when(~cnpj_is_valid(cnpj_col), F.lit("invalid_cnpj")))
-    return df.withColumn("reject_reason", F.nullif(reason, F.lit("")))
+    reason = (f"nullif(concat_ws(';', CASE WHEN NOT {name_present_sql(name_col)} THEN 'blank_name' END, "
+              f"CASE WHEN NOT {cnpj_is_valid_sql(cnpj_col)} THEN 'invalid_cnpj' END), '')")
+    return df.withColumn("reject_reason", F.expr(reason))
 
 
 def split_valid(df: DataFrame, name_col: str = "RazaoSocial", cnpj_col: str = "CNPJ") -> tuple[DataFrame, DataFrame]:
     """(valid rows without the reason column, invalid rows with it)."""
     tagged = with_reject_reason(df, name_col, cnpj_col)
-    valid = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    invalid = tagged.filter(F.col("reject_reason").isNotNull())
+    valid = tagged.where("reject_reason IS NULL").drop("reject_reason")
+    invalid = tagged.where("reject_reason IS NOT NULL")
     return valid, invalid
