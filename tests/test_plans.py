@@ -48,3 +48,27 @@ def test_fact_is_aggregated_before_the_join(spark):
 def test_dedup_uses_group_limit(spark):
     r = S.registry(spark, SF_SMALL)
     assert "WindowGroupLimit" in plan(dedup_first(r, ["CNPJ"], ["reg_order"]))
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_leaf_filter_scans_its_input_once(spark):
+    from ledger_analytics.operators.normalize import leaf_accounts
+
+    p = plan(leaf_accounts(S.raw_accounts(spark, SF_SMALL)))
+    assert p.count("FileScan parquet") == 1
+    assert "WindowGroupLimit" in p
+
+
+def test_consolidation_has_no_aggregate_after_the_joins(spark):
+    from ledger_analytics.operators.consolidate import consolidate
+    from ledger_analytics.operators.normalize import normalize_accounts
+
+    df = consolidate(normalize_accounts(S.account_file_rows(spark, SF_SMALL)), S.registry(spark, SF_SMALL)).consolidated
+    opt = df._jdf.queryExecution().optimizedPlan().toString()
+    top = opt[: opt.find("Join")]
+    assert "Join" in opt and "Aggregate" not in top
