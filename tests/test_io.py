@@ -189,3 +189,29 @@ def test_long_header_line(spark):
                             f"10;4111;0,00;5,00;{';'.join('x' for _ in range(6000))}\n")
     heads = file_headers(spark, list_files(spark, root)).collect()
     assert len(heads[0]["header_line"]) > 1 << 16 and heads[0]["delimiter"] == ";"
+
+
+def test_star_schema_views(spark):
+    from ledger_analytics.plans import analytics as A
+    from ledger_analytics.plans.views import register_star_schema
+
+    db = _tmp()
+    ops = spark.createDataFrame([(1, 10, "a", "A", "M", "SP"), (2, 11, "b", "B", "M", "RJ")],
+                                "cod_operadora long, registro_ans long, cnpj string, razao_social string, "
+                                "modalidade string, uf string")
+    facts = spark.createDataFrame([(1, 2025, 1, Decimal("5.00")), (1, 2025, 2, Decimal("7.00")),
+                                   (2, 2025, 1, Decimal("3.00"))],
+                                  "cod_operadora long, ano int, trimestre int, valor_despesa decimal(18,2)")
+    aggs = spark.createDataFrame([("A", "SP", Decimal("12.00"), Decimal("6.00"), Decimal("1.41"))],
+                                 "razao_social string, uf string, valor_total decimal(18,2), "
+                                 "media_trimestral decimal(18,2), desvio_padrao decimal(18,2)")
+    ops.write.parquet(f"{db}/operadoras")
+    facts.write.parquet(f"{db}/despesas_consolidadas")
+    aggs.write.parquet(f"{db}/despesas_agregadas")
+    register_star_schema(spark, db)
+    by_sql = spark.sql("SELECT o.uf, SUM(d.valor_despesa) AS total FROM despesas_consolidadas d "
+                       "JOIN operadoras o ON d.cod_operadora = o.cod_operadora GROUP BY o.uf ORDER BY total DESC")
+    by_api = A.state_distribution(facts, ops).select("uf", "despesa_total")
+    assert [tuple(r) for r in by_sql.collect()] == [tuple(r) for r in by_api.collect()]
+    top = spark.sql('SELECT RazaoSocial FROM vw_despesas_estatisticas ORDER BY Total_Despesas DESC LIMIT 1')
+    assert top.first()[0] == "A"
