@@ -28,3 +28,15 @@ def test_bounded_broadcast_rejects_large_bounds(spark):
     assert broadcast_bounded(spark.range(3), MAX_PERIODS, "periods") is not None
     with pytest.raises(ValueError):
         broadcast_bounded(spark.range(3), 10 ** 9, "unbounded")
+
+
+def test_scale_settings():
+    from ledger_analytics.session import scale_settings
+
+    big = scale_settings(100 * 10 ** 12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "65536"
+    assert big["spark.sql.files.maxPartitionBytes"] == "512m"
+    small = scale_settings(10 ** 6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    mid = scale_settings(2 * 10 ** 12, 800)
+    assert int(mid["spark.sql.shuffle.partitions"]) == -(-2 * 10 ** 12 // (512 * 1024 * 1024))
