@@ -16,11 +16,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _q(name: str) -> str:
+def sql_ident(name: str) -> str:
+    """A column name quoted for SQL text."""
     return "`" + name.replace("`", "``") + "`"
 
 
-def _lit(s: str) -> str:
+def sql_string(s: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -36,11 +38,11 @@ def normalize_header(name: str) -> str:
 
 def parse_locale_decimal_sql(column: str, precision: int = 18, scale: int = 2,
                              thousands: str = ".", decimal: str = ",", default=0) -> str:
-    txt = f"CAST({_q(column)} AS STRING)"
+    txt = f"CAST({sql_ident(column)} AS STRING)"
     if thousands:
-        txt = f"replace({txt}, {_lit(thousands)}, '')"
+        txt = f"replace({txt}, {sql_string(thousands)}, '')"
     if decimal and decimal != ".":
-        txt = f"replace({txt}, {_lit(decimal)}, '.')"
+        txt = f"replace({txt}, {sql_string(decimal)}, '.')"
     parsed = f"try_cast(trim({txt}) AS DECIMAL({precision},{scale}))"
     if default is None:
         return parsed
@@ -77,8 +79,8 @@ def parse_date(c, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; impossible dates (``2025-02-30``) and
     other formats give NULL instead of an error."""
     if isinstance(c, str):
-        txt = f"trim(CAST({_q(c)} AS STRING))"
-        return F.expr("coalesce(" + ", ".join(f"try_to_date({txt}, {_lit(f)})" for f in formats) + ")")
+        txt = f"trim(CAST({sql_ident(c)} AS STRING))"
+        return F.expr("coalesce(" + ", ".join(f"try_to_date({txt}, {sql_string(f)})" for f in formats) + ")")
     txt = F.trim(c.cast("string"))
     return F.coalesce(*[F.try_to_date(txt, f) for f in formats])
 
@@ -89,8 +91,8 @@ ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 def iso_date_or_null(c) -> Column:
     """Staging date guard (P11): regex first, then a cast that cannot throw."""
     if isinstance(c, str):
-        t = f"CAST({_q(c)} AS STRING)"
-        return F.expr(f"CASE WHEN {t} RLIKE {_lit(ISO_DATE_PATTERN)} THEN try_to_date({t}, 'yyyy-MM-dd') END")
+        t = f"CAST({sql_ident(c)} AS STRING)"
+        return F.expr(f"CASE WHEN {t} RLIKE {sql_string(ISO_DATE_PATTERN)} THEN try_to_date({t}, 'yyyy-MM-dd') END")
     txt = c.cast("string")
     return F.when(txt.rlike(ISO_DATE_PATTERN), F.try_to_date(txt, "yyyy-MM-dd"))
 
@@ -105,21 +107,21 @@ def blank_to_null(c) -> Column:
 def text_to_int(c) -> Column:
     """Blank -> NULL -> INT, bad text -> NULL (P10)."""
     if isinstance(c, str):
-        return F.expr(f"try_cast(nullif(CAST({_q(c)} AS STRING), '') AS INT)")
+        return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS INT)")
     return F.nullif(c.cast("string"), F.lit("")).try_cast("int")
 
 
 def text_to_long(c) -> Column:
     """Blank -> NULL -> BIGINT, bad text -> NULL (identifiers)."""
     if isinstance(c, str):
-        return F.expr(f"try_cast(nullif(CAST({_q(c)} AS STRING), '') AS BIGINT)")
+        return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS BIGINT)")
     return F.nullif(c.cast("string"), F.lit("")).try_cast("bigint")
 
 
 def text_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """Text -> DECIMAL with half-up rounding, bad text -> NULL."""
     if isinstance(c, str):
-        return F.expr(f"try_cast(CAST({_q(c)} AS STRING) AS DECIMAL({precision},{scale}))")
+        return F.expr(f"try_cast(CAST({sql_ident(c)} AS STRING) AS DECIMAL({precision},{scale}))")
     return c.cast("string").try_cast(f"decimal({precision},{scale})")
 
 
@@ -129,7 +131,7 @@ NUMERIC_TEXT_PATTERN = r"^[0-9.]+$"
 def numeric_text_guard(c) -> Column:
     """The staging guard ``~ '^[0-9.]+$'`` (F9); also rejects negatives."""
     if isinstance(c, str):
-        return F.expr(f"coalesce(CAST({_q(c)} AS STRING) RLIKE {_lit(NUMERIC_TEXT_PATTERN)}, false)")
+        return F.expr(f"coalesce(CAST({sql_ident(c)} AS STRING) RLIKE {sql_string(NUMERIC_TEXT_PATTERN)}, false)")
     return F.coalesce(c.cast("string").rlike(NUMERIC_TEXT_PATTERN), F.lit(False))
 
 

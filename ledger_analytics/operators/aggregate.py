@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _q
+from ..functions.text import sql_ident
 
 
 def expense_report(valid: DataFrame, name_col: str = "RazaoSocial", state_col: str = "UF",
@@ -17,7 +17,7 @@ def expense_report(valid: DataFrame, name_col: str = "RazaoSocial", state_col: s
     cents (mean half-up on the exact decimal quotient, D3); sorted by total,
     largest first.  Same-named operators in one state merge (D6).
     """
-    n, u, v = _q(name_col), _q(state_col), _q(value_col)
+    n, u, v = sql_ident(name_col), sql_ident(state_col), sql_ident(value_col)
     agg = valid.where(f"{n} IS NOT NULL AND {u} IS NOT NULL").groupBy(name_col, state_col).agg(
         F.expr(f"sum({v})").alias("_sum"),
         F.expr(f"count({v})").alias("_n"),

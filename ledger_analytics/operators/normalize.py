@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import _q, normalize_header, parse_locale_decimal, text_to_long
+from ..functions.text import sql_ident, normalize_header, parse_locale_decimal, text_to_long
 
 # Header rules in priority order (the first rule whose any
 # substring occurs in the upper-cased header decides the canonical name).
@@ -87,7 +87,7 @@ def harmonize_columns(df: DataFrame, rules=CANONICAL_RULES, keep: Iterable[str]
 def filter_account_prefix(df: DataFrame, code_col: str = "CODIGO_CONTABIL",
                           prefix: str = EXPENSE_ACCOUNT_PREFIX) -> DataFrame:
     """Trim the code (P6) and keep codes starting with ``prefix`` (F1)."""
-    c = _q(code_col)
+    c = sql_ident(code_col)
     return df.withColumn(code_col, F.expr(f"trim(CAST({c} AS STRING))")) \
         .where(F.col(code_col).startswith(prefix))
 
@@ -118,20 +118,20 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
     code are dropped (D16).
     """
     keys = [*group_cols, code_col]
-    clean = df.where(" AND ".join(f"{_q(k)} IS NOT NULL" for k in keys))
-    c = _q(code_col)
+    clean = df.where(" AND ".join(f"{sql_ident(k)} IS NOT NULL" for k in keys))
+    c = sql_ident(code_col)
     m = max(int(min_code_length), 1)
     proper_prefixes = (f"filter(transform(sequence({m}, greatest(length({c}) - 1, {m})), "
                        f"i -> named_struct('_k', substr({c}, 1, i), '_m', true)), e -> length(e._k) < length({c}))")
     if keep_ties:
-        markers = clean.selectExpr(*[_q(g) for g in group_cols], f"explode(transform({proper_prefixes}, e -> e._k)) AS {c}")
+        markers = clean.selectExpr(*[sql_ident(g) for g in group_cols], f"explode(transform({proper_prefixes}, e -> e._k)) AS {c}")
         return clean.join(markers.distinct(), keys, "left_anti")
     payload = [x for x in clean.columns if x not in keys]
     # one pass: each row becomes itself plus one marker per proper prefix
-    entries = clean.selectExpr(*[_q(x) for x in [*group_cols, *payload]],
+    entries = clean.selectExpr(*[sql_ident(x) for x in [*group_cols, *payload]],
                                f"explode(concat(array(named_struct('_k', {c}, '_m', false)), {proper_prefixes})) AS _e")
-    flat = entries.selectExpr(*[_q(g) for g in group_cols], f"_e._k AS {c}", "_e._m AS _marker",
-                              *[f"CASE WHEN NOT _e._m THEN {_q(x)} END AS {_q(x)}" for x in payload])
+    flat = entries.selectExpr(*[sql_ident(g) for g in group_cols], f"_e._k AS {c}", "_e._m AS _marker",
+                              *[f"CASE WHEN NOT _e._m THEN {sql_ident(x)} END AS {sql_ident(x)}" for x in payload])
     w = Window.partitionBy(*keys).orderBy(F.col("_marker").desc(),
                                           *[F.col(x).desc_nulls_last() for x in tie_order])
     ranked = flat.withColumn("_rn", F.row_number().over(w))

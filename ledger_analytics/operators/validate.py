@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cnpj import cnpj_is_valid_sql
-from ..functions.text import _lit, _q
+from ..functions.text import sql_string, sql_ident
 
 BLANK_PATTERN = r"(?U)^\s*$"
 
 
 def name_present_sql(column: str) -> str:
     """Not NULL and not only white space (Unicode-aware, like str.strip)."""
-    return f"coalesce(NOT (CAST({_q(column)} AS STRING) RLIKE {_lit(BLANK_PATTERN)}), false)"
+    return f"coalesce(NOT (CAST({sql_ident(column)} AS STRING) RLIKE {sql_string(BLANK_PATTERN)}), false)"
 
 
 def name_present(c) -> Column:
