@@ -5,6 +5,9 @@ gives one row per archive, so archives are processed in parallel) and its
 members are written to ``<dest>/<archive stem>/``; the CSV reader then
 reads the extracted files with normal input splits.  A corrupt archive is
 reported as a status row, not an exception, and does not stop the others.
+Members are streamed to storage in 1 MiB chunks; the archive itself is one
+``binaryFile`` value, so a single archive can be at most 2 GiB (quarterly
+statement archives are about 100 MB).
 """
 
 from __future__ import annotations
