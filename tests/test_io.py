@@ -215,3 +215,25 @@ def test_star_schema_views(spark):
     assert [tuple(r) for r in by_sql.collect()] == [tuple(r) for r in by_api.collect()]
     top = spark.sql('SELECT RazaoSocial FROM vw_despesas_estatisticas ORDER BY Total_Despesas DESC LIMIT 1')
     assert top.first()[0] == "A"
+
+
+def test_positional_registry_layout_loads(spark):
+    from ledger_analytics.operators.load import load_operators
+    from ledger_analytics.plans.batch import STG_OPERATOR_COLUMNS
+    from ledger_analytics.sources.files import read_staging
+
+    root = _tmp()
+    header = ";".join(f"Col{i}" for i in range(20))
+    rows = []
+    for reg, cnpj, name, uf, date in [("300001", "11222333000181", "A", "SP", "2001-02-03"),
+                                      ("300002", "00000000000191", "B", "RJ", "03/02/2001"),
+                                      ("300001", "11222333000181", "A DUP", "SP", "2001-02-03")]:
+        cells = [""] * 20
+        cells[0], cells[1], cells[2], cells[4], cells[9], cells[10], cells[19] = reg, cnpj, name, "M", "City", uf, date
+        rows.append(";".join(cells))
+    _write(f"{root}/cadop.csv", header + "\n" + "\n".join(rows) + "\n")
+    stg = read_staging(spark, f"{root}/cadop.csv", STG_OPERATOR_COLUMNS)
+    ops = {r["registro_ans"]: r for r in load_operators(stg).rows.collect()}
+    assert sorted(ops) == [300001, 300002]
+    assert ops[300001]["razao_social"] == "A" and ops[300001]["cidade"] == "City"
+    assert str(ops[300001]["data_registro_ans"]) == "2001-02-03" and ops[300002]["data_registro_ans"] is None
