@@ -178,11 +178,15 @@ REQUIRED_COLUMNS = ("REGISTRO_OPERADORA", "CODIGO_CONTABIL", "V_INICIAL", "V_FIN
 def harmonize_file_group(df: DataFrame) -> DataFrame | None:
     """Per-header-group hook for the file reader: canonical names before
     files with different headers are unioned.  Files without a code column
-    or without both balances are skipped whole, as the source pipeline
-    skips them (returns None)."""
+    or without both balances, or whose headers map two columns to one
+    name (D13), are skipped whole, as the source pipeline skips them
+    (returns None; the reader lists them)."""
     if find_code_column(df.columns) is None:
         return None
-    out = harmonize_columns(df)
+    try:
+        out = harmonize_columns(df)
+    except ValueError:
+        return None
     if any(c not in out.columns for c in REQUIRED_COLUMNS):
         return None
     return out

@@ -52,15 +52,16 @@ def test_read_mixed_files(spark):
     _write(f"{root}/2025/sub/2T2025.CSV", Q2)
     _write(f"{root}/notes.md", "ignored")
     _write(f"{root}/2025/other.csv", "A;B;C\n1;2;3\n")
+    _write(f"{root}/2025/clash.csv", "REG_ANS;NUM_ANS;CD_CONTA;VL_INICIAL;VL_FINAL\n1;2;4111;0;1\n")
     _write(f"{root}/2025/empty.txt", "")
     files = list_files(spark, root)
-    assert files.count() == 3  # zero-byte files are not listed
+    assert files.count() == 4  # zero-byte files are not listed
     heads = {os.path.basename(r["path"]): r["delimiter"] for r in file_headers(spark, files).collect()}
-    assert heads == {"1T2025.csv": ";", "2T2025.CSV": ",", "other.csv": ";"}
+    assert heads == {"1T2025.csv": ";", "2T2025.CSV": ",", "other.csv": ";", "clash.csv": ";"}
     skipped = []
     lines = read_delimited(spark, root, per_group=harmonize_file_group, skipped=skipped)
     assert lines.count() == 6
-    assert [os.path.basename(p) for p, _ in skipped] == ["other.csv"]
+    assert sorted(os.path.basename(p) for p, _ in skipped) == ["clash.csv", "other.csv"]
     out = {(r["source_file"], r["REGISTRO_OPERADORA"], r["CODIGO_CONTABIL"]): r["VALOR_DESPESAS"]
            for r in normalize_accounts(lines).collect()}
     assert out == {("1T2025.csv", 10, "4111"): Decimal("1000.50"), ("1T2025.csv", 11, "4111"): Decimal("50.00"),
