@@ -16,22 +16,48 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def extract_hrefs(html) -> Column:
     """All href values of ``<a>`` tags, in page order (array<string>)."""
     raw = F.regexp_extract_all(_col(html), F.lit(HREF_PATTERN), F.lit(1))
     return F.transform(raw, lambda v: F.regexp_replace(v, QUOTES_PATTERN, ""))
 
 
-def decode_entities(c) -> Column:
-    """Decode the five predefined HTML entities in an attribute value."""
-    x = _col(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
+def _char_sql(cp: str) -> str:
+    """SQL text: the character of Unicode code point ``cp`` (via UTF-16BE
+    bytes, surrogate pair above U+FFFF); NULL for invalid code points."""
+    return (f"CASE WHEN {cp} BETWEEN 1 AND 55295 OR {cp} BETWEEN 57344 AND 65535 "
+            f"THEN decode(unhex(lpad(hex({cp}), 4, '0')), 'UTF-16BE') "
+            f"WHEN {cp} BETWEEN 65536 AND 1114111 THEN decode(unhex(concat(hex(55296 + shiftright({cp} - 65536, 10)), "
+            f"hex(56320 + (({cp} - 65536) & 1023)))), 'UTF-16BE') END")
+
+
+def decode_entities_sql(column: str) -> str:
+    """SQL text decoding numeric (``&#233;``, ``&#xE9;``) and the five
+    predefined named HTML entities in an attribute value.  ``&amp;`` is
+    decoded last, so ``&amp;#233;`` stays the literal text ``&#233;``."""
+    dec = "regexp_extract(p, '^([0-9]{1,7});', 1)"
+    hx = "regexp_extract(p, '^[xX]([0-9a-fA-F]{1,6});', 1)"
+    d_cp, h_cp = f"CAST({dec} AS INT)", f"CAST(conv({hx}, 16, 10) AS INT)"
+    part = (f"CASE WHEN p RLIKE '^[0-9]{{1,7}};' AND ({_char_sql(d_cp)}) IS NOT NULL "
+            f"THEN concat({_char_sql(d_cp)}, substr(p, length({dec}) + 2)) "
+            f"WHEN p RLIKE '^[xX][0-9a-fA-F]{{1,6}};' AND ({_char_sql(h_cp)}) IS NOT NULL "
+            f"THEN concat({_char_sql(h_cp)}, substr(p, length({hx}) + 3)) "
+            f"ELSE concat('&#', p) END")
+    x = (f"transform(array(split({_q(column)}, '&#')), s -> concat(s[0], "
+         f"array_join(transform(slice(s, 2, greatest(size(s) - 1, 0)), p -> {part}), '')))[0]")
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "\\'"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
     return x
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def decode_entities(column: str) -> Column:
+    """Decode HTML entities in the text column ``column`` (see
+    :func:`decode_entities_sql`)."""
+    return F.expr(decode_entities_sql(column))
 
 
 def _dot_free_sql(path: str) -> str:

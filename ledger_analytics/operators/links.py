@@ -24,7 +24,7 @@ def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     exploded = pages.select(F.col(id_col), F.col(url_col).alias("_url"),
                             F.posexplode(extract_hrefs(html_col)).alias("pos", "_raw"))
     links = exploded.select(F.col(id_col), "_url", F.col("pos").cast("int").alias("pos"),
-                            decode_entities(F.col("_raw")).alias("href"))
+                            decode_entities("_raw").alias("href"))
     return links.select(F.col(id_col), "pos", "href", resolve_url("_url", "href").alias("resolved"))
 
 

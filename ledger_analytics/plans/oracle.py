@@ -34,6 +34,24 @@ def _half_up_cents(cents: str, den: str) -> str:
 _W2_12 = WEIGHTS_SECOND[:12]
 
 
+def _numeric_entities(x: str) -> str:
+    """DuckDB: decode &#NNN; and &#xHH; (valid code points only)."""
+    dec = "regexp_extract(p, '^([0-9]{1,7});', 1)"
+    hx = "regexp_extract(p, '^[xX]([0-9a-fA-F]{1,6});', 1)"
+
+    def ok(cp):
+        return f"({cp} BETWEEN 1 AND 55295 OR {cp} BETWEEN 57344 AND 1114111)"
+    d_cp = f"TRY_CAST({dec} AS INTEGER)"
+    h_cp = f"TRY_CAST(('0x' || {hx}) AS INTEGER)"
+    part = (f"CASE WHEN regexp_matches(p, '^[0-9]{{1,7}};') AND {ok(d_cp)} THEN chr({d_cp}) "
+            f"|| substr(p, length({dec}) + 2) "
+            f"WHEN regexp_matches(p, '^[xX][0-9a-fA-F]{{1,6}};') AND {ok(h_cp)} THEN chr({h_cp}) "
+            f"|| substr(p, length({hx}) + 3) "
+            "ELSE '&#' || p END")
+    return (f"(string_split({x}, '&#')[1] || array_to_string(list_transform(string_split({x}, '&#')[2:], "
+            f"lambda p: {part}), ''))")
+
+
 def _dot_free(path: str) -> str:
     """DuckDB: drop '.' and '..' segments of an absolute path."""
     segs = f"string_split({path}, '/')"
@@ -161,8 +179,10 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
              f"lambda x: regexp_replace(x, '{_q(QUOTES_PATTERN)}', '', 'g')) AS hs FROM pages", ()),
     "pl_u": ("SELECT page_id, url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, unnest(hs) AS raw FROM pl_x",
              ("pl_x",)),
-    "pl": ("SELECT page_id, pos, replace(replace(replace(replace(replace(raw,'&lt;','<'),'&gt;','>'),'&quot;','\"'),"
-           "'&#39;',''''),'&amp;','&') AS href, url FROM pl_u", ("pl_u",)),
+    "pl": ("SELECT page_id, pos, replace(replace(replace(replace(replace("
+           + _numeric_entities("raw")
+           + ",'&lt;','<'),'&gt;','>'),'&quot;','\"'),'&apos;',''''),'&amp;','&') AS href, url FROM pl_u",
+           ("pl_u",)),
     "pl_parts": (
         "SELECT *, regexp_extract(href, '^[^?#]*', 0) AS hpath, "
         "substr(href, length(regexp_extract(href, '^[^?#]*', 0)) + 1) AS hrest, "

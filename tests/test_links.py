@@ -29,3 +29,11 @@ def test_page_links_and_filters(spark):
     assert [r["pos"] for r in first] == [2]
     ext = links_by_extension(links.withColumnRenamed("page_id", "page")).collect()
     assert sorted(r["href"] for r in ext) == ["/bare.txt", "/x/a.ZIP", "sub/b.csv"]
+
+
+def test_entities_in_hrefs(spark):
+    hrefs = ["/a&#233;b", "/&#xE9;&#X41;", "/e&#128512;", "/&#55296;s", "/&amp;#233;", "/q?a=1&amp;b=2", "/&lt;&apos;&#39;"]
+    html = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    pages = spark.createDataFrame([(1, "http://h.org/p", html)], "page_id long, url string, html string")
+    got = [r["href"] for r in page_links(pages).orderBy("pos").collect()]
+    assert got == ["/aéb", "/éA", "/e\U0001F600", "/&#55296;s", "/&#233;", "/q?a=1&b=2", "/<''"]
