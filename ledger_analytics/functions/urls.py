@@ -47,11 +47,15 @@ def decode_entities_sql(column: str) -> str:
             f"WHEN p RLIKE '^[xX][0-9a-fA-F]{{1,6}};' AND ({_char_sql(h_cp)}) IS NOT NULL "
             f"THEN concat({_char_sql(h_cp)}, substr(p, length({hx}) + 3)) "
             f"ELSE concat('&#', p) END")
-    x = (f"transform(array(split({_q(column)}, '&#')), s -> concat(s[0], "
-         f"array_join(transform(slice(s, 2, greatest(size(s) - 1, 0)), p -> {part}), '')))[0]")
+    col = _q(column)
+    numeric = (f"transform(array(split({col}, '&#')), s -> concat(s[0], "
+               f"array_join(transform(slice(s, 2, greatest(size(s) - 1, 0)), p -> {part}), '')))[0]")
+    # most values have no numeric entity: skip the split for them
+    x = f"CASE WHEN instr({col}, '&#') > 0 THEN {numeric} ELSE {col} END"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "\\'"), ("&amp;", "&")):
         x = f"replace({x}, '{ent}', '{ch}')"
-    return x
+    # no '&' at all: nothing to decode
+    return f"CASE WHEN instr({col}, '&') = 0 THEN {col} ELSE {x} END"
 
 
 def decode_entities(column: str) -> Column:
