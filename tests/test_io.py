@@ -238,3 +238,14 @@ def test_positional_registry_layout_loads(spark):
     assert sorted(ops) == [300001, 300002]
     assert ops[300001]["razao_social"] == "A" and ops[300001]["cidade"] == "City"
     assert str(ops[300001]["data_registro_ans"]) == "2001-02-03" and ops[300002]["data_registro_ans"] is None
+
+
+def test_archive_member_outside_folder_is_skipped(spark):
+    src, dest = _tmp(), _tmp()
+    with zipfile.ZipFile(f"{src}/bad.zip", "w") as z:
+        z.writestr("../escape.csv", "x")
+        z.writestr("ok/inner.csv", Q1)
+    status = {(r["member"], r["status"]) for r in extract_archives(spark, src, dest).collect()}
+    assert ("../escape.csv", "skipped") in status and ("ok/inner.csv", "extracted") in status
+    assert not os.path.exists(os.path.join(os.path.dirname(dest), "escape.csv"))
+    assert os.path.exists(f"{dest}/bad/ok/inner.csv")
