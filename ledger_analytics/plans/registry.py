@@ -188,6 +188,17 @@ def q_latest_files(spark, d):
     return links.latest_files(S.links(spark, d), n=WALK_FILES)
 
 
+# Key -> SURVEY ids:
+#   top_growth Q1 (J4, M8, O3)        state_distribution Q2 (A5)       above_mean_quarters Q3
+#   operator_statistics Q4 (A3)       top_operators Q8                  operators_page Q5
+#   operator_by_cnpj Q6 (F11)         expense_history Q7                leaf_accounts W1
+#   normalized_accounts Q9            consolidated_expenses Q10 (A1)    invalid_dates F4
+#   valid_rows / invalid_rows Q11     aggregated_expenses Q12 (A2)      load_operators Q13 (U2, U3, O-KEY)
+#   load_expenses Q14 (J3, F9)        load_aggregates Q15               unmatched_registry J8
+#   orphan_facts J7 / C4              duplicate_keys C1                 null_violations C2
+#   length_violations C3              locale_number_parse P5            dedup_first U1
+#   page_links S8                     first_matching_link S9            links_by_extension S10
+#   latest_files S11
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_growth": q_top_growth,
     "state_distribution": q_state_distribution,
