@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # ---- fixed values: byte classes -------------------------------------------------------------
 _WHITE = [0x20, *range(0x09, 0x0E)]
@@ -109,7 +110,7 @@ def blocks(table: pa.Table | pa.RecordBatch, column: str, size: int = 2 << 20):
     """Cut a table into runs of rows with about ``size`` bytes of text (a longer text stands alone)."""
     if not table.num_rows:
         return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(table.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(table.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths.astype(np.int64))
     at = 0
     while at < len(ends):
