@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import phrases, runindex, simhash
+from . import decontaminate, phrases, runindex, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_repeated_phrases": phrases.op2_repeated_phrases,
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
+        "op4_winnowing": decontaminate.op4_winnowing,
         "op10_run_length_index": runindex.op10_run_length_index,
     }
 
