@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, phrases, runindex, simhash
+from . import decontaminate, mixing, phrases, runindex, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_repeated_phrases": phrases.op2_repeated_phrases,
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
         "op4_winnowing": decontaminate.op4_winnowing,
+        "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_multinomial_blocks": mixing.OP9_SQL,
+    }
