@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, phrases, runindex, simhash
+from . import decontaminate, mixing, phrases, runindex, secrets, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_repeated_phrases": phrases.op2_repeated_phrases,
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
         "op4_winnowing": decontaminate.op4_winnowing,
+        "op5_markov_secrets": secrets.op5_markov_secrets,
         "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
     }
