@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, phrases, runindex, secrets, simhash
+from . import decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lookup_sketches": fingerprints.op1_lookup_sketches,
         "op2_repeated_phrases": phrases.op2_repeated_phrases,
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
         "op4_winnowing": decontaminate.op4_winnowing,
