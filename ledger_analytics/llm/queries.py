@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash
+from . import decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
         "op4_winnowing": decontaminate.op4_winnowing,
         "op5_markov_secrets": secrets.op5_markov_secrets,
+        "op8_attentive_gru": toxicity.op8_attentive_gru,
         "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
     }
