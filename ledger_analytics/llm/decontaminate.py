@@ -52,8 +52,7 @@ class _Scan:
         valid = np.flatnonzero(self.words.last_window(window))
         if not len(valid):
             return valid, np.zeros(0, np.uint64)
-        at = np.arange(self.n - gram + 1)
-        grams = self.prefix.slices(at, at + gram)
+        grams = self.prefix.every(gram)
         places = np.unique(T.winnow(grams, window - gram + 1)[valid])
         return places, grams[places]
 

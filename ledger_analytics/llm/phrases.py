@@ -59,8 +59,7 @@ class _Block:
         self.valid = np.flatnonzero(self.words.last_window(window))
         self.gram = gram
         if len(self.valid):
-            at = np.arange(n - gram + 1)
-            self.grams = self.prefix.slices(at, at + gram)
+            self.grams = self.prefix.every(gram)
             self.anchor = T.winnow(self.grams, window - gram + 1)[self.valid]
         else:
             self.grams, self.anchor = np.zeros(0, np.uint64), np.zeros(0, np.int64)

@@ -29,6 +29,9 @@ from . import textcore as T
 from .shards import bucket_of, pack, shard_count, shard_of, unpack
 
 BUCKET_BYTES = 8 << 20
+#: bytes of text whose arrays a task works on at once, and of one index: both fit the processor's cache
+PART_BYTES = 1 << 18
+INDEX_BYTES = 1 << 18
 PAIRS = "bucket int, shard int, seeds binary, segs binary, flags binary"
 PIECES = "bucket int, segs binary, lens binary, flags binary, body binary"
 MARKS = "shard int, segs binary, lows binary, highs binary"
@@ -58,9 +61,9 @@ class RunLengthIndex:
         """Prefix doubling; only positions whose rank is still shared take part in a round."""
         n, width = self.n, 7
         padded = np.append(self.symbols, np.zeros(width, np.uint64))
-        keys = np.zeros(n, np.uint64)
-        for j in range(width):
-            keys = (keys << np.uint64(9)) | padded[j : j + n]
+        two = (padded[:-1] << np.uint64(9)) | padded[1:]
+        four = (two[:-2] << np.uint64(18)) | two[2:]
+        keys = (four[:n] << np.uint64(27)) | (two[4 : n + 4] << np.uint64(9)) | padded[6 : n + 6]
         upto = self.ends[np.searchsorted(self.ends, np.arange(n))]
         ended = upto - np.arange(n) < width
         order = np.argsort(keys, kind="stable")
@@ -70,7 +73,7 @@ class RunLengthIndex:
         group = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
         rank = np.empty(n, np.int64)
         rank[order] = group
-        del keys, sorted_keys, padded, upto, ended
+        del keys, sorted_keys, padded, two, four, upto, ended
         size_one = fresh & np.append(fresh[1:], True)
         left = order[~size_one]
         step = width
@@ -112,13 +115,15 @@ class RunLengthIndex:
 
     def _common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Common-prefix length of the suffixes at p and q (none if q is below 0), within their texts."""
-        prefix = T.Prefix(self.symbols)
+        prefix = T.Prefix(T.mix(self.symbols))
         room = np.minimum(self._room(p), self._room(np.maximum(q, 0)))
         low, high = np.zeros(len(p), np.int64), np.where(q < 0, 0, room)
         q = np.maximum(q, 0)
+        sums, back = prefix.sums, prefix.back
+        at_p, at_q = sums[p], sums[q]
         while (low < high).any():
-            mid = (low + high + 1) // 2
-            same = prefix.slices(p, p + mid) == prefix.slices(q, q + mid)
+            mid = (low + high + 1) >> 1
+            same = (sums[p + mid] - at_p) * back[p] == (sums[q + mid] - at_q) * back[q]
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
         return low
 
@@ -146,8 +151,7 @@ class _Segments:
             return
         n = len(self.data)
         prefix = T.Prefix(T._BYTE[self.data])
-        at = np.arange(n - gram + 1)
-        grams = prefix.slices(at, at + gram)
+        grams = prefix.every(gram)
         pick = T.winnow(grams, window - gram + 1)  # for windows that start at 0 .. n - window
         valid = np.zeros(n - window + 1, bool)
         for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
@@ -175,7 +179,7 @@ def _pairs_table(rows):
 
 def _segments(window: int, gram: int, n_buckets: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = [_Segments(part, window, gram) for part in T.blocks(table, "text", 1 << 20)]
+        found = [_Segments(part, window, gram) for part in T.blocks(table, "text", PART_BYTES)]
         seeds = np.concatenate([np.zeros(0, np.uint64), *[s.seed for s in found]])
         segs = np.concatenate([np.zeros(0, np.uint64), *[s.hash for s in found]])
         order = np.lexsort((segs, seeds))
@@ -210,12 +214,12 @@ def _bucket(table: pa.Table):
     per_seg = np.add.reduceat(1 + flags.astype(np.int64), np.flatnonzero(new_seg))
     recurs = np.repeat(per_seed > 1, np.diff(np.append(np.flatnonzero(new_seed), len(seeds))))
     weight = np.repeat(per_seg > 1, np.diff(np.append(np.flatnonzero(new_seg), len(seeds))))
-    return segs[recurs], weight[recurs], new_seg[recurs], names[owner[recurs]]
+    return seeds[recurs], segs[recurs], weight[recurs], new_seg[recurs], names[owner[recurs]]
 
 
 def _wanted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Asks one shard for each distinct segment that is to be indexed."""
-    segs, weight, first, shard = _bucket(table)
+    _, segs, weight, first, shard = _bucket(table)
     segs, weight, shard = segs[first], weight[first], shard[first]
     rows = []
     if len(segs):
@@ -236,7 +240,7 @@ def _pieces(window: int, gram: int):
         order = np.argsort(segs)
         segs, flags, bucket = segs[order], flags[order], bucket[order]
         rows, done = [], np.zeros(len(segs), bool)
-        for part in T.blocks(table, "text", 1 << 20):
+        for part in T.blocks(table, "text", PART_BYTES):
             s = _Segments(part, window, gram)
             mine, where = np.unique(s.hash, return_index=True)
             known = T.isin_sorted(mine, segs)
@@ -254,6 +258,21 @@ def _pieces(window: int, gram: int):
     return run
 
 
+def _long_matches(index: RunLengthIndex, lens: np.ndarray, segs: np.ndarray, whole: np.ndarray, window: int):
+    """(segment, first, last) of the maximal runs of window starts that occur elsewhere."""
+    stats = index.matching_statistics()
+    owner = np.repeat(np.arange(len(lens)), lens + 1)
+    begin = index.ends - lens
+    room = index.ends[owner] - np.arange(index.n)
+    hit = (room >= window) & ((stats >= window) | whole[owner])
+    opens, closes = hit.copy(), hit.copy()
+    opens[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1])
+    closes[:-1] &= ~hit[1:] | (owner[1:] != owner[:-1])
+    low, high = np.flatnonzero(opens), np.flatnonzero(closes)
+    seg = owner[low]
+    return segs[seg], (low - begin[seg]).astype(np.int32), (high - begin[seg]).astype(np.int32)
+
+
 def _marks(window: int):
     names, types = ["shard", "segs", "lows", "highs"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
@@ -264,22 +283,19 @@ def _marks(window: int):
         lens = np.concatenate(unpack(pieces.column("lens"), np.int32)).astype(np.int64)
         whole = np.concatenate(unpack(pieces.column("flags"), np.uint8)) > 0
         body = np.frombuffer(b"".join(pieces.column("body").to_pylist()), np.uint8)
-        index = RunLengthIndex(body, lens)
-        stats = index.matching_statistics()
-        owner = np.searchsorted(index.ends, np.arange(index.n))
-        begin = index.ends - lens
-        room = index.ends[owner] - np.arange(index.n)
-        hit = (room >= window) & ((stats >= window) | whole[owner])
-        # maximal runs of marked window starts within a segment
-        opens, closes = hit.copy(), hit.copy()
-        opens[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1])
-        closes[:-1] &= ~hit[1:] | (owner[1:] != owner[:-1])
-        low, high = np.flatnonzero(opens), np.flatnonzero(closes)
-        seg = owner[low]
-        low, high = (low - begin[seg]).astype(np.int32), (high - begin[seg]).astype(np.int32)
-        order = np.argsort(segs[seg], kind="stable")
-        marked, low, high = segs[seg][order], low[order], high[order]
-        mine, _, _, shard = _bucket(pairs)
+        seeds, mine, _, _, shard = _bucket(pairs)
+        # segments that may match share a seed, so a bucket falls into independent indices by seed
+        known, at = np.unique(mine, return_index=True)
+        seed = seeds[at][np.searchsorted(known, segs)]
+        part = (T.mix(seed) % np.uint64(max(1, -(-len(body) // INDEX_BYTES)))).astype(np.int64)
+        stop = np.cumsum(lens)
+        found = []
+        for _, i in T.split_by(np.arange(len(segs)), part):
+            own = np.concatenate([body[stop[j] - lens[j] : stop[j]] for j in i.tolist()])
+            found.append(_long_matches(RunLengthIndex(own, lens[i]), lens[i], segs[i], whole[i], window))
+        marked, low, high = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(marked, kind="stable")
+        marked, low, high = marked[order], low[order], high[order]
         first, last = np.searchsorted(marked, mine, "left"), np.searchsorted(marked, mine, "right")
         times = last - first
         entry = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -305,7 +321,7 @@ def _cut(window: int, gram: int):
         order = np.argsort(segs, kind="stable")
         segs, low, high = segs[order], low[order], high[order]
         n_bytes, n_removed, n_spans, kept = [], [], [], []
-        for part in T.blocks(table, "text", 1 << 20):
+        for part in T.blocks(table, "text", PART_BYTES):
             s = _Segments(part, window, gram)
             n = len(s.data)
             first, last = np.searchsorted(segs, s.hash, "left"), np.searchsorted(segs, s.hash, "right")

@@ -60,6 +60,16 @@ class Prefix:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all slices of one length, in order; cheaper than :meth:`slices`."""
+        h = self.sums[length:] - self.sums[: len(self.sums) - length]
+        h *= self.back[: len(h)]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        return h
+
+
 @dataclass
 class Words:
     """Words of a batch: byte spans in ``data``; text ``d`` owns words ``first[d]:first[d + 1]``."""
@@ -119,30 +129,30 @@ def blocks(table: pa.Table | pa.RecordBatch, column: str, size: int = 2 << 20):
         at = upto
 
 
-def sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every ``width`` neighbours (by doubling); the result is width - 1 shorter."""
-    out, have = keys, 1
-    while have < width:
-        step = min(have, width - have)
-        out = np.minimum(out[:-step], out[step:])
-        have += step
-    return out
-
-
 _POS = np.uint64((1 << 24) - 1)
 
 
 def winnow(grams: np.ndarray, width: int) -> np.ndarray:
     """Position of the least gram of every ``width`` neighbours, the rightmost of equal ones.
 
-    The choice depends on the grams in the window alone, so equal windows choose alike.
+    The choice depends on the grams in the window alone, so equal windows choose alike.  Minima of
+    twice the width come from two minima, so the cost is logarithmic in the width.
     """
     at = np.arange(len(grams), dtype=np.uint64)
-    keys = (grams & ~_POS) | (_POS - (at & _POS))
-    least = sliding_min(keys, width)
-    low = _POS - (least & _POS)
-    here = np.arange(len(least), dtype=np.uint64)
-    return (here + ((low - here) & _POS)).astype(np.int64)
+    least = grams & ~_POS
+    least |= ~at & _POS
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    # the low bits hold the position modulo 2**24, counted down
+    np.bitwise_not(least, out=least)
+    here = at[: len(least)]
+    least -= here
+    least &= _POS
+    least += here
+    return least.view(np.int64)
 
 
 def isin_sorted(values: np.ndarray, known: np.ndarray) -> np.ndarray:
