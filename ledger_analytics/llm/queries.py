@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, toxicity
+from . import chat, decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, tokencounts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_bk_trees": simhash.op3_simhash_bk_trees,
         "op4_winnowing": decontaminate.op4_winnowing,
         "op5_markov_secrets": secrets.op5_markov_secrets,
+        "op6_trie_unigram": tokencounts.op6_trie_unigram,
+        "op7_snapshot_collapse": chat.op7_snapshot_collapse,
         "op8_attentive_gru": toxicity.op8_attentive_gru,
         "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
@@ -24,5 +26,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_snapshot_collapse": chat.OP7_SQL,
         "op9_multinomial_blocks": mixing.OP9_SQL,
     }
