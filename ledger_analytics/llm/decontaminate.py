@@ -77,7 +77,7 @@ def _benchmark_prints(window: int, gram: int):
 
 
 def _document_prints(window: int, gram: int, lengths: list[int], wanted: np.ndarray | None):
-    names = ["doc_id", "n_words", "hits", "text"]
+    names = ["doc_id", "text_key", "n_words", "hits", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +97,7 @@ def _document_prints(window: int, gram: int, lengths: list[int], wanted: np.ndar
                 cuts = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
                 hits = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes.view(np.int64)))
                 text = part.column("text").take(pa.array(np.arange(part.num_rows), mask=np.diff(cuts) == 0))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(s.words.first)), hits, text], names=names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(np.diff(s.words.first)), hits, text], names=names)
 
     return run
 
@@ -151,19 +151,27 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     wanted = None
     if prints.count() <= filter_limit:
         wanted = np.unique(np.array([r.h for r in prints.select("h").collect()], np.int64).view(np.uint64))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     # the text rides along only where a fingerprint hit, for the extension
-    found = rows.mapInArrow(_document_prints(window, gram, sorted(lengths), wanted), "doc_id long, n_words long, hits array<long>, text string").checkpoint()
+    found = rows.mapInArrow(_document_prints(window, gram, sorted(lengths), wanted), "doc_id long, text_key long, n_words long, hits array<long>, text string").checkpoint()
     found = found.withColumn("row", F.monotonically_increasing_id())  # stable: the rows are stored
     candidates = found.select("row", F.explode("hits").alias("h")).join(prints.select("h", "item_key"), "h").select("row", "item_key").distinct()
     grouped = candidates.join(items, "item_key").groupBy("row").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
     extended = found.select("row", "text").join(grouped, "row").mapInArrow(_extend(window), "row long, n_hit long, items array<string>")
     none = F.array().cast("array<string>")
     return found.drop("text", "hits").join(extended, "row", "left").select(
-        "doc_id", "row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
+        "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
     )
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text is contaminated."""
+    found = benchmark_hits(docs, benchmark, doc_id, text)
+    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_bad_key"))
+    return docs.join(bad, same, "left_anti")
+
+
 def contaminated(n_hit, n_words):
     """The contract's rule: at least one word in twenty is hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import chat, decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, tokencounts, toxicity
 
 
@@ -21,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_attentive_gru": toxicity.op8_attentive_gru,
         "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
+        "pipeline": corpus_pipeline.run,
     }
 
 
