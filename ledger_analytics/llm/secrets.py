@@ -5,9 +5,9 @@ adds ``markov`` spans: runs of at least ``MIN_RUN`` token characters that overla
 character Markov model of random strings explains better than one of ordinary identifiers, by a mean
 log-likelihood ratio of at least ``threshold`` a character.
 
-Both models are first-order, over the 68 token characters, with add-one smoothing.  Labelled samples: the
+Both models are first-order, over the 68 token characters, smoothed by the characters' own frequencies.  Labelled samples: the
 values that the base patterns find in all documents are random strings; the other tokens of about
-``ordinary_docs`` documents (those with the least hashes) are ordinary.  Without samples a model is uniform.
+``ordinary_docs`` documents (those with the least hashes) are ordinary if they have an identifier's shape.  Without samples a model is uniform.
 
 Positions count code points, ends are exclusive.  A match's place follows from the lengths of the gaps
 (``split``) and matches (``regexp_extract_all``) before it.
@@ -28,9 +28,12 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"  # AKIA and a run, 16 characters or more: a shorte
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"  # whole runs, so those of 32 characters or more
 KINDS = ("assign", "access", "hex", "markov")
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
+#: shape of a token that counts as an ordinary identifier in training: words, joined or in camel case, then digits
+IDENTIFIER = r"^([A-Z]?[a-z]{2,}|[A-Z]{2,})([_./-]?([A-Z]?[a-z]{2,}|[A-Z]{2,}))*[0-9]{0,4}$"
 MIN_RUN = 20
 TOKEN = r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]"
 THRESHOLD = 1.0
+SMOOTHING = 8
 ORDINARY_DOCS = 1000
 SPAN = "array<struct<start:int,kind:int,stop:int,value:string>>"
 
@@ -62,12 +65,14 @@ def _pairs(values: DataFrame) -> DataFrame:
 
 
 def _log_probabilities(counts: dict[str, int]) -> dict[str, float]:
-    """Smoothed log P(second | first) of all pairs of symbols."""
+    """Log P(second | first) of all pairs of symbols, smoothed by the symbols' own frequencies (add-one)."""
+    seen = {b: sum(counts.get(a + b, 0) for a in SYMBOLS) for b in SYMBOLS}
+    whole = sum(seen.values()) + len(SYMBOLS)
     out = {}
     for a in SYMBOLS:
-        total = sum(counts.get(a + b, 0) for b in SYMBOLS) + len(SYMBOLS)
+        total = sum(counts.get(a + b, 0) for b in SYMBOLS)
         for b in SYMBOLS:
-            out[a + b] = math.log((counts.get(a + b, 0) + 1) / total)
+            out[a + b] = math.log((counts.get(a + b, 0) + SMOOTHING * (seen[b] + 1) / whole) / (total + SMOOTHING))
     return out
 
 
@@ -81,7 +86,7 @@ def train(docs: DataFrame, text: str = "text", ordinary_docs: int = ORDINARY_DOC
     sampled = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
     plain = sampled.select(F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|{HEX}", " ").alias("text"))
     tokens = plain.select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN + "+"), F.lit(0))).alias("value"))
-    ordinary = _pairs(tokens).collect()
+    ordinary = _pairs(tokens.where(F.regexp_like("value", F.lit(IDENTIFIER)))).collect()
     likely, usual = (_log_probabilities({r["pair"]: r["count"] for r in rows}) for rows in (random, ordinary))
     return [round(likely[a + b] - usual[a + b], 6) for a in SYMBOLS for b in SYMBOLS]
 
