@@ -37,6 +37,10 @@ def cmd_run(args) -> None:
     agg = spark.read.parquet(res.paths["aggregated"])
     tables = load_star_schema(spark, registry_as_staging(read_registry(spark, args.registry)), clean, agg,
                               f"{args.out.rstrip('/')}/db")
+    for path, reason in res.skipped_files:
+        print(f"skipped\t{path}\t{reason}")
+    for name in sorted(k for k, v in res.written.items() if v):
+        print(f"rejects\t{name}")
     for name, path in {**res.paths, **tables}.items():
         print(f"{name}\t{path}")
 

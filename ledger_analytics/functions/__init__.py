@@ -1,8 +1,8 @@
 """Scalar functions as Catalyst expressions."""
 
-from .cnpj import cnpj_digits, cnpj_is_valid, cnpj_is_valid_digits, cnpj_check_digits  # noqa: F401
+from .cnpj import cnpj_is_valid  # noqa: F401
 from .text import (  # noqa: F401
-    blank_to_null, format_locale_decimal, is_blank, iso_date_or_null, normalize_header,
+    iso_date_or_null, normalize_header,
     numeric_text_guard, parse_date, parse_locale_decimal, round_half_up_ratio,
     text_to_decimal, text_to_int, text_to_long,
 )

@@ -1,7 +1,7 @@
 """Brazilian company tax id (CNPJ) check as one Catalyst expression (M1).
 
 No Python runs per row: the digits are cleaned with ``regexp_replace``,
-padded with ``lpad`` (never truncated) and the two mod-11 check digits are
+padded with zeros (never truncated) and the two mod-11 check digits are
 computed with ``zip_with``/``aggregate`` over the weight arrays.
 """
 
@@ -15,54 +15,6 @@ WEIGHTS_FIRST = [5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]
 WEIGHTS_SECOND = [6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` (a lambda).
-
-    Predicates are pushed through projections by substituting expressions,
-    so a column referenced n times is computed n times; binding it as the
-    single element of an array keeps it to one evaluation and one copy.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
-def cnpj_digits(c) -> Column:
-    """Keep ASCII digits only, left-pad to 14 with zeros, never truncate.
-
-    NULL becomes the all-zero id, which the check rejects.
-    """
-    raw = F.regexp_replace(F.coalesce(_col(c).cast("string"), F.lit("")), "[^0-9]", "")
-    return let(raw, lambda r: F.when(F.length(r) >= 14, r).otherwise(F.lpad(r, 14, "0")))
-
-
-def _check_digit(d: Column, weights: list[int]) -> Column:
-    n = len(weights)
-    # ascii(c) - 48 turns a digit character into its value without a cast
-    # that could throw under ANSI mode.
-    digits = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.ascii(F.substring(d, i, 1)) - 48)
-    products = F.zip_with(digits, F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b)
-    total = F.aggregate(products, F.lit(0), lambda acc, x: acc + x)
-    rest = total % 11
-    return F.when(rest < 2, F.lit("0")).otherwise((F.lit(11) - rest).cast("string"))
-
-
-def cnpj_check_digits(digits: Column) -> Column:
-    """The two expected check digits of a 14-digit id, as a 2-character string."""
-    return F.concat(_check_digit(digits, WEIGHTS_FIRST), _check_digit(digits, WEIGHTS_SECOND))
-
-
-def cnpj_is_valid_digits(digits: Column) -> Column:
-    """Check an id already reduced by :func:`cnpj_digits`."""
-    return (
-        (F.length(digits) == 14)
-        & (digits != F.repeat(F.substring(digits, 1, 1), 14))
-        & (F.substring(digits, 13, 2) == cnpj_check_digits(digits))
-    )
-
-
 def check_digit_sql(var: str, weights: list[int]) -> str:
     """SQL text of one check digit of the digit string ``var``."""
     n = len(weights)
@@ -82,28 +34,7 @@ def cnpj_is_valid_sql(column: str) -> str:
     return f"coalesce(transform(array({digits}), d -> {check})[0], false)"
 
 
-def cnpj_is_valid(c) -> Column:
+def cnpj_is_valid(column: str) -> Column:
     """True when the id has 14 digits (after cleaning), is not one repeated
     digit and both check digits match.  Never NULL."""
-    if isinstance(c, str):
-        return F.expr(cnpj_is_valid_sql(c))
-    return F.coalesce(let(cnpj_digits(c), cnpj_is_valid_digits), F.lit(False))
-
-
-# ----------------------------------------------------- driver-side helpers
-# Used for query parameters and test expectations only, never per row.
-
-def python_check_digits(first12: str) -> str:
-    def digit(s: str, weights: list[int]) -> str:
-        r = sum(int(a) * b for a, b in zip(s, weights)) % 11
-        return "0" if r < 2 else str(11 - r)
-    d1 = digit(first12, WEIGHTS_FIRST)
-    return d1 + digit(first12 + d1, WEIGHTS_SECOND)
-
-
-def python_cnpj(custkey: int) -> str:
-    """The stand-in operator id of a customer key (see ``standins``)."""
-    base = str(custkey * 7919 + 1000001).rjust(12, "0")[:12]
-    d = python_check_digits(base)
-    first = str((int(d[0]) + 1) % 10) if custkey % 4 == 0 else d[0]
-    return base + first + d[1]
+    return F.expr(cnpj_is_valid_sql(column))

@@ -36,6 +36,15 @@ def normalize_header(name: str) -> str:
 
 # ---------------------------------------------------- locale numbers (P5, M9)
 
+# Fixed value: text that is a plain decimal number once the marks are replaced.
+NUMBER_PATTERN = r"^[+-]?[0-9]+([.][0-9]*)?$"
+
+
+def strip_sql(expression: str) -> str:
+    """SQL text that cuts all (Unicode) white space around a string."""
+    return f"regexp_replace({expression}, '(?U)^\\\\s+|\\\\s+$', '')"
+
+
 def parse_locale_decimal_sql(column: str, precision: int = 18, scale: int = 2,
                              thousands: str = ".", decimal: str = ",", default=0) -> str:
     txt = f"CAST({sql_ident(column)} AS STRING)"
@@ -43,31 +52,21 @@ def parse_locale_decimal_sql(column: str, precision: int = 18, scale: int = 2,
         txt = f"replace({txt}, {sql_string(thousands)}, '')"
     if decimal and decimal != ".":
         txt = f"replace({txt}, {sql_string(decimal)}, '.')"
-    parsed = f"try_cast(trim({txt}) AS DECIMAL({precision},{scale}))"
-    if default is None:
-        return parsed
-    return f"coalesce({parsed}, CAST({default} AS DECIMAL({precision},{scale})))"
+    # bound once: the stripped text t
+    parsed = f"try_cast(t AS DECIMAL({precision},{scale}))"
+    if default is not None:
+        parsed = (f"coalesce({parsed}, CASE WHEN coalesce(t RLIKE {sql_string(NUMBER_PATTERN)}, false) THEN NULL "
+                  f"ELSE CAST({default} AS DECIMAL({precision},{scale})) END)")
+    return f"transform(array({strip_sql(txt)}), t -> {parsed})[0]"
 
 
-def parse_locale_decimal(c, precision: int = 18, scale: int = 2,
+def parse_locale_decimal(c: str, precision: int = 18, scale: int = 2,
                          thousands: str = ".", decimal: str = ",", default=0) -> Column:
-    """Parse ``1.234,56`` style text into DECIMAL: drop the thousands mark,
-    turn the decimal mark into a point, cast; bad or NULL text gives
-    ``default`` (0 like the source pipeline; pass None to keep NULL)."""
-    if isinstance(c, str):
-        return F.expr(parse_locale_decimal_sql(c, precision, scale, thousands, decimal, default))
-    txt = c.cast("string")
-    if thousands:
-        txt = F.replace(txt, F.lit(thousands), F.lit(""))
-    if decimal and decimal != ".":
-        txt = F.replace(txt, F.lit(decimal), F.lit("."))
-    parsed = F.trim(txt).try_cast(f"decimal({precision},{scale})")
-    return parsed if default is None else F.coalesce(parsed, F.lit(default).cast(f"decimal({precision},{scale})"))
-
-
-def format_locale_decimal(c, thousands: str = ".", decimal: str = ",") -> Column:
-    """Render a number as ``1.234,56`` text (exports)."""
-    return F.translate(F.format_number(_col(c), 2), ",.", thousands + decimal)
+    """Parse ``1.234,56`` style text of a column into DECIMAL: drop the
+    thousands mark, turn the decimal mark into a point, strip, cast.  Bad or
+    NULL text gives ``default`` (0 like the source pipeline; None keeps
+    NULL); a number beyond the type gives NULL, never the default."""
+    return F.expr(parse_locale_decimal_sql(c, precision, scale, thousands, decimal, default))
 
 
 # ------------------------------------------------------------- dates (M2, M3)
@@ -85,6 +84,7 @@ def parse_date(c, formats=DEFAULT_DATE_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_date(txt, f) for f in formats])
 
 
+# Fixed value: the staging date guard.
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -99,11 +99,6 @@ def iso_date_or_null(c) -> Column:
 
 # ------------------------------------------------------- staging casts
 
-def blank_to_null(c) -> Column:
-    """NULLIF(c, '') (M5)."""
-    return F.nullif(_col(c), F.lit(""))
-
-
 def text_to_int(c) -> Column:
     """Blank -> NULL -> INT, bad text -> NULL (P10)."""
     if isinstance(c, str):
@@ -125,6 +120,7 @@ def text_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     return c.cast("string").try_cast(f"decimal({precision},{scale})")
 
 
+# Fixed value: the staging amount guard.
 NUMERIC_TEXT_PATTERN = r"^[0-9.]+$"
 
 
@@ -135,11 +131,6 @@ def numeric_text_guard(c) -> Column:
     return F.coalesce(c.cast("string").rlike(NUMERIC_TEXT_PATTERN), F.lit(False))
 
 
-def is_blank(c) -> Column:
-    """NULL or only white space (F5 negated)."""
-    return _col(c).isNull() | (F.trim(_col(c).cast("string")) == "")
-
-
 # ----------------------------------------------------------- rounding
 
 def round_half_up_ratio(numerator, denominator, scale: int = 2) -> Column:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# <a ... href=...>: the attribute must follow white space (so data-href
-# does not count); the value is double-quoted, single-quoted or bare.
-HREF_PATTERN = r"""(?i)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Strips the quotes the value was written with.
-QUOTES_PATTERN = r"""^["']|["']$"""
+# Comments hold no links.
+COMMENT_PATTERN = r"(?s)<!--.*?(?:-->|$)"
+# <a ... href=...>: other attributes may have quoted values with any text;
+# href must follow white space (so data-href does not count); its value is
+# double-quoted, single-quoted or bare.
+HREF_PATTERN = r"""(?i)<a\s+(?:(?:"[^"]*"|'[^']*'|[^>"'])*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Strips the quotes and the white space around the value.
+QUOTES_PATTERN = r"""^["']?\s*|\s*["']?$"""
 
 
 def _col(c) -> Column:
@@ -22,7 +27,7 @@ def _q(name: str) -> str:
 
 def extract_hrefs(html) -> Column:
     """All href values of ``<a>`` tags, in page order (array<string>)."""
-    raw = F.regexp_extract_all(_col(html), F.lit(HREF_PATTERN), F.lit(1))
+    raw = F.regexp_extract_all(F.regexp_replace(_col(html), COMMENT_PATTERN, ""), F.lit(HREF_PATTERN), F.lit(1))
     return F.transform(raw, lambda v: F.regexp_replace(v, QUOTES_PATTERN, ""))
 
 
@@ -36,26 +41,28 @@ def _char_sql(cp: str) -> str:
 
 
 def decode_entities_sql(column: str) -> str:
-    """SQL text decoding numeric (``&#233;``, ``&#xE9;``) and the five
-    predefined named HTML entities in an attribute value.  ``&amp;`` is
-    decoded last, so ``&amp;#233;`` stays the literal text ``&#233;``."""
-    dec = "regexp_extract(p, '^([0-9]{1,7});', 1)"
-    hx = "regexp_extract(p, '^[xX]([0-9a-fA-F]{1,6});', 1)"
+    """SQL text decoding the HTML entities of an attribute value: numeric
+    (``&#233;``, ``&#xE9;``) and the named ones of the standard library's
+    table, which need their semicolon.  The value is cut at every ``&`` and
+    each part decoded once, so ``&amp;#233;`` becomes the text ``&#233;``."""
+    dec = "regexp_extract(p, '^#([0-9]{1,7});', 1)"
+    hx = "regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});', 1)"
+    name = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
     d_cp, h_cp = f"CAST({dec} AS INT)", f"CAST(conv({hx}, 16, 10) AS INT)"
-    part = (f"CASE WHEN p RLIKE '^[0-9]{{1,7}};' AND ({_char_sql(d_cp)}) IS NOT NULL "
-            f"THEN concat({_char_sql(d_cp)}, substr(p, length({dec}) + 2)) "
-            f"WHEN p RLIKE '^[xX][0-9a-fA-F]{{1,6}};' AND ({_char_sql(h_cp)}) IS NOT NULL "
-            f"THEN concat({_char_sql(h_cp)}, substr(p, length({hx}) + 3)) "
-            f"ELSE concat('&#', p) END")
+    known = ", ".join(f"'{n}', {cp}" for n, cp in sorted({**name2codepoint, "apos": 39}.items()))
+    n_cp = f"element_at(map({known}), {name})"
+    part = (f"CASE WHEN p RLIKE '^#[0-9]{{1,7}};' AND ({_char_sql(d_cp)}) IS NOT NULL "
+            f"THEN concat({_char_sql(d_cp)}, substr(p, length({dec}) + 3)) "
+            f"WHEN p RLIKE '^#[xX][0-9a-fA-F]{{1,6}};' AND ({_char_sql(h_cp)}) IS NOT NULL "
+            f"THEN concat({_char_sql(h_cp)}, substr(p, length({hx}) + 4)) "
+            f"WHEN p RLIKE '^[A-Za-z][A-Za-z0-9]*;' AND {n_cp} IS NOT NULL "
+            f"THEN concat(transform(array({n_cp}), c -> {_char_sql('c')})[0], substr(p, length({name}) + 2)) "
+            f"ELSE concat('&', p) END")
     col = _q(column)
-    numeric = (f"transform(array(split({col}, '&#')), s -> concat(s[0], "
+    decoded = (f"transform(array(split({col}, '&')), s -> concat(s[0], "
                f"array_join(transform(slice(s, 2, greatest(size(s) - 1, 0)), p -> {part}), '')))[0]")
-    # most values have no numeric entity: skip the split for them
-    x = f"CASE WHEN instr({col}, '&#') > 0 THEN {numeric} ELSE {col} END"
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "\\'"), ("&amp;", "&")):
-        x = f"replace({x}, '{ent}', '{ch}')"
-    # no '&' at all: nothing to decode
-    return f"CASE WHEN instr({col}, '&') = 0 THEN {col} ELSE {x} END"
+    # most values hold no entity: skip the split for them
+    return f"CASE WHEN instr({col}, '&') = 0 THEN {col} ELSE {decoded} END"
 
 
 def decode_entities(column: str) -> Column:

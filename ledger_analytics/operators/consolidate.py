@@ -97,7 +97,13 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
     if positive_only:
         out = out.where("ValorDespesas > 0")
     out = out.select(*OUTPUT_COLUMNS)
-    return Consolidation(out, invalid)
+    # the log is split off after both joins: every registry copy of a line, with its names
+    copies = reg.select("RegistroANS", "CNPJ", "RAZAO_SOCIAL")
+    log = invalid.withColumnRenamed("REGISTRO_OPERADORA", "RegistroANS") \
+        .join(copies, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left") \
+        .select(*["RegistroANS" if c == "REGISTRO_OPERADORA" else c for c in normalized.columns],
+                "CNPJ", "RAZAO_SOCIAL", "MODALIDADE", "UF", "reject_reason")
+    return Consolidation(out, log)
 
 
 def unmatched_lines(normalized: DataFrame, registry: DataFrame) -> DataFrame:

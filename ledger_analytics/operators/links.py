@@ -20,9 +20,11 @@ WALK_EXTENSIONS = ("zip", "csv", "xlsx")
 
 def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every ``<a href>`` of every page in page order, resolved against the
-    page URL (S8).  One row per link: ``page_id, pos, href, resolved``."""
+    page URL (S8).  One row per link: ``page_id, pos, href, resolved``.
+    Links in comments do not count, and links without a target are dropped
+    (they keep their place, so ``pos`` may have gaps)."""
     exploded = pages.select(F.col(id_col), F.col(url_col).alias("_url"),
-                            F.posexplode(extract_hrefs(html_col)).alias("pos", "_raw"))
+                            F.posexplode(extract_hrefs(html_col)).alias("pos", "_raw")).where("_raw <> ''")
     links = exploded.select(F.col(id_col), "_url", F.col("pos").cast("int").alias("pos"),
                             decode_entities("_raw").alias("href"))
     return links.select(F.col(id_col), "pos", "href", resolve_url("_url", "href").alias("resolved"))
@@ -49,72 +51,38 @@ def _is_folder(href):
     return href.endswith("/") | ~href.contains(".")
 
 
-def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_EXTENSIONS,
-                 max_depth: int = 32) -> DataFrame:
+def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_EXTENSIONS) -> DataFrame:
     """The first ``n`` data files met by a depth-first walk from ``root``
     that visits a page's links last-first (S11).
 
     A link is a folder when it ends with ``/`` or has no ``.``; a file
     counts when its href ends with one of ``extensions``.  Each folder gets
     the path key ``[-pos at level 1, -pos at level 2, ...]``; sorting files
-    by that array gives the depth-first visiting order, so the walk is a
-    recursive CTE over the folders (one join per level, run by Spark's
-    union loop) followed by a top-n (TakeOrderedAndProject).
-
-    To avoid cycles (D14) a folder link is followed only when its target
-    extends the current page path, and at most ``max_depth`` levels are
-    walked.  Spark bounds recursive CTEs (``spark.sql.cteRecursionLevelLimit``,
-    ``spark.sql.cteRecursionRowLimit``); only folders are recursed into,
-    files are joined once at the end.  :func:`latest_files_by_level` does
-    the same walk without those limits.  Output: ``ordem`` (1..n),
+    by that array gives the depth-first visiting order.
+
+    A folder link is followed only when its target extends the current page
+    path (D14), so every walk ends and no depth bound is needed.  The walk
+    doubles its reach each round: ``jumps`` holds all folder-to-folder steps
+    of exactly 2^i levels, and the folders reached so far take one jump
+    each, so a tree of depth d takes about log2(d) rounds of two joins.
+    Both tables are checkpointed each round; the rounds end when no jump is
+    left.  Files are joined once, after the walk.  Output: ``ordem`` (1..n),
     ``target``, ``href``.
     """
     spark = edges.sparkSession
-    folder = "(endswith(l.href, '/') OR NOT contains(l.href, '.'))"
-    query = f"""
-    WITH RECURSIVE walk(page, ord, depth) AS (
-      SELECT :root AS page, CAST(array() AS ARRAY<BIGINT>) AS ord, 0 AS depth
-      UNION ALL
-      SELECT l.target, concat(w.ord, array(-CAST(l.pos AS BIGINT))), w.depth + 1
-      FROM walk w JOIN {{edges}} l ON l.page = w.page
-      WHERE {folder} AND startswith(l.target, w.page) AND length(l.target) > length(w.page)
-        AND w.depth < :max_depth)
-    SELECT l.target, l.href, concat(w.ord, array(-CAST(l.pos AS BIGINT))) AS ord
-    FROM walk w JOIN {{edges}} l ON l.page = w.page
-    WHERE NOT {folder} AND lower(l.href) RLIKE :pattern
-    ORDER BY ord LIMIT {int(n)}
-    """
-    top = spark.sql(query, args={"root": root, "max_depth": max_depth, "pattern": extension_pattern(extensions)},
-                    edges=edges.select("page", "pos", "href", "target"))
+    ensure_checkpoint_dir(spark)
+    own = F.array(-F.col("pos").cast("long"))
+    folder = _is_folder(F.col("href"))
+    deeper = F.col("target").startswith(F.col("page")) & (F.length("target") > F.length("page"))
+    jumps = edges.where(folder & deeper).select("page", "target", own.alias("ord")).checkpoint()
+    reached = spark.createDataFrame([(root, [])], "page string, ord array<bigint>")
+    while not jumps.isEmpty():
+        further = reached.join(jumps.withColumnRenamed("ord", "_ord"), "page") \
+            .select(F.col("target").alias("page"), F.concat("ord", "_ord").alias("ord"))
+        reached = reached.unionByName(further).checkpoint()
+        then = jumps.select(F.col("page").alias("target"), F.col("target").alias("_end"), F.col("ord").alias("_ord"))
+        jumps = jumps.join(then, "target").select("page", F.col("_end").alias("target"), F.concat("ord", "_ord").alias("ord")).checkpoint()
+    files = edges.where(~folder & F.lower(F.col("href")).rlike(extension_pattern(extensions)))
+    top = files.join(reached, "page").select("target", "href", F.concat("ord", own).alias("ord")).orderBy("ord").limit(n)
     # n rows only: the numbering window runs on the top-n result.
     return top.select(F.row_number().over(Window.orderBy("ord")).alias("ordem"), "target", "href")
-
-
-def latest_files_by_level(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_EXTENSIONS,
-                          max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
-    """:func:`latest_files` as one DataFrame join per level driven from
-    the driver, for trees deeper or wider than the recursive-CTE limits.
-    The frontier is checkpointed (``spark.checkpoint.dir``) every
-    ``checkpoint_every`` levels to keep the plan short."""
-    e = edges.select("page", "pos", "href", "target")
-    ensure_checkpoint_dir(e.sparkSession)
-    frontier = e.sparkSession.createDataFrame([(root, [])], "page string, ord array<bigint>")
-    files = None
-    for depth in range(max_depth + 1):
-        step = frontier.join(e, "page").withColumn("ord", F.concat(F.col("ord"), F.array(-F.col("pos").cast("long"))))
-        found = step.filter(~_is_folder(F.col("href")) &
-                            F.lower(F.col("href")).rlike(extension_pattern(extensions))) \
-            .select("target", "href", "ord")
-        files = found if files is None else files.unionByName(found)
-        if depth == max_depth:
-            break
-        frontier = step.filter(_is_folder(F.col("href")) & F.col("target").startswith(F.col("page")) &
-                               (F.length("target") > F.length("page"))) \
-            .select(F.col("target").alias("page"), "ord")
-        if (depth + 1) % checkpoint_every == 0:
-            frontier = frontier.checkpoint()
-            files = files.checkpoint()
-        if frontier.isEmpty():
-            break
-    top = files.orderBy("ord").limit(n)
-    return top.select(F.row_number().over(Window.orderBy("ord")).alias("ordem"), "target", "href")

@@ -61,35 +61,42 @@ class Load:
     rejects: DataFrame
 
 
-def operator_candidates(stg: DataFrame) -> DataFrame:
-    """Cast and guard staging operator rows."""
+def _typed_operators(stg: DataFrame) -> DataFrame:
+    """Staging operator rows, cast and guarded (P10, P11), with the reason a row cannot be loaded (F8)."""
     order = F.col("reg_order") if "reg_order" in stg.columns else F.lit(0).cast("long")
-    base = stg.filter(F.col("registro_ans").isNotNull() & F.col("cnpj").isNotNull())
-    typed = base.select(
-        text_to_long("registro_ans").alias("registro_ans"),
+    typed = stg.select(
+        text_to_long("registro_ans").alias("registro_ans"), F.col("registro_ans").alias("_text"),
         F.col("cnpj"), F.col("razao_social"), F.col("modalidade"), F.col("uf"), F.col("cidade"),
         iso_date_or_null("data_registro_ans").alias("data_registro_ans"),
         order.alias("_order"),
     )
-    # DISTINCT over the loaded columns; the earliest file position of each
-    # distinct row decides which one wins a key conflict.
-    return typed.groupBy(*OPERATOR_COLUMNS).agg(F.min("_order").alias("_order"))
+    return typed.withColumn("reject_reason", F.expr(
+        "CASE WHEN _text IS NULL OR cnpj IS NULL THEN 'null_key' WHEN registro_ans IS NULL THEN 'bad_registro_ans' END")).drop("_text")
+
+
+def operator_rows(stg: DataFrame) -> DataFrame:
+    """The operators a load would hold, without their surrogate key: distinct
+    rows (U2), the first in file order per ``registro_ans`` (U3).  Checks read
+    this; it starts no job."""
+    good = _typed_operators(stg).where("reject_reason IS NULL")
+    distinct = good.groupBy(*OPERATOR_COLUMNS).agg(F.min("_order").alias("_order"))
+    return dedup_first(distinct, ["registro_ans"], ["_order"]).drop("_order")
 
 
 def load_operators(stg: DataFrame, existing: DataFrame | None = None) -> Load:
-    """``operadoras`` load (Q13): distinct typed rows, insert-if-absent on
-    ``registro_ans`` (first in file order wins, U3), dense surrogate
-    ``cod_operadora`` continuing after ``existing``.  Rows with a NULL or
-    non-numeric id are rejected."""
-    cand = operator_candidates(stg)
-    rejects = cand.filter(F.col("registro_ans").isNull()).drop("_order") \
-        .withColumn("reject_reason", F.lit("bad_registro_ans"))
-    firsts = dedup_first(cand.filter(F.col("registro_ans").isNotNull()), ["registro_ans"], ["_order"]).drop("_order")
-    start = 1
+    """``operadoras`` load (Q13): insert-if-absent on ``registro_ans``, dense
+    surrogate ``cod_operadora`` continuing after the largest of ``existing``.
+
+    Only new rows are returned: operators that exist keep their key and their
+    row, so facts loaded under it stay right.  Rows with a NULL id or tax id,
+    or a non-numeric id, are rejected.
+    """
+    rejects = _typed_operators(stg).where("reject_reason IS NOT NULL").drop("_order")
+    rows, start = operator_rows(stg), 1
     if existing is not None:
-        firsts = firsts.join(existing.select("registro_ans"), "registro_ans", "left_anti")
-        start = existing.select(F.coalesce(F.max("cod_operadora"), F.lit(0)) + 1).first()[0]
-    keyed = surrogate_key(firsts, "registro_ans", "cod_operadora", start=start)
+        rows = rows.join(existing.select("registro_ans"), "registro_ans", "left_anti")
+        start = existing.agg(F.coalesce(F.max("cod_operadora"), F.lit(0)) + 1).first()[0]
+    keyed = surrogate_key(rows, "registro_ans", "cod_operadora", start=start)
     return Load(keyed.select("cod_operadora", *OPERATOR_COLUMNS), rejects)
 
 
@@ -118,14 +125,14 @@ def load_expenses(stg: DataFrame, operadoras: DataFrame) -> Load:
 
 
 def load_aggregates(stg: DataFrame) -> Load:
-    """``despesas_agregadas`` load (Q15): text -> DECIMAL(18,2) (half-up),
-    rows without a name skipped."""
-    named = stg.filter(F.col("razao_social").isNotNull())
-    rows = named.select(
-        F.col("razao_social"), F.col("uf"),
-        text_to_decimal("total_despesas").alias("valor_total"),
-        text_to_decimal("media_trimestral").alias("media_trimestral"),
-        text_to_decimal("desvio_padrao_despesas").alias("desvio_padrao"),
-    )
-    rejects = stg.filter(F.col("razao_social").isNull()).withColumn("reject_reason", F.lit("null_name"))
-    return Load(rows, rejects)
+    """``despesas_agregadas`` load (Q15): text -> DECIMAL(18,2) (half-up).
+    Rows without a name, or with a figure that is no number of that type, are
+    rejected with all their reasons."""
+    figures = {"total_despesas": "valor_total", "media_trimestral": "media_trimestral", "desvio_padrao_despesas": "desvio_padrao"}
+    typed = stg.select("*", *[text_to_decimal(c).alias(f"_{c}") for c in figures])
+    bad = ", ".join(f"CASE WHEN {c} IS NOT NULL AND _{c} IS NULL THEN 'bad_{c}' END" for c in figures)
+    tagged = typed.withColumn("reject_reason", F.expr(
+        f"nullif(concat_ws(';', CASE WHEN razao_social IS NULL THEN 'null_name' END, {bad}), '')"))
+    rows = tagged.where("reject_reason IS NULL").select(
+        "razao_social", "uf", *[F.col(f"_{c}").alias(name) for c, name in figures.items()])
+    return Load(rows, tagged.where("reject_reason IS NOT NULL").drop(*[f"_{c}" for c in figures]))

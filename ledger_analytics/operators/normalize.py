@@ -14,7 +14,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import sql_ident, normalize_header, parse_locale_decimal, text_to_long
+from ..functions.urls import file_stem
+from ..functions.text import normalize_header, parse_locale_decimal, sql_ident, strip_sql, text_to_long
 
 # Header rules in priority order (the first rule whose any
 # substring occurs in the upper-cased header decides the canonical name).
@@ -34,7 +35,7 @@ EXPENSE_ACCOUNT_PREFIX = "411"
 OUTPUT_COLUMNS = ("REGISTRO_OPERADORA", "DATA_BASE", "CODIGO_CONTABIL", "DESCRICAO",
                   "V_INICIAL", "V_FINAL", "VALOR_DESPESAS")
 
-LINEAGE = ("source_file",)
+LINEAGE = ("source_file", "source_path", "_corrupt_record")
 
 
 def normalize_headers(df: DataFrame, keep: Iterable[str] = LINEAGE) -> DataFrame:
@@ -86,56 +87,50 @@ def harmonize_columns(df: DataFrame, rules=CANONICAL_RULES, keep: Iterable[str]
 
 def filter_account_prefix(df: DataFrame, code_col: str = "CODIGO_CONTABIL",
                           prefix: str = EXPENSE_ACCOUNT_PREFIX) -> DataFrame:
-    """Trim the code (P6) and keep codes starting with ``prefix`` (F1)."""
-    c = sql_ident(code_col)
-    return df.withColumn(code_col, F.expr(f"trim(CAST({c} AS STRING))")) \
+    """Strip all white space around the code (P6) and keep codes starting with ``prefix`` (F1)."""
+    return df.withColumn(code_col, F.expr(strip_sql(f"CAST({sql_ident(code_col)} AS STRING)"))) \
         .where(F.col(code_col).startswith(prefix))
 
 
 def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "REGISTRO_OPERADORA"),
                   code_col: str = "CODIGO_CONTABIL",
-                  tie_order: Sequence[str] = ("DATA_BASE", "V_INICIAL", "V_FINAL"),
-                  keep_ties: bool = False, min_code_length: int = 1) -> DataFrame:
+                  tie_order: Sequence[str] = ("DATA_BASE", "V_INICIAL", "V_FINAL", "DESCRICAO"),
+                  keep_ties: bool = False, split_length: int = 4) -> DataFrame:
     """Keep leaf accounts only (W1): within a group (one file, one
     operator), drop a row when another code of the group extends its code.
 
-    Sorted byte-wise, every code with prefix *p* directly follows *p*, so
-    "the next code starts with mine" equals "some other code has my code as
-    a strict prefix".  That is decided per (group, code) instead of per
-    group: every row also emits a marker for each proper prefix of its
-    code, and a (group, code) key that received a marker is a parent.  The
-    work is split by code, so a group holding a large share of the rows is
-    not handled by a single task.
-
-    Equal codes in a group (D2): the earlier of two equal codes counts as
-    the parent of the later one, so one row per code survives: the last in
-    ``tie_order`` (NULLs first).  Rows and markers are ranked per key with
-    markers first and ``row_number() == 1`` is kept if it is a row; Spark
-    plans this with a partial WindowGroupLimit before the shuffle, so each
-    map task sends at most one row per key - one scan, one shuffle, and a
-    hot key cannot pile up.  ``keep_ties=True`` keeps all equal rows (anti
-    join against the distinct marker set).  Rows with a NULL group key or
-    code are dropped (D16).
+    Sorted byte-wise, the codes that extend *p* directly follow *p*, so a
+    code is a parent exactly when the next distinct code starts with it.
+
+    * Equal codes in a group (D2): one row per code survives, the last in
+      ``tie_order`` (NULLs first).  ``row_number() == 1`` per code is
+      planned with a partial WindowGroupLimit, so each map task sends at
+      most one row per code.  ``keep_ties=True`` keeps all equal rows.
+    * "Next" is a ``lead`` over (group, first ``split_length`` characters),
+      so a group with a large share of the rows is not one task's work.  A
+      code shorter than that may be extended in another part: the first code
+      of each part (few, whatever the group's size) looks at the next part's
+      leading characters in a second window.
+
+    Rows with a NULL group key or code are dropped (D16).
     """
     keys = [*group_cols, code_col]
     clean = df.where(" AND ".join(f"{sql_ident(k)} IS NOT NULL" for k in keys))
+    head = [*group_cols, "_head"]
+    clean = clean.withColumn("_head", F.substring(code_col, 1, split_length))
+    once = Window.partitionBy(*head, code_col).orderBy(*[F.col(x).desc_nulls_last() for x in tie_order if x in df.columns] or [F.lit(0)])
+    codes = clean.select(*head, code_col).distinct() if keep_ties else \
+        clean.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").drop("_nth")
+    within = Window.partitionBy(*head).orderBy(code_col)
+    placed = codes.withColumn("_next", F.lead(code_col).over(within)).withColumn("_place", F.row_number().over(within))
+    firsts = Window.partitionBy(*group_cols, F.expr("CASE WHEN _place = 1 THEN '' ELSE _head END")).orderBy("_head")
     c = sql_ident(code_col)
-    m = max(int(min_code_length), 1)
-    proper_prefixes = (f"filter(transform(sequence({m}, greatest(length({c}) - 1, {m})), "
-                       f"i -> named_struct('_k', substr({c}, 1, i), '_m', true)), e -> length(e._k) < length({c}))")
+    leaves = placed.withColumn("_next_head", F.lead("_head").over(firsts)).where(
+        f"NOT coalesce(startswith(_next, {c}), false) "
+        f"AND NOT (length({c}) < {split_length} AND coalesce(startswith(_next_head, {c}), false))")
     if keep_ties:
-        markers = clean.selectExpr(*[sql_ident(g) for g in group_cols], f"explode(transform({proper_prefixes}, e -> e._k)) AS {c}")
-        return clean.join(markers.distinct(), keys, "left_anti")
-    payload = [x for x in clean.columns if x not in keys]
-    # one pass: each row becomes itself plus one marker per proper prefix
-    entries = clean.selectExpr(*[sql_ident(x) for x in [*group_cols, *payload]],
-                               f"explode(concat(array(named_struct('_k', {c}, '_m', false)), {proper_prefixes})) AS _e")
-    flat = entries.selectExpr(*[sql_ident(g) for g in group_cols], f"_e._k AS {c}", "_e._m AS _marker",
-                              *[f"CASE WHEN NOT _e._m THEN {sql_ident(x)} END AS {sql_ident(x)}" for x in payload])
-    w = Window.partitionBy(*keys).orderBy(F.col("_marker").desc(),
-                                          *[F.col(x).desc_nulls_last() for x in tie_order])
-    ranked = flat.withColumn("_rn", F.row_number().over(w))
-    return ranked.where("_rn = 1 AND NOT _marker").select(*clean.columns)
+        return clean.join(leaves.select(*keys), keys, "left_semi").select(*df.columns)
+    return leaves.select(*df.columns)
 
 
 def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
@@ -166,10 +161,13 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
             df = df.withColumn(c, F.lit(None).cast("string"))
     if "source_file" not in df.columns:
         df = df.withColumn("source_file", F.lit(None).cast("string"))
-    leaves = leaf_accounts(df, keep_ties=keep_ties, min_code_length=len(prefix))
+    # files are told apart by their path: base names may repeat
+    by_path = "source_path" in df.columns
+    leaves = leaf_accounts(df, ("source_path" if by_path else "source_file", "REGISTRO_OPERADORA"),
+                           keep_ties=keep_ties, split_length=len(prefix) + 1)
     out = leaves.withColumn("VALOR_DESPESAS", (F.col("V_FINAL") - F.col("V_INICIAL")).cast("decimal(18,2)")) \
         .filter(F.col("VALOR_DESPESAS") != 0)
-    return out.select("source_file", *OUTPUT_COLUMNS)
+    return out.select("source_file", *(["source_path"] if by_path else []), *OUTPUT_COLUMNS)
 
 
 REQUIRED_COLUMNS = ("REGISTRO_OPERADORA", "CODIGO_CONTABIL", "V_INICIAL", "V_FINAL")
@@ -198,3 +196,25 @@ def dropped_null_operator(lines: DataFrame) -> DataFrame:
     df = harmonize_columns(normalize_headers(lines))
     return filter_account_prefix(df).filter(text_to_long("REGISTRO_OPERADORA").isNull()) \
         .withColumn("reject_reason", F.lit("null_operator"))
+
+
+def overflowing_amounts(lines: DataFrame) -> DataFrame:
+    """Account lines with a balance that is a number but beyond the amount type (P5), for the quarantine.
+    :func:`normalize_accounts` gives them no measure."""
+    df = filter_account_prefix(harmonize_columns(normalize_headers(lines)))
+    beyond = [F.col(c).isNotNull() & parse_locale_decimal(c).isNull() for c in ("V_INICIAL", "V_FINAL")]
+    return df.where(beyond[0] | beyond[1]).withColumn("reject_reason", F.lit("amount_overflow"))
+
+
+def expense_or_corrupt(text: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX) -> DataFrame:
+    """Of lines as read: those with an expense account, and those that did not fit their file's header."""
+    if "CODIGO_CONTABIL" not in text.columns:
+        return text
+    kept = filter_account_prefix(text.where("_corrupt_record IS NULL"), prefix=prefix)
+    return kept.unionByName(text.where("_corrupt_record IS NOT NULL"))
+
+
+def source_id(path_col: str = "source_path"):
+    """Partition value of a file: its stem as a label, and a digest of its path, so that files with one name
+    in two folders stay apart."""
+    return F.concat(file_stem(path_col), F.lit("-"), F.substring(F.md5(path_col), 1, 12))

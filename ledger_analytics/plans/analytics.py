@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .strategy import MAX_PERIODS, broadcast_bounded, join_small
-
 KEY = "cod_operadora"
 
 
@@ -26,17 +24,6 @@ def _dbl(c) -> Column:
 
 # ----------------------------------------------------------------- Q1
 
-def _smallest(df: DataFrame, value: str, k: int, descending: bool = False) -> DataFrame:
-    """Per operator, the k rows with the smallest (or largest) value.
-
-    ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit
-    before the shuffle, so a hot operator sends at most k rows per map task.
-    """
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    w = Window.partitionBy(KEY).orderBy(order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-
-
 def top_growth(despesas: DataFrame, operadoras: DataFrame, first_year: int, first_quarter: int,
                last_year: int | None = None, last_quarter: int = 3, k: int = 5) -> DataFrame:
     """Top-k percentage growth of the expense between two periods (Q1).
@@ -52,28 +39,34 @@ def top_growth(despesas: DataFrame, operadoras: DataFrame, first_year: int, firs
     last values), and for a fixed last value it is monotone in the first
     value (keep the k smallest and the k largest first values).  At most
     2k*k pairs per operator are formed, and the result is the same.
+
+    One scan ranks both periods: a first-period row enters the ``low`` and the
+    ``high`` ranking, a last-period row the ``last`` one, and ``row_number()
+    <= k`` per (operator, ranking) is planned with a partial
+    WindowGroupLimit.  A second scan counts the first-period rows, which
+    tells the rows that are in both rankings.
     """
     last_year = first_year if last_year is None else last_year
-    cols = [KEY, "valor_despesa"]
-    first = despesas.filter((F.col("ano") == first_year) & (F.col("trimestre") == first_quarter)
-                            & (F.col("valor_despesa") > 0)).select(*cols)
-    last = despesas.filter((F.col("ano") == last_year) & (F.col("trimestre") == last_quarter)).select(*cols)
-
-    n_first = first.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-    lo = _smallest(first, "valor_despesa", k).drop("_rn")
-    hi = (_smallest(first, "valor_despesa", k, descending=True)
-          .join(n_first, KEY)
-          # rows already among the k smallest are not taken twice
-          .filter(F.col("_n") - F.col("_rn") + 1 > k)
-          .drop("_rn", "_n"))
-    cand_first = lo.unionByName(hi).withColumnRenamed("valor_despesa", "valor_inicial")
-    cand_last = _smallest(last, "valor_despesa", k, descending=True).drop("_rn") \
-        .withColumnRenamed("valor_despesa", "valor_final")
-
-    pairs = cand_first.join(cand_last, KEY).join(operadoras.select(KEY, "razao_social"), KEY)
+    is_first = f"(ano = {int(first_year)} AND trimestre = {int(first_quarter)} AND valor_despesa > 0)"
+    is_last = f"(ano = {int(last_year)} AND trimestre = {int(last_quarter)})"
+    entries = despesas.where(f"{is_first} OR {is_last}").selectExpr(
+        KEY, f"""explode(filter(array(
+            CASE WHEN {is_first} THEN named_struct('rank', 'low', 'v', valor_despesa, 'o', valor_despesa) END,
+            CASE WHEN {is_first} THEN named_struct('rank', 'high', 'v', valor_despesa, 'o', -valor_despesa) END,
+            CASE WHEN {is_last} THEN named_struct('rank', 'last', 'v', valor_despesa, 'o', -valor_despesa) END), e -> e IS NOT NULL)) AS e""")
+    entries = entries.selectExpr(KEY, "e.rank AS rank", "e.v AS v", "e.o AS o")
+    w = Window.partitionBy(KEY, "rank").orderBy("o")
+    best = entries.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    few = best.groupBy(KEY).agg(F.collect_list(F.struct("rank", "v", "_rn")).alias("e"))  # 3k entries at most
+    n_first = despesas.where(is_first).groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = few.join(n_first, KEY).selectExpr(
+        KEY, f"""explode(flatten(transform(
+            filter(e, x -> x.rank = 'low' OR (x.rank = 'high' AND _n - x._rn + 1 > {int(k)})),
+            a -> transform(filter(e, x -> x.rank = 'last'), b -> named_struct('a', a.v, 'b', b.v))))) AS p"""
+    ).selectExpr(KEY, "p.a AS valor_inicial", "p.b AS valor_final")
     growth = ((_dbl("valor_final") - _dbl("valor_inicial")) / F.nullif(_dbl("valor_inicial"), F.lit(0.0))) * 100
-    return (pairs.select(KEY, "razao_social", "valor_inicial", "valor_final",
-                         growth.alias("crescimento_percentual"))
+    return (pairs.join(operadoras.select(KEY, "razao_social"), KEY)
+            .select(KEY, "razao_social", "valor_inicial", "valor_final", growth.alias("crescimento_percentual"))
             .orderBy(F.col("crescimento_percentual").desc_nulls_last(), F.col(KEY))
             .limit(k)
             .drop(KEY))
@@ -116,17 +109,28 @@ def period_means(despesas: DataFrame) -> DataFrame:
     )
 
 
-def above_mean_quarters(despesas: DataFrame, operadoras: DataFrame, min_quarters: int = 2) -> DataFrame:
+def above_mean_quarters(despesas: DataFrame, operadoras: DataFrame, min_quarters: int = 2,
+                        by_key: bool = False) -> DataFrame:
     """Operators whose expense is above the mean of its period in at least
-    ``min_quarters`` rows, grouped by name (Q3, D7: same-named operators
-    merge and rows are counted).
+    ``min_quarters`` rows (Q3).  Grouped by name, as the source does:
+    same-named operators merge and rows are counted; ``by_key`` keeps the
+    operators apart and counts distinct quarters (D7).
 
     ``value > sum / n`` is tested as ``value * n > sum`` in exact decimals.
-    The period table has one row per (year, quarter), so it is broadcast.
+    The period table is small, which AQE sees from its measured size.
     """
-    means = broadcast_bounded(period_means(despesas), MAX_PERIODS, "one row per (ano, trimestre)")
+    means = period_means(despesas)
     above = (despesas.join(means, ["ano", "trimestre"])
              .filter(F.col("valor_despesa") * F.col("_period_n").cast("decimal(20,0)") > F.col("_period_sum")))
+    if by_key:
+        per_period = above.groupBy(KEY, "ano", "trimestre").agg(F.sum("valor_despesa").alias("_s"))
+        per_op = per_period.groupBy(KEY).agg(F.count(F.lit(1)).alias("trimestres_acima_da_media"),
+                                             F.sum("_s").alias("despesa_acumulada_nos_periodos"))
+        return (per_op.filter(F.col("trimestres_acima_da_media") >= min_quarters)
+                .join(operadoras.select(KEY, "razao_social"), KEY)
+                .select(KEY, "razao_social", "trimestres_acima_da_media", "despesa_acumulada_nos_periodos")
+                .orderBy(F.col("trimestres_acima_da_media").desc(),
+                         F.col("despesa_acumulada_nos_periodos").desc(), F.col(KEY)))
     per_op = above.groupBy(KEY).agg(F.count(F.lit(1)).alias("_c"), F.sum("valor_despesa").alias("_s"))
     joined = per_op.join(operadoras.select(KEY, "razao_social"), KEY)
     return (joined.groupBy("razao_social")
@@ -171,15 +175,17 @@ def operators_page(operadoras: DataFrame, page: int = 1, limit: int = 10) -> Dat
 
     Offset paging sorts ``offset + limit`` rows per partition; for deep
     pages use :func:`operators_after`.  The total is a scalar subquery, so
-    no join is needed to attach it.
+    no join is needed to attach it.  A page past the end is one row with the
+    total and no operator.
     """
     if page < 1 or limit < 1:
         raise ValueError("page and limit must be >= 1")
     total = operadoras.select(F.count(F.lit(1))).scalar()
-    return (operadoras.orderBy(KEY).offset((page - 1) * limit).limit(limit)
-            .withColumn("total", total)
-            .withColumn("page", F.lit(page))
-            .withColumn("limit", F.lit(limit)))
+    start = (page - 1) * limit
+    rows = operadoras.orderBy(KEY).offset(start).limit(limit).withColumn("total", total)
+    counted = operadoras.agg(F.count(F.lit(1)).alias("total")).where(F.col("total") <= start)
+    none = counted.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in operadoras.schema.fields], "total")
+    return rows.unionByName(none).withColumn("page", F.lit(page)).withColumn("limit", F.lit(limit))
 
 
 def operators_after(operadoras: DataFrame, last_key: int | None, limit: int = 10) -> DataFrame:
@@ -198,5 +204,5 @@ def operator_by_cnpj(operadoras: DataFrame, cnpj: str) -> DataFrame:
 def expense_history(despesas: DataFrame, operadoras: DataFrame, cnpj: str) -> DataFrame:
     """Expense rows of the operator(s) with this tax id, newest first (Q7)."""
     keys = operadoras.filter(F.col("cnpj") == F.lit(cnpj)).select(KEY)
-    rows = join_small(despesas, keys, KEY)
+    rows = despesas.join(keys, KEY)
     return rows.select(*despesas.columns).orderBy(F.col("ano").desc(), F.col("trimestre").desc())

@@ -11,16 +11,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import consolidate as C
 from ..operators import load as L
 from ..operators.aggregate import expense_report
-from ..functions.urls import file_stem
-from ..operators.normalize import dropped_null_operator, harmonize_file_group, normalize_accounts
+from ..operators.normalize import (
+    dropped_null_operator, expense_or_corrupt, harmonize_file_group, normalize_accounts, overflowing_amounts, source_id,
+)
 from ..operators.validate import split_valid
-from ..sinks.files import export_csv, write_if_any, write_parquet
+from ..sinks.files import export_csv, write_rejects, write_parquet
 from ..sources.archives import extract_archives
 from ..sources.files import read_delimited, read_registry
 
@@ -46,13 +48,15 @@ def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: st
     """The batch flow of the source application, stage by stage.
 
     ``archives_dir`` (optional): ZIP files to extract into ``raw_dir``
-    first.  Outputs under ``out_dir``: ``normalized/`` (by source file),
-    ``quarantine/null_operator/`` (D16), ``invalid_dates/``,
+    first.  Outputs under ``out_dir``: ``lines/`` (expense lines as text),
+    ``normalized/`` (by source file), ``quarantine/`` (null_operator D16,
+    amount_overflow, corrupt_lines, corrupt_registry, skipped_files),
+    ``invalid_dates/``,
     ``reports/unmatched_registry/`` (J8), ``consolidated/`` (by Ano,
     Trimestre), ``validation_errors/``, ``clean/``, ``aggregated/`` and,
     with ``export``, gzip CSV copies of the consolidated and aggregated
-    stages.  Quarantines and reports are written only when they have rows;
-    files skipped for unusable headers are listed in ``skipped_files``.
+    stages.  Quarantines and reports are replaced by every run (``written``
+    tells which have rows); ``skipped_files`` lists the files left out.
     """
     out = out_dir.rstrip("/")
     res = BatchResult()
@@ -62,25 +66,38 @@ def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: st
         res.paths["archive_status"] = f"{out}/archive_status"
 
     skipped: list = []
-    lines = read_delimited(spark, raw_dir, per_group=harmonize_file_group, skipped=skipped)
+    text = read_delimited(spark, raw_dir, per_group=harmonize_file_group, skipped=skipped)
     res.skipped_files = skipped
-    normalized = normalize_accounts(lines).withColumn("source_stem", file_stem("source_file"))
-    write_parquet(normalized, f"{out}/normalized", partition_by=["source_stem"])
+    res.written["skipped_files"] = write_rejects(
+        spark.createDataFrame(skipped, "path string, reason string"), f"{out}/quarantine/skipped_files")
+    # the text is parsed once: expense lines and lines that did not fit their header are one stage
+    write_parquet(expense_or_corrupt(text), f"{out}/lines")
+    lines = spark.read.parquet(f"{out}/lines")
+    res.paths["lines"] = f"{out}/lines"
+    res.written["corrupt_lines"] = write_rejects(
+        lines.where("_corrupt_record IS NOT NULL").select("source_path", "_corrupt_record"), f"{out}/quarantine/corrupt_lines")
+    lines = lines.where("_corrupt_record IS NULL")
+    normalized = normalize_accounts(lines).withColumn("source_id", source_id())
+    write_parquet(normalized, f"{out}/normalized", partition_by=["source_id"])
     res.paths["normalized"] = f"{out}/normalized"
-    res.written["null_operator"] = write_if_any(dropped_null_operator(lines), f"{out}/quarantine/null_operator")
+    res.written["null_operator"] = write_rejects(dropped_null_operator(lines), f"{out}/quarantine/null_operator")
+    res.written["amount_overflow"] = write_rejects(overflowing_amounts(lines), f"{out}/quarantine/amount_overflow")
 
     registry = read_registry(spark, registry_path)
-    stage = spark.read.parquet(f"{out}/normalized").drop("source_stem")
+    res.written["corrupt_registry"] = write_rejects(
+        registry.where("_corrupt_record IS NOT NULL"), f"{out}/quarantine/corrupt_registry")
+    registry = registry.where("_corrupt_record IS NULL").drop("_corrupt_record")
+    stage = spark.read.parquet(f"{out}/normalized").drop("source_id")
     cons = C.consolidate(stage, registry, on_unmatched=on_unmatched)
-    res.written["invalid_dates"] = write_if_any(cons.invalid_dates, f"{out}/invalid_dates")
-    res.written["unmatched_registry"] = write_if_any(C.unmatched_lines(stage, registry),
+    res.written["invalid_dates"] = write_rejects(cons.invalid_dates, f"{out}/invalid_dates")
+    res.written["unmatched_registry"] = write_rejects(C.unmatched_lines(stage, registry),
                                                      f"{out}/reports/unmatched_registry")
     write_parquet(cons.consolidated, f"{out}/consolidated", partition_by=["Ano", "Trimestre"])
     res.paths["consolidated"] = f"{out}/consolidated"
 
     consolidated = spark.read.parquet(f"{out}/consolidated")
     valid, invalid = split_valid(consolidated)
-    res.written["validation_errors"] = write_if_any(invalid, f"{out}/validation_errors")
+    res.written["validation_errors"] = write_rejects(invalid, f"{out}/validation_errors")
     write_parquet(valid, f"{out}/clean")
     res.paths["clean"] = f"{out}/clean"
 
@@ -109,28 +126,41 @@ def registry_as_staging(registry: DataFrame) -> DataFrame:
     return registry.select(*cols)
 
 
+def _table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def load_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataFrame, aggregated: DataFrame,
                      out_dir: str) -> dict[str, str]:
     """Typed loads (Q13–Q15) into Parquet tables under ``out_dir``:
-    ``operadoras`` (dense key), ``despesas_consolidadas`` partitioned by
+    ``operadoras`` (dense key, appended to), ``despesas_consolidadas`` partitioned by
     (ano, trimestre), ``despesas_agregadas``, plus the reject sets.
     ``stg_operators`` is the staging layout (:func:`registry_as_staging`
     or a positional :func:`~ledger_analytics.sources.files.read_staging`)."""
     out = out_dir.rstrip("/")
-    ops = L.load_operators(stg_operators)
-    write_parquet(ops.rows, f"{out}/operadoras")
-    write_if_any(ops.rejects, f"{out}/rejects/operadoras")
-    dim = spark.read.parquet(f"{out}/operadoras")
+    # operators that are there keep their key, new ones are appended: facts of earlier loads stay right
+    path = f"{out}/operadoras"
+    existing = _table_if_any(spark, path)
+    ops = L.load_operators(stg_operators, existing)
+    write_parquet(ops.rows, path, mode="overwrite" if existing is None else "append")
+    write_rejects(ops.rejects, f"{out}/rejects/operadoras")
+    dim = spark.read.parquet(path)
 
     stg_exp = staged_text(clean).toDF(*[c.lower() for c in clean.columns]) \
         .withColumnRenamed("valordespesas", "valor_despesas").withColumnRenamed("razaosocial", "razao_social") \
         .withColumnRenamed("registroans", "registro_ans")
     facts = L.load_expenses(stg_exp, dim)
     write_parquet(facts.rows, f"{out}/despesas_consolidadas", partition_by=["ano", "trimestre"])
-    write_if_any(facts.rejects, f"{out}/rejects/despesas_consolidadas")
+    write_rejects(facts.rejects, f"{out}/rejects/despesas_consolidadas")
 
     stg_agg = staged_text(aggregated).toDF(*STG_AGGREGATE_COLUMNS)
     aggs = L.load_aggregates(stg_agg)
     write_parquet(aggs.rows, f"{out}/despesas_agregadas")
+    write_rejects(aggs.rejects, f"{out}/rejects/despesas_agregadas")
     return {"operadoras": f"{out}/operadoras", "despesas_consolidadas": f"{out}/despesas_consolidadas",
             "despesas_agregadas": f"{out}/despesas_agregadas"}

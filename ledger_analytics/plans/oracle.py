@@ -10,10 +10,11 @@ dates as ISO text.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from ..functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND
-from ..functions.urls import HREF_PATTERN, QUOTES_PATTERN
-from .registry import (GROWTH_PERIOD, LINK_NEEDLE, LOOKUP_CNPJ, NOT_NULL_COLUMNS, PAGE, PAGE_SIZE,
-                       WALK_FILES, WIDTH_LIMITS)
+from .registry import (AFTER_KEY, GROWTH_PERIOD, LINK_NEEDLE, LOOKUP_CNPJ, NOT_NULL_COLUMNS, PAGE, PAGE_SIZE,
+                       PAST_PAGE, WALK_FILES, WIDTH_LIMITS)
 
 
 def _terms(col: str, weights, extra: str = "") -> str:
@@ -34,22 +35,18 @@ def _half_up_cents(cents: str, den: str) -> str:
 _W2_12 = WEIGHTS_SECOND[:12]
 
 
-def _numeric_entities(x: str) -> str:
-    """DuckDB: decode &#NNN; and &#xHH; (valid code points only)."""
-    dec = "regexp_extract(p, '^([0-9]{1,7});', 1)"
-    hx = "regexp_extract(p, '^[xX]([0-9a-fA-F]{1,6});', 1)"
-
-    def ok(cp):
-        return f"({cp} BETWEEN 1 AND 55295 OR {cp} BETWEEN 57344 AND 1114111)"
-    d_cp = f"TRY_CAST({dec} AS INTEGER)"
-    h_cp = f"TRY_CAST(('0x' || {hx}) AS INTEGER)"
-    part = (f"CASE WHEN regexp_matches(p, '^[0-9]{{1,7}};') AND {ok(d_cp)} THEN chr({d_cp}) "
-            f"|| substr(p, length({dec}) + 2) "
-            f"WHEN regexp_matches(p, '^[xX][0-9a-fA-F]{{1,6}};') AND {ok(h_cp)} THEN chr({h_cp}) "
-            f"|| substr(p, length({hx}) + 3) "
-            "ELSE '&#' || p END")
-    return (f"(string_split({x}, '&#')[1] || array_to_string(list_transform(string_split({x}, '&#')[2:], "
-            f"lambda p: {part}), ''))")
+def _entities(x: str) -> str:
+    """DuckDB: decode numeric and named entities, each once."""
+    def char(cp):
+        return f"CASE WHEN {cp} BETWEEN 1 AND 55295 OR {cp} BETWEEN 57344 AND 1114111 THEN chr({cp}) END"
+    names = ", ".join(f"'{n}': {cp}" for n, cp in sorted({**name2codepoint, "apos": 39}.items()))
+    kinds = (("^#([0-9]{1,7});(.*)$", "TRY_CAST(regexp_extract(p, '@', 1, 's') AS INTEGER)"),
+             ("^#[xX]([0-9a-fA-F]{1,6});(.*)$", "TRY_CAST(('0x' || regexp_extract(p, '@', 1, 's')) AS INTEGER)"),
+             ("^([A-Za-z][A-Za-z0-9]*);(.*)$", "(MAP {" + names + "})[regexp_extract(p, '@', 1, 's')]"))
+    decoded = ", ".join(f"CASE WHEN regexp_matches(p, '{pat}', 's') THEN {char(cp.replace('@', pat))} || "
+                        f"regexp_extract(p, '{pat}', 2, 's') END" for pat, cp in kinds)
+    parts = f"string_split({x}, '&')"
+    return f"({parts}[1] || array_to_string(list_transform({parts}[2:], lambda p: coalesce({decoded}, '&' || p)), ''))"
 
 
 def _dot_free(path: str) -> str:
@@ -64,7 +61,7 @@ def _dot_free(path: str) -> str:
 # name -> (body, dependencies); bodies may only use earlier names.
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "op_b": ("SELECT c_custkey, c_mktsegment, c_nationkey, "
-             "lpad(CAST(c_custkey*7919+1000001 AS VARCHAR),12,'0') AS base FROM customer", ()),
+             "lpad(CAST((c_custkey::BIGINT*7919+1000001) % 1000000000000 AS VARCHAR),12,'0') AS base FROM customer", ()),
     "op_d": (f"SELECT *, {_terms('base', WEIGHTS_FIRST)}%11 AS r1 FROM op_b", ("op_b",)),
     "op_e": ("SELECT *, CASE WHEN r1<2 THEN 0 ELSE 11-r1 END AS d1 FROM op_d", ("op_d",)),
     "op_g": (f"SELECT *, {_terms('base', _W2_12, '+d1*2')}%11 AS r2 FROM op_e", ("op_e",)),
@@ -175,14 +172,14 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "sa_g": ("SELECT razao_social, uf, SUM(valor_despesa) AS s, COUNT(valor_despesa) AS n, MAX(valor_despesa) AS mx, "
              "MIN(valor_despesa) AS mn FROM despesas d JOIN operadoras o ON o.cod_operadora=d.cod_operadora "
              "GROUP BY razao_social, uf", ("despesas", "operadoras")),
-    "pl_x": (f"SELECT page_id, url, list_transform(regexp_extract_all(html, '{_q(HREF_PATTERN)}', 1), "
-             f"lambda x: regexp_replace(x, '{_q(QUOTES_PATTERN)}', '', 'g')) AS hs FROM pages", ()),
-    "pl_u": ("SELECT page_id, url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, unnest(hs) AS raw FROM pl_x",
-             ("pl_x",)),
-    "pl": ("SELECT page_id, pos, replace(replace(replace(replace(replace("
-           + _numeric_entities("raw")
-           + ",'&lt;','<'),'&gt;','>'),'&quot;','\"'),'&apos;',''''),'&amp;','&') AS href, url FROM pl_u",
-           ("pl_u",)),
+    # tags first, then the href of each: other patterns than the library's
+    "pl_t": ("SELECT page_id, url, list_filter(list_transform(regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), "
+             "'(?i)<a\\s(?:\"[^\"]*\"|''[^'']*''|[^\"''>])*>'), "
+             "lambda t: nullif(regexp_extract(t, '(?i)\\shref\\s*=\\s*(\"[^\"]*\"|''[^'']*''|[^\\s\"''>]+)', 1), '')), "
+             "lambda h: h IS NOT NULL) AS hs FROM pages", ()),
+    "pl_u": ("SELECT page_id, url, CAST(unnest(range(len(hs))) AS INTEGER) AS pos, "
+             "trim(trim(unnest(hs), '\"''')) AS raw FROM pl_t", ("pl_t",)),
+    "pl": (f"SELECT page_id, pos, {_entities('raw')} AS href, url FROM pl_u WHERE raw <> ''", ("pl_u",)),
     "pl_parts": (
         "SELECT *, regexp_extract(href, '^[^?#]*', 0) AS hpath, "
         "substr(href, length(regexp_extract(href, '^[^?#]*', 0)) + 1) AS hrest, "
@@ -242,27 +239,28 @@ _FY, _FQ, _LQ, _K = (GROWTH_PERIOD["first_year"], GROWTH_PERIOD["first_quarter"]
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["top_growth"] = with_ctes(
-        f"SELECT o.razao_social, {_D('q1.valor_despesa')} AS valor_inicial, {_D('q3.valor_despesa')} AS valor_final, "
-        f"(({_D('q3.valor_despesa')} - {_D('q1.valor_despesa')}) / NULLIF({_D('q1.valor_despesa')}, 0)) * 100 "
-        "AS crescimento_percentual "
-        f"FROM (SELECT cod_operadora, valor_despesa FROM despesas WHERE ano={_FY} AND trimestre={_FQ}) q1 "
-        f"JOIN (SELECT cod_operadora, valor_despesa FROM despesas WHERE ano={_FY} AND trimestre={_LQ}) q3 "
-        "ON q1.cod_operadora = q3.cod_operadora JOIN operadoras o ON q1.cod_operadora = o.cod_operadora "
-        f"WHERE q1.valor_despesa > 0 ORDER BY crescimento_percentual DESC, q1.cod_operadora LIMIT {_K}",
+        f"SELECT n.razao_social, {_D('t.a')} AS valor_inicial, {_D('t.b')} AS valor_final, "
+        f"({_D('t.b')} - {_D('t.a')}) / {_D('t.a')} * 100 AS crescimento_percentual FROM (SELECT cod_operadora, "
+        f"sum(valor_despesa) FILTER (WHERE trimestre={_FQ}) AS a, sum(valor_despesa) FILTER (WHERE trimestre={_LQ}) AS b "
+        f"FROM despesas WHERE ano={_FY} GROUP BY cod_operadora) t JOIN operadoras n USING (cod_operadora) "
+        f"WHERE t.a > 0 AND t.b IS NOT NULL ORDER BY 4 DESC, cod_operadora LIMIT {_K}",
         "despesas", "operadoras")
     q["state_distribution"] = with_ctes(
-        f"SELECT o.uf, {_D('SUM(d.valor_despesa)')} AS despesa_total, COUNT(DISTINCT o.cod_operadora) AS total_operadoras, "
-        f"{_D('SUM(d.valor_despesa)')} / COUNT(DISTINCT o.cod_operadora) AS media_por_operadora "
-        "FROM despesas d JOIN operadoras o ON d.cod_operadora = o.cod_operadora GROUP BY o.uf "
-        "ORDER BY SUM(d.valor_despesa) DESC, o.uf LIMIT 5", "despesas", "operadoras")
+        f"SELECT uf, {_D('sum(total)')} AS despesa_total, count(*) AS total_operadoras, "
+        f"{_D('sum(total)')} / count(*) AS media_por_operadora FROM (SELECT cod_operadora, sum(valor_despesa) AS total "
+        "FROM despesas GROUP BY cod_operadora) JOIN operadoras USING (cod_operadora) GROUP BY uf "
+        "ORDER BY sum(total) DESC, uf LIMIT 5", "despesas", "operadoras")
+    over = ("(SELECT cod_operadora, ano, trimestre, valor_despesa, avg(valor_despesa) OVER (PARTITION BY ano, trimestre) AS usual "
+            "FROM despesas)")
     q["above_mean_quarters"] = with_ctes(
-        "SELECT o.razao_social, COUNT(*) AS trimestres_acima_da_media, "
-        f"{_D('SUM(oa.valor_despesa)')} AS despesa_acumulada_nos_periodos "
-        "FROM (SELECT d.cod_operadora, d.valor_despesa FROM despesas d JOIN "
-        "(SELECT ano, trimestre, AVG(valor_despesa) AS media_periodo FROM despesas GROUP BY ano, trimestre) m "
-        "ON d.ano = m.ano AND d.trimestre = m.trimestre WHERE d.valor_despesa > m.media_periodo) oa "
-        "JOIN operadoras o ON oa.cod_operadora = o.cod_operadora GROUP BY o.razao_social HAVING COUNT(*) >= 2 "
-        "ORDER BY trimestres_acima_da_media DESC, despesa_acumulada_nos_periodos DESC", "despesas", "operadoras")
+        f"SELECT razao_social, count(*) AS trimestres_acima_da_media, {_D('sum(valor_despesa)')} "
+        f"AS despesa_acumulada_nos_periodos FROM {over} JOIN operadoras USING (cod_operadora) WHERE valor_despesa > usual "
+        "GROUP BY razao_social HAVING count(*) > 1", "despesas", "operadoras")
+    q["above_mean_by_operator"] = with_ctes(
+        "SELECT cod_operadora, any_value(razao_social) AS razao_social, count(DISTINCT ano * 10 + trimestre) "
+        f"AS trimestres_acima_da_media, {_D('sum(valor_despesa)')} AS despesa_acumulada_nos_periodos FROM {over} "
+        "JOIN operadoras USING (cod_operadora) WHERE valor_despesa > usual GROUP BY cod_operadora "
+        "HAVING count(DISTINCT ano * 10 + trimestre) > 1", "despesas", "operadoras")
     stats = (f"SELECT o.razao_social AS RazaoSocial, o.uf AS UF, {_D('SUM(d.valor_despesa)')} AS Total_Despesas, "
              f"{_D('SUM(d.valor_despesa)')} / COUNT(d.valor_despesa) AS Media_Trimestral, "
              "ROUND(STDDEV_SAMP(CAST(d.valor_despesa AS DOUBLE)), 2) AS Desvio_Padrao_Despesas "
@@ -275,11 +273,16 @@ def oracle_sql() -> dict[str, str]:
         "SELECT cod_operadora, registro_ans, cnpj, razao_social, modalidade, uf, "
         f"(SELECT COUNT(*) FROM operadoras) AS total, {PAGE} AS page, {PAGE_SIZE} AS \"limit\" "
         f"FROM operadoras ORDER BY cod_operadora LIMIT {PAGE_SIZE} OFFSET {(PAGE - 1) * PAGE_SIZE}", "operadoras")
+    q["operators_page_past_end"] = with_ctes(
+        "SELECT cod_operadora, registro_ans, cnpj, razao_social, modalidade, uf, 0::BIGINT AS total, 0 AS page, 0 AS \"limit\" "
+        f"FROM operadoras WHERE false UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, count(*), {PAST_PAGE}, {PAGE_SIZE} "
+        "FROM operadoras", "operadoras")
+    q["operators_after"] = with_ctes(
+        f"SELECT * FROM operadoras WHERE cod_operadora > {AFTER_KEY} ORDER BY cod_operadora LIMIT {PAGE_SIZE}", "operadoras")
     q["operator_by_cnpj"] = with_ctes(f"SELECT * FROM operadoras WHERE cnpj = '{LOOKUP_CNPJ}'", "operadoras")
     q["expense_history"] = with_ctes(
-        f"SELECT d.cod_operadora, d.ano, d.trimestre, {_D('d.valor_despesa')} AS valor_despesa FROM despesas d "
-        f"JOIN operadoras o ON d.cod_operadora = o.cod_operadora WHERE o.cnpj = '{LOOKUP_CNPJ}' "
-        "ORDER BY d.ano DESC, d.trimestre DESC", "despesas", "operadoras")
+        f"SELECT cod_operadora, ano, trimestre, {_D('valor_despesa')} AS valor_despesa FROM despesas "
+        f"WHERE cod_operadora IN (SELECT cod_operadora FROM operadoras WHERE cnpj = '{LOOKUP_CNPJ}')", "despesas", "operadoras")
     q["leaf_accounts"] = with_ctes(
         "SELECT source_file, REGISTRO_OPERADORA, CODIGO_CONTABIL, strftime(DATA_BASE, '%Y-%m-%d') AS DATA_BASE, "
         f"{_D('V_INICIAL')} AS V_INICIAL, {_D('V_FINAL')} AS V_FINAL FROM raw_accounts a WHERE NOT EXISTS "
@@ -290,8 +293,11 @@ def oracle_sql() -> dict[str, str]:
                  f"{_D('V_FINAL')} AS V_FINAL, {_D('VALOR_DESPESAS')} AS VALOR_DESPESAS")
     q["normalized_accounts"] = with_ctes(f"SELECT {norm_cols} FROM normalized", "normalized")
     q["invalid_dates"] = with_ctes(
-        f"SELECT {norm_cols}, 'invalid_date' AS reject_reason FROM normalized WHERE TRY_CAST(DATA_BASE AS DATE) IS NULL",
-        "normalized")
+        "SELECT n.source_file, n.REGISTRO_OPERADORA AS RegistroANS, n.DATA_BASE, n.CODIGO_CONTABIL, n.DESCRICAO, "
+        f"{_D('n.V_INICIAL')} AS V_INICIAL, {_D('n.V_FINAL')} AS V_FINAL, {_D('n.VALOR_DESPESAS')} AS VALOR_DESPESAS, "
+        "r.CNPJ, r.RAZAO_SOCIAL, x.MODALIDADE, x.UF, 'invalid_date' AS reject_reason FROM normalized n "
+        "LEFT JOIN c_reg1 r ON r.RegistroANS = n.REGISTRO_OPERADORA LEFT JOIN c_reg2 x ON x.CNPJ = r.CNPJ "
+        "WHERE TRY_CAST(n.DATA_BASE AS DATE) IS NULL", "normalized", "c_reg1", "c_reg2")
     cons_cols = (f"CNPJ, RazaoSocial, Trimestre, Ano, {_D('ValorDespesas')} AS ValorDespesas, RegistroANS, "
                  "MODALIDADE, UF")
     q["consolidated_expenses"] = with_ctes(f"SELECT {cons_cols} FROM consolidated", "consolidated")
@@ -309,6 +315,9 @@ def oracle_sql() -> dict[str, str]:
     q["load_operators"] = with_ctes(
         "SELECT cod_operadora, registro_ans, cnpj, razao_social, modalidade, uf, cidade, "
         "CAST(data_registro_ans AS VARCHAR) AS data_registro_ans FROM loaded_operators", "loaded_operators")
+    q["load_operators_incremental"] = with_ctes(
+        "SELECT row_number() OVER (ORDER BY registro_ans % 2, registro_ans) AS cod_operadora, registro_ans, cnpj, razao_social, "
+        "modalidade, uf, cidade, CAST(data_registro_ans AS VARCHAR) AS data_registro_ans FROM lo_f", "lo_f")
     q["load_expenses"] = with_ctes(
         "SELECT o.cod_operadora, TRY_CAST(NULLIF(s.ano,'') AS INTEGER) AS ano, "
         "TRY_CAST(NULLIF(s.trimestre,'') AS INTEGER) AS trimestre, "
@@ -322,6 +331,10 @@ def oracle_sql() -> dict[str, str]:
         f"CAST({_half_up_cents('CAST(s*100 AS HUGEINT)', 'n')} AS DOUBLE) / 100.0 AS media_trimestral, "
         f"CAST({_half_up_cents('CAST((mx-mn)*100 AS HUGEINT)', '2')} AS DOUBLE) / 100.0 AS desvio_padrao "
         "FROM sa_g WHERE uf <> '00'", "sa_g")
+    q["load_aggregates_rejects"] = with_ctes(
+        "SELECT CASE WHEN uf = '00' THEN NULL ELSE razao_social END AS razao_social, uf, CASE uf WHEN '00' THEN 'null_name' "
+        "WHEN '03' THEN 'bad_total_despesas;bad_media_trimestral' ELSE 'bad_media_trimestral' END AS reject_reason "
+        "FROM sa_g WHERE uf IN ('00', '03', '05')", "sa_g")
     q["unmatched_registry"] = with_ctes(
         f"SELECT REGISTRO_OPERADORA, COUNT(*) AS n_linhas, {_D('SUM(VALOR_DESPESAS)')} AS valor_total "
         "FROM normalized n WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE "
@@ -343,6 +356,21 @@ def oracle_sql() -> dict[str, str]:
     q["locale_number_parse"] = (
         "SELECT o_orderkey, CAST(CASE WHEN o_orderkey%7=0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) "
         "AS valor FROM orders")
+    q["locale_number_rejects"] = "SELECT o_orderkey FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0"
+    q["delimited_text_parse"] = (
+        "SELECT c_custkey, CAST(c_custkey AS INTEGER) AS id, CASE c_custkey % 4 WHEN 0 THEN 'EMPRESA \"' || c_mktsegment || '\" LTDA' "
+        "WHEN 1 THEN c_mktsegment || ';' || c_nationkey WHEN 2 THEN c_mktsegment || chr(92) "
+        "ELSE c_mktsegment || chr(10) || 'FILIAL' END AS nome, CAST(c_nationkey AS INTEGER) AS nation FROM customer")
+    q["page_links_dirty"] = (
+        "SELECT page_id, pos, href, 'http://h/' || c_nationkey || '/' || href AS resolved FROM (SELECT c_custkey AS page_id, c_nationkey, "
+        "unnest([1, 2, 3]) AS pos, unnest(['k' || c_custkey || '.html', 'aé' || (c_custkey % 7) || '.csv', "
+        "'z.zip?a=1&b=' || c_mktsegment]) AS href FROM customer)")
+    q["latest_files_deep"] = (
+        "SELECT CAST(row_number() OVER (ORDER BY n, c_custkey DESC) AS INTEGER) AS ordem, "
+        "'/' || array_to_string(list_transform(range(1, n + 1), lambda i: 'd' || i), '/') || '/f' || c_custkey || '.zip' AS target, "
+        "'f' || c_custkey || '.zip' AS href FROM (SELECT 1 + c_custkey % 199 AS n, c_custkey FROM customer) "
+        "WHERE n <= (SELECT count(*) FROM customer WHERE c_custkey BETWEEN 1 AND 199) "
+        f"ORDER BY n, c_custkey DESC LIMIT {2 * WALK_FILES}")
     q["dedup_first"] = with_ctes(
         "SELECT CNPJ, REGISTRO_OPERADORA, MODALIDADE, UF FROM (SELECT *, row_number() OVER "
         "(PARTITION BY CNPJ ORDER BY reg_order) AS rn FROM registry) WHERE rn = 1", "registry")
@@ -356,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
     walk = ("walk(page, ord, depth) AS (SELECT '/' AS page, CAST([] AS BIGINT[]) AS ord, 0 AS depth "
             "UNION ALL SELECT l.target, list_append(w.ord, -l.pos), w.depth + 1 FROM walk w JOIN links l ON l.page = w.page "
             "WHERE (ends_with(l.href, '/') OR NOT contains(l.href, '.')) AND starts_with(l.target, w.page) "
-            "AND length(l.target) > length(w.page) AND w.depth < 32), "
+            "AND length(l.target) > length(w.page)), "
             "files AS (SELECT l.target, l.href, list_append(w.ord, -l.pos) AS ord FROM walk w JOIN links l "
             "ON l.page = w.page WHERE NOT (ends_with(l.href, '/') OR NOT contains(l.href, '.')) "
             "AND regexp_matches(lower(l.href), '\\.(zip|csv|xlsx)$'))")

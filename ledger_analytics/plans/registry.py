@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import standins as S
-from ..functions.cnpj import python_cnpj
 from ..functions.text import parse_locale_decimal
 from ..operators import checks, consolidate, dedup, links, load, normalize, validate
 from ..operators.aggregate import expense_report
+from ..sources.files import CSV_OPTIONS
 from . import analytics as A
 
 # Parameters of the registered queries (the reference hard-codes its own).
 GROWTH_PERIOD = dict(first_year=1996, first_quarter=1, last_quarter=3, k=5)
-LOOKUP_CUSTKEY = 7
-LOOKUP_CNPJ = python_cnpj(LOOKUP_CUSTKEY)
+# Fixed value: the tax id of customer 7 in the stand-ins.
+LOOKUP_CNPJ = "00000105543438"
 PAGE, PAGE_SIZE = 3, 10
+PAST_PAGE = 100_000_000
+AFTER_KEY = 25
 LINK_NEEDLE = "/the"
 WALK_FILES = 3
 NOT_NULL_COLUMNS = ("registro_ans", "cnpj", "razao_social", "uf")
@@ -64,6 +66,11 @@ def _loaded_operators(spark, d):
     return load.load_operators(S.staging_operators(spark, d)).rows
 
 
+def _operator_rows(spark, d):
+    """The same operators without their key, for the checks."""
+    return load.operator_rows(S.staging_operators(spark, d))
+
+
 # ------------------------------------------------------------------ queries
 
 def q_top_growth(spark, d):
@@ -146,20 +153,20 @@ def q_unmatched_registry(spark, d):
 
 def q_orphan_facts(spark, d):
     stg = S.staging_expenses(spark, d)
-    return checks.orphan_rows(stg, _loaded_operators(spark, d), F.col("registro_ans").try_cast("bigint"),
+    return checks.orphan_rows(stg, _operator_rows(spark, d), F.col("registro_ans").try_cast("bigint"),
                               "registro_ans").select("registro_ans", "ano", "trimestre", "valor_despesas")
 
 
 def q_duplicate_keys(spark, d):
-    return checks.duplicate_keys(_loaded_operators(spark, d), ["cnpj"])
+    return checks.duplicate_keys(_operator_rows(spark, d), ["cnpj"])
 
 
 def q_null_violations(spark, d):
-    return checks.null_violations(_loaded_operators(spark, d), NOT_NULL_COLUMNS)
+    return checks.null_violations(_operator_rows(spark, d), NOT_NULL_COLUMNS)
 
 
 def q_length_violations(spark, d):
-    return checks.length_violations(_loaded_operators(spark, d), WIDTH_LIMITS)
+    return checks.length_violations(_operator_rows(spark, d), WIDTH_LIMITS)
 
 
 def q_locale_number_parse(spark, d):
@@ -188,6 +195,54 @@ def q_latest_files(spark, d):
     return links.latest_files(S.links(spark, d), n=WALK_FILES)
 
 
+def q_above_mean_by_operator(spark, d):
+    return A.above_mean_quarters(S.despesas(spark, d), S.operadoras(spark, d), by_key=True)
+
+
+def q_operators_page_past_end(spark, d):
+    return A.operators_page(S.operadoras(spark, d), PAST_PAGE, PAGE_SIZE)
+
+
+def q_operators_after(spark, d):
+    return A.operators_after(S.operadoras(spark, d), AFTER_KEY, PAGE_SIZE)
+
+
+def q_latest_files_deep(spark, d):
+    return links.latest_files(S.deep_links(spark, d), n=2 * WALK_FILES)
+
+
+def q_page_links_dirty(spark, d):
+    return links.page_links(S.customer_pages(spark, d))
+
+
+def q_locale_number_rejects(spark, d):
+    """Orders whose amount is a number beyond the amount type."""
+    t = S.locale_amounts_wide(spark, d).withColumn("valor", parse_locale_decimal("valor_texto"))
+    return t.where("valor IS NULL").select("o_orderkey")
+
+
+def q_load_operators_incremental(spark, d):
+    """A second load over all staged rows, when the operators of even ids are there already."""
+    stg = S.staging_operators(spark, d)
+    first = load.load_operators(stg.where("try_cast(registro_ans AS BIGINT) % 2 = 0")).rows
+    return first.unionByName(load.load_operators(stg, existing=first).rows)
+
+
+def q_load_aggregates_rejects(spark, d):
+    """Figures spoilt by fixed rules over the name's length and the state."""
+    stg = S.staging_aggregates(spark, d).selectExpr(
+        "razao_social", "uf", "CASE WHEN uf = '03' THEN replace(total_despesas, '.', ',') ELSE total_despesas END AS total_despesas",
+        "CASE WHEN uf IN ('03', '05') THEN 'x' ELSE media_trimestral END AS media_trimestral", "desvio_padrao_despesas")
+    return load.load_aggregates(stg).rejects.select("razao_social", "uf", "reject_reason")
+
+
+def q_delimited_text_parse(spark, d):
+    """Delimited lines parsed with the file readers' options."""
+    lines = S.customer_csv_lines(spark, d)
+    parsed = F.from_csv("line", "id INT, nome STRING, nation INT", {"sep": ";", **CSV_OPTIONS})
+    return lines.select("c_custkey", parsed.alias("r")).select("c_custkey", "r.id", "r.nome", "r.nation")
+
+
 # Key -> SURVEY ids:
 #   top_growth Q1 (J4, M8, O3)        state_distribution Q2 (A5)       above_mean_quarters Q3
 #   operator_statistics Q4 (A3)       top_operators Q8                  operators_page Q5
@@ -198,7 +253,10 @@ def q_latest_files(spark, d):
 #   orphan_facts J7 / C4              duplicate_keys C1                 null_violations C2
 #   length_violations C3              locale_number_parse P5            dedup_first U1
 #   page_links S8                     first_matching_link S9            links_by_extension S10
-#   latest_files S11
+#   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
+#   operators_page_past_end, operators_after Q5 (A7, O5)              locale_number_rejects P5
+#   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
+#   delimited_text_parse S2 (quoting)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_growth": q_top_growth,
     "state_distribution": q_state_distribution,
@@ -229,6 +287,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_matching_link": q_first_matching_link,
     "links_by_extension": q_links_by_extension,
     "latest_files": q_latest_files,
+    "latest_files_deep": q_latest_files_deep,
+    "page_links_dirty": q_page_links_dirty,
+    "above_mean_by_operator": q_above_mean_by_operator,
+    "operators_page_past_end": q_operators_page_past_end,
+    "operators_after": q_operators_after,
+    "locale_number_rejects": q_locale_number_rejects,
+    "load_operators_incremental": q_load_operators_incremental,
+    "load_aggregates_rejects": q_load_aggregates_rejects,
+    "delimited_text_parse": q_delimited_text_parse,
 }
 
 

@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("LEDGER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**PLAN_DEFAULTS, **LOCAL_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
@@ -57,8 +58,11 @@ def apply_plan_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) is a fresh scratch folder created.
+    A cluster names a shared folder there; only on a ``local`` master may it
+    be unset, and a fresh scratch folder is created.  Elsewhere executors
+    would write to their own disks, so an unset folder is an error.  Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to have checkpoints
+    removed once nothing refers to them (:func:`local_session` does).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledger-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -83,7 +89,8 @@ def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 51
     and splits skewed join partitions above 4x the median.
 
     Example: 100 TB on 1,000 executors x 8 cores gives 65,536 shuffle
-    partitions (the cap) and 512 MiB input splits.
+    partitions (the cap), so a shuffle of the whole input has partitions of
+    about 1.6 GB, and 512 MiB input splits.
     """
     want = -(-input_bytes // partition_bytes)
     shuffle = max(2 * total_cores, min(max_partitions, want))

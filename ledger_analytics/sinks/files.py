@@ -23,13 +23,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     w.parquet(path)
 
 
-def write_if_any(df: DataFrame, path: str, **kw) -> bool:
-    """Quarantine / log output written only when it has rows (K2, K4).
-    The check reads at most one row."""
-    if df.isEmpty():
-        return False
-    write_parquet(df, path, **kw)
-    return True
+def write_rejects(df: DataFrame, path: str) -> bool:
+    """Quarantine / log output (K2, K4); returns whether it has rows.  It is
+    written in one pass and always, so a clean re-run leaves an empty
+    output, not the rows of an earlier run."""
+    write_parquet(df, path)
+    return not df.sparkSession.read.parquet(path).isEmpty()
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", compression: str | None = None,

@@ -5,9 +5,9 @@ gives one row per archive, so archives are processed in parallel) and its
 members are written to ``<dest>/<archive stem>/``; the CSV reader then
 reads the extracted files with normal input splits.  A corrupt archive is
 reported as a status row, not an exception, and does not stop the others.
-Members are streamed to storage in 1 MiB chunks; the archive itself is one
-``binaryFile`` value, so a single archive can be at most 2 GiB (quarterly
-statement archives are about 100 MB).
+Only the path reaches the task, which opens the archive as a seekable
+stream and copies its members in 1 MiB chunks, so memory does not grow with
+the archive.
 """
 
 from __future__ import annotations
@@ -20,26 +20,27 @@ STATUS_SCHEMA = "archive string, member string, bytes long, status string, error
 
 def _extract(dest_root: str):
     def run(batches):
-        import io
         import posixpath
         import zipfile
 
+        import pyarrow as pa
         import pyarrow.fs as pafs
 
         fs, root = pafs.FileSystem.from_uri(dest_root)
         for pdf in batches:
             rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path in pdf["path"]:
                 name = posixpath.basename(path)
                 stem = name[:-4] if name.lower().endswith(".zip") else name
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                    source, inner = pafs.FileSystem.from_uri(path)
+                    with source.open_input_file(inner) as archive, zipfile.ZipFile(archive) as zf:
                         for info in zf.infolist():
                             if info.is_dir():
                                 continue
                             # keep members inside the archive folder
                             member = posixpath.normpath(info.filename).lstrip("/")
-                            if member.startswith(".."):
+                            if member == ".." or member.startswith("../"):
                                 rows.append((path, info.filename, 0, "skipped", "path outside archive"))
                                 continue
                             target = posixpath.join(root, stem, member)
@@ -53,7 +54,7 @@ def _extract(dest_root: str):
                                     dst.write(chunk)
                                     size += len(chunk)
                             rows.append((path, member, size, "extracted", None))
-                except zipfile.BadZipFile as e:
+                except (zipfile.BadZipFile, pa.ArrowInvalid) as e:
                     rows.append((path, None, 0, "corrupt", str(e)))
                 except Exception as e:  # noqa: BLE001 - reported per archive
                     rows.append((path, None, 0, "error", f"{type(e).__name__}: {e}"))
@@ -66,5 +67,5 @@ def extract_archives(spark: SparkSession, source_dir: str, dest_dir: str) -> Dat
     source pipeline) into ``dest_dir/<stem>/``.  Returns one status row per
     member (or per failed archive).  Lazy: run an action to extract."""
     archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-                .load(source_dir).select("path", "content"))
+                .load(source_dir).select("path"))
     return archives.mapInPandas(_extract(dest_dir), STATUS_SCHEMA)

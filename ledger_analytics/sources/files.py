@@ -5,13 +5,18 @@ only the listing runs), the first line of each file is read by a
 distributed job (one small read per file, in parallel), and the data
 itself is read by Spark's CSV reader, one reader per (delimiter, header)
 group, all strings, then harmonised and unioned by name.
+
+Quoting is the usual one of spreadsheets and ``COPY ... CSV``: values may
+stand in double quotes, a quote inside is doubled, a backslash is an
+ordinary character.  A line that does not fit its header is kept whole in
+the column ``_corrupt_record``; a file that cannot be used is listed with
+the reason.  Neither is ever dropped unseen.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
@@ -24,6 +29,15 @@ from ..functions.text import normalize_header
 # Candidate delimiters, in tie-break order.
 DELIMITERS = (";", ",", "\t", "|")
 DATA_EXTENSIONS = ("csv", "txt")
+# Workbooks are no text and are listed as skipped (no distributed reader).
+UNREAD_EXTENSIONS = ("xlsx", "xls")
+CORRUPT = "_corrupt_record"
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# A line is judged by all its values, whichever columns a query reads.
+FILE_OPTIONS = {**CSV_OPTIONS, "columnPruning": "false"}
+#: a first line beyond this is no header; the file is listed as skipped
+HEADER_BYTES = 1 << 20
+LINEAGE = ("source_file", "source_path")
 
 
 def _glob(exts: Iterable[str]) -> str:
@@ -41,30 +55,28 @@ def list_files(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENS
             .select("path", "length", "modificationTime"))
 
 
-def _first_lines(batches):
+def _first_line(path: str) -> bytes:
     import pyarrow.fs as pafs
 
+    fs, inner = pafs.FileSystem.from_uri(path)
+    with fs.open_input_stream(inner) as f:
+        line = b""
+        while b"\n" not in line:
+            if len(line) > HEADER_BYTES:
+                raise ValueError(f"first line longer than {HEADER_BYTES} bytes")
+            chunk = f.read(1 << 16)
+            if not chunk:
+                break
+            line += chunk
+    return line.split(b"\n", 1)[0].rstrip(b"\r").removeprefix(b"\xef\xbb\xbf")
+
+
+def _first_lines(batches):
     for pdf in batches:
         out = []
         for path in pdf["path"]:
             try:
-                fs, inner = pafs.FileSystem.from_uri(path)
-                chunks = []
-                with fs.open_input_stream(inner) as f:
-                    # the header line, however long: read up to the first newline
-                    while True:
-                        chunk = f.read(1 << 16)
-                        if not chunk:
-                            break
-                        cut = chunk.find(b"\n")
-                        if cut >= 0:
-                            chunks.append(chunk[:cut])
-                            break
-                        chunks.append(chunk)
-                line = b"".join(chunks).rstrip(b"\r")
-                if line.startswith(b"\xef\xbb\xbf"):
-                    line = line[3:]
-                out.append((path, line.decode("utf-8", errors="replace"), None))
+                out.append((path, _first_line(path).decode("utf-8", errors="replace"), None))
             except Exception as e:  # noqa: BLE001 - reported per file
                 out.append((path, None, f"{type(e).__name__}: {e}"))
         yield pd.DataFrame(out, columns=["path", "header_line", "error"])
@@ -85,13 +97,14 @@ def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return heads.withColumn("delimiter", choice)
 
 
-def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> DataFrame:
-    df = (spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
-          .option("inferSchema", "false").option("mode", "PERMISSIVE")
-          .csv(paths))
-    # Spark suffixes duplicate header names; headers are normalised by the
-    # caller from the real first line, so rename by position here.
-    return df.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+def _read_group(spark: SparkSession, paths: list[str], names: list[str], sep: str, encoding: str) -> DataFrame:
+    """Files with one header as positional text columns, their corrupt lines and their lineage:
+    the full path identifies a file, its base name is a label."""
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))] + [T.StructField(CORRUPT, T.StringType())])
+    df = (spark.read.schema(schema).options(**FILE_OPTIONS).option("header", "true").option("enforceSchema", "true")
+          .option("sep", sep).option("encoding", encoding).csv(paths))
+    return df.withColumn("source_path", F.col("_metadata.file_path")) \
+        .withColumn("source_file", F.element_at(F.split("source_path", "/"), -1))
 
 
 def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENSIONS,
@@ -101,15 +114,16 @@ def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EX
 
     Header names are normalised (trim, upper, no quotes; first of equal
     names kept).  Files whose headers differ are read separately and
-    unioned by name; missing columns are NULL.  Adds ``source_file``.
-    Files whose first line cannot be read or split are skipped and can be
-    listed with :func:`file_headers`.  ``per_group`` is applied to each
-    header group before the union (e.g. renaming columns to canonical
-    names, so differently named files line up); when it returns None the
-    group's files are left out and listed in ``skipped`` (if given) as
-    ``(path, reason)``.
+    unioned by name; missing columns are NULL.  Adds ``source_file`` (base
+    name), ``source_path`` (the file's identity) and ``_corrupt_record``.
+    ``per_group`` is applied to each header group before the union (e.g.
+    renaming columns to canonical names, so differently named files line
+    up).  Files that cannot be read, split or used (``per_group`` returns
+    None), and workbooks, are left out and listed in ``skipped`` as ``(path,
+    reason)``; without such a list they are an error.
     """
-    return read_listed(spark, list_files(spark, root, exts), encoding, per_group, skipped)
+    unread = [(r["path"], "workbook: not a text file") for r in list_files(spark, root, UNREAD_EXTENSIONS).select("path").collect()]
+    return read_listed(spark, list_files(spark, root, exts), encoding, per_group, skipped, unread)
 
 
 def read_delimited_paths(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8",
@@ -122,67 +136,67 @@ def read_delimited_paths(spark: SparkSession, paths: Sequence[str], encoding: st
 
 def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8",
                 per_group: Callable[[DataFrame], DataFrame | None] | None = None,
-                skipped: list | None = None) -> DataFrame:
+                skipped: list | None = None, unread: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Read the files of a listing (a DataFrame with ``path``)."""
-    heads = file_headers(spark, files)
-    # one row per file (a listing), so collecting it is metadata only
-    groups: dict[tuple[str, str], list[str]] = {}
-    for r in heads.collect():
-        if r["delimiter"] is None:
-            if skipped is not None:
-                skipped.append((r["path"], r["error"] or "no delimiter in the first line"))
-            continue
-        groups.setdefault((r["delimiter"], r["header_line"]), []).append(r["path"])
+    left_out = list(unread)
+    # headers are grouped on the executors; what comes back is one row per distinct header with its
+    # paths, the list Spark's reader needs on the driver anyway
+    groups = (file_headers(spark, files).groupBy("delimiter", "header_line", "error")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
     frames = []
-    for (sep, header), paths in sorted(groups.items()):
-        raw_names = next(csv.reader([header], delimiter=sep))
-        df = _read_group(spark, paths, sep, encoding)
-        data_cols = df.columns[: len(raw_names)]
-        seen, cols = set(), []
-        for name, raw in zip(data_cols, raw_names):
-            new = normalize_header(str(raw))
-            if new not in seen:
-                seen.add(new)
-                cols.append(F.col(f"`{name}`").alias(new))
-        group = df.select(*cols, "source_file")
+    for g in sorted(groups, key=lambda g: (g["header_line"] or "", g["delimiter"] or "")):
+        if g["delimiter"] is None:
+            left_out += [(p, g["error"] or "no delimiter in the first line") for p in g["paths"]]
+            continue
+        raw_names = next(csv.reader([g["header_line"]], delimiter=g["delimiter"]))
+        df = _read_group(spark, g["paths"], raw_names, g["delimiter"], encoding)
+        names: dict[str, int] = {}
+        for place, raw in enumerate(raw_names):
+            names.setdefault(normalize_header(raw), place)
+        group = df.select(*[F.col(f"_c{i}").alias(n) for n, i in names.items()], *LINEAGE, CORRUPT)
         if per_group is not None:
             group = per_group(group)
             if group is None:
-                if skipped is not None:
-                    skipped.extend((p, f"columns not usable: {raw_names}") for p in paths)
+                left_out += [(p, f"columns not usable: {raw_names}") for p in g["paths"]]
                 continue
         frames.append(group)
+    if left_out and skipped is None:
+        raise ValueError(f"files left out: {left_out}")
+    if skipped is not None:
+        skipped.extend(left_out)
     if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField("source_file", T.StringType())]))
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*LINEAGE, CORRUPT)]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
+def _file_order() -> F.Column:
+    """A row's place in its input: file path, block, place in the block.  Spark deals large splits out
+    first, so a running number alone would not follow the files."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("place"))
+
+
 def read_registry(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """Operator registry file (S4): all text, header names trimmed and
-    upper-cased, plus ``reg_order`` = position in the file (the read is
-    ordered by file and offset, so the id is stable for a given input)."""
-    df = (spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
-          .option("inferSchema", "false").csv(path))
-    df = df.toDF(*[c.replace("\ufeff", "").strip().upper() for c in df.columns])
-    return df.withColumn("reg_order", F.monotonically_increasing_id())
+    """Operator registry file or folder (S4): all text, header names trimmed
+    and upper-cased, plus ``reg_order`` = the row's place in the input.
+    Values may hold line breaks inside quotes; a registry is small, so its
+    files are not split.  Rows that don't fit are in ``_corrupt_record``."""
+    reader = spark.read.options(**FILE_OPTIONS).option("header", "true").option("sep", sep).option("encoding", encoding).option("multiLine", "true")
+    names = reader.option("inferSchema", "false").csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, CORRUPT)])
+    df = reader.schema(schema).csv(path).withColumn("reg_order", _file_order())
+    return df.toDF(*[c.replace("\ufeff", "").strip().upper() for c in names], CORRUPT, "reg_order")
 
 
 def read_staging(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";",
                  encoding: str = "UTF-8") -> DataFrame:
     """Positional staging load (S6): the header line is skipped and the
     columns take the given names, all text - like ``COPY ... HEADER``.
-    Adds ``reg_order`` (file position)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
-          .option("sep", sep).option("encoding", encoding).csv(path))
-    return df.withColumn("reg_order", F.monotonically_increasing_id())
-
-
-def delimiter_of(line: str, candidates: Sequence[str] = DELIMITERS) -> str | None:
-    """Driver-side twin of the delimiter rule, for single strings (tests)."""
-    counts = Counter({d: line.count(d) for d in candidates})
-    best = max(counts.values()) if counts else 0
-    return next((d for d in candidates if counts[d] == best and best > 0), None)
+    Adds ``reg_order`` (place in the input) and ``_corrupt_record``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
+    df = (spark.read.schema(schema).options(**FILE_OPTIONS).option("header", "true").option("enforceSchema", "true")
+          .option("sep", sep).option("encoding", encoding).option("multiLine", "true").csv(path))
+    return df.withColumn("reg_order", _file_order())

@@ -33,10 +33,11 @@ def _locale(expr: str) -> str:
 # ------------------------------------------------------------- operadoras
 
 # 14-digit id with right check digits, except every fourth key, where the
-# first check digit is shifted by one (invalid id).  The 12-digit base and
+# first check digit is shifted by one (invalid id).  7919 and 10^12 have no common factor, so the
+# base is unique for keys below 10^12.  The 12-digit base and
 # the first digit are bound once each (single-element transform).
 STAND_IN_CNPJ = (
-    "transform(array(lpad(CAST(c_custkey * 7919 + 1000001 AS STRING), 12, '0')), b -> "
+    "transform(array(lpad(CAST((CAST(c_custkey AS BIGINT) * 7919 + 1000001) % 1000000000000 AS STRING), 12, '0')), b -> "
     f"transform(array({check_digit_sql('b', WEIGHTS_FIRST)}), d1 -> concat(b, "
     "CASE WHEN c_custkey % 4 = 0 THEN CAST((CAST(d1 AS INT) + 1) % 10 AS STRING) ELSE d1 END, "
     f"{check_digit_sql('concat(b, d1)', WEIGHTS_SECOND)}))[0])[0]"
@@ -203,6 +204,54 @@ def locale_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "AS valor_texto")
 
 
+def locale_amounts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`locale_amounts` where orders with key divisible by 11 carry an
+    amount of up to 30 digits and those with key divisible by 13 are padded
+    with a tab and a no-break space."""
+    return locale_amounts(spark, sf_dir).selectExpr(
+        "o_orderkey",
+        "CASE WHEN o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0 "
+        "THEN concat(CAST(o_orderkey AS STRING), '.000.000.000.000.', valor_texto) "
+        "WHEN o_orderkey % 13 = 0 THEN concat('\\t', valor_texto, decode(unhex('C2A0'), 'UTF-8')) ELSE valor_texto END AS valor_texto")
+
+
+def customer_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of a ``;`` delimited file, as a spreadsheet writes
+    them: doubled quotes, delimiters and line breaks inside quotes, trailing
+    backslashes."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey",
+        "concat(CAST(c_custkey AS STRING), ';', CASE c_custkey % 4 "
+        "WHEN 0 THEN concat('\"EMPRESA \"\"', c_mktsegment, '\"\" LTDA\"') "
+        "WHEN 1 THEN concat('\"', c_mktsegment, ';', CAST(c_nationkey AS STRING), '\"') "
+        "WHEN 2 THEN concat(c_mktsegment, chr(92)) "
+        "ELSE concat('\"', c_mktsegment, chr(10), 'FILIAL\"') END, ';', CAST(c_nationkey AS STRING)) AS line")
+
+
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with awkward links, one per customer: an empty href, a ``>``
+    inside an attribute, a named entity and a link inside a comment."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS page_id", "concat('http://h/', CAST(c_nationkey AS STRING), '/index.html') AS url",
+        "concat('<p><a href=\"\">none</a><a title=\"a>b\" href=\"k', CAST(c_custkey AS STRING), '.html\">x</a>"
+        "<!-- <a href=\"hidden.html\">no</a> --><a class=c href=\\'a&eacute;', CAST(c_custkey % 7 AS STRING), "
+        "'.csv\\'>y</a><A HREF=z.zip?a=1&amp;b=', c_mktsegment, '>z</A></p>') AS html")
+
+
+def deep_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain of folders, one level per customer key below 200 (deeper than
+    any fixed bound), with the files of all customers dealt over the levels."""
+    level = "concat('/', array_join(transform(sequence(1, n), i -> concat('d', CAST(i AS STRING))), '/'), '/')"
+    customer = table(spark, sf_dir, "customer")
+    folders = customer.where("c_custkey < 200").selectExpr("CAST(c_custkey AS INT) AS n").where("n > 0").selectExpr(
+        f"CASE WHEN n = 1 THEN '/' ELSE substr({level}, 1, length({level}) - length(CAST(n AS STRING)) - 2) END AS page",
+        "CAST(0 AS BIGINT) AS pos", "concat('d', CAST(n AS STRING), '/') AS href", f"{level} AS target")
+    files = customer.selectExpr("CAST(1 + c_custkey % 199 AS INT) AS n", "c_custkey").selectExpr(
+        f"{level} AS page", "CAST(c_custkey AS BIGINT) AS pos", "concat('f', CAST(c_custkey AS STRING), '.zip') AS href",
+        f"concat({level}, 'f', CAST(c_custkey AS STRING), '.zip') AS target")
+    return folders.unionByName(files)
+
+
 # ------------------------------------------------------------------- links
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:

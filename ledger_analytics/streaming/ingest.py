@@ -5,17 +5,17 @@ watches the landing folder; each micro-batch holds whole new files (the
 file source never splits a file across batches), and since the leaf filter
 groups by (file, operator), normalising a batch on its own gives exactly
 the rows a full run would give for those files.  Each batch overwrites
-only its own ``source_stem`` partitions, so a retried batch does not
-duplicate rows; the checkpoint records which files were processed.
+only its own ``source_id`` partitions (one per path), so a retried batch
+does not duplicate rows; files that cannot be used and lines that don't fit
+are written beside it per batch, and the checkpoint records which files were processed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.normalize import harmonize_file_group, normalize_accounts
+from ..operators.normalize import harmonize_file_group, normalize_accounts, source_id
 from ..sinks.files import write_parquet
 from ..sources.files import _glob, read_delimited_paths
 
@@ -42,9 +42,15 @@ def normalize_batch(out_dir: str):
         if not paths:
             return
         spark = batch.sparkSession
-        lines = read_delimited_paths(spark, paths, per_group=harmonize_file_group)
-        out = normalize_accounts(lines).withColumn("source_stem", F.substring_index("source_file", ".", 1))
-        write_parquet(out, out_dir, partition_by=["source_stem"])
+        skipped: list = []
+        lines = read_delimited_paths(spark, paths, per_group=harmonize_file_group, skipped=skipped)
+        rejects = f"{out_dir.rstrip('/')}_rejects/batch={epoch_id}"
+        write_parquet(spark.createDataFrame(skipped, "path string, reason string"), f"{rejects}/skipped_files")
+        write_parquet(lines.where("_corrupt_record IS NOT NULL"), f"{rejects}/corrupt_lines")
+        if "CODIGO_CONTABIL" not in lines.columns:
+            return
+        out = normalize_accounts(lines.where("_corrupt_record IS NULL")).withColumn("source_id", source_id())
+        write_parquet(out, out_dir, partition_by=["source_id"])
     return handle
 
 

@@ -3,10 +3,9 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledger_analytics.functions import (
-    cnpj_digits, cnpj_is_valid, file_stem, iso_date_or_null, numeric_text_guard, parse_date,
+    cnpj_is_valid, file_stem, iso_date_or_null, numeric_text_guard, parse_date,
     parse_locale_decimal, resolve_url, round_half_up_ratio, text_to_decimal, text_to_int, url_file_name,
 )
-from ledger_analytics.functions.cnpj import python_check_digits, python_cnpj
 
 
 def _one(spark, rows, schema, expr):
@@ -21,16 +20,18 @@ def test_cnpj_cases(spark):
     assert got == [v for _, v in cases]
 
 
-def test_cnpj_digits_pad_never_truncate(spark):
-    got = _one(spark, [("191",), ("112223330001812",), (None,)], "c string", cnpj_digits("c"))
-    assert got == ["00000000000191", "112223330001812", "00000000000000"]
-
-
 def test_stand_in_ids_follow_rule(spark):
-    keys = list(range(1, 41))
-    got = _one(spark, [(python_cnpj(k),) for k in keys], "c string", cnpj_is_valid("c"))
-    assert got == [k % 4 != 0 for k in keys]
-    assert python_check_digits("112223330001") == "81"
+    from ledger_analytics import standins as S
+    from ledger_analytics.plans.registry import LOOKUP_CNPJ
+
+    ops = S.operadoras(spark, "/root/testdata/sf0.001")
+    rows = ops.select("cod_operadora", "cnpj", cnpj_is_valid("cnpj").alias("ok")).collect()
+    assert all(r.ok == (r.cod_operadora % 4 != 0) for r in rows)
+    assert {r.cnpj for r in rows if r.cod_operadora == 7} == {LOOKUP_CNPJ}
+    # keys of a very large table keep unique 12-digit bases
+    big = spark.range(1_262_780_000, 1_262_790_000).selectExpr("id AS c_custkey").selectExpr(f"{S.STAND_IN_CNPJ} AS cnpj")
+    assert big.select(F.substring("cnpj", 1, 12)).distinct().count() == 10_000
+    assert big.where("length(cnpj) <> 14").count() == 0
 
 
 def test_locale_numbers(spark):
@@ -40,6 +41,12 @@ def test_locale_numbers(spark):
     assert got == [Decimal("1234567.89"), Decimal("-10.00"), Decimal("1234.56"), Decimal("0.00"), Decimal("0.00")]
 
 
+def test_locale_numbers_beyond_the_type_are_no_zero(spark):
+    rows = [("99.999.999.999.999.999,00",), ("-99.999.999.999.999.999,00",), ("\t1.234,5\u00a0",), ("9" * 50,), ("1e5",)]
+    got = _one(spark, rows, "v string", parse_locale_decimal("v"))
+    assert got == [None, None, Decimal("1234.50"), None, Decimal("100000.00")]
+
+
 def test_dates_and_quarter(spark):
     # FIXTURES 2.4
     df = spark.createDataFrame([("2025-09-30",), ("2025-02-30",), ("01/04/2025",), (None,)], "d string")
@@ -88,7 +95,7 @@ def test_column_and_sql_forms_agree(spark):
     rows = [("11.222.333/0001-81", "1.234,56", "2025-02-30", "12", "1.5"), ("191", "x", "2025-01-31", "", "-1"),
             (None, None, None, None, None), ("112223330001812", "-10,00", "31/01/2025", "7x", "1.2.3")]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string")
-    pairs = [(cnpj_is_valid, "a"), (parse_locale_decimal, "b"), (parse_date, "c"), (iso_date_or_null, "c"),
+    pairs = [(parse_date, "c"), (iso_date_or_null, "c"),
              (text_to_int, "d"), (text_to_long, "d"), (numeric_text_guard, "e"), (text_to_decimal, "e")]
     for fn, col in pairs:
         by_name = [r[0] for r in df.select(fn(col)).collect()]

@@ -1,18 +1,21 @@
 """File round trips: mixed delimiters, BOM, headers, archives, sinks,
 the end-to-end pipeline and the streaming ingest (all in temp folders)."""
 
+import glob
 import os
 import tempfile
 import zipfile
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledger_analytics.operators.normalize import harmonize_file_group, normalize_accounts
 from ledger_analytics.plans.batch import load_star_schema, registry_as_staging, run_batch
 from ledger_analytics.sinks.files import write_parquet
 from ledger_analytics.sources.archives import extract_archives
-from ledger_analytics.sources.files import delimiter_of, file_headers, list_files, read_delimited, read_registry
+from ledger_analytics.sources.files import file_headers, list_files, read_delimited, read_registry
 from ledger_analytics.streaming.ingest import start_ingest
 
 Q1 = ("﻿DATA;REG_ANS;CD_CONTA_CONTABIL;DESCRICAO;VL_SALDO_INICIAL;VL_SALDO_FINAL\n"
@@ -39,13 +42,6 @@ def _write(path, text):
         f.write(text)
 
 
-def test_delimiter_rule():
-    assert delimiter_of("A;B;C") == ";"
-    assert delimiter_of("A,B,C") == ","
-    assert delimiter_of("A\tB") == "\t"
-    assert delimiter_of("ABC") is None
-
-
 def test_read_mixed_files(spark):
     root = _tmp()
     _write(f"{root}/2025/1T2025.csv", Q1)
@@ -125,9 +121,16 @@ def test_streaming_ingest_processes_new_files_once(spark):
     _write(f"{land}/2T2025.csv", Q2.replace(",", ";").replace('"', "").replace("1.000;00", "1.000,00")
            .replace("1.250;00", "1.250,00").replace("0;00", "0,00").replace("10;00", "10,00"))
     start_ingest(spark, land, out, ck).awaitTermination(120)
-    stems = sorted(r["source_stem"] for r in spark.read.parquet(out).select("source_stem").distinct().collect())
+    stems = sorted(r["source_id"][:6] for r in spark.read.parquet(out).select("source_id").distinct().collect())
     assert stems == ["1T2025", "2T2025"]
     assert spark.read.parquet(out).count() == 4
+    # a third file of an earlier name in another folder, and one that cannot be used
+    _write(f"{land}/late/1T2025.csv", Q1)
+    _write(f"{land}/late/other.csv", "A;B;C\n1;2;3\n")
+    start_ingest(spark, land, out, ck).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 6
+    skipped = spark.read.parquet(*glob.glob(f"{out}_rejects/batch=*/skipped_files")).collect()
+    assert [os.path.basename(r["path"]) for r in skipped] == ["other.csv"]
 
 
 def test_positional_staging_and_tables(spark):
@@ -249,3 +252,94 @@ def test_archive_member_outside_folder_is_skipped(spark):
     assert ("../escape.csv", "skipped") in status and ("ok/inner.csv", "extracted") in status
     assert not os.path.exists(os.path.join(os.path.dirname(dest), "escape.csv"))
     assert os.path.exists(f"{dest}/bad/ok/inner.csv")
+
+
+def test_delimiter_rule(spark):
+    root = _tmp()
+    for name, line in (("a", "A;B;C"), ("b", "A,B,C"), ("c", "A\tB"), ("d", "ABC"), ("e", "A;B,C"), ("f", "x" * (1 << 21))):
+        _write(f"{root}/{name}.csv", line + "\n")
+    heads = {os.path.basename(r["path"])[0]: r for r in file_headers(spark, list_files(spark, root)).collect()}
+    assert [heads[n]["delimiter"] for n in "abcde"] == [";", ",", "\t", None, ";"]
+    assert "first line longer" in heads["f"]["error"]
+
+
+HEADER = "DATA;REG_ANS;CD_CONTA_CONTABIL;DESCRICAO;VL_SALDO_INICIAL;VL_SALDO_FINAL\n"
+
+
+def test_files_of_one_name_stay_apart(spark):
+    raw, out = _tmp(), _tmp()
+    _write(f"{raw}/q1/contas.csv", HEADER + "2025-01-01;10;4111;A;0,00;10,00\n2025-01-01;10;4112;B;0,00;15,00\n")
+    _write(f"{raw}/q2/contas.csv", HEADER + "2025-04-01;10;4111;A;0,00;7,00\n2025-04-01;10;41121;C;0,00;10,00\n")
+    _write(f"{raw}/q2/book.xlsx", "PK")
+    _write(f"{out}/registry.csv", REGISTRY)
+    res = run_batch(spark, raw, f"{out}/registry.csv", f"{out}/o")
+    got = spark.read.parquet(res.paths["normalized"])
+    assert got.count() == 4 and got.agg(F.sum("VALOR_DESPESAS")).first()[0] == Decimal("42.00")
+    assert got.select("source_id").distinct().count() == 2
+    assert [os.path.basename(p) for p, _ in res.skipped_files] == ["book.xlsx"]
+    assert res.written["skipped_files"] and not res.written["null_operator"]
+    with pytest.raises(ValueError, match="book.xlsx"):
+        read_delimited(spark, raw)
+
+
+def test_quoted_values_and_corrupt_lines(spark):
+    raw, out = _tmp(), _tmp()
+    _write(f"{raw}/1T2025.csv", HEADER + '2025-01-01;10;4111;"EMPRESA ""X"" LTDA";0,00;10,00\n2025-01-01;10;4112;trailing\\;0,00;1,00\n'
+           + '2025-01-01;10;4113;"a;b";0,00;2,00\n2025-01-01;10;4114;D;0,00;3,00;one;too;many\n2025-01-01;10;\t4115;E;0,00;4,00\n'
+           + "2025-01-01;10;4116;F;0,00;99.999.999.999.999.999,00\n")
+    _write(f"{out}/registry.csv", REGISTRY)
+    res = run_batch(spark, raw, f"{out}/registry.csv", f"{out}/o")
+    got = {r["CODIGO_CONTABIL"]: r["DESCRICAO"] for r in spark.read.parquet(res.paths["normalized"]).collect()}
+    assert got == {"4111": 'EMPRESA "X" LTDA', "4112": "trailing\\", "4113": "a;b", "4115": "E"}
+    corrupt = spark.read.parquet(f"{out}/o/quarantine/corrupt_lines").collect()
+    assert ["one;too;many" in r["_corrupt_record"] for r in corrupt] == [True]
+    over = spark.read.parquet(f"{out}/o/quarantine/amount_overflow").collect()
+    assert [r["CODIGO_CONTABIL"] for r in over] == ["4116"]
+    # a clean re-run leaves no rejects of the earlier one
+    _write(f"{raw}/1T2025.csv", HEADER + "2025-01-01;10;4111;A;0,00;10,00\n")
+    again = run_batch(spark, raw, f"{out}/registry.csv", f"{out}/o")
+    assert not again.written["corrupt_lines"] and not again.written["amount_overflow"]
+    assert spark.read.parquet(f"{out}/o/quarantine/corrupt_lines").count() == 0
+
+
+def test_registry_order_follows_the_files(spark):
+    root = _tmp()
+    names = REGISTRY.split("\n", 1)[0]
+    columns = [c.strip().upper() for c in names.split(";")]
+
+    def row(ans, name):
+        return ";".join({"REGISTRO_OPERADORA": ans, "RAZAO_SOCIAL": name}.get(c, "x") for c in columns) + "\n"
+
+    _write(f"{root}/a.csv", names + "\n" + row("1", '"FIRST\nOF ""TWO"""'))
+    _write(f"{root}/b.csv", names + "\n" + row("1", "SECOND") + "".join(row(str(i), "PAD" * 50) for i in range(2, 200)))
+    got = read_registry(spark, root).orderBy("reg_order").limit(2).collect()
+    assert [r["RAZAO_SOCIAL"] for r in got] == ['FIRST\nOF "TWO"', "SECOND"]
+
+
+def test_second_load_keeps_keys(spark):
+    db = _tmp() + "/db"
+
+    def load(ids, quarter, amounts):
+        stg = spark.createDataFrame([(str(i), f"cnpj{i}", f"OP {i}", "M", "SP", "C", "2001-01-01") for i in ids],
+                                    "registro_ans string, cnpj string, razao_social string, modalidade string, uf string, cidade string, data_registro_ans string")
+        clean = spark.createDataFrame([(f"cnpj{i}", f"OP {i}", quarter, 2025, Decimal(v), i, "M", "SP") for i, v in amounts.items()],
+                                      "CNPJ string, RazaoSocial string, Trimestre int, Ano int, ValorDespesas decimal(18,2), RegistroANS long, MODALIDADE string, UF string")
+        agg = spark.createDataFrame([("A", "SP", "1,5", "x", "1")], "a string, b string, c string, d string, e string")
+        return load_star_schema(spark, stg, clean, agg, db)
+
+    load([10, 30], 1, {10: "10.00", 30: "30.00"})
+    tables = load([10, 20, 30], 2, {20: "20.00"})
+    joined = spark.read.parquet(tables["despesas_consolidadas"]).join(spark.read.parquet(tables["operadoras"]), "cod_operadora")
+    assert {r["registro_ans"]: r["valor_despesa"] for r in joined.collect()} == {10: Decimal("10.00"), 20: Decimal("20.00"), 30: Decimal("30.00")}
+    rejects = spark.read.parquet(f"{db}/rejects/despesas_agregadas").collect()
+    assert [r["reject_reason"] for r in rejects] == ["bad_total_despesas;bad_media_trimestral"]
+
+
+def test_checkpoints_need_a_shared_folder_off_local():
+    from types import SimpleNamespace
+
+    from ledger_analytics.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context))

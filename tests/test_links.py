@@ -1,5 +1,5 @@
 from ledger_analytics.operators.links import (
-    first_matching_link, latest_files, latest_files_by_level, links_by_extension, page_links,
+    first_matching_link, latest_files, links_by_extension, page_links,
 )
 
 
@@ -12,7 +12,24 @@ def test_latest_files_fixture(spark):
     got = [r["href"] for r in latest_files(edges, n=3).collect()]
     assert got == ["c.zip", "b.zip", "a.zip"]
     assert [r["href"] for r in latest_files(edges, n=10).collect()] == ["c.zip", "b.zip", "a.zip"]
-    assert [r["href"] for r in latest_files_by_level(edges, n=3, checkpoint_every=1).collect()] == got
+
+
+def test_latest_files_walks_any_depth(spark):
+    rows, page = [("/", 5, "root.zip", "/root.zip")], "/"
+    for i in range(40):
+        rows.append((page, 1, f"d{i}/", f"{page}d{i}/"))
+        page = f"{page}d{i}/"
+    rows.append((page, 0, "deep.csv", f"{page}deep.csv"))
+    edges = spark.createDataFrame(rows, "page string, pos int, href string, target string")
+    assert [r["href"] for r in latest_files(edges, n=3).collect()] == ["root.zip", "deep.csv"]
+
+
+def test_awkward_links(spark):
+    html = ('<a href="">none</a><a href=" ">blank</a><a title="a>b" href="ok.html">x</a><!-- <a href="no.html"> --><a href="a&eacute;.csv">'
+            '<a href="x?a=1&amp;lt;b&nosuch;c&#65;&#x42;&lt">y</a>')
+    pages = spark.createDataFrame([(1, "http://h/p.html", html)], "page_id int, url string, html string")
+    got = [(r["pos"], r["href"]) for r in page_links(pages).orderBy("pos").collect()]
+    assert got == [(2, "ok.html"), (3, "aé.csv"), (4, "x?a=1&lt;b&nosuch;cAB&lt")]
 
 
 def test_page_links_and_filters(spark):

@@ -34,7 +34,7 @@ def test_load_operators_rules(spark):
     assert rows[300001]["razao_social"] == "A"  # first in file order wins the conflict
     assert [rows[k]["cod_operadora"] for k in sorted(rows)] == [1, 2, 3]
     assert rows[300002]["data_registro_ans"] is None and rows[300003]["data_registro_ans"] is None
-    assert res.rejects.count() == 1
+    assert sorted(r["reject_reason"] for r in res.rejects.collect()) == ["bad_registro_ans", "null_key"]
     again = load_operators(_stg(spark), existing=res.rows)
     assert again.rows.count() == 0  # insert-if-absent: a re-run adds nothing
     dups = checks.duplicate_keys(res.rows, ["cnpj"]).collect()
