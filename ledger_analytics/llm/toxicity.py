@@ -208,7 +208,7 @@ class Network:
             self.weights[name] -= (rate * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.99**n)) + 1e-6)).astype(np.float32)
 
     # -- scores -----------------------------------------------------------------------------
-    def window_logits(self, text: Text, ids: np.ndarray, size: int = 8192) -> np.ndarray:
+    def window_logits(self, text: Text, ids: np.ndarray, size: int = 4096) -> np.ndarray:
         x = self.inputs(text)
         return np.concatenate([self.logits(x, ids[i : i + size]) for i in range(0, len(ids), size)] or [np.zeros(0, np.float32)])
 
@@ -221,12 +221,18 @@ class Network:
         return _sigmoid(self.slope * best.astype(np.float64) + self.bias)
 
 
-def _odds(owner: np.ndarray, keys: np.ndarray, n_keys: int, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that hold each key, and the smoothed log-odds of holding it (toxic against clean)."""
-    pairs = np.unique(owner * n_keys + keys)
-    bad = toxic[pairs // n_keys] > 0
-    there = np.bincount(pairs % n_keys, minlength=n_keys)
-    worse = np.bincount(pairs[bad] % n_keys, minlength=n_keys)
+def _odds(owner: np.ndarray, keys: np.ndarray, n_keys: int, toxic: np.ndarray, expand=None) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that hold each key, and the smoothed log-odds of holding it (toxic against clean).
+
+    ``owner`` is sorted.  ``expand`` turns a run of (owner, key) into those of what the keys are made of; some
+    documents at a time, so that the expansion stays small."""
+    there, worse = np.zeros(n_keys, np.int64), np.zeros(n_keys, np.int64)
+    cuts = np.searchsorted(owner, np.arange(0, len(toxic) + 100, 100))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        some, own = (owner[a:b], keys[a:b]) if expand is None else expand(owner[a:b], keys[a:b])
+        pairs = np.unique(some * n_keys + own)
+        there += np.bincount(pairs % n_keys, minlength=n_keys)
+        worse += np.bincount(pairs[toxic[pairs // n_keys] > 0] % n_keys, minlength=n_keys)
     sums = toxic.sum(), len(toxic) - toxic.sum()
     odds = np.log((worse + 0.5) / (sums[0] + 1)) - np.log((there - worse + 0.5) / (sums[1] + 1))
     return there, np.clip(odds, -4, 8) / 8
@@ -240,9 +246,13 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
     there, odds = _odds(owner, text.form, max(1, len(text.hashes)), toxic)
     known = np.flatnonzero(there >= MIN_DOCS)
     sizes = np.diff(np.append(text.cuts, len(text.grams)))
-    per_word = sizes[text.form]
-    at = np.repeat(text.cuts[text.form] - (np.cumsum(per_word) - per_word), per_word) + np.arange(per_word.sum())
-    _, gram_odds = _odds(np.repeat(owner, per_word), text.grams[at], TRIGRAMS, toxic)
+
+    def grams_of(some: np.ndarray, forms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = sizes[forms]
+        at = np.repeat(text.cuts[forms] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(some, n), text.grams[at]
+
+    _, gram_odds = _odds(owner, text.form, TRIGRAMS, toxic, grams_of)
     net = Network.start(text.hashes[known], odds[known], gram_odds, seed)
     ids, of = text.windows()
     starts = np.searchsorted(of, np.arange(len(texts)))
@@ -320,6 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         return 1.0 if counts.get(1) else 0.0
     share = F.when(F.col("_toxic") == 1, min(1.0, sample / counts[1])).otherwise(min(1.0, sample / counts[0]))
     few = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share * (1 << 30))
+    few = F.broadcast(few.limit(4 * sample))  # about two samples; the limit proves the bound
     own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     rows = own.where(F.length("_text") <= LONGEST).join(few, "_id").select("_id", "_text", "_toxic").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
     toxic = np.array(rows.column("_toxic").to_pylist(), np.float32)
