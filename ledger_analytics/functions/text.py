@@ -1,9 +1,7 @@
 """Scalar text helpers: header names, locale numbers, dates, staging casts.
 
-All helpers return Columns (Catalyst expressions).  Given a column *name*
-they build the expression from SQL text (one parse on the JVM instead of a
-round trip per function call while the plan is being built); given a
-Column they use the Column API.  Both forms are the same expression.
+All helpers take a column name and return a Column built from SQL text (one
+parse on the JVM instead of a round trip per function call).
 """
 
 from __future__ import annotations
@@ -74,61 +72,48 @@ def parse_locale_decimal(c: str, precision: int = 18, scale: int = 2,
 DEFAULT_DATE_FORMATS = ("yyyy-MM-dd",)
 
 
-def parse_date(c, formats=DEFAULT_DATE_FORMATS) -> Column:
+def parse_date(c: str, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; impossible dates (``2025-02-30``) and
     other formats give NULL instead of an error."""
-    if isinstance(c, str):
-        txt = f"trim(CAST({sql_ident(c)} AS STRING))"
-        return F.expr("coalesce(" + ", ".join(f"try_to_date({txt}, {sql_string(f)})" for f in formats) + ")")
-    txt = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_date(txt, f) for f in formats])
+    txt = strip_sql(f"CAST({sql_ident(c)} AS STRING)")
+    tries = ", ".join(f"try_to_date(t, {sql_string(f)})" for f in formats)
+    return F.expr(f"transform(array({txt}), t -> coalesce({tries}))[0]")
 
 
 # Fixed value: the staging date guard.
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
-def iso_date_or_null(c) -> Column:
+def iso_date_or_null(c: str) -> Column:
     """Staging date guard (P11): regex first, then a cast that cannot throw."""
-    if isinstance(c, str):
-        t = f"CAST({sql_ident(c)} AS STRING)"
-        return F.expr(f"CASE WHEN {t} RLIKE {sql_string(ISO_DATE_PATTERN)} THEN try_to_date({t}, 'yyyy-MM-dd') END")
-    txt = c.cast("string")
-    return F.when(txt.rlike(ISO_DATE_PATTERN), F.try_to_date(txt, "yyyy-MM-dd"))
+    t = f"CAST({sql_ident(c)} AS STRING)"
+    return F.expr(f"CASE WHEN {t} RLIKE {sql_string(ISO_DATE_PATTERN)} THEN try_to_date({t}, 'yyyy-MM-dd') END")
 
 
 # ------------------------------------------------------- staging casts
 
-def text_to_int(c) -> Column:
+def text_to_int(c: str) -> Column:
     """Blank -> NULL -> INT, bad text -> NULL (P10)."""
-    if isinstance(c, str):
-        return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS INT)")
-    return F.nullif(c.cast("string"), F.lit("")).try_cast("int")
+    return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS INT)")
 
 
-def text_to_long(c) -> Column:
+def text_to_long(c: str) -> Column:
     """Blank -> NULL -> BIGINT, bad text -> NULL (identifiers)."""
-    if isinstance(c, str):
-        return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS BIGINT)")
-    return F.nullif(c.cast("string"), F.lit("")).try_cast("bigint")
+    return F.expr(f"try_cast(nullif(CAST({sql_ident(c)} AS STRING), '') AS BIGINT)")
 
 
-def text_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
+def text_to_decimal(c: str, precision: int = 18, scale: int = 2) -> Column:
     """Text -> DECIMAL with half-up rounding, bad text -> NULL."""
-    if isinstance(c, str):
-        return F.expr(f"try_cast(CAST({sql_ident(c)} AS STRING) AS DECIMAL({precision},{scale}))")
-    return c.cast("string").try_cast(f"decimal({precision},{scale})")
+    return F.expr(f"try_cast(CAST({sql_ident(c)} AS STRING) AS DECIMAL({precision},{scale}))")
 
 
 # Fixed value: the staging amount guard.
 NUMERIC_TEXT_PATTERN = r"^[0-9.]+$"
 
 
-def numeric_text_guard(c) -> Column:
+def numeric_text_guard(c: str) -> Column:
     """The staging guard ``~ '^[0-9.]+$'`` (F9); also rejects negatives."""
-    if isinstance(c, str):
-        return F.expr(f"coalesce(CAST({sql_ident(c)} AS STRING) RLIKE {sql_string(NUMERIC_TEXT_PATTERN)}, false)")
-    return F.coalesce(c.cast("string").rlike(NUMERIC_TEXT_PATTERN), F.lit(False))
+    return F.expr(f"coalesce(CAST({sql_ident(c)} AS STRING) RLIKE {sql_string(NUMERIC_TEXT_PATTERN)}, false)")
 
 
 # ----------------------------------------------------------- rounding

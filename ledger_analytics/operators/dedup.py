@@ -18,8 +18,3 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     by = ", ".join(f"{sql_ident(c)} ASC NULLS LAST" for c in order)
     return df.selectExpr("*", f"row_number() OVER (PARTITION BY {part} ORDER BY {by}) AS _rn") \
         .where("_rn = 1").drop("_rn")
-
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Full-row DISTINCT (U2); NULLs compare equal."""
-    return df.distinct()

@@ -18,12 +18,6 @@ def name_present_sql(column: str) -> str:
     return f"coalesce(NOT (CAST({sql_ident(column)} AS STRING) RLIKE {sql_string(BLANK_PATTERN)}), false)"
 
 
-def name_present(c) -> Column:
-    if isinstance(c, str):
-        return F.expr(name_present_sql(c))
-    return F.coalesce(~c.cast("string").rlike(BLANK_PATTERN), F.lit(False))
-
-
 def with_reject_reason(df: DataFrame, name_col: str = "RazaoSocial", cnpj_col: str = "CNPJ") -> DataFrame:
     """Add ``reject_reason``: NULL when valid, else ``blank_name``,
     ``invalid_cnpj`` or both joined by ``;``."""

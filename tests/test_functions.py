@@ -87,17 +87,3 @@ def test_url_helpers(spark):
                    "https://h.example.org/top", "https://h.example.org/a/", "https://h.example.org/a/b/sub/f.csv"]
     assert _one(spark, [("http://x/a/b.zip?x=1",)], "u string", url_file_name("u")) == ["b.zip"]
     assert _one(spark, [("dir/a.b.csv",)], "u string", file_stem("u")) == ["a"]
-
-
-def test_column_and_sql_forms_agree(spark):
-    from ledger_analytics.functions import iso_date_or_null, text_to_long
-
-    rows = [("11.222.333/0001-81", "1.234,56", "2025-02-30", "12", "1.5"), ("191", "x", "2025-01-31", "", "-1"),
-            (None, None, None, None, None), ("112223330001812", "-10,00", "31/01/2025", "7x", "1.2.3")]
-    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string")
-    pairs = [(parse_date, "c"), (iso_date_or_null, "c"),
-             (text_to_int, "d"), (text_to_long, "d"), (numeric_text_guard, "e"), (text_to_decimal, "e")]
-    for fn, col in pairs:
-        by_name = [r[0] for r in df.select(fn(col)).collect()]
-        by_column = [r[0] for r in df.select(fn(F.col(col))).collect()]
-        assert by_name == by_column, fn.__name__
