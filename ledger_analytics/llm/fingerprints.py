@@ -73,18 +73,25 @@ def fingerprint(keys: str) -> str:
     return f"array_join(transform({_sketch(signed, WIDTHS[0])}, c -> concat(hex(c.n), '.', lower(lpad(hex(c.k), 16, '0')))), '-')"
 
 
+def _constant(values: list[int]):
+    """An array literal (parsed once, folded by the optimiser)."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
 def with_next(rows: DataFrame, columns: list[str], ranges: int) -> DataFrame:
     """``rows`` (doc_id, text, ...) with ``range``, ``nth`` (place in it) and ``next_<column>`` of the following row, descending ``doc_id``."""
     shares = [i / ranges for i in range(1, ranges)]
     bounds = rows.agg(F.percentile_approx("doc_id", F.array(*[F.lit(s) for s in shares]), 10_000).alias("cuts"), F.max("doc_id").alias("top")).first()
     cuts = sorted({*(bounds["cuts"] or []), *([bounds["top"]] if bounds["top"] is not None else [])})
     # range r holds the ids in (cut r - 1, cut r]; a null id is in range 0
-    listed = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    own = F.coalesce(F.size(F.filter(listed, lambda c: c < F.col("doc_id"))), F.lit(0)).cast("int")
-    # the first of range r follows the last of range r + 1; the very first follows the last of range 0
-    at_cut = F.array_position(listed, F.col("doc_id")).cast("int")
-    last = len(cuts)
-    after = F.when(F.lit(last == 0), F.lit(0)).when(at_cut == last, F.lit(0)).when(at_cut > 0, at_cut)
+    step = max(1, int(len(cuts) ** 0.5))
+    listed, coarse = _constant(cuts), _constant(cuts[step - 1 :: step])  # looked up in two steps, as there may be many
+    below = lambda some: F.size(F.filter(some, lambda c: c < F.col("doc_id")))
+    block = below(coarse)
+    own = F.when(F.col("doc_id").isNull(), 0).otherwise(block * step + below(F.slice(listed, block * step + 1, step))).cast("int")
+    # the first of range r (its cut) follows the last of range r + 1; the very first follows the last of range 0
+    top = F.lit(bounds["top"]).cast("long")
+    after = F.when(F.col("doc_id").eqNullSafe(top), 0).when(F.get(listed, own) == F.col("doc_id"), own + 1)
     homes = F.filter(F.array(F.struct(own.alias("range"), F.lit(0).alias("copy")), F.struct(after.alias("range"), F.lit(1).alias("copy"))), lambda h: h["range"].isNotNull())
     dealt = rows.select("*", F.explode(homes).alias("_home")).select(*rows.columns, "_home.range", "_home.copy")
     order = Window.partitionBy("range").orderBy("copy", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")

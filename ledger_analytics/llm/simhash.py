@@ -34,7 +34,7 @@ from ..session import ensure_checkpoint_dir
 from . import textcore as T
 from .components import connected_components
 
-SPLIT_ABOVE = 20_000
+SPLIT_ABOVE = 4_000
 
 
 def fingerprints_of(table: pa.RecordBatch, column: str, shingle: int) -> np.ndarray:
