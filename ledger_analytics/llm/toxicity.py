@@ -5,7 +5,7 @@ A word enters with two inputs: the embedding of the word itself, if training has
 documents, and the mean embedding of its byte trigrams.  All windows of ``WINDOW`` words that overlap by
 half are scored; the best one decides, through a logistic calibration.
 
-Fit on a bounded sample: at most ``SAMPLE`` labelled rows of each class, of those whose
+Fit, in one task, on a bounded sample: at most ``SAMPLE`` labelled rows of each class, of those whose
 ``crc32(doc_id as text) mod 3`` is not 1 and whose text has at most ``LONGEST`` characters, taken by the least
 hashes.  First values of the embeddings are log-odds of words and trigrams in the sample; every round then
 trains on the window of each document that the network scores highest (so a toxic document teaches its
@@ -18,6 +18,7 @@ score is the share of toxic rows (0 if there are none).  Every input row gives o
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -238,10 +239,10 @@ def _odds(owner: np.ndarray, keys: np.ndarray, n_keys: int, toxic: np.ndarray, e
     return there, np.clip(odds, -4, 8) / 8
 
 
-def train(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Network:
-    """A network fit on labelled texts."""
+def train(texts, toxic: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Network:
+    """A network fit on labelled texts (a list or an Arrow column)."""
     toxic = np.asarray(toxic, np.float32)
-    text = Text.of(pa.array(texts, pa.string()))
+    text = Text.of(texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string()))
     owner = np.repeat(np.arange(len(texts)), np.diff(text.first))
     there, odds = _odds(owner, text.form, max(1, len(text.hashes)), toxic)
     known = np.flatnonzero(there >= MIN_DOCS)
@@ -332,11 +333,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     few = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share * (1 << 30))
     few = F.broadcast(few.limit(4 * sample))  # about two samples; the limit proves the bound
     own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    rows = own.where(F.length("_text") <= LONGEST).join(few, "_id").select("_id", "_text", "_toxic").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
-    toxic = np.array(rows.column("_toxic").to_pylist(), np.float32)
-    if not len(toxic) or toxic.min() == toxic.max():
-        return float(toxic.mean()) if len(toxic) else 0.0
-    return train(rows.column("_text").to_pylist(), toxic)
+    rows = own.where(F.length("_text") <= LONGEST).join(few, "_id").select("_id", "_text", "_toxic")
+    found = rows.repartition(1).mapInArrow(_train_task, "network binary").first()  # one task over the bounded sample
+    return pickle.loads(found["network"]) if found else 0.0
+
+
+def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The network (or the share of toxic rows, if all are of one class), pickled."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).sort_by([("_id", "ascending"), ("_text", "ascending")])
+    toxic = rows.column("_toxic").to_numpy().astype(np.float32)
+    one_class = toxic.min() == toxic.max()
+    network = float(toxic.mean()) if one_class else train(rows.column("_text"), toxic)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], names=["network"])
 
 
 def with_score(docs: DataFrame, network: Network | float, text: str = "text", name: str = "score") -> DataFrame:
