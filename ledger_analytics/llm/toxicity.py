@@ -75,7 +75,22 @@ class Text:
         after = np.where(within == np.repeat(sizes, sizes) - 1, 0, padded[place + 2])
         key = (before * np.uint32(65599) + padded[place + 1]) * np.uint32(65599) + after
         key = (key * np.uint32(2654435761)) >> np.uint32(32 - TRIGRAMS.bit_length() + 1)
-        return cls(words.first, form, hashes, key.astype(np.int64), cuts)
+        return cls(words.first, form, hashes, key.astype(np.int32), cuts)
+
+    @classmethod
+    def joined(cls, parts: list[Text]) -> Text:
+        """The texts of several batches as one; hashing them batch by batch keeps the work arrays small."""
+        hashes = np.concatenate([p.hashes for p in parts])
+        known, at, form = np.unique(hashes, return_index=True, return_inverse=True)
+        forms = np.split(form, np.cumsum([len(p.hashes) for p in parts])[:-1])
+        shift = np.cumsum([0, *[p.first[-1] for p in parts]])
+        first = np.concatenate([[0], *[p.first[1:] + n for p, n in zip(parts, shift)]])
+        grams = np.concatenate([p.grams for p in parts])
+        start = np.concatenate([p.cuts + n for p, n in zip(parts, np.cumsum([0, *[len(p.grams) for p in parts]]))])
+        sizes = np.diff(np.append(start, len(grams)))[at]
+        cuts = np.cumsum(sizes) - sizes
+        place = np.repeat(start[at] - cuts, sizes) + np.arange(sizes.sum())
+        return cls(first, np.concatenate([f[p.form] for f, p in zip(forms, parts)]), known, grams[place], cuts)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """(form ids, -1 for padding; document) of all overlapping windows; every document has one at least."""
@@ -240,9 +255,10 @@ def _odds(owner: np.ndarray, keys: np.ndarray, n_keys: int, toxic: np.ndarray, e
 
 
 def train(texts, toxic: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Network:
-    """A network fit on labelled texts (a list or an Arrow column)."""
+    """A network fit on labelled texts (a list or an Arrow column, not empty)."""
     toxic = np.asarray(toxic, np.float32)
-    text = Text.of(texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string()))
+    table = pa.table({"text": texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string())})
+    text = Text.joined([Text.of(part.column("text")) for part in T.blocks(table, "text", 1 << 20)])
     owner = np.repeat(np.arange(len(texts)), np.diff(text.first))
     there, odds = _odds(owner, text.form, max(1, len(text.hashes)), toxic)
     known = np.flatnonzero(there >= MIN_DOCS)
