@@ -79,9 +79,10 @@ def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_
     while not jumps.isEmpty():
         further = reached.join(jumps.withColumnRenamed("ord", "_ord"), "page") \
             .select(F.col("target").alias("page"), F.concat("ord", "_ord").alias("ord"))
-        reached = reached.unionByName(further).checkpoint()
+        # dealt anew by page: a union of unions would double its partitions each round
+        reached = reached.unionByName(further).repartition("page").checkpoint()
         then = jumps.select(F.col("page").alias("target"), F.col("target").alias("_end"), F.col("ord").alias("_ord"))
-        jumps = jumps.join(then, "target").select("page", F.col("_end").alias("target"), F.concat("ord", "_ord").alias("ord")).checkpoint()
+        jumps = jumps.join(then, "target").select("page", F.col("_end").alias("target"), F.concat("ord", "_ord").alias("ord")).repartition("page").checkpoint()
     files = edges.where(~folder & F.lower(F.col("href")).rlike(extension_pattern(extensions)))
     top = files.join(reached, "page").select("target", "href", F.concat("ord", own).alias("ord")).orderBy("ord").limit(n)
     # n rows only: the numbering window runs on the top-n result.

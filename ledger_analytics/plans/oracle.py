@@ -367,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "'z.zip?a=1&b=' || c_mktsegment]) AS href FROM customer)")
     q["latest_files_deep"] = (
         "SELECT CAST(row_number() OVER (ORDER BY n, c_custkey DESC) AS INTEGER) AS ordem, "
-        "'/' || array_to_string(list_transform(range(1, n + 1), lambda i: 'd' || i), '/') || '/f' || c_custkey || '.zip' AS target, "
+        "'/' || repeat('d/', n) || 'f' || c_custkey || '.zip' AS target, "
         "'f' || c_custkey || '.zip' AS href FROM (SELECT 1 + c_custkey % 199 AS n, c_custkey FROM customer) "
         "WHERE n <= (SELECT count(*) FROM customer WHERE c_custkey BETWEEN 1 AND 199) "
         f"ORDER BY n, c_custkey DESC LIMIT {2 * WALK_FILES}")

@@ -241,11 +241,10 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deep_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chain of folders, one level per customer key below 200 (deeper than
     any fixed bound), with the files of all customers dealt over the levels."""
-    level = "concat('/', array_join(transform(sequence(1, n), i -> concat('d', CAST(i AS STRING))), '/'), '/')"
+    level = "concat('/', repeat('d/', n))"
     customer = table(spark, sf_dir, "customer")
-    folders = customer.where("c_custkey < 200").selectExpr("CAST(c_custkey AS INT) AS n").where("n > 0").selectExpr(
-        f"CASE WHEN n = 1 THEN '/' ELSE substr({level}, 1, length({level}) - length(CAST(n AS STRING)) - 2) END AS page",
-        "CAST(0 AS BIGINT) AS pos", "concat('d', CAST(n AS STRING), '/') AS href", f"{level} AS target")
+    folders = customer.where("c_custkey BETWEEN 1 AND 199").selectExpr("CAST(c_custkey AS INT) AS n").selectExpr(
+        "concat('/', repeat('d/', n - 1)) AS page", "CAST(0 AS BIGINT) AS pos", "'d/' AS href", f"{level} AS target")
     files = customer.selectExpr("CAST(1 + c_custkey % 199 AS INT) AS n", "c_custkey").selectExpr(
         f"{level} AS page", "CAST(c_custkey AS BIGINT) AS pos", "concat('f', CAST(c_custkey AS STRING), '.zip') AS href",
         f"concat({level}, 'f', CAST(c_custkey AS STRING), '.zip') AS target")
