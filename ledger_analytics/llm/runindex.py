@@ -14,6 +14,10 @@ A byte goes if some ``window``-byte string over it also starts anywhere else, in
 
 Copies cost one index entry however many there are, so the index grows with the distinct text.
 
+A *hot* seed has more than ``SEED_SEGMENTS`` distinct segments (a footer line in different surroundings).  It
+gets no index: the shards that hold it send the distinct hashes of its windows to buckets by window, which
+answer with those that recur.  A shard lists ``SHARD_SEGMENTS`` segments of a seed at most; more make it hot.
+
 Defined cases: a null text is empty.  Matches never cross documents.  Every input row gives one output
 row, rows that share a ``doc_id`` included.
 """
@@ -32,9 +36,14 @@ BUCKET_BYTES = 8 << 20
 #: bytes of text whose arrays a task works on at once, and of one index: both fit the processor's cache
 PART_BYTES = 1 << 18
 INDEX_BYTES = 1 << 18
+#: distinct segments (of 2 * window - gram bytes at most) that one seed may bring into an index, and that a shard lists
+SEED_SEGMENTS = 512
+SHARD_SEGMENTS = 32
+#: bits of a segment's flag: it occurs again in its shard; its shard lists only some segments of the seed
+AGAIN, MORE = 1, 2
 PAIRS = "bucket int, shard int, seeds binary, segs binary, flags binary"
-PIECES = "bucket int, segs binary, lens binary, flags binary, body binary"
-MARKS = "shard int, segs binary, lows binary, highs binary"
+PIECES = "bucket int, shard int, seeds binary, segs binary, lens binary, flags binary, body binary"
+MARKS = "shard int, segs binary, lows binary, highs binary, seeds binary, windows binary"
 
 
 class RunLengthIndex:
@@ -166,6 +175,16 @@ class _Segments:
         self.stop = np.flatnonzero(closes) + window
         self.seed = grams[pick[self.start]]
         self.hash = prefix.slices(self.start, self.stop)
+        self.prefix = prefix
+
+    def windows(self, seeds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, seed, hash) of all windows of the segments with one of these (sorted) seeds."""
+        own = np.flatnonzero(T.isin_sorted(self.seed, seeds)) if len(self.seed) and len(seeds) else np.zeros(0, np.int64)
+        if not len(own):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        times = self.stop[own] - window + 1 - self.start[own]
+        start = np.repeat(self.start[own] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        return start, np.repeat(self.seed[own], times), self.prefix.slices(start, start + window)
 
 
 def _table(rows: list[tuple], names: list[str], types: list) -> pa.Table:
@@ -187,19 +206,25 @@ def _segments(window: int, gram: int, n_buckets: int):
         head = np.ones(len(seeds), bool)
         head[1:] = (seeds[1:] != seeds[:-1]) | (segs[1:] != segs[:-1])
         at = np.flatnonzero(head)
-        often = (np.diff(np.append(at, len(seeds))) > 1).astype(np.uint8)
+        flags = (np.diff(np.append(at, len(seeds))) > 1).astype(np.uint8) * AGAIN
         seeds, segs = seeds[at], segs[at]
+        if len(at):
+            first = np.flatnonzero(np.append(True, seeds[1:] != seeds[:-1]))
+            size = np.diff(np.append(first, len(seeds)))
+            flags += np.repeat(size > SHARD_SEGMENTS, size).astype(np.uint8) * np.uint8(MORE)
+            listed = np.arange(len(seeds)) - np.repeat(first, size) < SHARD_SEGMENTS
+            at, seeds, segs, flags = at[listed], seeds[listed], segs[listed], flags[listed]
         rows = []
         if len(at):
             for b, i in T.split_by(np.arange(len(at)), bucket_of(seeds, n_buckets)):
-                rows.append((b, key[0].as_py(), pack(seeds[i]), pack(segs[i]), pack(often[i])))
+                rows.append((b, key[0].as_py(), pack(seeds[i]), pack(segs[i]), pack(flags[i])))
         return _pairs_table(rows)
 
     return run
 
 
 def _bucket(table: pa.Table):
-    """Distinct segments of a bucket whose seed recurs: (order of all entries, ...) as flat arrays."""
+    """Segments of a bucket whose seed recurs as flat arrays: seed, segment, weight, first of its kind, shard, hot seed."""
     seeds, segs, flags = unpack(table.column("seeds"), np.uint64), unpack(table.column("segs"), np.uint64), unpack(table.column("flags"), np.uint8)
     owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
     seeds, segs, flags = np.concatenate(seeds), np.concatenate(segs), np.concatenate(flags)
@@ -210,26 +235,46 @@ def _bucket(table: pa.Table):
     new_seed[1:] = seeds[1:] != seeds[:-1]
     new_seg = new_seed.copy()
     new_seg[1:] |= segs[1:] != segs[:-1]
-    per_seed = np.add.reduceat(1 + flags.astype(np.int64), np.flatnonzero(new_seed))
-    per_seg = np.add.reduceat(1 + flags.astype(np.int64), np.flatnonzero(new_seg))
-    recurs = np.repeat(per_seed > 1, np.diff(np.append(np.flatnonzero(new_seed), len(seeds))))
-    weight = np.repeat(per_seg > 1, np.diff(np.append(np.flatnonzero(new_seg), len(seeds))))
-    return seeds[recurs], segs[recurs], weight[recurs], new_seg[recurs], names[owner[recurs]]
+    times = 1 + ((flags & AGAIN) > 0).astype(np.int64)
+    heads, seg_heads = np.flatnonzero(new_seed), np.flatnonzero(new_seg)
+    size = np.diff(np.append(heads, len(seeds)))
+    recurs = np.repeat(np.add.reduceat(times, heads) > 1, size)
+    weight = np.repeat(np.add.reduceat(times, seg_heads) > 1, np.diff(np.append(seg_heads, len(seeds))))
+    hot = (np.add.reduceat(new_seg.astype(np.int64), heads) > SEED_SEGMENTS) | (np.maximum.reduceat(flags & MORE, heads) > 0)
+    return seeds[recurs], segs[recurs], weight[recurs], new_seg[recurs], names[owner[recurs]], np.repeat(hot, size)[recurs]
 
 
 def _wanted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Asks one shard for each distinct segment that is to be indexed."""
-    _, segs, weight, first, shard = _bucket(table)
-    segs, weight, shard = segs[first], weight[first], shard[first]
+    """Asks one shard for each distinct segment that is to be indexed, and all that hold a hot seed for its windows."""
+    seeds, segs, weight, first, shard, hot = _bucket(table)
     rows = []
+    if hot.any():
+        for s, i in T.split_by(np.flatnonzero(hot), shard[hot]):
+            rows.append((key[0].as_py(), s, pack(np.unique(seeds[i])), b"", b""))
+    first &= ~hot
+    segs, weight, shard = segs[first], weight[first], shard[first]
     if len(segs):
         for s, i in T.split_by(np.arange(len(segs)), shard):
             rows.append((key[0].as_py(), s, b"", pack(segs[i]), pack(weight[i].astype(np.uint8))))
     return _pairs_table(rows)
 
 
-def _pieces(window: int, gram: int):
-    names, types = ["bucket", "segs", "lens", "flags", "body"], [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+def _window_rows(shard: int, seeds: np.ndarray, hashes: np.ndarray, n_buckets: int) -> list[tuple]:
+    """A shard's distinct windows of hot seeds, by seed, for the buckets from n_buckets on."""
+    order = np.lexsort((hashes, seeds))
+    seeds, hashes = seeds[order], hashes[order]
+    at = np.flatnonzero(np.append(True, (seeds[1:] != seeds[:-1]) | (hashes[1:] != hashes[:-1])))
+    again = (np.diff(np.append(at, len(seeds))) > 1).astype(np.uint8)
+    seeds, hashes = seeds[at], hashes[at]
+    rows = []
+    for b, i in T.split_by(np.arange(len(at)), bucket_of(hashes, n_buckets)):
+        own, counts = np.unique(seeds[i], return_counts=True)
+        rows.append((n_buckets + b, shard, pack(own), pack(hashes[i]), pack(counts.astype(np.int32)), pack(again[i]), b""))
+    return rows
+
+
+def _pieces(window: int, gram: int, n_buckets: int):
+    names, types = ["bucket", "shard", "seeds", "segs", "lens", "flags", "body"], [pa.int32(), pa.int32(), *[pa.binary()] * 5]
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not table.num_rows:
@@ -237,13 +282,15 @@ def _pieces(window: int, gram: int):
         segs, flags = unpack(asked.column("segs"), np.uint64), unpack(asked.column("flags"), np.uint8)
         bucket = np.repeat(np.array(asked.column("bucket").to_pylist(), np.int64), [len(s) for s in segs])
         segs, flags = np.concatenate(segs), np.concatenate(flags)
+        hot = np.unique(np.concatenate(unpack(asked.column("seeds"), np.uint64)))
         order = np.argsort(segs)
         segs, flags, bucket = segs[order], flags[order], bucket[order]
-        rows, done = [], np.zeros(len(segs), bool)
+        rows, done, windows = [], np.zeros(len(segs), bool), []
         for part in T.blocks(table, "text", PART_BYTES):
             s = _Segments(part, window, gram)
+            windows.append(s.windows(hot, window)[1:])
             mine, where = np.unique(s.hash, return_index=True)
-            known = T.isin_sorted(mine, segs)
+            known = T.isin_sorted(mine, segs) if len(segs) else np.zeros(len(mine), bool)
             at, where = np.searchsorted(segs, mine[known]), where[known]
             at, where = at[~done[at]], where[~done[at]]
             done[at] = True
@@ -252,7 +299,10 @@ def _pieces(window: int, gram: int):
                 for b, i in T.split_by(np.arange(len(at)), bucket[at]):
                     spans = list(zip(s.start[where[i]].tolist(), s.stop[where[i]].tolist()))
                     lens = np.array([y - x for x, y in spans], np.int32)
-                    rows.append((b, pack(segs[at[i]]), pack(lens), pack(flags[at[i]]), b"".join(raw[x:y] for x, y in spans)))
+                    rows.append((b, -1, b"", pack(segs[at[i]]), pack(lens), pack(flags[at[i]]), b"".join(raw[x:y] for x, y in spans)))
+        seeds, hashes = (np.concatenate(x) for x in zip(*windows))
+        if len(seeds):
+            rows += _window_rows(key[0].as_py(), seeds, hashes, n_buckets)
         return _table(rows, names, types)
 
     return run
@@ -273,17 +323,34 @@ def _long_matches(index: RunLengthIndex, lens: np.ndarray, segs: np.ndarray, who
     return segs[seg], (low - begin[seg]).astype(np.int32), (high - begin[seg]).astype(np.int32)
 
 
-def _marks(window: int):
-    names, types = ["shard", "segs", "lows", "highs"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+def _recurring_windows(table: pa.Table) -> list[tuple]:
+    """For each shard, the windows of this bucket that recur, and their seeds."""
+    hashes, flags = unpack(table.column("segs"), np.uint64), unpack(table.column("flags"), np.uint8)
+    shard = np.repeat(np.array(table.column("shard").to_pylist(), np.int64), [len(h) for h in hashes])
+    seeds = np.concatenate([np.repeat(s, n) for s, n in zip(unpack(table.column("seeds"), np.uint64), unpack(table.column("lens"), np.int32))])
+    hashes, flags = np.concatenate(hashes), np.concatenate(flags)
+    order = np.lexsort((hashes, seeds))
+    seeds, hashes, flags, shard = seeds[order], hashes[order], flags[order], shard[order]
+    at = np.flatnonzero(np.append(True, (seeds[1:] != seeds[:-1]) | (hashes[1:] != hashes[:-1])))
+    recurs = np.repeat(np.add.reduceat(1 + flags.astype(np.int64), at) > 1, np.diff(np.append(at, len(seeds))))
+    own = np.flatnonzero(recurs)
+    return [(s, b"", b"", b"", pack(np.unique(seeds[i])), pack(hashes[i])) for s, i in T.split_by(own, shard[own])] if len(own) else []
+
+
+def _marks(window: int, n_buckets: int):
+    names, types = ["shard", "segs", "lows", "highs", "seeds", "windows"], [pa.int32(), *[pa.binary()] * 5]
 
     def run(key: tuple[pa.Scalar, ...], pairs: pa.Table, pieces: pa.Table) -> pa.Table:
-        if not pieces.num_rows or not pairs.num_rows:
+        if not pieces.num_rows:
             return _table([], names, types)
+        if key[0].as_py() >= n_buckets:
+            return _table(_recurring_windows(pieces), names, types)
         segs = np.concatenate(unpack(pieces.column("segs"), np.uint64))
         lens = np.concatenate(unpack(pieces.column("lens"), np.int32)).astype(np.int64)
         whole = np.concatenate(unpack(pieces.column("flags"), np.uint8)) > 0
         body = np.frombuffer(b"".join(pieces.column("body").to_pylist()), np.uint8)
-        seeds, mine, _, _, shard = _bucket(pairs)
+        seeds, mine, _, _, shard, hot = _bucket(pairs)
+        seeds, mine, shard = seeds[~hot], mine[~hot], shard[~hot]
         # segments that may match share a seed, so a bucket falls into independent indices by seed
         known, at = np.unique(mine, return_index=True)
         seed = seeds[at][np.searchsorted(known, segs)]
@@ -303,7 +370,7 @@ def _marks(window: int):
         rows = []
         if len(entry):
             for s, e in T.split_by(entry, to):
-                rows.append((s, pack(marked[e]), pack(low[e]), pack(high[e])))
+                rows.append((s, pack(marked[e]), pack(low[e]), pack(high[e]), b"", b""))
         return _table(rows, names, types)
 
     return run
@@ -320,6 +387,8 @@ def _cut(window: int, gram: int):
         high = np.concatenate([np.zeros(0, np.int32), *unpack(marks.column("highs"), np.int32)]).astype(np.int64)
         order = np.argsort(segs, kind="stable")
         segs, low, high = segs[order], low[order], high[order]
+        hot = np.unique(np.concatenate([np.zeros(0, np.uint64), *unpack(marks.column("seeds"), np.uint64)]))
+        again = np.sort(np.concatenate([np.zeros(0, np.uint64), *unpack(marks.column("windows"), np.uint64)]))
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for part in T.blocks(table, "text", PART_BYTES):
             s = _Segments(part, window, gram)
@@ -331,6 +400,11 @@ def _cut(window: int, gram: int):
             steps = np.zeros(n + 1, np.int64)
             np.add.at(steps, start + low[entry], 1)
             np.add.at(steps, start + high[entry] + window, -1)
+            if len(hot):
+                own, _, hashes = s.windows(hot, window)
+                own = own[T.isin_sorted(hashes, again)]
+                np.add.at(steps, own, 1)
+                np.add.at(steps, own + window, -1)
             gone = np.cumsum(steps[:-1]) > 0
             opens = gone.copy()
             opens[1:] &= ~gone[:-1]
@@ -357,8 +431,8 @@ def drop_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     sharded = rows.withColumn("shard", shard_of(F.col("doc_id"), n_shards))
     pairs = sharded.groupBy("shard").applyInArrow(_segments(window, gram, n_buckets), PAIRS)
     wanted = pairs.groupBy("bucket").applyInArrow(_wanted, PAIRS)
-    pieces = sharded.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(_pieces(window, gram), PIECES)
-    marks = pairs.groupBy("bucket").cogroup(pieces.groupBy("bucket")).applyInArrow(_marks(window), MARKS)
+    pieces = sharded.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(_pieces(window, gram, n_buckets), PIECES)
+    marks = pairs.groupBy("bucket").cogroup(pieces.groupBy("bucket")).applyInArrow(_marks(window, n_buckets), MARKS)
     return sharded.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(
         _cut(window, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
