@@ -51,3 +51,30 @@ def test_op10_hot_seeds_lose_no_match(spark):
         want[(doc_id, sum(gone), "".join(c for c, g in zip(text, gone) if not g).encode())] += 1
     got = drop_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert Counter((r.doc_id, r.n_removed, bytes(r.kept)) for r in got) == want
+
+
+def test_op5_finds_short_secrets_and_those_beside_ordinary_text(spark):
+    from pyspark.sql import functions as F
+
+    from ledger_analytics.llm.secrets import find_secrets, redact
+
+    r = random.Random(3)
+    parts = ["read", "write", "file", "table", "index", "count", "value", "name", "list", "order", "price", "store", "config", "service", "credentials", "authorization"]
+    names = ["_".join(r.choices(parts, k=5)) for _ in range(300)]
+    rows = [(i, f"the {n} and the {m}, {n.replace('_', '/')} on 2024-03-{10 + i % 20} call {r.randrange(10**10, 10**11)}") for i, (n, m) in enumerate(zip(names, reversed(names)))]
+    rows += [(5000 + i, f"password={noise(r, 24, LETTERS)}") for i in range(100)]
+    shapes = ["here {} there", "authorization={}", "config_service_credentials_value_{}", "store/order/price/list/index/table/count/value/name/file/{}/read", "token=abcdefgh1={}", "{}.price_list_of_the_store_and_service.{}"]
+    keys, planted = {}, []
+    for k, shape in enumerate(shapes):
+        for i in range(100):
+            own = [noise(r, 18 if k == 0 else 24, LETTERS) for _ in range(shape.count("{}"))]
+            keys[10_000 * (k + 1) + i] = own
+            planted.append((10_000 * (k + 1) + i, shape.format(*own)))
+    found = find_secrets(spark.createDataFrame(rows + planted, "doc_id long, text string"))
+    got = {x.doc_id: (x.spans, x.t) for x in found.select("doc_id", "spans", redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert sum(got[i][0] == [] for i in range(300)) >= 297
+    for k, shape in enumerate(shapes):
+        clean = sum(not any(key in got[d][1] for key in own) for d, own in keys.items() if d // 10_000 == k + 1)
+        assert clean >= 97, (shape, clean)
+    assert all(dict(planted)[d][s.start : s.stop] == s.value for d in keys for s in got[d][0])
+    assert sum("authorization=[SECRET]" == got[20_000 + i][1] for i in range(100)) >= 95
