@@ -6,14 +6,15 @@ documents, and the mean embedding of its byte trigrams.  All windows of ``WINDOW
 half are scored; the best one decides, through a logistic calibration.
 
 Fit, in one task, on a bounded sample: at most ``SAMPLE`` labelled rows of each class, of those whose
-``crc32(doc_id as text) mod 3`` is not 1 and whose text has at most ``LONGEST`` characters, taken by the least
-hashes.  First values of the embeddings are log-odds of words and trigrams in the sample; every round then
+``crc32(doc_id as text) mod 3`` is not 1, taken by the least hashes.  Texts of up to ``LONGEST`` characters enter
+whole, and longer ones too while the sample stays within ``TOTAL`` characters; beyond that, a longer text gives
+as many of its pieces of ``PIECE`` characters as fit an equal share, those with the least hashes.  First values of the embeddings are log-odds of words and trigrams in the sample; every round then
 trains on the window of each document that the network scores highest (so a toxic document teaches its
 worst window, a clean one the window most like it) and on one more.  Labels, ``lang``, ``source`` and
 ``doc_id`` are no inputs.
 
-Defined cases: a text without words is one window of padding; without labelled rows of both classes every
-score is the share of toxic rows (0 if there are none).  Every input row gives one output row.
+Defined cases: a text without words is one window of padding; without labelled documents of both classes
+every score is the share of toxic labels (0 if there are none).  Every input row gives one output row.
 """
 
 from __future__ import annotations
@@ -37,11 +38,16 @@ ATTENTION = 8
 TRIGRAMS = 1 << 13
 MIN_DOCS = 3
 SAMPLE = 2000
+#: characters that a text may always bring into the sample, that longer ones may fill together, and of a piece
 LONGEST = 20_000
+TOTAL = 40_000_000
+PIECE = 1_000
 ROUNDS = 5
 BATCH = 64
 #: small samples get more rounds, so that the network takes this many steps at least
 STEPS = 300
+#: windows that training scores to find the worst ones; if every round's would be more, they are found anew less often
+SCORED = 2_000_000
 THRESHOLD = 0.7
 
 
@@ -276,9 +282,10 @@ def train(texts, toxic: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Netw
     counts = np.diff(np.append(starts, len(of)))
     word_ids, r = net.word_ids(text), np.random.default_rng(seed)
     rounds = max(rounds, -(-STEPS * BATCH // (len(texts) + int((toxic == 0).sum()))))
+    every = -(-rounds * len(ids) // SCORED)
     worst = np.where(ids >= 0, np.append(net.weights["word"][word_ids, 0], 0)[ids], -1).max(axis=1)
     for turn in range(rounds):
-        if turn:
+        if turn and turn % every == 0:
             worst = net.window_logits(text, ids)
         first = np.array([starts[d] + int(np.argmax(worst[starts[d] : starts[d] + counts[d]])) for d in range(len(texts))])
         other = starts + r.integers(0, counts)
@@ -338,20 +345,41 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Network | float:
-    """The network, or the share of toxic rows where the labels don't have both classes."""
+def _level(lengths: np.ndarray, total: int, least: int) -> int:
+    """Characters that a text may bring, so that all together bring ``total`` (``least`` in any case)."""
+    lengths = np.sort(lengths)
+    left = total - (np.cumsum(lengths) - lengths)  # for the texts from each one on
+    shares = left // np.arange(len(lengths), 0, -1)
+    over = np.flatnonzero(lengths > shares)
+    return max(least, int(shares[over[0]]) if len(over) else int(lengths[-1]) if len(lengths) else 0)
+
+
+def _excerpt(text: str, level: int) -> Column:
+    """A text of up to ``level`` characters as it is, of a longer one the pieces with the least hashes, in order."""
+    pieces = f"transform(regexp_extract_all({text}, '(?s).{{1,{PIECE}}}', 0), (p, i) -> named_struct('h', xxhash64(i, p), 'i', i, 'p', p))"
+    some = f"array_sort(transform(slice(array_sort({pieces}), 1, {max(1, level // PIECE)}), x -> named_struct('i', x.i, 'p', x.p)))"
+    return F.expr(f"case when length({text}) <= {level} then {text} else array_join({some}.p, '\\n') end")
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, total: int = TOTAL) -> Network | float:
+    """The network, or the share of toxic labels where there aren't labelled documents of both classes."""
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).where("_id is not null and _toxic is not null")
     known = known.where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    counts = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
+    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    there = own.select("_id").where("_id is not null").distinct().withColumn("_there", F.lit(1))
+    both = known.join(there, "_id", "left").groupBy("_toxic").agg(F.count("*").alias("labels"), F.count("_there").alias("docs")).collect()
+    counts = {r["_toxic"]: r["docs"] for r in both}
     if not (counts.get(0) and counts.get(1)):
-        return 1.0 if counts.get(1) else 0.0
+        return sum(r["labels"] for r in both if r["_toxic"]) / max(1, sum(r["labels"] for r in both))
     share = F.when(F.col("_toxic") == 1, min(1.0, sample / counts[1])).otherwise(min(1.0, sample / counts[0]))
-    few = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share * (1 << 30))
+    few = known.join(there, "_id", "left_semi").where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share * (1 << 30))
     few = F.broadcast(few.limit(4 * sample))  # about two samples; the limit proves the bound
-    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    rows = own.where(F.length("_text") <= LONGEST).join(few, "_id").select("_id", "_text", "_toxic")
+    rows = own.join(few, "_id").select("_id", "_text", "_toxic")
+    lengths = rows.groupBy("_id").agg(F.max(F.length("_text")).alias("n")).select("n").collect()  # a number for each id of the sample
+    level = _level(np.array([r["n"] for r in lengths], np.int64), total, LONGEST)
+    rows = rows.withColumn("_text", _excerpt("_text", level))
     found = rows.repartition(1).mapInArrow(_train_task, "network binary").first()  # one task over the bounded sample
-    return pickle.loads(found["network"]) if found else 0.0
+    return pickle.loads(found["network"])
 
 
 def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,3 +78,33 @@ def test_op5_finds_short_secrets_and_those_beside_ordinary_text(spark):
         assert clean >= 97, (shape, clean)
     assert all(dict(planted)[d][s.start : s.stop] == s.value for d in keys for s in got[d][0])
     assert sum("authorization=[SECRET]" == got[20_000 + i][1] for i in range(100)) >= 95
+
+
+def test_op8_learns_from_long_documents(spark):
+    from ledger_analytics.llm import toxicity as X
+
+    r = random.Random(8)
+    plain = [f"{i}longish{i}harmless{i}" for i in range(80)]
+    book = lambda bad, n: " ".join(r.choice(["nasty", "foul"]) if bad and r.random() < 0.1 else r.choice(plain) for _ in range(n))
+    for case, size in (("all long", lambda bad: 1200), ("clean ones long", lambda bad: 40 if bad else 1200)):
+        rows = [(i, book(i % 2, size(i % 2))) for i in range(48)]
+        assert max(len(t) for _, t in rows) > X.LONGEST
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, 1, i % 2) for i in range(48)], "doc_id long, quality int, toxic int")
+        network = X.fit(docs, labels)
+        assert not isinstance(network, float), case
+        right = [(s.score >= 0.5) == (s.doc_id % 2 == 1) for s in X.with_score(docs, network).collect()]
+        assert sum(right) >= 44, case
+
+
+def test_op8_excerpts_are_bounded_and_in_order(spark):
+    import numpy as np
+
+    from ledger_analytics.llm import toxicity as X
+
+    assert X._level(np.array([5, 10, 100, 200]), 75, 0) == 30 and X._level(np.array([5, 10]), 75, 7) == 10 and X._level(np.array([50, 90]), 20, 30) == 30
+    text = "".join(f"{i:09d}\n" for i in range(5000))
+    got = [r.t for r in spark.createDataFrame([(text,), (text[:3000],)], "t string").select(X._excerpt("t", 4000).alias("t")).collect()]
+    assert got[1] == text[:3000]
+    kept = got[0].split()
+    assert len(kept) == 400 and kept == sorted(kept) and set(kept) <= set(text.split())
