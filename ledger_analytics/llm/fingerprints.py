@@ -1,7 +1,8 @@
 """Document fingerprints as invertible Bloom lookup sketches, with DataFrame operations only.
 
 A document is the set of its paragraph digests: lines, of which a long one is cut at the first sentence end
-after ``PIECE`` characters.  A sketch has three groups of cells; every digest enters one cell of each group,
+after ``PIECE`` characters.  If none follows within ``STRETCH`` characters, it is cut where the content says
+so (before certain letters after a blank, else after certain characters), or else after the stretch.  A sketch has three groups of cells; every digest enters one cell of each group,
 where counts add up and digests and check values are combined by exclusive or.  Subtracting the cells of
 two versions leaves the digests that differ; peeling recovers them one pure cell after the other.  Digests
 are dealt to sub-sketches by hash (about ``LOAD`` digests of a pair in each), so work and memory stay linear
@@ -25,7 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 120
-PARAGRAPH = r"[^\n]{%d}[^\n.!?]*[.!?]*|[^\n]+" % PIECE
+STRETCH = 120
+#: sentence ends of several scripts; letters, digits and parts of scripts without blanks at which a cut may fall
+END = ".!?\u3002\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4"
+CUT = "aeorAEOR05" + "".join(f"{chr(c)}-{chr(c + 15)}" for c in range(0x400, 0xD700, 0x400))
+PARAGRAPH = (
+    f"[^\\n]{{{PIECE}}}(?:[^\\n{END}]{{0,{STRETCH}}}[{END}]+|[^\\n{END}]{{0,{STRETCH}}}?[ \\t](?=[{CUT}])"
+    f"|[^\\n{END}]{{0,{STRETCH}}}?[{CUT}]|[^\\n{END}]{{0,{STRETCH}}})|[^\\n]+"
+)
 LOAD = 8
 #: cells of a group, first try and retries
 WIDTHS = (4, 8, 16)

@@ -1,4 +1,4 @@
-"""Cases of the second review: each failed before its finding was settled."""
+"""Cases of the second review of the training-data operators."""
 
 import random
 from collections import Counter
@@ -108,3 +108,20 @@ def test_op8_excerpts_are_bounded_and_in_order(spark):
     assert got[1] == text[:3000]
     kept = got[0].split()
     assert len(kept) == 400 and kept == sorted(kept) and set(kept) <= set(text.split())
+
+
+def test_op1_texts_without_sentence_ends_have_several_digests(spark):
+    import re
+
+    from ledger_analytics.llm.fingerprints import PARAGRAPH, sketch_documents
+
+    r = random.Random(2)
+    texts = [noise(r, 900, "abcdefghijklmnopqrstuvwxyz    "), noise(r, 900, LETTERS), "".join(chr(r.randrange(0x4E00, 0x9FA0)) for _ in range(900)),
+             "".join(noise(r, 40, "अकगच ") + "।" for _ in range(25)), noise(r, 700, "xyz ")]
+    for t in texts:
+        own = re.findall(PARAGRAPH, t)
+        assert "".join(own) == t and len(own) >= 3
+    moved = set(re.findall(PARAGRAPH, "some words in front " + texts[0]))
+    assert len(moved & set(re.findall(PARAGRAPH, texts[0]))) >= 2  # the cuts follow the content
+    got = sketch_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == 5 and all(x.near_edited > 0.15 for x in got)
