@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranks import rows_at
+
 KEY = "cod_operadora"
 
 
@@ -173,19 +175,20 @@ def top_operators(despesas: DataFrame, operadoras: DataFrame, k: int = 5) -> Dat
 def operators_page(operadoras: DataFrame, page: int = 1, limit: int = 10) -> DataFrame:
     """One page of operators ordered by key plus the table count (Q5).
 
-    Offset paging sorts ``offset + limit`` rows per partition; for deep
-    pages use :func:`operators_after`.  The total is a scalar subquery, so
-    no join is needed to attach it.  A page past the end is one row with the
-    total and no operator.
+    The page's rows are found by rank (:func:`~ledger_analytics.operators.ranks.rows_at`):
+    a few counting rounds and a range filter on the key, however far the
+    page; no sort or heap grows with its number.  A page past the end is
+    one row with the total and no operator.
     """
     if page < 1 or limit < 1:
         raise ValueError("page and limit must be >= 1")
-    total = operadoras.select(F.count(F.lit(1))).scalar()
-    start = (page - 1) * limit
-    rows = operadoras.orderBy(KEY).offset(start).limit(limit).withColumn("total", total)
-    counted = operadoras.agg(F.count(F.lit(1)).alias("total")).where(F.col("total") <= start)
-    none = counted.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in operadoras.schema.fields], "total")
-    return rows.unionByName(none).withColumn("page", F.lit(page)).withColumn("limit", F.lit(limit))
+    rows, total = rows_at(operadoras, KEY, (page - 1) * limit, limit)
+    if total <= (page - 1) * limit:
+        rows = operadoras.sparkSession.range(1).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in operadoras.schema.fields])
+    # page numbers are unbounded integers, as the limit
+    number = lambda n: F.lit(n) if abs(n) < 1 << 63 else F.lit(str(n)).cast("decimal(38,0)")
+    return rows.withColumns({"total": F.lit(total).cast("bigint"), "page": number(page), "limit": number(limit)})
 
 
 def operators_after(operadoras: DataFrame, last_key: int | None, limit: int = 10) -> DataFrame:

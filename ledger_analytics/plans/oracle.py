@@ -277,6 +277,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT cod_operadora, registro_ans, cnpj, razao_social, modalidade, uf, 0::BIGINT AS total, 0 AS page, 0 AS \"limit\" "
         f"FROM operadoras WHERE false UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, count(*), {PAST_PAGE}, {PAGE_SIZE} "
         "FROM operadoras", "operadoras")
+    deep = f"(SELECT count(*) * 9 // {10 * PAGE_SIZE} FROM operadoras)"
+    q["operators_page_deep"] = with_ctes(
+        f"SELECT * EXCLUDE (rn) REPLACE (CAST(page AS INTEGER) AS page) FROM (SELECT *, count(*) OVER () AS total, {deep} + 1 AS page, "
+        f"{PAGE_SIZE} AS \"limit\", row_number() OVER (ORDER BY cod_operadora) - 1 AS rn FROM operadoras) "
+        f"WHERE rn // {PAGE_SIZE} = page - 1", "operadoras")
     q["operators_after"] = with_ctes(
         f"SELECT * FROM operadoras WHERE cod_operadora > {AFTER_KEY} ORDER BY cod_operadora LIMIT {PAGE_SIZE}", "operadoras")
     q["operator_by_cnpj"] = with_ctes(f"SELECT * FROM operadoras WHERE cnpj = '{LOOKUP_CNPJ}'", "operadoras")

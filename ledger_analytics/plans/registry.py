@@ -203,6 +203,12 @@ def q_operators_page_past_end(spark, d):
     return A.operators_page(S.operadoras(spark, d), PAST_PAGE, PAGE_SIZE)
 
 
+def q_operators_page_deep(spark, d):
+    """The page nine tenths into the table."""
+    operators = S.operadoras(spark, d)
+    return A.operators_page(operators, operators.count() * 9 // (10 * PAGE_SIZE) + 1, PAGE_SIZE)
+
+
 def q_operators_after(spark, d):
     return A.operators_after(S.operadoras(spark, d), AFTER_KEY, PAGE_SIZE)
 
@@ -254,7 +260,7 @@ def q_delimited_text_parse(spark, d):
 #   length_violations C3              locale_number_parse P5            dedup_first U1
 #   page_links S8                     first_matching_link S9            links_by_extension S10
 #   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
-#   operators_page_past_end, operators_after Q5 (A7, O5)              locale_number_rejects P5
+#   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
 #   delimited_text_parse S2 (quoting)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -291,6 +297,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_links_dirty": q_page_links_dirty,
     "above_mean_by_operator": q_above_mean_by_operator,
     "operators_page_past_end": q_operators_page_past_end,
+    "operators_page_deep": q_operators_page_deep,
     "operators_after": q_operators_after,
     "locale_number_rejects": q_locale_number_rejects,
     "load_operators_incremental": q_load_operators_incremental,
