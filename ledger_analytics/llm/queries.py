@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, tokencounts, toxicity
+from . import chat, decontaminate, fingerprints, mixing, phrases, runindex, secrets, simhash, tokencounts, toxicity, urlfilters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_attentive_gru": toxicity.op8_attentive_gru,
         "op9_multinomial_blocks": mixing.op9_multinomial_blocks,
         "op10_run_length_index": runindex.op10_run_length_index,
+        "op11_url_vocabulary": urlfilters.op11_url_vocabulary,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_snapshot_collapse": chat.OP7_SQL,
         "op9_multinomial_blocks": mixing.OP9_SQL,
+        "op11_url_vocabulary": urlfilters.OP11_SQL,
     }

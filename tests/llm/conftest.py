@@ -44,10 +44,16 @@ def tables(spark, tmp_path_factory):
         (4, 0, "user", "hi"), (4, 1, "assistant", "other"), (5, 0, "user", "hi"), (5, 1, "assistant", "hello"), (5, 2, "user", "more"),
         (6, 0, None, None), (7, None, "user", "hi"), (8, 0, "user", "twice"), (8, 0, "user", "twice"), (9, 0, "user", "twice"), (None, 0, "user", "no id"), (10, 0, "user", ""),
     ]
+    urls = [None, "", "no scheme/casino", "://", "HTTP://Example.ORG/es/a", "http://a.example.org/es/?x", "http://example.org/es", "http://example.org/en/12?q=1", "http://example.org",
+            "http://notexample.org/es/", "http://x.Com/fr/b#c", "http://com/de/", "http://com:80/de/", "http://x.com/de/xxx", "http://x.net/de/", "https://u@b.org/", "ftp://.org/", "http://b.org./x",
+            "http://cheap-pills.example.net/", "http://cheaper.pills.net/", "http://cheap.net/cheap?cheap", "http://a.net/CASINO", "http://a.net/casinos/xcasino", "http://adult-x.net/1",
+            "http://x.com/?ref=x&y=adult", "http://é.net/é-casino-é", "http://a.net/" + "bets-" * 30000, "http://" + "a." * 20000 + "org/", "http://a.net/é\ncasino\n", "http://free.win/farm?track", "a://b://example.org/es/"]
+    pages = [(i, u, "<p>", "h", "p", 1) for i, u in enumerate(urls)] + [(4, urls[4], None, None, None, None), (4, urls[4], None, None, None, None), (None, urls[21], "", "", "", 2), (None, None, None, None, None, None)]
     for folder, keep in ((full, True), (empty, False)):
         for name, data, schema in (
             ("documents", rows, DOC_SCHEMA), ("benchmark", items, "item_id long, text string"), ("labels", labels, "doc_id long, quality int, toxic int"),
             ("conversations", turns, "conv_id long, turn long, role string, text string"),
+            ("pages", pages, "page_id long, url string, html string, host string, path string, weight int"),
         ):
             spark.createDataFrame(data if keep else [], schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return full, empty

@@ -254,10 +254,10 @@ def test_op6_bruteforce():
     assert got.tolist() == [best(w) for w in words]
 
 
-@pytest.mark.parametrize("name", ["op7_snapshot_collapse", "op9_multinomial_blocks"])
+@pytest.mark.parametrize("name", ["op7_snapshot_collapse", "op9_multinomial_blocks", "op11_url_vocabulary"])
 def test_sql(spark, tables, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages"):
         con.sql(f"create view {t} as select * from '{tables[0]}/{t}.parquet/*.parquet'")
     want = con.sql(registry.oracle_sql()[name])
     assert rows_of(QUERIES[name](spark, tables[0]), *want.columns) == Counter(want.fetchall())
