@@ -1,9 +1,16 @@
 """URL vocabulary, importance resampling and spelling variants against brute-force versions."""
 
+import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from ledger_analytics.llm import queries as registry
 
 QUERIES = registry.queries()
@@ -28,3 +35,89 @@ def test_op11_terms_and_rules_are_parameters(spark):
     got = judge_urls(df, "id", "u", rules=[("keep", "B.c", "/b"), ("drop", "a.b.c", "")], vocabulary={"Bad": 1, "worse": 2}).orderBy("page_id").collect()
     assert [(r.page_id, r.rule, r.verdict, r.weight, r.terms) for r in got] == [("p", "b.c/b", "keep", 3, "bad:2,worse:1"), ("q", "a.b.c", "drop", 0, "")]
     assert judge_urls(df, "id", "u", rules=[], vocabulary={}).where("verdict = 'allow'").count() == 2
+
+
+WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def features(text, max_n=3):
+    w = WORDS.findall((text or "").encode().lower())
+    return len(w), [b" ".join(w[i : i + n]) for n in range(1, max_n + 1) for i in range(len(w) - n + 1)]
+
+
+def resampled(documents, target):
+    """The contract of op12, n-gram by n-gram."""
+    bucket = lambda f: zlib.crc32(f) % 10000
+    s, t = (Counter(bucket(f) for x in texts for f in features(x)[1]) for texts in ([x for _, x in documents], target))
+    n_s, n_t = s.total(), t.total()
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (n_s + 10000) / ((s[b] + 1) * (n_t + 10000))))
+    rows = []
+    for doc_id, text in documents:
+        n_words, f = features(text)
+        weight = sum(gain(bucket(x)) for x in f)
+        h = int(hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        rows.append((doc_id, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n_words))
+    able = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    drawn = Counter((*r[:4], i + 1) for i, r in enumerate(able[: 5 * len(able) // 100]))
+    out = Counter(drawn)
+    for r in rows:
+        if drawn[same := next((d for d in drawn if d[:4] == r[:4] and drawn[d]), None)] if r[4] >= 20 else 0:
+            drawn[same] -= 1
+        else:
+            out[(*r[:4], None)] += 1
+    return out
+
+
+def test_op12(spark, tables, documents):
+    target = [r.text for r in spark.read.parquet(f"{tables[0]}/benchmark.parquet").collect()]
+    got = QUERIES["op12_prefix_crc_resampling"](spark, tables[0])
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint"] * 5
+    assert Counter(map(tuple, got.select("doc_id", "n_features", "weight", "score", "rank").collect())) == resampled(documents, target)
+
+
+def test_op12_draws_by_score_through_ties_and_repeated_rows(spark):
+    from ledger_analytics.llm.resampling import resample
+
+    r = random.Random(9)
+    text = lambda n: " ".join(f"w{r.randrange(50)}" for _ in range(n))
+    same = text(30)
+    # one document a third of all rows, one without an id, and many of the target's words
+    rows = [(7, same)] * 120 + [(None, text(25))] * 20 + [(i, text(r.choice([5, 19, 20, 40]))) for i in range(220)]
+    target = [text(40) for _ in range(5)] + [None, ""]
+    docs = spark.createDataFrame([(d, t, "s", 1, 2) for d, t in rows], "doc_id long, text string, score string, rank int, place int").repartition(7)
+    out = resample(docs, spark.createDataFrame([(t,) for t in target], "text string"), carry=["text", "score"])
+    got = [(x.doc_id, x.n_features, x.weight, x.score, x.rank) for x in out.collect()]
+    assert Counter(got) == resampled(rows, target)
+    assert Counter((x.doc_id, x.carried.text) for x in out.collect()) == Counter(rows)
+
+
+def test_op12_target_is_empty(spark, documents):
+    from ledger_analytics.llm.resampling import resample
+
+    got = resample(spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame([], "text string")).drop("carried", "n_words")
+    assert Counter(map(tuple, got.collect())) == resampled(documents, [])
+
+
+@pytest.mark.parametrize("at_a_time", [1, 3, 1 << 19])
+def test_ngram_crcs_from_prefixes(at_a_time, monkeypatch):
+    from ledger_analytics.llm import resampling as R
+    from ledger_analytics.llm import textcore as T
+
+    monkeypatch.setattr(R, "WORDS", at_a_time)
+    r = random.Random(1)
+    texts = ["", "One two  THREE", "é" * 40 + " " + "x" * 500 + " y", "-", " ".join("ab" * r.randrange(1, 60) for _ in range(30)), "z" * 70000 + " end"]
+    data, offsets = T.buffers(pa.array(texts))
+    found = Counter()
+    for own, crc in R.feature_crcs(T.words_of(T.LOWER[data], offsets, T.ALNUM), R.Shift(), 4):
+        found.update(zip(own.tolist(), crc.tolist()))
+    assert found == Counter((i, zlib.crc32(f)) for i, t in enumerate(texts) for f in features(t, 4)[1])
+
+
+def test_shifts():
+    from ledger_analytics.llm.resampling import Shift
+
+    r = random.Random(2)
+    pairs = [(r.randbytes(r.randrange(50)), r.randbytes(n)) for n in (0, 1, 63, 64, 65, 127, 128, 4097, 70000)]
+    crc = np.array([zlib.crc32(a) for a, _ in pairs], np.uint32)
+    got = Shift()(crc, np.array([len(b) for _, b in pairs]))
+    assert [int(g) ^ zlib.crc32(b) for g, (_, b) in zip(got, pairs)] == [zlib.crc32(a + b) for a, b in pairs]
