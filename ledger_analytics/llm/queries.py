@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, fingerprints, mixing, phrases, resampling, runindex, secrets, simhash, tokencounts, toxicity, urlfilters
+from . import chat, decontaminate, fingerprints, mixing, phrases, resampling, runindex, secrets, simhash, spelling, tokencounts, toxicity, urlfilters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_run_length_index": runindex.op10_run_length_index,
         "op11_url_vocabulary": urlfilters.op11_url_vocabulary,
         "op12_prefix_crc_resampling": resampling.op12_prefix_crc_resampling,
+        "op13_fm_index_variants": spelling.op13_fm_index_variants,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -121,3 +121,112 @@ def test_shifts():
     crc = np.array([zlib.crc32(a) for a, _ in pairs], np.uint32)
     got = Shift()(crc, np.array([len(b) for _, b in pairs]))
     assert [int(g) ^ zlib.crc32(b) for g, (_, b) in zip(got, pairs)] == [zlib.crc32(a + b) for a, b in pairs]
+
+
+def distance_one(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    i = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return any(a[i + x :] == b[i + y :] for x, y in ((1, 1), (0, 1), (1, 0)))
+
+
+def variants(documents, ratio=5):
+    """The contract of op13, all pairs of words."""
+    counts = Counter()
+    for doc_id, text in documents:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 199 == 0 else run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    near = {w: [v for v in counts if distance_one(w, v)] for w in counts}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best and counts[best] >= ratio * counts[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return Counter((w, form[w], root(w), counts[w], len(near[w]), counts[form[w]] if form[w] else None) for w in counts)
+
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def spelled_documents(n_words=150):
+    r = random.Random(13)
+    syllables = ["ba", "ca", "de", "aa", "\u00e9l", "\u00ff\u00c0", "on", "\u00d7", "z"]
+    stems = ["".join(r.choices(syllables, k=r.randrange(3, 7))) for _ in range(n_words)] + ["a" * 6, "a" * 7, "a" * 8, "ab" * 40, "q" * 1500]
+    pool = []
+    for stem in stems:
+        pool += [stem] * r.choice([6, 30, 200])
+        for _ in range(4):  # variants, and variants of variants
+            at = r.randrange(len(stem))
+            other = r.choice([stem[:at] + stem[at + 1 :], stem[:at] + r.choice("abz\u00e9") + stem[at:], stem[:at] + r.choice("abz\u00e9") + stem[at + 1 :]])
+            pool += [other] * r.choice([5, 6, 35, 1])
+            stem = r.choice([stem, other])
+    r.shuffle(pool)
+    rows = [(i, r.choice([" ", "1", " \u4e2d ", "-\n"]).join(x.upper() if x.isascii() and r.random() < 0.2 else x for x in pool[i::120])) for i in range(120)]
+    return rows + [(None, " ".join(pool[:300])), (None, None), (3, ""), (4, "short 12 \u4e2d"), (5, rows[5][1]), (5, rows[5][1])]
+
+
+@pytest.mark.parametrize("shard_words", [20_000, 40])
+def test_op13(spark, shard_words):
+    from ledger_analytics.llm.spelling import spelling_variants
+
+    rows = spelled_documents()
+    docs = spark.createDataFrame([(d, t, "w", 1, "f") for d, t in rows], "doc_id long, text string, word string, n int, form string").repartition(6)
+    want = variants(rows)
+    assert len(want) > 300 and max(len(w[0]) for w in want) >= 1500 and sum(w[2] not in (w[0], w[1]) for w in want) > 3
+    assert Counter(map(tuple, spelling_variants(docs, shard_words=shard_words).select(COLUMNS).collect())) == want
+
+
+def test_op13_query(spark, tables, documents):
+    got = QUERIES["op13_fm_index_variants"](spark, tables[0])
+    assert [f.dataType.simpleString() for f in got.schema] == ["string"] * 3 + ["bigint"] * 3
+    assert Counter(map(tuple, got.select(COLUMNS).collect())) == variants(documents)
+
+
+def test_op13_a_hot_group_is_cut_in_pieces(spark):
+    """A third of the words begin alike, and all end alike."""
+    from ledger_analytics.llm.spelling import near_words
+
+    r = random.Random(6)
+    words = {r.choice(["pre", "abc", "xyz"]) + "".join(r.choices("ab", k=r.randrange(3, 8))) + "ing" for _ in range(600)}
+    n = {w: r.randrange(5, 500) for w in words}
+    got = near_words(spark.createDataFrame(list(n.items()), "word string, n long"), shard_words=30)
+    plan = got.collect()
+    near = {w: [v for v in words if distance_one(w, v)] for w in words}
+    want = {w: (len(vs), min(vs, key=lambda v: (-n[v], v))) for w, vs in near.items() if vs}
+    assert {x.word: (x.n_near, x.best) for x in plan} == want and len(plan) == len(want)
+    assert all(x.best_n == n[x.best] for x in plan)
+
+
+def test_index_intervals_agree_in_both_directions():
+    from ledger_analytics.llm.spelling import Index
+
+    r = random.Random(5)
+    words = sorted({bytes(r.choices(b"abc\xe9", k=r.randrange(6, 12))) for _ in range(400)})
+    index = Index(words)
+    text = b"\0" + b"\0".join(words) + b"\0"
+    for _ in range(200):
+        pattern, f, b, size = b"", 0, 0, index.size
+        for _ in range(r.randrange(1, 7)):
+            c = r.choice(b"abc\xe9")
+            one = np.array([index.code[c]])
+            if r.random() < 0.5:
+                low, high, less = index.ahead.grow(np.array([f]), np.array([f + size]), one)
+                pattern, f, b, size = bytes([c]) + pattern, int(low[0]), b + int(less[0]), int(high[0] - low[0])
+            else:
+                low, high, less = index.back.grow(np.array([b]), np.array([b + size]), one)
+                pattern, f, b, size = pattern + bytes([c]), f + int(less[0]), int(low[0]), int(high[0] - low[0])
+            assert size == sum(text.startswith(pattern, i) for i in range(len(text)))
+            if not size:
+                break
+    queries = words[:50] + [w[:-1] for w in words[:50]]
+    pairs = Counter((queries[q], words[v]) for left in (True, False) for q, v in index.near(queries, left))
+    # a word without its last character may itself be short of a half that is long enough: all are found all the same
+    assert pairs == Counter((q, v) for q in queries for v in words if distance_one(q, v))
