@@ -362,10 +362,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT o_orderkey, CAST(CASE WHEN o_orderkey%7=0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) "
         "AS valor FROM orders")
     q["locale_number_rejects"] = "SELECT o_orderkey FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0"
-    q["delimited_text_parse"] = (
-        "SELECT c_custkey, CAST(c_custkey AS INTEGER) AS id, CASE c_custkey % 4 WHEN 0 THEN 'EMPRESA \"' || c_mktsegment || '\" LTDA' "
-        "WHEN 1 THEN c_mktsegment || ';' || c_nationkey WHEN 2 THEN c_mktsegment || chr(92) "
-        "ELSE c_mktsegment || chr(10) || 'FILIAL' END AS nome, CAST(c_nationkey AS INTEGER) AS nation FROM customer")
+    parsed = ("CAST(c_custkey AS INTEGER) AS id, CASE c_custkey % 4 WHEN 0 THEN 'EMPRESA \"' || c_mktsegment || '\" LTDA' "
+              "WHEN 1 THEN c_mktsegment || ';' || c_nationkey WHEN 2 THEN c_mktsegment || chr(92) "
+              "ELSE c_mktsegment || chr(10) || 'FILIAL' END AS nome, CAST(c_nationkey AS INTEGER) AS nation FROM customer")
+    q["delimited_text_parse"] = f"SELECT c_custkey, {parsed}"
+    q["delimited_blocks_parse"] = (
+        "SELECT 'file-' || (c_custkey // 500) AS path, c_custkey = min(c_custkey) OVER (PARTITION BY c_custkey // 500) AS first, "
+        f"false AS broken, {parsed}")
     q["page_links_dirty"] = (
         "SELECT page_id, pos, href, 'http://h/' || c_nationkey || '/' || href AS resolved FROM (SELECT c_custkey AS page_id, c_nationkey, "
         "unnest([1, 2, 3]) AS pos, unnest(['k' || c_custkey || '.html', 'aé' || (c_custkey % 7) || '.csv', "

@@ -18,7 +18,9 @@ from .. import standins as S
 from ..functions.text import parse_locale_decimal
 from ..operators import checks, consolidate, dedup, links, load, normalize, validate
 from ..operators.aggregate import expense_report
+from ..session import ensure_checkpoint_dir
 from ..sources.files import CSV_OPTIONS
+from ..sources.records import cut_records
 from . import analytics as A
 
 # Parameters of the registered queries (the reference hard-codes its own).
@@ -249,6 +251,14 @@ def q_delimited_text_parse(spark, d):
     return lines.select("c_custkey", parsed.alias("r")).select("c_custkey", "r.id", "r.nome", "r.nation")
 
 
+def q_delimited_blocks_parse(spark, d):
+    """Records of files that are cut at fixed offsets, also within quoted values."""
+    ensure_checkpoint_dir(spark)
+    pieces = S.customer_csv_pieces(spark, d).repartition("path").sortWithinPartitions("path", "block", "place").checkpoint()
+    parsed = F.from_csv("value", "id INT, nome STRING, nation INT", {"sep": ";", **CSV_OPTIONS})
+    return cut_records(pieces, ";").select("path", "first", "broken", parsed.alias("r")).select("path", "first", "broken", "r.id", "r.nome", "r.nation")
+
+
 # Key -> SURVEY ids:
 #   top_growth Q1 (J4, M8, O3)        state_distribution Q2 (A5)       above_mean_quarters Q3
 #   operator_statistics Q4 (A3)       top_operators Q8                  operators_page Q5
@@ -262,7 +272,7 @@ def q_delimited_text_parse(spark, d):
 #   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
 #   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
-#   delimited_text_parse S2 (quoting)
+#   delimited_text_parse S2 (quoting)                                 delimited_blocks_parse S2, S4, S6 (splits)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_growth": q_top_growth,
     "state_distribution": q_state_distribution,
@@ -303,6 +313,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_operators_incremental": q_load_operators_incremental,
     "load_aggregates_rejects": q_load_aggregates_rejects,
     "delimited_text_parse": q_delimited_text_parse,
+    "delimited_blocks_parse": q_delimited_blocks_parse,
 }
 
 

@@ -4,7 +4,10 @@ Files are listed by Spark (``binaryFile`` without its content column, so
 only the listing runs), the first line of each file is read by a
 distributed job (one small read per file, in parallel), and the data
 itself is read by Spark's CSV reader, one reader per (delimiter, header)
-group, all strings, then harmonised and unioned by name.
+group, all strings, then harmonised and unioned by name.  Files with line
+breaks inside quoted values are found by their lines with quotes and cut
+into records in splits (:mod:`~ledger_analytics.sources.records`), so that
+no file is ever one task.
 
 Quoting is the usual one of spreadsheets and ``COPY ... CSV``: values may
 stand in double quotes, a quote inside is doubled, a backslash is an
@@ -18,6 +21,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable, Iterable, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_header
+from ..session import ensure_checkpoint_dir
+from .records import cut_records, files_with_open_lines
 
 # Candidate delimiters, in tie-break order.
 DELIMITERS = (";", ",", "\t", "|")
@@ -58,7 +64,7 @@ def list_files(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENS
 def _first_line(path: str) -> bytes:
     import pyarrow.fs as pafs
 
-    fs, inner = pafs.FileSystem.from_uri(path)
+    fs, inner = pafs.FileSystem.from_uri(quote(path, safe=":/"))  # Spark lists plain paths
     with fs.open_input_stream(inner) as f:
         line = b""
         while b"\n" not in line:
@@ -97,14 +103,68 @@ def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return heads.withColumn("delimiter", choice)
 
 
+def _reader(spark: SparkSession, schema: T.StructType, sep: str, encoding: str):
+    return (spark.read.schema(schema).options(**FILE_OPTIONS).option("header", "true").option("enforceSchema", "true")
+            .option("sep", sep).option("encoding", encoding))
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """A row's file and its place in the input: file path, block, place in the block.  Spark deals large splits
+    out first, so a running number alone would not follow the files."""
+    return df.withColumn("source_path", F.col("_metadata.file_path")).withColumn(
+        "reg_order", F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                              F.monotonically_increasing_id().alias("place")))
+
+
+def _lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """Text lines with their breaks, ``path, block, place, value``; a byte-order mark is no part of the text."""
+    own = F.make_valid_utf8("value") if encoding.upper() in ("UTF-8", "UTF8") else F.decode(F.col("value").cast("binary"), encoding)
+    bom = "\ufeff"
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), F.concat(own, F.lit("\n")).alias("value"))
+    return lines.withColumn("value", F.when((F.col("block") == 0) & F.col("value").startswith(bom), F.expr("substr(value, 2)")).otherwise(F.col("value")))
+
+
+def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType, sep: str, encoding: str = "UTF-8",
+             line_breaks: bool = True) -> DataFrame:
+    """Files with a header line as text columns by position, plus ``source_path``
+    and ``reg_order`` (the row's place in the input).  ``schema`` ends with
+    ``_corrupt_record``.
+
+    A first scan looks at lines with a quote only and names the files in which
+    one ends inside a quoted value.  Their lines are stored and cut into
+    records block by block; all others are read line by line as they are.
+    ``line_breaks=False`` skips the scan where values are known to have none.
+    A quoted value that never ends makes the rest of its file one corrupt
+    record.  Lines end with LF or CR LF.  Files in UTF-16 or UTF-32, whose line
+    breaks can't be told by their bytes, are read one task a file.
+    """
+    paths = list(paths)
+    reader = _reader(spark, schema, sep, encoding)
+    if re.match("utf-?(16|32)", encoding, re.I):
+        return _placed(reader.option("multiLine", "true").csv(paths))
+    plain = reader.csv(paths)
+    found = [r.path for r in files_with_open_lines(_lines(spark, paths, encoding), sep).collect()] if line_breaks else []  # paths, as the listing
+    if not found:
+        return _placed(plain)
+    ensure_checkpoint_dir(spark)
+    # splits depend on the session's cores, so the lines are stored before they are numbered by split
+    lines = _lines(spark, paths, encoding).where(F.col("path").isin(found)).checkpoint()
+    options = {**CSV_OPTIONS, "sep": sep}
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    rows = cut_records(lines, sep, whole_lines=True).where(~F.col("first")).withColumn("r", F.from_csv("value", ddl, options))
+    columns = [F.when(~F.col("broken"), F.col("r")[f.name]).alias(f.name) for f in schema.fields[:-1]]
+    corrupt = F.when(F.col("broken"), F.col("value")).otherwise(F.col("r")[CORRUPT]).alias(CORRUPT)
+    cut = rows.select(*columns, corrupt, F.col("path").alias("source_path"), F.struct("path", "block", "place").alias("reg_order"))
+    return _placed(plain.where(~F.col("_metadata.file_path").isin(found))).unionByName(cut)
+
+
 def _read_group(spark: SparkSession, paths: list[str], names: list[str], sep: str, encoding: str) -> DataFrame:
     """Files with one header as positional text columns, their corrupt lines and their lineage:
     the full path identifies a file, its base name is a label."""
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))] + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema).options(**FILE_OPTIONS).option("header", "true").option("enforceSchema", "true")
-          .option("sep", sep).option("encoding", encoding).csv(paths))
-    return df.withColumn("source_path", F.col("_metadata.file_path")) \
-        .withColumn("source_file", F.element_at(F.split("source_path", "/"), -1))
+    return read_csv(spark, paths, schema, sep, encoding).withColumn("source_file", F.element_at(F.split("source_path", "/"), -1))
 
 
 def read_delimited(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENSIONS,
@@ -172,22 +232,15 @@ def read_listed(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8",
     return out
 
 
-def _file_order() -> F.Column:
-    """A row's place in its input: file path, block, place in the block.  Spark deals large splits out
-    first, so a running number alone would not follow the files."""
-    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("place"))
-
-
 def read_registry(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
     """Operator registry file or folder (S4): all text, header names trimmed
     and upper-cased, plus ``reg_order`` = the row's place in the input.
-    Values may hold line breaks inside quotes; a registry is small, so its
-    files are not split.  Rows that don't fit are in ``_corrupt_record``."""
-    reader = spark.read.options(**FILE_OPTIONS).option("header", "true").option("sep", sep).option("encoding", encoding).option("multiLine", "true")
-    names = reader.option("inferSchema", "false").csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, CORRUPT)])
-    df = reader.schema(schema).csv(path).withColumn("reg_order", _file_order())
+    Values may hold line breaks inside quotes.  Rows that don't fit are in
+    ``_corrupt_record``."""
+    head = spark.read.options(**FILE_OPTIONS).option("header", "true").option("sep", sep).option("encoding", encoding)
+    names = head.option("multiLine", "true").option("inferSchema", "false").csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*[f"_c{i}" for i in range(len(names))], CORRUPT)])
+    df = read_csv(spark, [path], schema, sep, encoding).drop("source_path")
     return df.toDF(*[c.replace("\ufeff", "").strip().upper() for c in names], CORRUPT, "reg_order")
 
 
@@ -195,8 +248,7 @@ def read_staging(spark: SparkSession, path: str, columns: Sequence[str], sep: st
                  encoding: str = "UTF-8") -> DataFrame:
     """Positional staging load (S6): the header line is skipped and the
     columns take the given names, all text - like ``COPY ... HEADER``.
-    Adds ``reg_order`` (place in the input) and ``_corrupt_record``."""
+    Adds ``reg_order`` (place in the input) and ``_corrupt_record``.  Files
+    are read in splits, also where quoted values hold line breaks."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
-    df = (spark.read.schema(schema).options(**FILE_OPTIONS).option("header", "true").option("enforceSchema", "true")
-          .option("sep", sep).option("encoding", encoding).option("multiLine", "true").csv(path))
-    return df.withColumn("reg_order", _file_order())
+    return read_csv(spark, [path], schema, sep, encoding).drop("source_path")

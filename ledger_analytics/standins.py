@@ -228,6 +228,20 @@ def customer_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ELSE concat('\"', c_mktsegment, chr(10), 'FILIAL\"') END, ';', CAST(c_nationkey AS STRING)) AS line")
 
 
+def customer_csv_pieces(spark: SparkSession, sf_dir: str, size: int = 97, per_file: int = 500) -> DataFrame:
+    """:func:`customer_csv_lines` as files of ``per_file`` keys each, their text
+    cut every ``size`` characters, wherever that is: block ``b`` of a file
+    begins at character ``b * size``; what a line adds to a block is a piece."""
+    lines = customer_csv_lines(spark, sf_dir).selectExpr(
+        "concat('file-', CAST(c_custkey DIV %d AS STRING)) AS path" % per_file, "c_custkey", "concat(line, chr(10)) AS t")
+    placed = lines.selectExpr("path", "t", "sum(length(t)) OVER (PARTITION BY path ORDER BY c_custkey) - length(t) AS at")
+    pieces = placed.selectExpr("path", "t", "at", f"explode(sequence(at DIV {size}, (at + length(t) - 1) DIV {size})) AS block")
+    return pieces.selectExpr(
+        "path", "CAST(block AS BIGINT) AS block", f"CAST(greatest(at, block * {size}) AS BIGINT) AS place",
+        f"substr(t, CAST(greatest(at, block * {size}) - at + 1 AS INT), "
+        f"CAST(least(at + length(t), (block + 1) * {size}) - greatest(at, block * {size}) AS INT)) AS value")
+
+
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with awkward links, one per customer: an empty href, a ``>``
     inside an attribute, a named entity and a link inside a comment."""
