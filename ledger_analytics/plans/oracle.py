@@ -261,14 +261,17 @@ def oracle_sql() -> dict[str, str]:
         f"AS trimestres_acima_da_media, {_D('sum(valor_despesa)')} AS despesa_acumulada_nos_periodos FROM {over} "
         "JOIN operadoras USING (cod_operadora) WHERE valor_despesa > usual GROUP BY cod_operadora "
         "HAVING count(DISTINCT ano * 10 + trimestre) > 1", "despesas", "operadoras")
-    stats = (f"SELECT o.razao_social AS RazaoSocial, o.uf AS UF, {_D('SUM(d.valor_despesa)')} AS Total_Despesas, "
-             f"{_D('SUM(d.valor_despesa)')} / COUNT(d.valor_despesa) AS Media_Trimestral, "
-             "ROUND(STDDEV_SAMP(CAST(d.valor_despesa AS DOUBLE)), 2) AS Desvio_Padrao_Despesas "
-             "FROM despesas d JOIN operadoras o ON d.cod_operadora = o.cod_operadora "
-             "GROUP BY o.cod_operadora, o.razao_social, o.uf")
-    q["operator_statistics"] = with_ctes(stats, "despesas", "operadoras")
-    q["top_operators"] = with_ctes(stats + " ORDER BY SUM(d.valor_despesa) DESC, o.cod_operadora LIMIT 5",
-                                   "despesas", "operadoras")
+    # sums of values and of squared distances from each operator's mean, then one row per operator
+    spread = ("(SELECT cod_operadora AS k, valor_despesa AS v, row_number() OVER w AS nth, count(*) OVER w AS n, sum(valor_despesa) OVER w AS s, "
+              "CAST(valor_despesa AS DOUBLE) - CAST(sum(valor_despesa) OVER w AS DOUBLE) / count(*) OVER w AS off FROM despesas "
+              "WINDOW w AS (PARTITION BY cod_operadora))")
+    per_operator = (f"(SELECT k, max(n) AS n, max(s) AS s, CASE WHEN max(n) > 1 THEN round(sqrt(sum(off * off) / (max(n) - 1)), 2) END AS sd "
+                    f"FROM {spread} GROUP BY k)")
+    figures = (f"razao_social AS RazaoSocial, uf AS UF, {_D('s')} AS Total_Despesas, {_D('s')} / n AS Media_Trimestral, "
+               f"sd AS Desvio_Padrao_Despesas FROM operadoras JOIN {per_operator} ON k = cod_operadora")
+    q["operator_statistics"] = q["operator_statistics_incremental"] = with_ctes(f"SELECT {figures}", "despesas", "operadoras")
+    q["top_operators"] = with_ctes(
+        f"SELECT * EXCLUDE (place) FROM (SELECT row_number() OVER (ORDER BY s DESC, k) AS place, {figures}) WHERE place <= 5", "despesas", "operadoras")
     q["operators_page"] = with_ctes(
         "SELECT cod_operadora, registro_ans, cnpj, razao_social, modalidade, uf, "
         f"(SELECT COUNT(*) FROM operadoras) AS total, {PAGE} AS page, {PAGE_SIZE} AS \"limit\" "
@@ -312,7 +315,7 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN NOT cnpj_ok THEN 'invalid_cnpj' END) AS reject_reason FROM v_ok WHERE NOT (cnpj_ok AND name_ok)",
         "v_ok")
     mean_cents = _half_up_cents("CAST(SUM(ValorDespesas)*100 AS HUGEINT)", "COUNT(*)")
-    q["aggregated_expenses"] = with_ctes(
+    q["aggregated_expenses"] = q["aggregated_expenses_incremental"] = with_ctes(
         f"SELECT RazaoSocial, UF, {_D('SUM(ValorDespesas)')} AS Total_Despesas, "
         f"CAST({mean_cents} AS DOUBLE) / 100.0 AS Media_Trimestral, "
         "COALESCE(ROUND(STDDEV_SAMP(CAST(ValorDespesas AS DOUBLE)), 2), 0) AS Desvio_Padrao_Despesas "
@@ -323,13 +326,13 @@ def oracle_sql() -> dict[str, str]:
     q["load_operators_incremental"] = with_ctes(
         "SELECT row_number() OVER (ORDER BY registro_ans % 2, registro_ans) AS cod_operadora, registro_ans, cnpj, razao_social, "
         "modalidade, uf, cidade, CAST(data_registro_ans AS VARCHAR) AS data_registro_ans FROM lo_f", "lo_f")
+    # rows are tagged first; what stays untagged meets the operators
+    reasons = ("CASE WHEN NOT regexp_full_match(valor_despesas, '[0-9.]+') OR TRY_CAST(valor_despesas AS DECIMAL(18,2)) IS NULL THEN 'amount' "
+               "WHEN NOT regexp_full_match(ano, '[0-9]+') THEN 'year' WHEN NOT regexp_full_match(trimestre, '[0-9]+') THEN 'quarter' END")
     q["load_expenses"] = with_ctes(
-        "SELECT o.cod_operadora, TRY_CAST(NULLIF(s.ano,'') AS INTEGER) AS ano, "
-        "TRY_CAST(NULLIF(s.trimestre,'') AS INTEGER) AS trimestre, "
-        "CAST(TRY_CAST(s.valor_despesas AS DECIMAL(18,2)) AS DOUBLE) AS valor_despesa "
-        "FROM stg_ans s JOIN loaded_operators o ON TRY_CAST(s.registro_ans AS BIGINT) = o.registro_ans "
-        "WHERE regexp_matches(s.valor_despesas, '^[0-9.]+$') AND TRY_CAST(s.valor_despesas AS DECIMAL(18,2)) IS NOT NULL "
-        "AND TRY_CAST(NULLIF(s.ano,'') AS INTEGER) IS NOT NULL AND TRY_CAST(NULLIF(s.trimestre,'') AS INTEGER) IS NOT NULL",
+        f"SELECT k.cod_operadora, CAST(t.ano AS INTEGER) AS ano, CAST(t.trimestre AS INTEGER) AS trimestre, "
+        f"CAST(CAST(t.valor_despesas AS DECIMAL(18,2)) AS DOUBLE) AS valor_despesa FROM (SELECT *, {reasons} AS reason FROM stg_ans) t, "
+        "(SELECT CAST(registro_ans AS VARCHAR) AS r, cod_operadora FROM loaded_operators) k WHERE t.reason IS NULL AND k.r = t.registro_ans",
         "stg_ans", "loaded_operators")
     q["load_aggregates"] = with_ctes(
         f"SELECT razao_social, uf, {_D('s')} AS valor_total, "

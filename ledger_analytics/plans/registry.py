@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .. import standins as S
 from ..functions.text import parse_locale_decimal
-from ..operators import checks, consolidate, dedup, links, load, normalize, validate
+from ..operators import checks, consolidate, dedup, links, load, moments, normalize, validate
 from ..operators.aggregate import expense_report
 from ..session import ensure_checkpoint_dir
 from ..sources.files import CSV_OPTIONS
@@ -251,6 +251,26 @@ def q_delimited_text_parse(spark, d):
     return lines.select("c_custkey", parsed.alias("r")).select("c_custkey", "r.id", "r.nome", "r.nation")
 
 
+def _two_loads(fact, keys, value, first):
+    """Moments of two thirds of the quarters, stored, and of the rest: the fact's rows are read once each."""
+    ensure_checkpoint_dir(fact.sparkSession)
+    stored = moments.moments(fact.where(first), keys, value).checkpoint()
+    return stored, moments.moments(fact.where(f"NOT ({first})"), keys, value)
+
+
+def q_operator_statistics_incremental(spark, d):
+    """The states of the first load, rolled up, merged with those of the second."""
+    first, then = _two_loads(S.despesas(spark, d), [A.KEY, "ano", "trimestre"], "valor_despesa", "(ano * 4 + trimestre) % 3 <> 0")
+    merged = moments.merge_moments(moments.roll_up(first, [A.KEY]), moments.roll_up(then, [A.KEY]), [A.KEY])
+    return moments.statistics_of(merged, S.operadoras(spark, d)).drop(A.KEY)
+
+
+def q_aggregated_expenses_incremental(spark, d):
+    """The report per name and state from the states of two loads."""
+    first, then = _two_loads(_validated(spark, d)[0], ["RazaoSocial", "UF", "Ano", "Trimestre"], "ValorDespesas", "(Ano * 4 + Trimestre) % 3 <> 0")
+    return moments.report_of(first.unionByName(then))
+
+
 def q_delimited_blocks_parse(spark, d):
     """Records of files that are cut at fixed offsets, also within quoted values."""
     ensure_checkpoint_dir(spark)
@@ -272,12 +292,14 @@ def q_delimited_blocks_parse(spark, d):
 #   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
 #   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
+#   operator_statistics_incremental Q4, Q8 (A3)                       aggregated_expenses_incremental Q12 (A2)
 #   delimited_text_parse S2 (quoting)                                 delimited_blocks_parse S2, S4, S6 (splits)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_growth": q_top_growth,
     "state_distribution": q_state_distribution,
     "above_mean_quarters": q_above_mean_quarters,
     "operator_statistics": q_operator_statistics,
+    "operator_statistics_incremental": q_operator_statistics_incremental,
     "top_operators": q_top_operators,
     "operators_page": q_operators_page,
     "operator_by_cnpj": q_operator_by_cnpj,
@@ -289,6 +311,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_rows": q_valid_rows,
     "invalid_rows": q_invalid_rows,
     "aggregated_expenses": q_aggregated_expenses,
+    "aggregated_expenses_incremental": q_aggregated_expenses_incremental,
     "load_operators": q_load_operators,
     "load_expenses": q_load_expenses,
     "load_aggregates": q_load_aggregates,
