@@ -2,6 +2,8 @@
 
 * ``run``: archives -> normalised -> consolidated -> validated ->
   aggregated stages, then the typed star schema (Q9–Q15).
+* ``resend``: account files of a run that were sent again; only what they
+  change is netted and written anew.
 * ``report``: the analytical and served queries (Q1–Q8) over a loaded
   star schema, printed or written as CSV.
 
@@ -17,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from .plans import analytics as A
 from .plans.batch import load_star_schema, registry_as_staging, run_batch
+from .plans.corrections import resend_files
 from .session import apply_plan_defaults, ensure_checkpoint_dir
 from .sinks.files import export_csv
 from .sources.files import read_registry
@@ -45,6 +48,14 @@ def cmd_run(args) -> None:
         print(f"{name}\t{path}")
 
 
+def cmd_resend(args) -> None:
+    res = resend_files(_session(), args.file, args.registry, args.out, on_unmatched=args.on_unmatched)
+    for path, reason in res.skipped_files:
+        print(f"skipped\t{path}\t{reason}")
+    for name in sorted(k for k, v in res.written.items() if v):
+        print(f"rejects\t{name}")
+
+
 def cmd_report(args) -> None:
     spark = _session()
     db = args.db.rstrip("/")
@@ -78,6 +89,12 @@ def main(argv=None) -> int:
     pp.add_argument("--archives", help="folder with .zip archives to extract into --raw first")
     pp.add_argument("--on-unmatched", choices=("drop", "keep"), default="drop")
     pp.set_defaults(func=cmd_run)
+    ps = sub.add_parser("resend", help="take account files again that a run has read, at the same paths")
+    ps.add_argument("--file", required=True, nargs="+", help="paths as the run read them; one that is gone counts as empty")
+    ps.add_argument("--registry", required=True, help="operator registry file (';' separated)")
+    ps.add_argument("--out", required=True, help="output folder of the run")
+    ps.add_argument("--on-unmatched", choices=("drop", "keep"), default="drop")
+    ps.set_defaults(func=cmd_resend)
     pr = sub.add_parser("report", help="analytical queries over a loaded star schema")
     pr.add_argument("--db", required=True, help="folder written by 'run' (<out>/db)")
     pr.add_argument("--year", type=int, required=True)

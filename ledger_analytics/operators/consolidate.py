@@ -50,6 +50,38 @@ def split_dates(normalized: DataFrame, formats=DEFAULT_DATE_FORMATS) -> tuple[Da
     return valid, invalid
 
 
+def net_lines(valid: DataFrame) -> DataFrame:
+    """Lines with a date (:func:`split_dates`) summed per registration and
+    period, with their number: ``RegistroANS, Ano, Trimestre, net, n_lines``."""
+    return valid.groupBy(F.col("REGISTRO_OPERADORA").alias("RegistroANS"), "Ano", "Trimestre").agg(
+        F.sum("VALOR_DESPESAS").alias("net"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def attach_registry(nets: DataFrame, registry: DataFrame, on_unmatched: str = "drop", positive_only: bool = True) -> DataFrame:
+    """Net lines as consolidated rows: joined with the registry by
+    registration (J1) and by tax id (J2), see :func:`consolidate`."""
+    if on_unmatched not in ("drop", "keep"):
+        raise ValueError("on_unmatched must be 'drop' or 'keep'")
+    reg = prepare_registry(registry)
+    by_reg = reg.groupBy("RegistroANS", "CNPJ").agg(
+        F.count(F.lit(1)).alias("_copies"),
+        # first non-NULL name in registry order
+        F.expr("min(CASE WHEN RAZAO_SOCIAL IS NOT NULL THEN named_struct('o', reg_order, 'n', RAZAO_SOCIAL) "
+               "END).n").alias("RazaoSocial"))
+    joined = nets.join(by_reg, "RegistroANS", "left").join(_by_cnpj(reg), "CNPJ", "left")
+    if on_unmatched == "drop":
+        joined = joined.where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
+    out = joined.withColumn("ValorDespesas", F.expr(
+        "CAST(net * CAST(coalesce(_copies, 1) AS DECIMAL(20,0)) AS DECIMAL(18,2))"))
+    if positive_only:
+        out = out.where("ValorDespesas > 0")
+    return out.select(*OUTPUT_COLUMNS)
+
+
+def _by_cnpj(reg: DataFrame) -> DataFrame:
+    return dedup_first(reg.select("CNPJ", "MODALIDADE", "UF", "reg_order"), ["CNPJ"], ["reg_order"]).drop("reg_order")
+
+
 def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE_FORMATS,
                 on_unmatched: str = "drop", positive_only: bool = True) -> Consolidation:
     """Join lines with the registry, net them per period and keep positive
@@ -75,32 +107,13 @@ def consolidate(normalized: DataFrame, registry: DataFrame, formats=DEFAULT_DATE
     each output key (tax id, period, registration) is produced by exactly
     one joined row, so no aggregation is needed after the joins.
     """
-    if on_unmatched not in ("drop", "keep"):
-        raise ValueError("on_unmatched must be 'drop' or 'keep'")
     valid, invalid = split_dates(normalized, formats)
+    out = attach_registry(net_lines(valid), registry, on_unmatched, positive_only)
     reg = prepare_registry(registry)
-
-    pre = (valid.groupBy(F.col("REGISTRO_OPERADORA").alias("RegistroANS"), "Ano", "Trimestre")
-           .agg(F.sum("VALOR_DESPESAS").alias("_net")))
-    by_reg = reg.groupBy("RegistroANS", "CNPJ").agg(
-        F.count(F.lit(1)).alias("_copies"),
-        # first non-NULL name in registry order
-        F.expr("min(CASE WHEN RAZAO_SOCIAL IS NOT NULL THEN named_struct('o', reg_order, 'n', RAZAO_SOCIAL) "
-               "END).n").alias("RazaoSocial"))
-    by_cnpj = dedup_first(reg.select("CNPJ", "MODALIDADE", "UF", "reg_order"), ["CNPJ"], ["reg_order"]) \
-        .drop("reg_order")
-    joined = pre.join(by_reg, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left")
-    if on_unmatched == "drop":
-        joined = joined.where(" AND ".join(f"{k} IS NOT NULL" for k in GROUP_KEYS))
-    out = joined.withColumn("ValorDespesas", F.expr(
-        "CAST(_net * CAST(coalesce(_copies, 1) AS DECIMAL(20,0)) AS DECIMAL(18,2))"))
-    if positive_only:
-        out = out.where("ValorDespesas > 0")
-    out = out.select(*OUTPUT_COLUMNS)
     # the log is split off after both joins: every registry copy of a line, with its names
     copies = reg.select("RegistroANS", "CNPJ", "RAZAO_SOCIAL")
     log = invalid.withColumnRenamed("REGISTRO_OPERADORA", "RegistroANS") \
-        .join(copies, "RegistroANS", "left").join(by_cnpj, "CNPJ", "left") \
+        .join(copies, "RegistroANS", "left").join(_by_cnpj(reg), "CNPJ", "left") \
         .select(*["RegistroANS" if c == "REGISTRO_OPERADORA" else c for c in normalized.columns],
                 "CNPJ", "RAZAO_SOCIAL", "MODALIDADE", "UF", "reject_reason")
     return Consolidation(out, log)

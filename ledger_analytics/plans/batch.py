@@ -51,7 +51,7 @@ def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: st
     first.  Outputs under ``out_dir``: ``lines/`` (expense lines as text),
     ``normalized/`` (by source file), ``quarantine/`` (null_operator D16,
     amount_overflow, corrupt_lines, corrupt_registry, skipped_files),
-    ``invalid_dates/``,
+    ``invalid_dates/``, ``nets/`` (per registration and period, of any sign),
     ``reports/unmatched_registry/`` (J8), ``consolidated/`` (by Ano,
     Trimestre), ``validation_errors/``, ``clean/``, ``aggregated/`` and,
     with ``export``, gzip CSV copies of the consolidated and aggregated
@@ -88,13 +88,22 @@ def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: st
         registry.where("_corrupt_record IS NOT NULL"), f"{out}/quarantine/corrupt_registry")
     registry = registry.where("_corrupt_record IS NULL").drop("_corrupt_record")
     stage = spark.read.parquet(f"{out}/normalized").drop("source_id")
-    cons = C.consolidate(stage, registry, on_unmatched=on_unmatched)
-    res.written["invalid_dates"] = write_rejects(cons.invalid_dates, f"{out}/invalid_dates")
+    res.written["invalid_dates"] = write_rejects(C.consolidate(stage, registry).invalid_dates, f"{out}/invalid_dates")
     res.written["unmatched_registry"] = write_rejects(C.unmatched_lines(stage, registry),
                                                      f"{out}/reports/unmatched_registry")
-    write_parquet(cons.consolidated, f"{out}/consolidated", partition_by=["Ano", "Trimestre"])
-    res.paths["consolidated"] = f"{out}/consolidated"
+    # the nets of all keys, also of those that are not positive: corrections start from them
+    write_parquet(C.net_lines(C.split_dates(stage)[0]).withColumn("net", F.col("net").cast("decimal(28,2)")), f"{out}/nets",
+                  partition_by=["Ano", "Trimestre"])
+    res.paths["nets"] = f"{out}/nets"
+    consolidated = C.attach_registry(spark.read.parquet(f"{out}/nets"), registry, on_unmatched=on_unmatched)
+    write_parquet(consolidated, f"{out}/consolidated", partition_by=["Ano", "Trimestre"])
+    publish_consolidated(spark, out, res, export)
+    return res
+
 
+def publish_consolidated(spark: SparkSession, out: str, res: BatchResult, export: bool) -> None:
+    """The stages behind ``consolidated/``: validation split, report, text copies."""
+    res.paths["consolidated"] = f"{out}/consolidated"
     consolidated = spark.read.parquet(f"{out}/consolidated")
     valid, invalid = split_valid(consolidated)
     res.written["validation_errors"] = write_rejects(invalid, f"{out}/validation_errors")
@@ -107,7 +116,6 @@ def run_batch(spark: SparkSession, raw_dir: str, registry_path: str, out_dir: st
     if export:
         export_csv(consolidated, f"{out}/export/consolidado_despesas", compression="gzip")
         export_csv(spark.read.parquet(f"{out}/aggregated"), f"{out}/export/despesas_agregadas", compression="gzip")
-    return res
 
 
 def staged_text(df: DataFrame) -> DataFrame:
@@ -126,7 +134,7 @@ def registry_as_staging(registry: DataFrame) -> DataFrame:
     return registry.select(*cols)
 
 
-def _table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+def table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -145,7 +153,7 @@ def load_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataF
     out = out_dir.rstrip("/")
     # operators that are there keep their key, new ones are appended: facts of earlier loads stay right
     path = f"{out}/operadoras"
-    existing = _table_if_any(spark, path)
+    existing = table_if_any(spark, path)
     ops = L.load_operators(stg_operators, existing)
     write_parquet(ops.rows, path, mode="overwrite" if existing is None else "append")
     write_rejects(ops.rejects, f"{out}/rejects/operadoras")

@@ -309,6 +309,13 @@ def oracle_sql() -> dict[str, str]:
     cons_cols = (f"CNPJ, RazaoSocial, Trimestre, Ano, {_D('ValorDespesas')} AS ValorDespesas, RegistroANS, "
                  "MODALIDADE, UF")
     q["consolidated_expenses"] = with_ctes(f"SELECT {cons_cols} FROM consolidated", "consolidated")
+    q["consolidated_after_correction"] = with_ctes(
+        "SELECT r.CNPJ, arg_min(r.RAZAO_SOCIAL, r.reg_order) FILTER (WHERE r.RAZAO_SOCIAL IS NOT NULL) AS RazaoSocial, d.Trimestre, d.Ano, "
+        f"{_D('sum(CAST(v AS DECIMAL(18,2)))')} AS ValorDespesas, d.REGISTRO_OPERADORA AS RegistroANS, x.MODALIDADE, x.UF "
+        "FROM (SELECT *, CASE WHEN ends_with(source_file, 'T2') AND REGISTRO_OPERADORA % 3 = 1 THEN -VALOR_DESPESAS ELSE VALOR_DESPESAS END AS v "
+        "FROM c_dated WHERE NOT (ends_with(source_file, 'T2') AND REGISTRO_OPERADORA % 3 = 0) AND dd IS NOT NULL) d "
+        "JOIN c_reg1 r ON r.RegistroANS = d.REGISTRO_OPERADORA JOIN c_reg2 x ON x.CNPJ = r.CNPJ "
+        "WHERE x.MODALIDADE IS NOT NULL AND x.UF IS NOT NULL GROUP BY ALL HAVING sum(v) > 0", "c_dated", "c_reg1", "c_reg2")
     q["valid_rows"] = with_ctes(f"SELECT {cons_cols} FROM valid", "valid")
     q["invalid_rows"] = with_ctes(
         f"SELECT {cons_cols}, concat_ws(';', CASE WHEN NOT name_ok THEN 'blank_name' END, "

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .. import standins as S
 from ..functions.text import parse_locale_decimal
-from ..operators import checks, consolidate, dedup, links, load, moments, normalize, validate
+from ..operators import checks, consolidate, corrections, dedup, links, load, moments, normalize, validate
 from ..operators.aggregate import expense_report
 from ..session import ensure_checkpoint_dir
 from ..sources.files import CSV_OPTIONS
@@ -251,6 +251,16 @@ def q_delimited_text_parse(spark, d):
     return lines.select("c_custkey", parsed.alias("r")).select("c_custkey", "r.id", "r.nome", "r.nation")
 
 
+def q_consolidated_after_correction(spark, d):
+    """Consolidated rows after the second quarters' files were sent again: from the stored nets and rows."""
+    ensure_checkpoint_dir(spark)
+    lines, registry = _normalized(spark, d).checkpoint(), S.registry(spark, d)
+    nets = consolidate.net_lines(consolidate.split_dates(lines)[0]).checkpoint()
+    rows = consolidate.attach_registry(nets, registry).checkpoint()
+    changes = corrections.net_changes(lines.where("source_file LIKE '%T2'"), S.corrected_lines(lines)).checkpoint()
+    return corrections.consolidated_after(rows, nets, changes, registry)
+
+
 def _two_loads(fact, keys, value, first):
     """Moments of two thirds of the quarters, stored, and of the rest: the fact's rows are read once each."""
     ensure_checkpoint_dir(fact.sparkSession)
@@ -292,6 +302,7 @@ def q_delimited_blocks_parse(spark, d):
 #   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
 #   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
+#   consolidated_after_correction Q10
 #   operator_statistics_incremental Q4, Q8 (A3)                       aggregated_expenses_incremental Q12 (A2)
 #   delimited_text_parse S2 (quoting)                                 delimited_blocks_parse S2, S4, S6 (splits)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -307,6 +318,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaf_accounts": q_leaf_accounts,
     "normalized_accounts": q_normalized_accounts,
     "consolidated_expenses": q_consolidated_expenses,
+    "consolidated_after_correction": q_consolidated_after_correction,
     "invalid_dates": q_invalid_dates,
     "valid_rows": q_valid_rows,
     "invalid_rows": q_invalid_rows,

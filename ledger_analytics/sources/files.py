@@ -64,7 +64,8 @@ def list_files(spark: SparkSession, root: str, exts: Sequence[str] = DATA_EXTENS
 def _first_line(path: str) -> bytes:
     import pyarrow.fs as pafs
 
-    fs, inner = pafs.FileSystem.from_uri(quote(path, safe=":/"))  # Spark lists plain paths
+    # Spark lists plain paths; only one with a scheme is read as a URI
+    fs, inner = pafs.FileSystem.from_uri(quote(path, safe=":/") if re.match("[A-Za-z][A-Za-z0-9+.-]*:", path) else path)
     with fs.open_input_stream(inner) as f:
         line = b""
         while b"\n" not in line:

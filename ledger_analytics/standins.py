@@ -14,6 +14,7 @@ both engines derive identical rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.cnpj import WEIGHTS_FIRST, WEIGHTS_SECOND, check_digit_sql
 
@@ -118,6 +119,14 @@ def account_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corrected_lines(normalized: DataFrame) -> DataFrame:
+    """The normalised lines of all second quarters' files as they are sent
+    again: operators with an id divisible by 3 are gone, those with remainder 1
+    have the opposite amounts, the rest is the same."""
+    return normalized.where("source_file LIKE '%T2' AND REGISTRO_OPERADORA % 3 <> 0").withColumn("VALOR_DESPESAS", F.expr(
+        "CAST(CASE WHEN REGISTRO_OPERADORA % 3 = 1 THEN -VALOR_DESPESAS ELSE VALOR_DESPESAS END AS DECIMAL(18,2))"))
+
+
 # ---------------------------------------------------------------- registry
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
