@@ -47,7 +47,7 @@ def links_by_extension(links: DataFrame, extensions=DOWNLOAD_EXTENSIONS, href_co
     return links.filter(F.lower(F.col(href_col)).rlike(extension_pattern(extensions)))
 
 
-def _is_folder(href):
+def is_folder(href):
     return href.endswith("/") | ~href.contains(".")
 
 
@@ -72,7 +72,7 @@ def latest_files(edges: DataFrame, root: str = "/", n: int = 3, extensions=WALK_
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     own = F.array(-F.col("pos").cast("long"))
-    folder = _is_folder(F.col("href"))
+    folder = is_folder(F.col("href"))
     deeper = F.col("target").startswith(F.col("page")) & (F.length("target") > F.length("page"))
     jumps = edges.where(folder & deeper).select("page", "target", own.alias("ord")).checkpoint()
     reached = spark.createDataFrame([(root, [])], "page string, ord array<bigint>")

@@ -383,12 +383,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT page_id, pos, href, 'http://h/' || c_nationkey || '/' || href AS resolved FROM (SELECT c_custkey AS page_id, c_nationkey, "
         "unnest([1, 2, 3]) AS pos, unnest(['k' || c_custkey || '.html', 'aé' || (c_custkey % 7) || '.csv', "
         "'z.zip?a=1&b=' || c_mktsegment]) AS href FROM customer)")
-    q["latest_files_deep"] = (
-        "SELECT CAST(row_number() OVER (ORDER BY n, c_custkey DESC) AS INTEGER) AS ordem, "
-        "'/' || repeat('d/', n) || 'f' || c_custkey || '.zip' AS target, "
-        "'f' || c_custkey || '.zip' AS href FROM (SELECT 1 + c_custkey % 199 AS n, c_custkey FROM customer) "
-        "WHERE n <= (SELECT count(*) FROM customer WHERE c_custkey BETWEEN 1 AND 199) "
-        f"ORDER BY n, c_custkey DESC LIMIT {2 * WALK_FILES}")
+    q["latest_files_deep"] = q["latest_files_bounded"] = (
+        "SELECT CAST(row_number() OVER (ORDER BY j DESC, c_custkey DESC) AS INTEGER) AS ordem, "
+        "'/c' || j || '/' || repeat('d/', CAST(99 + j % 100 AS INTEGER)) || 'f' || c_custkey || '.zip' AS target, 'f' || c_custkey || '.zip' AS href "
+        f"FROM (SELECT c_custkey, c_custkey // 50 AS j FROM customer) ORDER BY j DESC, c_custkey DESC LIMIT {2 * WALK_FILES}")
     q["dedup_first"] = with_ctes(
         "SELECT CNPJ, REGISTRO_OPERADORA, MODALIDADE, UF FROM (SELECT *, row_number() OVER "
         "(PARTITION BY CNPJ ORDER BY reg_order) AS rn FROM registry) WHERE rn = 1", "registry")

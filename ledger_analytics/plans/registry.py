@@ -8,6 +8,7 @@ DuckDB oracle in :mod:`ledger_analytics.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from pyspark.sql import types as T
 
 from .. import standins as S
 from ..functions.text import parse_locale_decimal
-from ..operators import checks, consolidate, corrections, dedup, links, load, moments, normalize, validate
+from ..operators import checks, consolidate, corrections, dedup, links, load, moments, normalize, validate, walks
 from ..operators.aggregate import expense_report
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove_folder
 from ..sources.files import CSV_OPTIONS
 from ..sources.records import cut_records
 from . import analytics as A
@@ -219,6 +220,14 @@ def q_latest_files_deep(spark, d):
     return links.latest_files(S.deep_links(spark, d), n=2 * WALK_FILES)
 
 
+def q_latest_files_bounded(spark, d):
+    """The same files by a walk that stops, over the links stored by page."""
+    folder = f"{ensure_checkpoint_dir(spark)}/links-{uuid.uuid4().hex}"
+    found = walks.latest_files_bounded(walks.cluster_links(S.deep_links(spark, d), folder), n=2 * WALK_FILES)
+    remove_folder(spark, folder)
+    return found
+
+
 def q_page_links_dirty(spark, d):
     return links.page_links(S.customer_pages(spark, d))
 
@@ -299,7 +308,7 @@ def q_delimited_blocks_parse(spark, d):
 #   orphan_facts J7 / C4              duplicate_keys C1                 null_violations C2
 #   length_violations C3              locale_number_parse P5            dedup_first U1
 #   page_links S8                     first_matching_link S9            links_by_extension S10
-#   latest_files(_deep) S11           page_links_dirty S8               above_mean_by_operator Q3
+#   latest_files(_deep, _bounded) S11           page_links_dirty S8               above_mean_by_operator Q3
 #   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
 #   consolidated_after_correction Q10
@@ -339,6 +348,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "links_by_extension": q_links_by_extension,
     "latest_files": q_latest_files,
     "latest_files_deep": q_latest_files_deep,
+    "latest_files_bounded": q_latest_files_bounded,
     "page_links_dirty": q_page_links_dirty,
     "above_mean_by_operator": q_above_mean_by_operator,
     "operators_page_past_end": q_operators_page_past_end,

@@ -77,6 +77,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this session wrote, in whatever store it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 512 * 1024 * 1024,
                    max_partitions: int = 65536) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.

@@ -261,17 +261,20 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'.csv\\'>y</a><A HREF=z.zip?a=1&amp;b=', c_mktsegment, '>z</A></p>') AS html")
 
 
-def deep_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A chain of folders, one level per customer key below 200 (deeper than
-    any fixed bound), with the files of all customers dealt over the levels."""
-    level = "concat('/', repeat('d/', n))"
-    customer = table(spark, sf_dir, "customer")
-    folders = customer.where("c_custkey BETWEEN 1 AND 199").selectExpr("CAST(c_custkey AS INT) AS n").selectExpr(
-        "concat('/', repeat('d/', n - 1)) AS page", "CAST(0 AS BIGINT) AS pos", "'d/' AS href", f"{level} AS target")
-    files = customer.selectExpr("CAST(1 + c_custkey % 199 AS INT) AS n", "c_custkey").selectExpr(
-        f"{level} AS page", "CAST(c_custkey AS BIGINT) AS pos", "concat('f', CAST(c_custkey AS STRING), '.zip') AS href",
-        f"concat({level}, 'f', CAST(c_custkey AS STRING), '.zip') AS target")
-    return folders.unionByName(files)
+def deep_links(spark: SparkSession, sf_dir: str, per_chain: int = 50) -> DataFrame:
+    """Chains of folders, one per ``per_chain`` customer keys, 100 to 199 levels
+    deep.  Their customers' files are at the end; on the way every folder has
+    a second one without links, which the walk meets first."""
+    customer = table(spark, sf_dir, "customer").selectExpr("CAST(c_custkey AS BIGINT) AS k", f"CAST(c_custkey DIV {per_chain} AS BIGINT) AS j")
+    path = "concat('/c', CAST(j AS STRING), '/', repeat('d/', i))"
+    pages = customer.select("j").distinct().selectExpr("j", "explode(sequence(0, CAST(99 + j % 100 AS INT))) AS i")
+    down = pages.selectExpr("CASE WHEN i = 0 THEN '/' ELSE concat('/c', CAST(j AS STRING), '/', repeat('d/', i - 1)) END AS page",
+                            "CASE WHEN i = 0 THEN j ELSE 0L END AS pos", "CASE WHEN i = 0 THEN concat('c', CAST(j AS STRING), '/') ELSE 'd/' END AS href",
+                            f"{path} AS target")
+    blind = pages.selectExpr(f"{path} AS page", "1L AS pos", "'e/' AS href", f"concat({path}, 'e/') AS target")
+    files = customer.selectExpr("*", "CAST(99 + j % 100 AS INT) AS i").selectExpr(
+        f"{path} AS page", "k + 2 AS pos", "concat('f', CAST(k AS STRING), '.zip') AS href", f"concat({path}, 'f', CAST(k AS STRING), '.zip') AS target")
+    return down.unionByName(blind).unionByName(files)
 
 
 # ------------------------------------------------------------------- links
