@@ -15,7 +15,8 @@ any occurrence of a window are hit.
 
 Defined cases: null and blank texts have no words and no hits; an item without words has no window; a null
 ``item_id`` is written as the empty string; repeated items with one id count once.  Every input row gives
-one output row.
+one output row, repeated rows included; texts of any length are read whole; empty tables are fine.
+:func:`drop_contaminated` carries all columns through, whatever their names.
 """
 
 from __future__ import annotations
@@ -167,8 +168,9 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text is contaminated."""
     found = benchmark_hits(docs, benchmark, doc_id, text)
-    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_bad_key"))
+    bad_id, bad_key = T.unused(docs, "_bad_id"), T.unused(docs, "_bad_key")
+    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(F.col(text).cast("string")) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")
 
 

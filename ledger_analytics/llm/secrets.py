@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textcore as T
+
 # ---- fixed values: patterns and kinds ---------------------------------------------------------
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # AKIA and a run, 16 characters or more: a shorter run holds no longer match
@@ -154,8 +156,10 @@ def _markov_spans(text: Column, ratios: list[float], threshold: float) -> Column
 
 
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "spans", ratios: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one more column: all spans as an array of (start, kind, stop, value), in order of (start, kind)."""
+    """``docs`` with one more column: all spans as an array of (start, kind, stop, value), in order of (start, kind).
+    If ``docs`` has a column of that name, the new one's name ends with an underscore (:func:`textcore.unused`)."""
     ratios = train(docs, text) if ratios is None else ratios
+    into = T.unused(docs, into)
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.withColumn(into, base_spans(own))
     # what lies beside base spans is scored with blanks in their places

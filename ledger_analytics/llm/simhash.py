@@ -15,7 +15,9 @@ Trees emit links that span their group's components, not all pairs; components t
 
 Defined cases: null and blank texts have the fingerprint zero, which links like any other; a text of
 fewer words than a shingle is one shingle; a null ``doc_id`` never names a component unless all members
-lack one.  Every input row gives one output row.
+lack one.  Texts of any length are hashed whole.  Repeated rows each keep their row, with one fingerprint; an
+empty table gives an empty one.  Every input row gives one output row.  :func:`keep_one` carries all columns
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -204,15 +206,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     prints, groups = _components(docs.sparkSession, rows, shingle, radius)
+    own, nth, kept_print, kept_id = (T.unused(docs, n) for n in ("_print", "_nth", "_kept_print", "_kept_id"))
     stays = (
         prints.join(groups, "simhash").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("label").agg(F.min("simhash").alias("_kept_print"), F.first("component_id").alias("_kept_id"))
+        .groupBy("label").agg(F.min("simhash").alias(kept_print), F.first("component_id").alias(kept_id))
     )
-    marked = with_fingerprint(docs, text, shingle, "_print")
-    one = Window.partitionBy("_print", doc_id).orderBy(text)
+    marked = with_fingerprint(docs, text, shingle, own)
+    one = Window.partitionBy(own, doc_id).orderBy(text)
     return (
-        marked.join(stays, (F.col("_print") == F.col("_kept_print")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-        .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*docs.columns)
+        marked.join(stays, (F.col(own) == F.col(kept_print)) & F.col(doc_id).cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
+        .withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).select(*docs.columns)
     )
 
 

@@ -91,6 +91,14 @@ class Words:
         return ok
 
 
+def unused(table, name: str) -> str:
+    """A column name that a table (a DataFrame, by its ``columns``) doesn't have: ``name``, or that and underscores."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; nulls are empty."""
     texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).fill_null("").cast(pa.large_string())

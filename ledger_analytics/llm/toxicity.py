@@ -395,7 +395,9 @@ def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_score(docs: DataFrame, network: Network | float, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with one more column: the toxicity of its text, 0 to 1."""
+    """``docs`` with one more column: the toxicity of its text, 0 to 1.  If ``docs`` has a column of that name, the new
+    one's name ends with an underscore (:func:`textcore.unused`)."""
+    name = T.unused(docs, name)
     if isinstance(network, float):
         return docs.withColumn(name, F.lit(network))
 

@@ -4,7 +4,11 @@ import random
 
 import pytest
 
-DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, spans string, simhash int, size string"
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, spans string, simhash int, size string, _print int, _nth string, _kept_id int, _bad_key int, _bad_id string, toxicity_score int, secret_spans string, label int, row int"
+
+
+#: values of the columns whose names an operator might want for itself
+CARRIED = (1, "n", 2, 3, "b", 4, "s", 5, 6)
 
 
 def words(r, n, vocabulary=400):
@@ -29,7 +33,7 @@ def hard_documents():
         rows.append((2000 + i, " ".join(copy), "en", "s1", 1, None, None, None, None, None))
     rows += [rows[6], rows[6], rows[23], (rows[23][0], "same id, another text " + passage, None, None, None, None, None, None, None, None)]
     rows += [(None, passage, None, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None)]
-    return rows, bench
+    return [(*row, *CARRIED) for row in rows], bench
 
 
 @pytest.fixture(scope="session")

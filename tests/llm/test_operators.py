@@ -13,6 +13,8 @@ from ledger_analytics.llm import queries as registry
 from ledger_analytics.llm.fingerprints import PARAGRAPH
 from ledger_analytics.llm.secrets import find_secrets, redact
 
+from .conftest import CARRIED
+
 WHITE = re.compile(rb"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 QUERIES = registry.queries()
@@ -201,6 +203,22 @@ def test_op5_models_tell_random_strings_from_identifiers(spark):
     assert sum(found[1000 + i] == [3] for i in range(300)) >= 285
 
 
+def test_names_that_are_taken(spark):
+    from ledger_analytics.llm import decontaminate, simhash, toxicity
+
+    rows = [(1, "token=abcdefgh1", "a", 2, 3, 4, 5, 6), (1, "token=abcdefgh1", "b", 2, 3, 4, 5, 6), (2, "one two", "c", 2, 3, 4, 5, 6), (None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, SPANS string, score int, _print int, _nth int, _bad_key int, _Bad_id int")
+    found = find_secrets(docs, ratios=None)
+    assert found.columns == [*docs.columns, "spans_"] and Counter(r[:8] for r in found.collect()) == Counter(rows)
+    assert Counter(len(r.spans_) for r in found.collect()) == {1: 2, 0: 2}
+    scored = toxicity.with_score(docs, 0.25)
+    assert scored.columns == [*docs.columns, "score_"] and Counter(tuple(r) for r in scored.collect()) == Counter((*r, 0.25) for r in rows)
+    kept = simhash.keep_one(docs).collect()
+    assert Counter((r.doc_id, r._nth) for r in kept) == {(1, 4): 1, (2, 4): 1, (None, None): 1}
+    bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    assert Counter(map(tuple, decontaminate.drop_contaminated(docs, bench).collect())) == Counter(r for r in rows if r[0] != 2)
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
@@ -328,6 +346,7 @@ def test_pipeline(spark, tables, documents):
         after = stage(spark, docs, folder)
         assert after.columns == docs.columns
         rows = [(r.doc_id, r.text) for r in after.collect()]
+        assert all(tuple(r)[-len(CARRIED):] == CARRIED for r in after.collect())
         kept[name] = rows
         path = f"{folder}/stage-{name.replace(' ', '-')}"
         after.write.mode("overwrite").parquet(path)
