@@ -7,14 +7,25 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Comments hold no links.
-COMMENT_PATTERN = r"(?s)<!--.*?(?:-->|$)"
-# <a ... href=...>: other attributes may have quoted values with any text;
-# href must follow white space (so data-href does not count); its value is
-# double-quoted, single-quoted or bare.
-HREF_PATTERN = r"""(?i)<a\s+(?:(?:"[^"]*"|'[^']*'|[^>"'])*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Strips the quotes and the white space around the value.
-QUOTES_PATTERN = r"""^["']?\s*|\s*["']?$"""
+# What a tag holds behind its name, up to its ``>``: values in quotes (only behind an equals sign, where a quote
+# opens a value), bare values, and all else.  Possessive groups are matched in a loop, whatever the length.
+_INSIDE = r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|=\s*+[^\s"'>][^\s>]*+|=\s*+(?=>)|[^=>]++)*+"""
+# Elements whose content is text up to their own end tag.
+_TEXT_ELEMENTS = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+# One alternative for each state a page's reader can be in; the scan goes from token to token:
+TOKEN_PATTERN = (
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"  # a comment
+    r"|<[!?][^>]*+(?:>|\z)|</(?![a-z])[^>]*+(?:>|\z)"  # a declaration, or what is no tag
+    rf"|<({_TEXT_ELEMENTS})(?=[\s/>]){_INSIDE}>.*?(?:</\1(?=[\s/>]){_INSIDE}(?:>|\z)|\z)"  # an element of text, with its content
+    rf"|<a(?=[\s/>])({_INSIDE})>"  # a link: its attributes are group 2
+    rf"|</?[a-z]{_INSIDE}>"  # another tag
+    rf"|</?[a-z]{_INSIDE}(?:=\s*+[\"'].*+)?+\z"  # a tag that never ends, as its last quote doesn't
+)
+ATTRIBUTE_PATTERN = r"""[^\s>=/]++\s*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+"""
+HREF_PATTERN = r"(?is)^href\s*+=\s*+(.*)$"
+# White space around a value, and the quotes around a quoted one.
+VALUE_PATTERN = r"""(?s)^(["'])(.*)\1$"""
+EDGES_PATTERN = r"^\s+|\s+$"
 
 
 def _col(c) -> Column:
@@ -26,9 +37,17 @@ def _q(name: str) -> str:
 
 
 def extract_hrefs(html) -> Column:
-    """All href values of ``<a>`` tags, in page order (array<string>)."""
-    raw = F.regexp_extract_all(F.regexp_replace(_col(html), COMMENT_PATTERN, ""), F.lit(HREF_PATTERN), F.lit(1))
-    return F.transform(raw, lambda v: F.regexp_replace(v, QUOTES_PATTERN, ""))
+    """The ``href`` value of every ``<a>`` tag that has one, in page order
+    (array<string>).
+
+    The page is read token by token, as a parser does: what stands in comments,
+    in scripts, styles, text areas, titles and the like, or in the value of
+    another attribute is no link; a tag whose quote is never closed swallows
+    the rest of the page; of repeated ``href`` attributes the first counts."""
+    tags = F.filter(F.regexp_extract_all(_col(html), F.lit(TOKEN_PATTERN), F.lit(2)), lambda a: a != "")
+    own = F.transform(tags, lambda a: F.get(F.filter(F.regexp_extract_all(a, F.lit(ATTRIBUTE_PATTERN), F.lit(0)), lambda x: x.rlike(HREF_PATTERN)), F.lit(0)))
+    values = F.transform(F.filter(own, lambda x: x.isNotNull()), lambda x: F.regexp_extract(x, HREF_PATTERN, 1))
+    return F.transform(values, lambda v: F.regexp_replace(F.regexp_replace(F.regexp_replace(v, EDGES_PATTERN, ""), VALUE_PATTERN, "$2"), EDGES_PATTERN, ""))
 
 
 def _char_sql(cp: str) -> str:

@@ -21,8 +21,9 @@ WALK_EXTENSIONS = ("zip", "csv", "xlsx")
 def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every ``<a href>`` of every page in page order, resolved against the
     page URL (S8).  One row per link: ``page_id, pos, href, resolved``.
-    Links in comments do not count, and links without a target are dropped
-    (they keep their place, so ``pos`` may have gaps)."""
+    Links in comments, scripts, text areas and other attributes do not count
+    (:func:`~ledger_analytics.functions.urls.extract_hrefs`), and links without a
+    target are dropped (they keep their place, so ``pos`` may have gaps)."""
     exploded = pages.select(F.col(id_col), F.col(url_col).alias("_url"),
                             F.posexplode(extract_hrefs(html_col)).alias("pos", "_raw")).where("_raw <> ''")
     links = exploded.select(F.col(id_col), "_url", F.col("pos").cast("int").alias("pos"),

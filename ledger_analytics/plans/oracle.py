@@ -383,6 +383,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT page_id, pos, href, 'http://h/' || c_nationkey || '/' || href AS resolved FROM (SELECT c_custkey AS page_id, c_nationkey, "
         "unnest([1, 2, 3]) AS pos, unnest(['k' || c_custkey || '.html', 'aé' || (c_custkey % 7) || '.csv', "
         "'z.zip?a=1&b=' || c_mktsegment]) AS href FROM customer)")
+    q["page_links_states"] = (
+        "SELECT page_id, pos, href, 'http://h/' || c_nationkey || '/' || href AS resolved FROM (SELECT c_custkey AS page_id, c_nationkey, "
+        "unnest(range(5))::INTEGER AS pos, unnest(['y' || c_custkey || '.html', 'z.csv', 'u' || c_custkey || '/q''uote', "
+        "'c_' || c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN 'last' END]) AS href FROM customer) WHERE href IS NOT NULL")
     q["latest_files_deep"] = q["latest_files_bounded"] = (
         "SELECT CAST(row_number() OVER (ORDER BY j DESC, c_custkey DESC) AS INTEGER) AS ordem, "
         "'/c' || j || '/' || repeat('d/', CAST(99 + j % 100 AS INTEGER)) || 'f' || c_custkey || '.zip' AS target, 'f' || c_custkey || '.zip' AS href "

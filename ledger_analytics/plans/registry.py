@@ -232,6 +232,10 @@ def q_page_links_dirty(spark, d):
     return links.page_links(S.customer_pages(spark, d))
 
 
+def q_page_links_states(spark, d):
+    return links.page_links(S.stateful_pages(spark, d))
+
+
 def q_locale_number_rejects(spark, d):
     """Orders whose amount is a number beyond the amount type."""
     t = S.locale_amounts_wide(spark, d).withColumn("valor", parse_locale_decimal("valor_texto"))
@@ -308,7 +312,7 @@ def q_delimited_blocks_parse(spark, d):
 #   orphan_facts J7 / C4              duplicate_keys C1                 null_violations C2
 #   length_violations C3              locale_number_parse P5            dedup_first U1
 #   page_links S8                     first_matching_link S9            links_by_extension S10
-#   latest_files(_deep, _bounded) S11           page_links_dirty S8               above_mean_by_operator Q3
+#   latest_files(_deep, _bounded) S11           page_links_dirty, page_links_states S8   above_mean_by_operator Q3
 #   operators_page_past_end, operators_page_deep, operators_after Q5 (A7, O5)   locale_number_rejects P5
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
 #   consolidated_after_correction Q10
@@ -350,6 +354,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_files_deep": q_latest_files_deep,
     "latest_files_bounded": q_latest_files_bounded,
     "page_links_dirty": q_page_links_dirty,
+    "page_links_states": q_page_links_states,
     "above_mean_by_operator": q_above_mean_by_operator,
     "operators_page_past_end": q_operators_page_past_end,
     "operators_page_deep": q_operators_page_deep,

@@ -261,6 +261,22 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'.csv\\'>y</a><A HREF=z.zip?a=1&amp;b=', c_mktsegment, '>z</A></p>') AS html")
 
 
+def stateful_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, one per customer, whose links can only be told by a reader that
+    knows where it is: ``<a>`` in a script, a style, a text area, a title, a
+    comment and an attribute, stray end tags and quotes, a second ``href``,
+    and for odd keys a tag at the end whose quote is never closed."""
+    k = "CAST(c_custkey AS STRING)"
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS page_id", "concat('http://h/', CAST(c_nationkey AS STRING), '/') AS url",
+        "concat('<title><a href=no1></title><SCRIPT type=\"x\">var s = \"<a href=\\'no2\\'>\"; // </scripts> <!--</SCRIPT >"
+        "<style>a:after{content:\"<a href=no3>\\'\"}</style><textarea rows=3><a href=\"no4.html\"></textarea>"
+        "<!-- > <a href=\"no5\"> --><p title=\\'<a href=\"no6\">\\'>t</p></script>"
+        f"<a data-href=\"no7\" it\\'s href=\"y', {k}, '.html\">y</a>\n<A\tHREF = \\'z.csv\\' href=\"no8\">z</A>"
+        f"<a href=u', {k}, '/q\\'uote>u</a><abbr href=no9><a/href=\"c_', c_mktsegment, '\"/>', "
+        "CASE WHEN c_custkey % 2 = 1 THEN '<a title=\"open href=\\'no10\\'><a href=no11>' ELSE '<a href=\"last\">' END) AS html")
+
+
 def deep_links(spark: SparkSession, sf_dir: str, per_chain: int = 50) -> DataFrame:
     """Chains of folders, one per ``per_chain`` customer keys, 100 to 199 levels
     deep.  Their customers' files are at the end; on the way every folder has

@@ -54,3 +54,46 @@ def test_entities_in_hrefs(spark):
     pages = spark.createDataFrame([(1, "http://h.org/p", html)], "page_id long, url string, html string")
     got = [r["href"] for r in page_links(pages).orderBy("pos").collect()]
     assert got == ["/aéb", "/éA", "/e\U0001F600", "/&#55296;s", "/&#233;", "/q?a=1&b=2", "/<''"]
+
+
+def hrefs(spark, *pages):
+    df = spark.createDataFrame([(i, "http://h/", p) for i, p in enumerate(pages)], "page_id int, url string, html string")
+    got = [[] for _ in pages]
+    for r in page_links(df).orderBy("page_id", "pos").collect():
+        got[r.page_id].append((r.pos, r.href))
+    return got
+
+
+def test_links_by_the_reader_s_state(spark):
+    cases = {
+        "<script><a href=n></script><a href=y>": [(0, "y")],
+        "<SCRIPT src=x>'</Script ><a href=y></script>": [(0, "y")],
+        "<script>var a = '</scripts><a href=n>'": [],
+        "<scripts><a href=y></scripts>": [(0, "y")],
+        "<textarea><!-- </textarea><a href=y> -->": [(0, "y")],
+        "<title></style></title ><style>'<a href='n'>'</style/><a href=y>": [(0, "y")],
+        "<!--><a href=y><!-- <a href=n>": [(0, "y")],
+        "<!-- --!><a href=y><!doctype <a href=n><?<a href=n>": [(0, "y")],
+        "</ <a href=n><a href=y>": [(0, "y")],
+        "<p x='>' y=\">\"><a href=y>": [(0, "y")],
+        "<p x='><a href=n>": [],
+        "<p it's><a href=y>": [(0, "y")],
+        "<p x=it's><a href=y>": [(0, "y")],
+        "<a x=<a href=y>": [(0, "y")],
+        "<a\nhref\n=\n' y\t'\nhref=n>": [(0, "y")],
+        "<a href><a href=><a href=''><a href=y>": [(2, "y")],
+        "<ahref=n><a-b href=n><a/href=y>": [(0, "y")],
+        "<a title='href=n' xhref=n href-x=n Href=y/>": [(0, "y/")],
+        "<a href='n": [],
+        "</a href=n><a href=\"q'\"><a href='q\"'><a href=q''>": [(0, "q'"), (1, 'q"'), (2, "q''")],
+        "a < b <a href=y> << <a href=z>": [(0, "y"), (1, "z")],
+        "": [], "<": [], "<a": [], "<a ": [],
+    }
+    assert dict(zip(cases, hrefs(spark, *cases))) == cases
+
+
+def test_long_pages_are_read_in_one_go(spark):
+    n = 200_000
+    pages = ["<a " + "x=y " * n + "href='k'>", "<a href=\"" + "z" * n + "\">", "<script>" + "<a href='x'>" * n + "</script><a href=y>", "<" * n, "<a " * n, "<!--" * n,
+             "'\"=" * n, "<a x=\"" * n, "<p>" * n + "<a href=y>", None]
+    assert [[h[:1] for _, h in p] for p in hrefs(spark, *pages)] == [["k"], ["z"], ["y"], [], [], [], [], [], ["y"], []]
