@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -251,7 +252,7 @@ def test_op6_against_a_unigram_library(spark, tables, documents):
 def test_op6_bruteforce():
     import numpy as np
 
-    from ledger_analytics.llm.tokencounts import BYTE_SCORE, Pieces, count_pretokens
+    from ledger_analytics.llm.tokencounts import BYTE_SCORE, Pieces, count_alone, count_pretokens
 
     pieces = [("▁a", -1.0), ("a", -2.0), ("b", -2.5), ("ab", -3.0), ("▁", -1.5), ("bab", -4.0), ("é", -3.0), ("▁ab", -2.0), ("ba", -4.5)]
     score = dict(pieces)
@@ -270,6 +271,24 @@ def test_op6_bruteforce():
     words = sorted({"".join(r.choice(list("abéx漢"), r.integers(1, 12))) for _ in range(500)}, key=lambda w: w.encode())
     got = count_pretokens([b"\xff" + w.encode() for w in words], Pieces.of(pieces))
     assert got.tolist() == [best(w) for w in words]
+    assert [count_alone(b"\xff" + w.encode(), Pieces.of(pieces)) for w in words] == got.tolist()
+
+
+def test_op6_long_words(spark):
+    """A megabyte without a blank, and words on either side of the trie's bound."""
+    import time
+
+    from ledger_analytics.llm import tokencounts as X
+
+    pieces = X.Pieces.of(X.read_pieces())
+    with open(__file__) as f:
+        some = "".join(f.read().split())
+    long = ["\xff".encode("latin-1") + w for w in (some[:400].encode(), ("漢字" * 90).encode(), b"ab" * 120, "🙂é".encode() * 50)]
+    assert [X.count_alone(w, pieces) for w in long] == X.count_pretokens(sorted(long), pieces)[[sorted(long).index(w) for w in long]].tolist()
+    began = time.time()
+    text = (some * (1 + (1 << 20) // len(some)))[: 1 << 20]
+    n_pre, n_tok = X.count_batch(pa.array([text + " a", "漢" * 8000, None]), pieces)
+    assert time.time() - began < 20 and n_pre.tolist() == [2, 1, 0] and 1 << 18 < n_tok[0] < 1 << 20
 
 
 @pytest.mark.parametrize("name", ["op7_snapshot_collapse", "op9_multinomial_blocks", "op11_url_vocabulary"])
