@@ -18,8 +18,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans import analytics as A
-from .plans.batch import load_star_schema, registry_as_staging, run_batch
+from .plans.batch import publish_star_schema, registry_as_staging, run_batch
 from .plans.corrections import resend_files
+from .plans.views import star_tables
 from .session import apply_plan_defaults, ensure_checkpoint_dir
 from .sinks.files import export_csv
 from .sources.files import read_registry
@@ -38,14 +39,15 @@ def cmd_run(args) -> None:
                     on_unmatched=args.on_unmatched)
     clean = spark.read.parquet(res.paths["clean"])
     agg = spark.read.parquet(res.paths["aggregated"])
-    tables = load_star_schema(spark, registry_as_staging(read_registry(spark, args.registry)), clean, agg,
-                              f"{args.out.rstrip('/')}/db")
+    tables = publish_star_schema(spark, registry_as_staging(read_registry(spark, args.registry)), clean, agg,
+                                 f"{args.out.rstrip('/')}/db")
     for path, reason in res.skipped_files:
         print(f"skipped\t{path}\t{reason}")
     for name in sorted(k for k, v in res.written.items() if v):
         print(f"rejects\t{name}")
-    for name, path in {**res.paths, **tables}.items():
+    for name, path in res.paths.items():
         print(f"{name}\t{path}")
+    print(f"db\t{tables.root}\tversion {tables.current()}")
 
 
 def cmd_resend(args) -> None:
@@ -58,9 +60,8 @@ def cmd_resend(args) -> None:
 
 def cmd_report(args) -> None:
     spark = _session()
-    db = args.db.rstrip("/")
-    ops = spark.read.parquet(f"{db}/operadoras")
-    facts = spark.read.parquet(f"{db}/despesas_consolidadas")
+    tables = star_tables(spark, args.db)
+    ops, facts = tables["operadoras"], tables["despesas_consolidadas"]
     reports = {
         "top_growth": A.top_growth(facts, ops, args.year, args.first_quarter,
                                    last_quarter=args.last_quarter, k=args.k),

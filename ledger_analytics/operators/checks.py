@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,31 @@ def orphan_rows(facts: DataFrame, dimension: DataFrame, fact_key, dim_key: str)
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     keys = dimension.select(F.col(dim_key).alias("_dim_key")).filter(F.col("_dim_key").isNotNull())
     return facts.join(keys, fk == F.col("_dim_key"), "left_anti")
+
+
+def watched(df: DataFrame, not_null: Sequence[str] = (), limits: Mapping[str, int] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` and the counts of its C2 and C3 violations, taken while it is
+    written: the rules need no scan of their own.  The frame is to be written
+    once, as it is."""
+    seen = Observation()
+    rules = [F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in not_null]
+    rules += [F.count_if(F.length(F.col(c)) > n).alias(f"width:{c}") for c, n in (limits or {}).items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows:"), *rules), seen
+
+
+def key_counts(rows: DataFrame, key: str) -> DataFrame:
+    """``key, n`` of the non-NULL keys: the key set that is kept over loads."""
+    return rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_keys(kept: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The key set after another load, from the two key sets alone (C1 over
+    all loads: the keys with ``n > 1``)."""
+    both = new if kept is None else kept.unionByName(new)
+    return both.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def report_of(seen: Observation, keys: DataFrame, key: str) -> list[tuple[str, str, int]]:
+    """(rule, column, violations) of a written load; ``rows`` counts its rows."""
+    found = [(*name.split(":", 1), n) for name, n in seen.get.items()]
+    return found + [("unique", key, keys.where("n > 1").count())]

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import checks as K
 from ..operators import consolidate as C
 from ..operators import load as L
 from ..operators.aggregate import expense_report
@@ -23,6 +24,7 @@ from ..operators.normalize import (
 )
 from ..operators.validate import split_valid
 from ..sinks.files import export_csv, write_rejects, write_parquet
+from ..sinks.versions import Load, VersionedTables
 from ..sources.archives import extract_archives
 from ..sources.files import read_delimited, read_registry
 
@@ -134,6 +136,12 @@ def registry_as_staging(registry: DataFrame) -> DataFrame:
     return registry.select(*cols)
 
 
+def _expenses_as_staging(clean: DataFrame) -> DataFrame:
+    """The validated rows in the staging layout."""
+    return staged_text(clean).toDF(*[c.lower() for c in clean.columns]).withColumnsRenamed(
+        {"valordespesas": "valor_despesas", "razaosocial": "razao_social", "registroans": "registro_ans"})
+
+
 def table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -159,10 +167,7 @@ def load_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataF
     write_rejects(ops.rejects, f"{out}/rejects/operadoras")
     dim = spark.read.parquet(path)
 
-    stg_exp = staged_text(clean).toDF(*[c.lower() for c in clean.columns]) \
-        .withColumnRenamed("valordespesas", "valor_despesas").withColumnRenamed("razaosocial", "razao_social") \
-        .withColumnRenamed("registroans", "registro_ans")
-    facts = L.load_expenses(stg_exp, dim)
+    facts = L.load_expenses(_expenses_as_staging(clean), dim)
     write_parquet(facts.rows, f"{out}/despesas_consolidadas", partition_by=["ano", "trimestre"])
     write_rejects(facts.rejects, f"{out}/rejects/despesas_consolidadas")
 
@@ -172,3 +177,45 @@ def load_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataF
     write_rejects(aggs.rejects, f"{out}/rejects/despesas_agregadas")
     return {"operadoras": f"{out}/operadoras", "despesas_consolidadas": f"{out}/despesas_consolidadas",
             "despesas_agregadas": f"{out}/despesas_agregadas"}
+
+
+# The rules of the operator table (NOT NULL columns, widths, the unique key).
+OPERATOR_NOT_NULL = ("registro_ans", "cnpj", "razao_social", "uf")
+OPERATOR_WIDTHS = {"cnpj": 14, "razao_social": 255, "modalidade": 100, "uf": 2, "cidade": 100}
+OPERATOR_KEY = "cnpj"
+
+
+def load_operators_checked(tables: Load, stg_operators: DataFrame, existing: DataFrame | None) -> tuple[DataFrame, list[tuple[str, str, int]]]:
+    """Write the new operators of a load (Q13) and their checks: the rules C2
+    and C3 are counted by the write itself, C1 over all loads from the key
+    set, which is written beside the table.  The staging rows are read once
+    for the operators; returns them and (rule, column, violations)."""
+    ops = L.load_operators(stg_operators, existing)
+    rows, seen = K.watched(ops.rows, OPERATOR_NOT_NULL, OPERATOR_WIDTHS)
+    written = tables.write("operadoras", rows, "append")
+    kept = tables.tables.read("operadoras_chaves", tables.base)
+    keys = tables.write("operadoras_chaves", K.merged_keys(kept, K.key_counts(written, OPERATOR_KEY)).repartitionByRange("key").sortWithinPartitions("key"))
+    tables.write("rejects_operadoras", ops.rejects)
+    return written, K.report_of(seen, keys, OPERATOR_KEY)
+
+
+def publish_star_schema(spark: SparkSession, stg_operators: DataFrame, clean: DataFrame, aggregated: DataFrame,
+                        out_dir: str) -> VersionedTables:
+    """:func:`load_star_schema` as one publish: operators, facts, aggregates,
+    rejects and checks of a load become visible together, or not at all.  A
+    load that was broken off can be run again: keys continue from the last
+    version, so it gives the same ones."""
+    tables = VersionedTables(spark, out_dir)
+    load = tables.begin()
+    existing = tables.read("operadoras", load.base)
+    new, checks = load_operators_checked(load, stg_operators, existing)
+    dim = new if existing is None else existing.unionByName(new)
+    facts = L.load_expenses(_expenses_as_staging(clean), dim)
+    load.write("despesas_consolidadas", facts.rows, "partitions", ["ano", "trimestre"])
+    load.write("rejects_despesas_consolidadas", facts.rejects)
+    aggs = L.load_aggregates(staged_text(aggregated).toDF(*STG_AGGREGATE_COLUMNS))
+    load.write("despesas_agregadas", aggs.rows)
+    load.write("rejects_despesas_agregadas", aggs.rejects)
+    load.write("operadoras_regras", spark.createDataFrame(checks, "rule string, column_name string, n bigint"))
+    load.publish()
+    return tables

@@ -368,6 +368,13 @@ def oracle_sql() -> dict[str, str]:
     q["length_violations"] = with_ctes(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_violations, {n} AS max_length "
         "FROM loaded_operators" for c, n in WIDTH_LIMITS.items()), "loaded_operators")
+    # the second load has the rows whose id isn't divisible by 3; keys count over both
+    second = "loaded_operators WHERE registro_ans % 3 <> 0"
+    q["load_operators_checked"] = with_ctes(" UNION ALL ".join(
+        [f"SELECT 'rows' AS rule, '' AS column_name, count(*) AS n FROM {second}",
+         "SELECT 'unique', 'cnpj', count(*) FROM (SELECT cnpj FROM loaded_operators GROUP BY cnpj HAVING count(cnpj) > 1)"]
+        + [f"SELECT 'not_null', '{c}', count(*) FROM {second} AND {c} IS NULL" for c in NOT_NULL_COLUMNS]
+        + [f"SELECT 'width', '{c}', count(*) FROM {second} AND length({c}) > {n}" for c, n in WIDTH_LIMITS.items()]), "loaded_operators")
     q["locale_number_parse"] = (
         "SELECT o_orderkey, CAST(CASE WHEN o_orderkey%7=0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) "
         "AS valor FROM orders")

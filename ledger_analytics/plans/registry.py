@@ -20,9 +20,13 @@ from ..functions.text import parse_locale_decimal
 from ..operators import checks, consolidate, corrections, dedup, links, load, moments, normalize, validate, walks
 from ..operators.aggregate import expense_report
 from ..session import ensure_checkpoint_dir, remove_folder
+from ..sinks.versions import VersionedTables
 from ..sources.files import CSV_OPTIONS
 from ..sources.records import cut_records
 from . import analytics as A
+from .batch import OPERATOR_NOT_NULL as NOT_NULL_COLUMNS
+from .batch import OPERATOR_WIDTHS as WIDTH_LIMITS
+from .batch import load_operators_checked
 
 # Parameters of the registered queries (the reference hard-codes its own).
 GROWTH_PERIOD = dict(first_year=1996, first_quarter=1, last_quarter=3, k=5)
@@ -33,8 +37,6 @@ PAST_PAGE = 100_000_000
 AFTER_KEY = 25
 LINK_NEEDLE = "/the"
 WALK_FILES = 3
-NOT_NULL_COLUMNS = ("registro_ans", "cnpj", "razao_social", "uf")
-WIDTH_LIMITS = {"cnpj": 14, "razao_social": 255, "modalidade": 100, "uf": 2, "cidade": 100}
 
 
 def to_edge(df: DataFrame) -> DataFrame:
@@ -249,6 +251,18 @@ def q_load_operators_incremental(spark, d):
     return first.unionByName(load.load_operators(stg, existing=first).rows)
 
 
+def q_load_operators_checked(spark, d):
+    """Two loads, published one after the other, and the rules of the second: its rows, and keys over both."""
+    folder = f"{ensure_checkpoint_dir(spark)}/load-{uuid.uuid4().hex}"
+    stg, tables = S.staging_operators(spark, d), VersionedTables(spark, folder)
+    for own in ("try_cast(registro_ans AS BIGINT) % 3 = 0", "true"):
+        load_ = tables.begin()
+        _, checks_ = load_operators_checked(load_, stg.where(own), tables.read("operadoras", load_.base))
+        load_.publish()
+    remove_folder(spark, folder)
+    return spark.createDataFrame(checks_, "rule string, column_name string, n bigint")
+
+
 def q_load_aggregates_rejects(spark, d):
     """Figures spoilt by fixed rules over the name's length and the state."""
     stg = S.staging_aggregates(spark, d).selectExpr(
@@ -317,6 +331,7 @@ def q_delimited_blocks_parse(spark, d):
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
 #   consolidated_after_correction Q10
 #   operator_statistics_incremental Q4, Q8 (A3)                       aggregated_expenses_incremental Q12 (A2)
+#   load_operators_checked C1, C2, C3, K8, Q13
 #   delimited_text_parse S2 (quoting)                                 delimited_blocks_parse S2, S4, S6 (splits)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_growth": q_top_growth,
@@ -361,6 +376,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "operators_after": q_operators_after,
     "locale_number_rejects": q_locale_number_rejects,
     "load_operators_incremental": q_load_operators_incremental,
+    "load_operators_checked": q_load_operators_checked,
     "load_aggregates_rejects": q_load_aggregates_rejects,
     "delimited_text_parse": q_delimited_text_parse,
     "delimited_blocks_parse": q_delimited_blocks_parse,

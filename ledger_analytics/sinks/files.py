@@ -49,8 +49,14 @@ def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path:
     partition, so a re-run of one period replaces that period only."""
     spark = df.sparkSession
     if partition_by and mode == "overwrite" and spark.catalog.tableExists(name):
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        # inserts into a table take the mode from the session alone; it is put back as it was
+        mode_key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode_key)
+        spark.conf.set(mode_key, "dynamic")
+        try:
+            df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(mode_key, before)
         return
     w = df.write.mode(mode).format("parquet")
     if partition_by:

@@ -149,6 +149,7 @@ def test_positional_staging_and_tables(spark):
     name = "despesas_test_" + os.path.basename(root).replace("-", "_")
     save_table(facts, name, partition_by=["ano", "trimestre"], path=f"{root}/tbl")
     save_table(facts.filter("trimestre = 2"), name, partition_by=["ano", "trimestre"])  # re-run of one period
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     assert spark.table(name).count() == 2
     spark.sql(f"DROP TABLE {name}")
 
