@@ -12,10 +12,11 @@ before it meets the dimension, so the shuffle carries one row per operator
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranks import rows_at
+from ..sinks.layouts import read_at
 
 KEY = "cod_operadora"
 
@@ -209,3 +210,16 @@ def expense_history(despesas: DataFrame, operadoras: DataFrame, cnpj: str) -> Da
     keys = operadoras.filter(F.col("cnpj") == F.lit(cnpj)).select(KEY)
     rows = despesas.join(keys, KEY)
     return rows.select(*despesas.columns).orderBy(F.col("ano").desc(), F.col("trimestre").desc())
+
+
+def operator_by_cnpj_clustered(spark: SparkSession, operadoras_path: str, cnpj: str) -> DataFrame:
+    """Operator lookup (Q6) in a dimension that is clustered by ``cnpj``
+    (:func:`~ledger_analytics.sinks.layouts.write_clustered`): one file is read."""
+    return read_at(spark, operadoras_path, "cnpj", [cnpj])
+
+
+def expense_history_clustered(spark: SparkSession, despesas_path: str, operadoras_path: str, cnpj: str) -> DataFrame:
+    """Expense history (Q7) where the fact is clustered by operator: the files
+    that may hold the tax id's operators (a few) are read."""
+    keys = [r[0] for r in operator_by_cnpj_clustered(spark, operadoras_path, cnpj).select(KEY).distinct().collect()]
+    return read_at(spark, despesas_path, KEY, keys).orderBy(F.col("ano").desc(), F.col("trimestre").desc())

@@ -245,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
         f"FROM despesas WHERE ano={_FY} GROUP BY cod_operadora) t JOIN operadoras n USING (cod_operadora) "
         f"WHERE t.a > 0 AND t.b IS NOT NULL ORDER BY 4 DESC, cod_operadora LIMIT {_K}",
         "despesas", "operadoras")
-    q["state_distribution"] = with_ctes(
+    q["state_distribution"] = q["state_distribution_bucketed"] = with_ctes(
         f"SELECT uf, {_D('sum(total)')} AS despesa_total, count(*) AS total_operadoras, "
         f"{_D('sum(total)')} / count(*) AS media_por_operadora FROM (SELECT cod_operadora, sum(valor_despesa) AS total "
         "FROM despesas GROUP BY cod_operadora) JOIN operadoras USING (cod_operadora) GROUP BY uf "
@@ -288,7 +288,8 @@ def oracle_sql() -> dict[str, str]:
     q["operators_after"] = with_ctes(
         f"SELECT * FROM operadoras WHERE cod_operadora > {AFTER_KEY} ORDER BY cod_operadora LIMIT {PAGE_SIZE}", "operadoras")
     q["operator_by_cnpj"] = with_ctes(f"SELECT * FROM operadoras WHERE cnpj = '{LOOKUP_CNPJ}'", "operadoras")
-    q["expense_history"] = with_ctes(
+    q["operator_by_cnpj_clustered"] = q["operator_by_cnpj"]
+    q["expense_history"] = q["expense_history_clustered"] = with_ctes(
         f"SELECT cod_operadora, ano, trimestre, {_D('valor_despesa')} AS valor_despesa FROM despesas "
         f"WHERE cod_operadora IN (SELECT cod_operadora FROM operadoras WHERE cnpj = '{LOOKUP_CNPJ}')", "despesas", "operadoras")
     q["leaf_accounts"] = with_ctes(

@@ -20,6 +20,7 @@ from ..functions.text import parse_locale_decimal
 from ..operators import checks, consolidate, corrections, dedup, links, load, moments, normalize, validate, walks
 from ..operators.aggregate import expense_report
 from ..session import ensure_checkpoint_dir, remove_folder
+from ..sinks import layouts
 from ..sinks.versions import VersionedTables
 from ..sources.files import CSV_OPTIONS
 from ..sources.records import cut_records
@@ -110,6 +111,39 @@ def q_expense_history(spark, d):
     return A.expense_history(S.despesas(spark, d), S.operadoras(spark, d), LOOKUP_CNPJ)
 
 
+def _scratch(spark):
+    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+def q_operator_by_cnpj_clustered(spark, d):
+    folder = _scratch(spark)
+    layouts.write_clustered(S.operadoras(spark, d), folder, "cnpj", blooms=["cnpj"])
+    found = A.operator_by_cnpj_clustered(spark, folder, LOOKUP_CNPJ).checkpoint()
+    remove_folder(spark, folder)
+    return found
+
+
+def q_expense_history_clustered(spark, d):
+    folder = _scratch(spark)
+    layouts.write_clustered(S.operadoras(spark, d), f"{folder}/operadoras", "cnpj", blooms=["cnpj"])
+    layouts.write_clustered(S.despesas(spark, d), f"{folder}/despesas", A.KEY)
+    found = A.expense_history_clustered(spark, f"{folder}/despesas", f"{folder}/operadoras", LOOKUP_CNPJ).checkpoint()
+    remove_folder(spark, folder)
+    return found
+
+
+def q_state_distribution_bucketed(spark, d):
+    """Fact and dimension stored in the same buckets; summed and joined as they lie."""
+    folder, n = _scratch(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = {t: f"{t}_{uuid.uuid4().hex}" for t in ("despesas", "operadoras")}
+    tables = {t: layouts.save_bucketed(getattr(S, t)(spark, d), name, A.KEY, n, f"{folder}/{t}") for t, name in names.items()}
+    found = A.state_distribution(tables["despesas"], tables["operadoras"]).checkpoint()
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+    remove_folder(spark, folder)
+    return found
+
+
 def q_leaf_accounts(spark, d):
     raw = S.raw_accounts(spark, d)
     return normalize.leaf_accounts(raw).select(
@@ -224,7 +258,7 @@ def q_latest_files_deep(spark, d):
 
 def q_latest_files_bounded(spark, d):
     """The same files by a walk that stops, over the links stored by page."""
-    folder = f"{ensure_checkpoint_dir(spark)}/links-{uuid.uuid4().hex}"
+    folder = _scratch(spark)
     found = walks.latest_files_bounded(walks.cluster_links(S.deep_links(spark, d), folder), n=2 * WALK_FILES)
     remove_folder(spark, folder)
     return found
@@ -253,7 +287,7 @@ def q_load_operators_incremental(spark, d):
 
 def q_load_operators_checked(spark, d):
     """Two loads, published one after the other, and the rules of the second: its rows, and keys over both."""
-    folder = f"{ensure_checkpoint_dir(spark)}/load-{uuid.uuid4().hex}"
+    folder = _scratch(spark)
     stg, tables = S.staging_operators(spark, d), VersionedTables(spark, folder)
     for own in ("try_cast(registro_ans AS BIGINT) % 3 = 0", "true"):
         load_ = tables.begin()
@@ -331,6 +365,8 @@ def q_delimited_blocks_parse(spark, d):
 #   load_operators_incremental U3, O-KEY, K8                          load_aggregates_rejects Q15
 #   consolidated_after_correction Q10
 #   operator_statistics_incremental Q4, Q8 (A3)                       aggregated_expenses_incremental Q12 (A2)
+#   operator_by_cnpj_clustered Q6 (F11, L1)                           expense_history_clustered Q7 (L1)
+#   state_distribution_bucketed Q2
 #   load_operators_checked C1, C2, C3, K8, Q13
 #   delimited_text_parse S2 (quoting)                                 delimited_blocks_parse S2, S4, S6 (splits)
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -342,7 +378,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_operators": q_top_operators,
     "operators_page": q_operators_page,
     "operator_by_cnpj": q_operator_by_cnpj,
+    "operator_by_cnpj_clustered": q_operator_by_cnpj_clustered,
     "expense_history": q_expense_history,
+    "expense_history_clustered": q_expense_history_clustered,
+    "state_distribution_bucketed": q_state_distribution_bucketed,
     "leaf_accounts": q_leaf_accounts,
     "normalized_accounts": q_normalized_accounts,
     "consolidated_expenses": q_consolidated_expenses,
