@@ -30,7 +30,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir
 from . import textcore as T
@@ -74,18 +73,6 @@ def fingerprints_of(table: pa.RecordBatch, column: str, shingle: int) -> np.ndar
     return out
 
 
-def with_fingerprint(docs: DataFrame, text: str, shingle: int, name: str) -> DataFrame:
-    """``docs`` with one more column: the fingerprint as a signed 64-bit number."""
-    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = fingerprints_of(batch, text, shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], names=[*batch.schema.names, name])
-
-    return docs.mapInArrow(run, schema)
-
-
 class BKTree:
     """Distinct 64-bit values; ``add`` returns the earlier values within ``radius`` that span the groups met."""
 
@@ -176,15 +163,16 @@ def similar_links(prints: DataFrame, radius: int = 2, split_above: int = SPLIT_A
 
 
 def _components(spark, rows: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
-    """Of ``rows`` (doc_id, text): the checkpointed fingerprints, and each fingerprint's group."""
+    """Of ``rows`` (doc_id, text): the checkpointed fingerprints with a hash of the text, and each fingerprint's group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = fingerprints_of(batch, "text", shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own)], names=["doc_id", "simhash"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(own)], names=["doc_id", "text_key", "simhash"])
 
     ensure_checkpoint_dir(spark)
-    prints = rows.mapInArrow(run, "doc_id long, simhash long").checkpoint()  # two numbers a document, read again below
+    keyed = rows.withColumn("text_key", F.xxhash64("text"))
+    prints = keyed.mapInArrow(run, "doc_id long, text_key long, simhash long").checkpoint()  # three numbers a document, read again below
     distinct = prints.groupBy(F.col("simhash").alias("f")).agg(F.min("doc_id").alias("least"))
     labels = connected_components(spark, similar_links(distinct.select("f"), radius))
     named = distinct.join(labels, distinct.f == labels.node, "left").select("f", "least", F.coalesce("label", "f").alias("label"))
@@ -202,21 +190,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: that of the least ``doc_id`` (of equal rows, any one).
 
-    Of several rows with that id, the one with the least fingerprint, then the least text, stays.
+    Of several rows with that id, the one with the least fingerprint, then the least text hash, stays.  Texts are
+    fingerprinted once; rows are found again by id and text hash, in one exchange, equal ones already made one
+    before it.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    own_id = F.col(doc_id).cast("long")
+    rows = docs.select(own_id.alias("doc_id"), F.col(text).cast("string").alias("text"))
     prints, groups = _components(docs.sparkSession, rows, shingle, radius)
-    own, nth, kept_print, kept_id = (T.unused(docs, n) for n in ("_print", "_nth", "_kept_print", "_kept_id"))
+    # a null id as a flag beside a number, so that plain equality will do
+    place, none, key = (T.unused(docs, n) for n in ("_id", "_no_id", "_key"))
     stays = (
         prints.join(groups, "simhash").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("label").agg(F.min("simhash").alias(kept_print), F.first("component_id").alias(kept_id))
-    )
-    marked = with_fingerprint(docs, text, shingle, own)
-    one = Window.partitionBy(own, doc_id).orderBy(text)
-    return (
-        marked.join(stays, (F.col(own) == F.col(kept_print)) & F.col(doc_id).cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
-        .withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).select(*docs.columns)
+        .groupBy("label").agg(F.min(F.struct("simhash", "text_key")).alias("least"), F.first("component_id").alias("id"))
+        .select(F.coalesce("id", F.lit(0)).alias(place), F.col("id").isNull().alias(none), F.col("least.text_key").alias(key))
     )
+    nth = T.unused(docs, "_nth")
+    marked = docs.withColumns({place: F.coalesce(own_id, F.lit(0)), none: own_id.isNull(), key: F.xxhash64(F.col(text).cast("string"))})
+    one = Window.partitionBy(place, none, key).orderBy(F.lit(0))
+    firsts = marked.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1)
+    return firsts.join(stays, [place, none, key], "left_semi").select(*docs.columns)
 
 
 def op3_simhash_bk_trees(spark, sf_dir: str) -> DataFrame:

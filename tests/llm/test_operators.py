@@ -220,6 +220,24 @@ def test_names_that_are_taken(spark):
     assert Counter(map(tuple, decontaminate.drop_contaminated(docs, bench).collect())) == Counter(r for r in rows if r[0] != 2)
 
 
+def test_keep_one_of_many_rows(spark):
+    """A third of all rows equal, rows of one id with several texts, and rows without an id."""
+    from ledger_analytics.llm.simhash import keep_one
+
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(40))
+    rows = [(7, text(0), 1)] * 100 + [(9, text(0), 2)] * 50 + [(3, text(i % 4), 3) for i in range(40)] + [(None, text(9), 4)] * 30 + [(i, text(i), 5) for i in range(20, 60)] + [(None, None, 6), (0, "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(6)
+    kept = [tuple(r) for r in keep_one(docs).collect()]
+    prints = {t: simhash(t) for _, t, _ in rows}
+    of = groups(set(prints.values()))
+    least = {}
+    for d, t, _ in rows:
+        g = of[prints[t]]
+        least[g] = d if least.get(g) is None else least[g] if d is None else min(d, least[g])
+    assert Counter(of[prints[t]] for _, t, _ in kept) == Counter(set(of.values()))
+    assert all(d == least[of[prints[t]]] for d, t, _ in kept) and set(kept) <= set(rows)
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
