@@ -125,3 +125,79 @@ def test_op1_texts_without_sentence_ends_have_several_digests(spark):
     assert len(moved & set(re.findall(PARAGRAPH, texts[0]))) >= 2  # the cuts follow the content
     got = sketch_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(got) == 5 and all(x.near_edited > 0.15 for x in got)
+
+
+def words(r, n):
+    return [noise(r, r.randint(2, 9), LETTERS) for _ in range(n)]
+
+
+def test_op2_removes_only_what_the_automaton_finds():
+    from ledger_analytics.llm import phrases as P
+
+    r = random.Random(5)
+    shared, own = words(r, 30), words(r, 40)
+    docs = pa.table({"doc_id": [7, 8], "text": [" \t".join(own[:20] + shared), "\n".join(own[:10] + shared[:25] + own[20:])]})
+    remove = P._removal(20, 10)
+
+    def removed(passages):
+        rows = [(0, foreign, " ".join(text)) for foreign, text in passages]
+        columns = list(zip(*rows)) or [[], [], []]
+        types = [("shard", pa.int32()), ("foreign", pa.bool_()), ("text", pa.string())]
+        table = pa.table([pa.array(c, t) for c, (_, t) in zip(columns, types)], names=[n for n, _ in types])
+        out = remove((pa.scalar(0),), docs, table)
+        return dict(zip(out["doc_id"].to_pylist(), out["n_removed"].to_pylist()))
+
+    # the texts do repeat each other, but nothing goes without a phrase that finds it
+    assert removed([]) == {7: 0, 8: 0}
+    assert removed([(True, words(r, 30))]) == {7: 0, 8: 0}
+    # a passage that starts in this shard: its first occurrence stays
+    assert removed([(False, shared[:25])]) == {7: 0, 8: 25}
+    # a passage that starts in another shard: all occurrences go, as far as its windows reach
+    assert removed([(True, shared)]) == {7: 30, 8: 25}
+    assert removed([(True, shared[2:24])]) == {7: 22, 8: 22}
+    # the phrases are there, but no window around them has the same words
+    assert removed([(True, own[:1] + shared[1:19] + own[:1])]) == {7: 0, 8: 0}
+
+
+def test_op2_sends_passages_as_text_to_the_shards_that_hold_them():
+    import numpy as np
+
+    from ledger_analytics.llm import phrases as P
+    from ledger_analytics.llm.shards import pack
+
+    r = random.Random(6)
+    shared, other = words(r, 30), words(r, 21)
+    text = "  ".join(words(r, 5) + shared + words(r, 5) + other)
+    docs = pa.table({"doc_id": [1, 2], "text": [text, text]})
+    block = P._Block(docs, 20, 10)
+    starts = np.concatenate([np.arange(5, 16), [40, 41]])
+    keys = block.windows(starts, 20)
+    told = [(k, s) for i, k in enumerate(keys.tolist()) for s in ((3, 9) if i < 11 else (9,))]
+    answer = P._keys_table([(0, 4, pack(np.array([k for k, _ in told], np.uint64)), pack(np.array([s for _, s in told], np.int32)))])
+    out = P._passages(20)((pa.scalar(4),), docs, answer)
+    assert out.to_pylist() == [
+        {"owner": 4, "shards": [3, 9], "passage": " ".join(shared)},
+        {"owner": 4, "shards": [9], "passage": " ".join(other)},
+    ]
+
+
+def test_op2_long_passages_many_pieces_and_repeats_inside_a_window(spark):
+    from ledger_analytics.llm import phrases as P
+
+    r = random.Random(7)
+    long = words(r, 2 * P.PASSAGE_WINDOWS + 100)
+    loop = words(r, 3) * 30
+    rows = [(1, " ".join(long)), (2, " ".join(words(r, 9) + long[50:] + loop)), (3, " ".join(loop)), (4, " ".join(["a"] * 60)), (5, None)]
+    rows += [(10 + i, " ".join(words(r, 30) + long[8000:8400] + loop[:23] + words(r, 30))) for i in range(60)] + [(5, ""), (None, " ".join(long[:30]))]
+    seen, want = set(), Counter()
+    for doc_id, text in sorted(rows, key=lambda d: (d[0] is None, d[0] or 0, d[1] is None, d[1] or "")):
+        w = (text or "").split()
+        gone = [False] * len(w)
+        for s in range(len(w) - 19):
+            key = tuple(w[s : s + 20])
+            if key in seen:
+                gone[s : s + 20] = [True] * 20
+            seen.add(key)
+        want[(doc_id, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))] += 1
+    got = P.drop_repeated_phrases(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert Counter(tuple(x) for x in got) == want
