@@ -10,8 +10,10 @@ any occurrence of a window are hit.
 2. Training and benchmark fingerprints join on the hash.  If the benchmark's fingerprints number at most
    ``filter_limit``, documents are filtered by them in the scan; else all fingerprints go to the join.
    The result is the same.
-3. Hits are extended: all windows of a candidate item are looked up in the document and compared word by
-   word.
+3. Hits are extended to the windows around them (at most one for each word), whose words, as text, join the
+   benchmark's distinct windows.  A document and an item that share a kept hash but no window never meet, and
+   a window of many items is compared once: it carries a key of its list of items, and the lists are joined to
+   the distinct (document, list) pairs at the end.
 
 Defined cases: null and blank texts have no words and no hits; an item without words has no window; a null
 ``item_id`` is written as the empty string; repeated items with one id count once.  Every input row gives
@@ -86,60 +88,79 @@ def _document_prints(window: int, gram: int, lengths: list[int], wanted: np.ndar
                 s = _Scan(part.column("text"))
                 found = [s.kept(window, gram), *[s.sequences(m) for m in lengths]]
                 places, hashes = (np.concatenate(x) for x in zip(*found))
+                sizes = np.repeat([0, *lengths], [len(x) for x, _ in found]).astype(np.int32)
                 if wanted is not None:
                     known = T.isin_sorted(hashes, wanted)
-                    places, hashes = places[known], hashes[known]
+                    places, hashes, sizes = places[known], hashes[known], sizes[known]
                 owner = np.searchsorted(s.words.first, places, "right") - 1
-                order = np.lexsort((hashes, owner))
-                owner, hashes = owner[order], hashes[order]
-                new = np.ones(len(owner), bool)
-                new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
-                owner, hashes = owner[new], hashes[new]
+                order = np.argsort(owner, kind="stable")
+                owner, places, hashes, sizes = owner[order], places[order], hashes[order], sizes[order]
                 cuts = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
-                hits = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes.view(np.int64)))
+                entries = [pa.array(hashes.view(np.int64)), pa.array(places - s.words.first[owner]), pa.array(sizes)]
+                hits = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays(entries, names=["h", "place", "size"]))
                 text = part.column("text").take(pa.array(np.arange(part.num_rows), mask=np.diff(cuts) == 0))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(np.diff(s.words.first)), hits, text], names=names)
 
     return run
 
 
-def _extend(window: int):
-    names = ["row", "n_hit", "items"]
+def _spans(text: pa.StringScalar, starts: np.ndarray, sizes: np.ndarray) -> list[str]:
+    """Runs of words of a text, joined by one blank."""
+    scan = _Scan(pa.array([text.as_py()]))
+    raw = scan.words.data.tobytes()
+    words = [raw[a:b] for a, b in zip(scan.words.starts.tolist(), scan.words.ends.tolist())]
+    line, after = b" ".join(words), np.cumsum([0, *[len(w) + 1 for w in words]])
+    return [line[a:b].decode() for a, b in zip(after[starts].tolist(), (after[starts + sizes] - 1).tolist())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _in_batches(parts: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Small record batches put together to about ``rows`` rows."""
+    some, n = [], 0
+    for part in parts:
+        some.append(part)
+        n += part.num_rows
+        if n >= rows:
+            yield pa.concat_batches(some)
+            some, n = [], 0
+    if some:
+        yield pa.concat_batches(some)
+
+
+def _item_windows(window: int):
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit_counts, items = [], []
-            for text, candidates in zip(batch.column("text"), batch.column("items").to_pylist()):
-                doc = _Scan(pa.array([text.as_py()]))
-                own = doc.words.data.tobytes()
-                at_of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-                steps, names_hit = np.zeros(doc.n + 1, np.int64), set()
-                for item in candidates:
-                    it = _Scan(pa.array([item["text"]]))
-                    size = min(window, it.n)
-                    if not size or size > doc.n:
-                        continue
-                    if size not in at_of:
-                        places, hashes = doc.sequences(size)
-                        order = np.argsort(hashes, kind="stable")
-                        at_of[size] = places[order], hashes[order]
-                    places, hashes = at_of[size]
-                    start, sought = it.sequences(size)
-                    first, last = np.searchsorted(hashes, sought, "left"), np.searchsorted(hashes, sought, "right")
-                    other = it.words.data.tobytes()
-                    for i in np.flatnonzero(first < last).tolist():
-                        a = int(start[i])
-                        want = [other[it.words.starts[j] : it.words.ends[j]] for j in range(a, a + size)]
-                        for p in places[first[i] : last[i]].tolist():
-                            if [own[doc.words.starts[j] : doc.words.ends[j]] for j in range(p, p + size)] == want:
-                                steps[p] += 1
-                                steps[p + size] -= 1
-                                names_hit.add(item["item_id"])
-                hit_counts.append(int((np.cumsum(steps[:-1]) > 0).sum()))
-                items.append(sorted(names_hit))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(hit_counts, pa.int64()), pa.array(items, pa.list_(pa.string()))], names=names)
+            n_words = np.diff(_Scan(batch.column("text")).words.first)
+            for item_id, text, n in zip(batch.column("item_id"), batch.column("text"), n_words.tolist()):
+                if n:
+                    starts = np.arange(max(1, n - window + 1))
+                    spans = _spans(text, starts, np.full(len(starts), min(window, n)))
+                    yield pa.RecordBatch.from_arrays([pa.array([item_id.as_py()] * len(spans), pa.string()), pa.array(spans, pa.string())], names=["item_id", "words"])
 
-    return run
+    return lambda batches: _in_batches(each(batches))
+
+
+def _extend(window: int, gram: int):
+    """Windows around the hits of a document: kept grams lie anywhere in a window, short sequences are windows."""
+    names = ["row", "place", "size", "words"]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, n, own in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("n_words").to_pylist(), batch.column("hits")):
+                place, size = (own.values.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("place", "size"))
+                around = (place[size == 0][:, None] - np.arange(window - gram + 1)).ravel()
+                around = around[(around >= 0) & (around <= n - window)]
+                starts, sizes = np.append(around, place[size > 0]), np.append(np.full(len(around), window), size[size > 0])
+                starts, sizes = np.unique(np.stack([starts, sizes]), axis=1)
+                spans = _spans(text, starts, sizes)
+                yield pa.RecordBatch.from_arrays([pa.array([row] * len(spans), pa.int64()), pa.array(starts), pa.array(sizes), pa.array(spans, pa.string())], names=names)
+
+    return lambda batches: _in_batches(each(batches))
+
+
+def _covered(spans: str) -> str:
+    """Words under sorted spans (structs of place and size) of a text, each counted once."""
+    return f"""aggregate({spans}, named_struct('n', 0L, 'reach', 0L),
+        (a, x) -> named_struct('n', a.n + greatest(0L, x.place + x.size - greatest(a.reach, x.place)), 'reach', greatest(a.reach, x.place + x.size)), a -> a.n)"""
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 13, gram: int = 5, filter_limit: int = FILTER_LIMIT) -> DataFrame:
@@ -154,11 +175,21 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
         wanted = np.unique(np.array([r.h for r in prints.select("h").collect()], np.int64).view(np.uint64))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     # the text rides along only where a fingerprint hit, for the extension
-    found = rows.mapInArrow(_document_prints(window, gram, sorted(lengths), wanted), "doc_id long, text_key long, n_words long, hits array<long>, text string").checkpoint()
+    hits = "hits array<struct<h: long, place: long, size: int>>"
+    found = rows.mapInArrow(_document_prints(window, gram, sorted(lengths), wanted), f"doc_id long, text_key long, n_words long, {hits}, text string").checkpoint()
     found = found.withColumn("row", F.monotonically_increasing_id())  # stable: the rows are stored
-    candidates = found.select("row", F.explode("hits").alias("h")).join(prints.select("h", "item_key"), "h").select("row", "item_key").distinct()
-    grouped = candidates.join(items, "item_key").groupBy("row").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
-    extended = found.select("row", "text").join(grouped, "row").mapInArrow(_extend(window), "row long, n_hit long, items array<string>")
+    hit = found.where("size(hits) > 0").select("row", "n_words", "text", "hits")
+    if wanted is None:
+        known = hit.select("row", F.explode("hits").alias("x")).join(prints.select(F.col("h").alias("known")), F.col("x.h") == F.col("known"), "left_semi")
+        hit = hit.drop("hits").join(known.groupBy("row").agg(F.collect_list("x").alias("hits")), "row")
+    around = hit.select("row", "n_words", "text", "hits").mapInArrow(_extend(window, gram), "row long, place long, size long, words string")
+    windows = items.select("item_id", "text").mapInArrow(_item_windows(window), "item_id string, words string")
+    windows = windows.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("ids")).withColumn("list", F.sha2(F.to_json("ids"), 256)).checkpoint()
+    lists = windows.groupBy("list").agg(F.first("ids").alias("ids"))
+    matched = around.join(windows.select("words", "list"), "words").groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("place", "size"))).alias("spans"), F.collect_set("list").alias("lists")
+    ).select("row", F.expr(_covered("spans")).alias("n_hit"), F.explode("lists").alias("list"))
+    extended = matched.join(lists, "list").groupBy("row").agg(F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
     none = F.array().cast("array<string>")
     return found.drop("text", "hits").join(extended, "row", "left").select(
         "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")

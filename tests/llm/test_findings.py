@@ -201,3 +201,40 @@ def test_op2_long_passages_many_pieces_and_repeats_inside_a_window(spark):
         want[(doc_id, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))] += 1
     got = P.drop_repeated_phrases(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert Counter(tuple(x) for x in got) == want
+
+
+def item_windows(text):
+    w = (text or "").lower().split()
+    n = min(13, len(w))
+    return {tuple(w[s : s + n]) for s in range(len(w) - n + 1)} if n else set()
+
+
+def test_op4_items_with_one_opening_meet_only_documents_that_hold_their_windows(spark):
+    from ledger_analytics.llm.decontaminate import benchmark_hits
+
+    r = random.Random(8)
+    opening, shared = words(r, 5), words(r, 13)
+    items = [(f"i{i}", " ".join(opening + words(r, 15))) for i in range(300)]
+    items += [(f"s{i}", " ".join(words(r, 4) + shared + words(r, 4))) for i in range(200)] + [("short", "yes no"), ("short", "Yes NO"), (None, "null item")]
+    docs = [(i, " ".join(words(r, 3) + opening + words(r, 20))) for i in range(200)]
+    docs += [(1000 + i, " ".join(opening + words(r, 20) + shared + shared[:6] + words(r, 9) + ["YES", "no", "null", "item"])) for i in range(40)]
+    docs += [(2000, items[7][1] + " " + items[8][1]), (2000, items[7][1]), (2001, None), (2002, ""), (None, items[9][1])]
+    of = {}
+    for item, text in items:
+        for w in item_windows(text):
+            of.setdefault(w, set()).add(item or "")
+    want = Counter()
+    for doc_id, text in docs:
+        w = (text or "").lower().split()
+        hit, found = [False] * len(w), set()
+        for n in {len(x) for x in of}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s : s + n]) in of:
+                    found |= of[tuple(w[s : s + n])]
+                    hit[s : s + n] = [True] * n
+        want[(doc_id, len(w), sum(hit), tuple(sorted(found)))] += 1
+    for limit in (10**6, 0):
+        got = benchmark_hits(
+            spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id string, text string"), filter_limit=limit
+        ).collect()
+        assert Counter((x.doc_id, x.n_words, x.n_hit, tuple(x["items"])) for x in got) == want
