@@ -20,7 +20,7 @@ Phases, all on shards of documents (``shards.py``):
 
 Hashes choose what is sent; what is removed is decided by phrases found and words compared, so two
 windows that share a hash never cost a word.  (A window whose hash equals that of an earlier, different
-one is not found: at 64 bits some 1 in 10**6 of 5e12 windows, and only if it recurs.)  The automata are
+one may stay: at 5e12 windows of 64 bits, fewer than 1 in 10**6 of those that recur.)  The automata are
 sharded by where phrases occur: a phrase is compiled in the shards whose documents hold it, in pieces
 of ``PASSAGE_BYTES`` of passages, and the work grows with the text.
 
