@@ -2,16 +2,20 @@
 
 A document is the set of its paragraph digests: lines, of which a long one is cut at the first sentence end
 after ``PIECE`` characters.  If none follows within ``STRETCH`` characters, it is cut where the content says
-so (before certain letters after a blank, else after certain characters), or else after the stretch.  A sketch has three groups of cells; every digest enters one cell of each group,
-where counts add up and digests and check values are combined by exclusive or.  Subtracting the cells of
-two versions leaves the digests that differ; peeling recovers them one pure cell after the other.  Digests
-are dealt to sub-sketches by hash (about ``LOAD`` digests of a pair in each), so work and memory stay linear
-in the length of the texts.  A sub-sketch that doesn't peel is tried again with twice the cells, twice; the
-digests themselves are compared if that fails too.
+so (before certain letters after a blank, else after certain characters), or else after the stretch.  A sketch
+has three groups of cells; every digest enters one cell of each group, where counts add up and digests and
+check values are combined by exclusive or.  Every version has a sketch of its own; subtracting the cells of
+two versions leaves the digests that differ, and peeling recovers them one pure cell after the other.
 
-Likeness is the Jaccard index of the digest sets, which follows from the two set sizes and the number of
-recovered digests.  The ``fingerprint`` string is the smallest sketch of the whole set (12 cells of count
-and digest), so equal texts have equal fingerprints.
+The ``fingerprint`` string is the sketch of the whole version (18 cells of count, digest and check value), so
+equal texts have equal fingerprints, and two fingerprints can be subtracted and peeled.  Where more digests
+differ than these cells resolve, both versions are sketched again, larger: one sketch for each ``LOAD`` digests of the two,
+dealt by hash, so work and memory stay linear in the length of the texts.  One that doesn't peel is tried
+again with more cells, twice; the digests themselves are compared if that fails too.
+
+Likeness is the Jaccard index of the digest sets, which follows from the two set sizes (the counts of a group of
+cells) and the number of recovered digests.  ``differing`` lists the digests recovered between a text and its
+edited form: ``-`` and hexadecimal digits for one that the edit removed, ``+`` for one that it brought.
 
 Neighbours: documents are cut into ranges of ``doc_id`` at (approximate) quantiles, and the row that follows
 a range is copied into it, so that "next document" is a window inside each range.
@@ -34,9 +38,9 @@ PARAGRAPH = (
     f"[^\\n]{{{PIECE}}}(?:[^\\n{END}]{{0,{STRETCH}}}[{END}]+|[^\\n{END}]{{0,{STRETCH}}}?[ \\t](?=[{CUT}])"
     f"|[^\\n{END}]{{0,{STRETCH}}}?[{CUT}]|[^\\n{END}]{{0,{STRETCH}}})|[^\\n]+"
 )
-LOAD = 8
-#: cells of a group, first try and retries
-WIDTHS = (4, 8, 16)
+LOAD = 6
+#: cells of a group, first try and retries; the cells of a sketch are the bits of a long
+WIDTHS = (6, 12, 20)
 ROUNDS = 12
 
 
@@ -45,40 +49,51 @@ def digests(text: str) -> str:
     return f"array_sort(array_distinct(transform(regexp_extract_all({text}, r'{PARAGRAPH}', 0), p -> xxhash64(p))))"
 
 
-def _cell(key: str, group: str, width: int) -> str:
-    return f"{width} * {group} + pmod(shiftright({key}, 13 + 13 * {group}), {width})"
+def _mask(key: str, width: int) -> str:
+    """The three cells of a digest, as bits."""
+    return " | ".join(f"shiftleft(1L, cast({width * g} + pmod(shiftright({key}, {13 + 13 * g}), {width}) as int))" for g in range(3))
+
+
+def sketch(keys: str, width: int) -> str:
+    """Cells ``(n, k, h)`` of an array of digests."""
+    placed = f"transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k), 'm', {_mask('k', width)}))"
+    return f"""element_at(transform(array({placed}), placed -> transform(sequence(0, {3 * width - 1}), i -> aggregate(
+        filter(placed, x -> (x.m & shiftleft(1L, i)) != 0L), named_struct('n', 0, 'k', 0L, 'h', 0L),
+        (a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x.k, 'h', a.h ^ x.h)))), 1)"""
+
+
+def subtract(own: str, other: str) -> str:
+    """The cells of one version less those of another."""
+    return f"zip_with({own}, {other}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
 
-def _sketch(keys: str, width: int) -> str:
-    """Cells of signed keys (structs of s and k): subtracting is adding with the sign -1."""
-    group = f"cast(i div {width} as int)"
-    return f"""transform(sequence(0, {3 * width - 1}), i -> aggregate(
-        filter({keys}, x -> {_cell('x.k', group, width)} = i), named_struct('n', 0, 'k', 0L, 'h', 0L),
-        (a, x) -> named_struct('n', a.n + x.s, 'k', a.k ^ x.k, 'h', a.h ^ xxhash64(x.k))))"""
+def peel(cells: str, width: int) -> str:
+    """Digests ``(k, s)`` that differ, ``s`` 1 for the first version and -1 for the second, or null if peeling gets stuck."""
+    pure = f"""array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 and c.h = xxhash64(c.k)),
+        c -> named_struct('k', c.k, 's', c.n, 'h', c.h, 'm', {_mask('c.k', width)})))"""
+    without = """transform(u.cells, (c, i) -> aggregate(filter(pure, p -> (p.m & shiftleft(1L, i)) != 0L), c,
+        (a, p) -> named_struct('n', a.n - p.s, 'k', a.k ^ p.k, 'h', a.h ^ p.h)))"""
+    step = f"""aggregate(array({pure}), st, (u, pure) -> case when size(pure) = 0 then u else named_struct(
+        'cells', {without}, 'got', concat(u.got, transform(pure, p -> named_struct('k', p.k, 's', p.s)))) end)"""
+    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'got', cast(array() as array<struct<k:bigint,s:int>>)),
+        (st, r) -> {step}, st -> case when forall(st.cells, c -> c.n = 0 and c.k = 0L and c.h = 0L) then st.got end)"""
 
 
-def _peel(keys: str, width: int) -> str:
-    """Number of digests that differ, or null if peeling gets stuck."""
-    group = f"cast(i div {width} as int)"
-    pure = "array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 and c.h = xxhash64(c.k)), c -> named_struct('k', c.k, 's', c.n)))"
-    without = f"""transform(u.cells, (c, i) -> aggregate(filter(pure, p -> {_cell('p.k', group, width)} = i), c,
-        (a, p) -> named_struct('n', a.n - p.s, 'k', a.k ^ p.k, 'h', a.h ^ xxhash64(p.k))))"""
-    step = f"""aggregate(array({pure}), st, (u, pure) -> named_struct(
-        'cells', case when size(pure) = 0 then u.cells else {without} end, 'got', u.got + size(pure)))"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {_sketch(keys, width)}, 'got', 0), (st, r) -> {step},
-        st -> case when forall(st.cells, c -> c.n = 0 and c.k = 0L and c.h = 0L) then st.got end)"""
+def recovered(own: str, other: str) -> str:
+    """Digests that differ between two arrays of digests: both are sketched, larger at each retry."""
+    only = lambda a, b, s: f"transform(array_except({a}, {b}), k -> named_struct('k', k, 's', {s}))"
+    tries = [peel(subtract(sketch(own, w), sketch(other, w)), w) for w in WIDTHS]
+    return f"coalesce({', '.join(tries)}, concat({only(own, other, 1)}, {only(other, own, -1)}))"
 
 
-def recovered(keys: str) -> str:
-    """Number of differing digests in an array of signed keys, by peeling with retries."""
-    exact = f"size(filter({keys}, x -> size(filter({keys}, y -> y.k = x.k)) = 1))"
-    return f"coalesce({', '.join(_peel(keys, w) for w in WIDTHS)}, {exact})"
+def as_text(cells: str) -> str:
+    """A sketch as text: count, digest and the low half of the check value of each cell, hexadecimal."""
+    return f"array_join(transform({cells}, c -> lower(concat(hex(c.n), '.', lpad(hex(c.k), 16, '0'), '.', lpad(hex(c.h & 4294967295L), 8, '0')))), '-')"
 
 
-def fingerprint(keys: str) -> str:
-    """The smallest sketch of a digest set as text."""
-    signed = f"transform({keys}, k -> named_struct('s', 1, 'k', k))"
-    return f"array_join(transform({_sketch(signed, WIDTHS[0])}, c -> concat(hex(c.n), '.', lower(lpad(hex(c.k), 16, '0')))), '-')"
+def digest_count(cells: str, width: int) -> str:
+    """Number of digests in a sketch: every one counts once in each group of cells."""
+    return f"aggregate(slice({cells}, 1, {width}), 0, (n, c) -> n + c.n)"
 
 
 def _constant(values: list[int]):
@@ -110,7 +125,7 @@ def with_next(rows: DataFrame, columns: list[str], ranges: int) -> DataFrame:
 
 
 def sketch_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row for each row of ``docs``."""
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, differing``, a row for each row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("keys", F.expr(digests("text")))
@@ -120,23 +135,36 @@ def sketch_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     paired = paired.select(
         "range", "nth", "doc_id", "n_chars", "keys", "next_keys", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.expr(digests("edited")).alias("edited_keys"),
     )
+    first = WIDTHS[0]
+    sketched = paired.select("*", *[F.expr(sketch(keys, first)).alias(cells) for keys, cells in (("keys", "own"), ("edited_keys", "edited"), ("next_keys", "next"))])
+    # first the fingerprints themselves are subtracted
+    tried = sketched.select("*", F.expr(peel(subtract("own", "edited"), first)).alias("got_edited"), F.expr(peel(subtract("own", "next"), first)).alias("got_next"))
     whole = F.expr(f"""named_struct('doc_id', doc_id, 'n_chars', n_chars, 'edited_sha256', edited_sha256,
-        'fingerprint', {fingerprint('keys')}, 'edited_fingerprint', {fingerprint('edited_keys')},
-        'own_n', size(keys), 'edited_n', size(edited_keys), 'next_n', size(next_keys))""")
-    signed = lambda side, keys, other, s: f"transform({keys}, k -> named_struct('side', {side}, 'sub', cast(pmod(xxhash64(k), greatest(1, (size(keys) + size({other})) div {LOAD})) as int), 'x', named_struct('s', {s}, 'k', k)))"
-    sides = [signed(0, "keys", "edited_keys", 1), signed(0, "edited_keys", "edited_keys", -1), signed(1, "keys", "next_keys", 1), signed(1, "next_keys", "next_keys", -1)]
+        'fingerprint', {as_text('own')}, 'edited_fingerprint', {as_text('edited')},
+        'own_n', {digest_count('own', first)}, 'edited_n', {digest_count('edited', first)}, 'next_n', {digest_count('next', first)},
+        'got_edited', got_edited, 'd_next', if(got_next is null, null, size(got_next)))""")
+    # what the fingerprints don't resolve is dealt to larger sketches
+    entry = lambda side, version, keys, other: f"""transform({keys}, k -> named_struct('side', {side},
+        'sub', cast(pmod(xxhash64(k), (size({keys}) + size({other}) + {LOAD - 1}) div {LOAD}) as int), 'x', named_struct('v', {version}, 'k', k)))"""
+    pair = lambda side, other, got: f"if({got} is null, concat({entry(side, 0, 'keys', other)}, {entry(side, 1, other, 'keys')}), array())"
     # the range is the only exchange: all further groups lie inside it
-    dealt = paired.select("range", "nth", whole.alias("whole"), F.posexplode_outer(F.expr(f"concat({', '.join(sides)})")).alias("at", "e"))
+    dealt = tried.select("range", "nth", whole.alias("whole"), F.posexplode_outer(F.expr(f"concat({pair(0, 'edited_keys', 'got_edited')}, {pair(1, 'next_keys', 'got_next')})")).alias("at", "e"))
     dealt = dealt.select("range", "nth", F.when(F.coalesce("at", F.lit(0)) == 0, F.col("whole")).alias("whole"), "e.side", "e.sub", "e.x")
     subs = dealt.groupBy("range", "nth", "side", "sub").agg(F.collect_list("x").alias("xs"), F.first("whole", ignorenulls=True).alias("whole"))
-    peeled = subs.select("range", "nth", "side", "whole", F.expr(recovered("xs")).alias("d"))
-    far = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("d"))), F.lit(0))
-    done = peeled.groupBy("range", "nth").agg(far(0).alias("d_edited"), far(1).alias("d_next"), F.first("whole", ignorenulls=True).alias("w"))
+    version = lambda v: F.expr(f"transform(filter(xs, x -> x.v = {v}), x -> x.k)")
+    halves = subs.select("range", "nth", "side", "whole", version(0).alias("a"), version(1).alias("b"))
+    peeled = halves.select("range", "nth", "side", "whole", F.expr(recovered("a", "b")).alias("got"))
+    done = peeled.groupBy("range", "nth").agg(
+        F.flatten(F.collect_list(F.when(F.col("side") == 0, F.col("got")))).alias("more_edited"),
+        F.sum(F.when(F.col("side") == 1, F.size("got"))).alias("more_next"), F.first("whole", ignorenulls=True).alias("w"))
+    done = done.select("w", F.coalesce("w.got_edited", "more_edited").alias("got"), F.coalesce("w.d_next", "more_next", F.lit(0)).alias("d_next"))
+    done = done.select("*", F.size("got").alias("d_edited"))
     near = lambda other, d: F.when(F.col("w.own_n") + F.col(other) == 0, F.lit(1.0)).otherwise(
         (F.col("w.own_n") + F.col(other) - F.col(d)) / (F.col("w.own_n") + F.col(other) + F.col(d)).cast("double"))
+    differing = "array_join(array_sort(transform(got, g -> concat(if(g.s = 1, '-', '+'), lower(lpad(hex(g.k), 16, '0'))))), ',')"
     return done.select(
         "w.doc_id", "w.n_chars", "w.edited_sha256", "w.fingerprint", "w.edited_fingerprint",
-        near("w.edited_n", "d_edited").alias("near_edited"), near("w.next_n", "d_next").alias("near_next"),
+        near("w.edited_n", "d_edited").alias("near_edited"), near("w.next_n", "d_next").alias("near_next"), F.expr(differing).alias("differing"),
     )
 
 

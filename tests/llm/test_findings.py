@@ -127,6 +127,72 @@ def test_op1_texts_without_sentence_ends_have_several_digests(spark):
     assert len(got) == 5 and all(x.near_edited > 0.15 for x in got)
 
 
+def test_op1_fingerprints_can_be_subtracted_and_peeled(spark):
+    """Likeness and digests that differ, worked out from the two strings alone."""
+    import re
+
+    import xxhash
+
+    from ledger_analytics.llm.fingerprints import PARAGRAPH, sketch_documents
+
+    r = random.Random(8)
+    lines = [" ".join(words(r, 12)) for _ in range(40)]
+    texts = ["\n".join(r.sample(lines, n)) for n in (0, 1, 2, 4, 8, 12, 20, 40)] + ["\n".join(lines[:30]), "\n".join(lines[:30])]
+    signed = lambda n: n - ((n >> 63) << 64)
+    check = lambda k: xxhash.xxh64_intdigest(k.to_bytes(8, "little"), 42)
+    keys = lambda t: {xxhash.xxh64_intdigest(p.encode(), 42) for p in re.findall(PARAGRAPH, t)}
+    cells = lambda f: [tuple(int(x, 16) for x in c.split(".")) for c in f.split("-")]
+
+    def peel(own, other):
+        left = [[a[0] - b[0], a[1] ^ b[1], a[2] ^ b[2]] for a, b in zip(own, other)]
+        got = {}
+        while True:
+            pure = [c for c in left if abs(c[0]) == 1 and c[2] == check(c[1]) & 0xFFFFFFFF]
+            if not pure:
+                return got, all(c == [0, 0, 0] for c in left)
+            n, k, h = pure[0]
+            got[k] = n
+            for g in range(3):
+                at = 6 * g + (signed(k) >> (13 + 13 * g)) % 6
+                left[at] = [left[at][0] - n, left[at][1] ^ k, left[at][2] ^ h]
+
+    got = sorted(sketch_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect(), key=lambda x: x.doc_id)
+    resolved = 0
+    for x, text in zip(got, texts):
+        after = texts[x.doc_id - 1]
+        cut = len(text) // 3
+        a, b = keys(text), keys(text[: len(text) - cut] + after[:cut])
+        assert x.differing == ",".join(sorted([f"-{k:016x}" for k in a - b] + [f"+{k:016x}" for k in b - a]))
+        own, edited = cells(x.fingerprint), cells(x.edited_fingerprint)
+        assert sum(c[0] for c in own[:6]) == len(a) and sum(c[0] for c in edited[6:12]) == len(b)
+        found, whole = peel(own, edited)
+        if whole:
+            resolved += 1
+            assert found == {k: 1 for k in a - b} | {k: -1 for k in b - a}
+            far = len(found)
+            assert abs(x.near_edited - ((len(a) + len(b) - far) / (len(a) + len(b) + far) if a or b else 1.0)) < 1e-12
+    assert 4 <= resolved < len(texts)  # the others take the larger sketches
+    assert got[8].fingerprint == got[9].fingerprint and got[9].near_next == 1.0
+
+
+def test_op1_retries_up_to_the_digests_themselves(spark):
+    from ledger_analytics.llm import fingerprints as F1
+
+    r = random.Random(9)
+    some = [r.getrandbits(63) for _ in range(120)]
+    pairs = [(some[:n], some[n // 2 : n // 2 + m]) for n, m in ((0, 0), (1, 0), (5, 5), (9, 14), (30, 10), (60, 60))]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a array<long>, b array<long>")
+    tries = [F1.peel(F1.subtract(F1.sketch("a", w), F1.sketch("b", w)), w) for w in F1.WIDTHS]
+    got = rows.selectExpr("i", f"{F1.recovered('a', 'b')} as got", *[f"{t} as try_{n}" for n, t in enumerate(tries)]).orderBy("i").collect()
+    assert [got[n].try_0 is None for n in (0, 1, 2, 5)] == [False, False, False, True]
+    assert got[3].try_1 is not None and got[5].try_2 is None
+    for x, (a, b) in zip(got, pairs):
+        want = {k: 1 for k in set(a) - set(b)} | {k: -1 for k in set(b) - set(a)}
+        for found in (x.got, x.try_0, x.try_1, x.try_2):
+            assert found is None or (len(found) == len(want) and {g.k: g.s for g in found} == want)
+        assert x.got is not None
+
+
 def words(r, n):
     return [noise(r, r.randint(2, 9), LETTERS) for _ in range(n)]
 
