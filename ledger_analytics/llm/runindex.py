@@ -19,7 +19,8 @@ gets no index: the shards that hold it send the distinct hashes of its windows t
 answer with those that recur.  A shard lists ``SHARD_SEGMENTS`` segments of a seed at most; more make it hot.
 
 Defined cases: a null text is empty.  Matches never cross documents.  Every input row gives one output
-row, rows that share a ``doc_id`` included.
+row, rows that share a ``doc_id`` included; rows are dealt by id and text, so an id that many rows share, or
+that they lack, doesn't gather them in one shard (whole rows that repeat do meet there).
 """
 
 from __future__ import annotations
@@ -423,12 +424,17 @@ def _cut(window: int, gram: int):
     return run
 
 
+def _dealt(rows: DataFrame, n_shards: int) -> DataFrame:
+    """``rows`` with their shard, by id and text: rows that share an id, or have none, go to different shards."""
+    return rows.withColumn("shard", shard_of(F.xxhash64("doc_id", "text"), n_shards))
+
+
 def drop_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 200, gram: int = 32) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes), a row for each row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     n_shards = shard_count(rows)
     n_buckets = max(32, n_shards * (2 << 20) // BUCKET_BYTES)
-    sharded = rows.withColumn("shard", shard_of(F.col("doc_id"), n_shards))
+    sharded = _dealt(rows, n_shards)
     pairs = sharded.groupBy("shard").applyInArrow(_segments(window, gram, n_buckets), PAIRS)
     wanted = pairs.groupBy("bucket").applyInArrow(_wanted, PAIRS)
     pieces = sharded.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(_pieces(window, gram, n_buckets), PIECES)

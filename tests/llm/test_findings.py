@@ -35,6 +35,28 @@ def test_op10_no_seed_brings_all_its_segments_into_one_index():
         assert max(Counter(seed_of[g] for g in asked).values(), default=0) <= 512
 
 
+def test_op10_a_shared_or_missing_id_is_spread(spark):
+    from ledger_analytics.llm import runindex as R
+
+    r = random.Random(12)
+    passage = noise(r, 260)
+    rows = [((1, None, i)[i % 3], noise(r, 120) + (passage if i % 10 < 2 else "") + noise(r, 60)) for i in range(1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [x["count"] for x in R._dealt(docs, 16).groupBy("shard").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * len(rows) / 16
+    want = Counter()
+    for doc_id, text in rows:
+        at = text.find(passage)
+        kept = text if at < 0 else text[:at] + text[at + len(passage):]
+        want[(doc_id, len(text), len(text) - len(kept), int(at >= 0), kept.encode())] += 1
+    got = R.drop_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    # a byte beside the passage may happen to be shared by two of its copies, so the passage at least goes
+    assert Counter(x.doc_id for x in got) == Counter(d for d, _ in rows)
+    assert all(passage.encode() not in x.kept for x in got)
+    assert Counter((x.doc_id, x.n_bytes, bytes(x.kept)) for x in got if not x.n_removed) == Counter((w[0], w[1], w[4]) for w in want.elements() if not w[2])
+    assert all(x.n_spans == 1 and 260 <= x.n_removed < 275 for x in got if x.n_removed)
+
+
 def test_op10_hot_seeds_lose_no_match(spark):
     from ledger_analytics.llm.runindex import drop_repeated_bytes
 
