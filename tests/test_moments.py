@@ -11,6 +11,7 @@ import pytest
 from ledger_analytics.operators import moments as M
 from ledger_analytics.operators.aggregate import expense_report
 from ledger_analytics.plans import analytics as A
+from ledger_analytics.plans import registry as R
 
 FACT = "cod_operadora bigint, ano int, trimestre int, valor_despesa decimal(18,2)"
 
@@ -91,3 +92,21 @@ def test_report_from_states(spark):
     states = [M.moments(valid.where(f"load = {i}"), ["RazaoSocial", "UF"], "ValorDespesas") for i in range(3)]
     got = M.report_of(states[0].unionByName(states[1]).unionByName(states[2])).collect()
     assert [tuple(x) for x in got] == [tuple(x) for x in expense_report(valid).collect()]
+
+
+def test_two_loads_make_the_fact_once(spark):
+    path, keys = tempfile.mkdtemp(prefix="ledger-test-") + "/fact", ["cod_operadora", "ano", "trimestre"]
+    rows = facts(120)
+    spark.createDataFrame(rows, FACT).write.parquet(path)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    fact = spark.read.parquet(path).mapInArrow(counted, FACT)
+    states = R._two_loads(fact, keys, "valor_despesa", "(ano * 4 + trimestre) % 3 <> 0")
+    assert not any(path in s._jdf.queryExecution().executedPlan().toString() for s in states)
+    check(M.roll_up(states[0].unionByName(states[1]), ["cod_operadora"]), expected(rows))
+    assert made.value == len(rows)
