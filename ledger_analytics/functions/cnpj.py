@@ -2,7 +2,7 @@
 
 No Python runs per row: the digits are cleaned with ``regexp_replace``,
 padded with zeros (never truncated) and the two mod-11 check digits are
-computed with ``zip_with``/``aggregate`` over the weight arrays.
+computed from sums of digits times weights, written out term by term.
 """
 
 from __future__ import annotations
@@ -17,11 +17,8 @@ WEIGHTS_SECOND = [6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]
 
 def check_digit_sql(var: str, weights: list[int]) -> str:
     """SQL text of one check digit of the digit string ``var``."""
-    n = len(weights)
-    w = ", ".join(str(x) for x in weights)
-    return (f"aggregate(zip_with(transform(sequence(1, {n}), i -> ascii(substr({var}, i, 1)) - 48), array({w}), "
-            f"(a, b) -> a * b), 0, (acc, x) -> acc + x, "
-            f"s -> CASE WHEN s % 11 < 2 THEN '0' ELSE CAST(11 - s % 11 AS STRING) END)")
+    total = " + ".join(f"(ascii(substr({var}, {i}, 1)) - 48) * {w}" for i, w in enumerate(weights, 1))
+    return f"transform(array({total}), s -> CASE WHEN s % 11 < 2 THEN '0' ELSE CAST(11 - s % 11 AS STRING) END)[0]"
 
 
 def cnpj_is_valid_sql(column: str) -> str:

@@ -50,12 +50,14 @@ def parse_locale_decimal_sql(column: str, precision: int = 18, scale: int = 2,
         txt = f"replace({txt}, {sql_string(thousands)}, '')"
     if decimal and decimal != ".":
         txt = f"replace({txt}, {sql_string(decimal)}, '.')"
-    # bound once: the stripped text t
-    parsed = f"try_cast(t AS DECIMAL({precision},{scale}))"
+    number = f"DECIMAL({precision},{scale})"
+    stripped = strip_sql(txt)
+    # most texts are cast as they are: what is no number yet is stripped, and only what is none then meets the pattern
+    tries = [f"try_cast({txt} AS {number})", f"try_cast({stripped} AS {number})"]
     if default is not None:
-        parsed = (f"coalesce({parsed}, CASE WHEN coalesce(t RLIKE {sql_string(NUMBER_PATTERN)}, false) THEN NULL "
-                  f"ELSE CAST({default} AS DECIMAL({precision},{scale})) END)")
-    return f"transform(array({strip_sql(txt)}), t -> {parsed})[0]"
+        tries.append(f"CASE WHEN coalesce({stripped} RLIKE {sql_string(NUMBER_PATTERN)}, false) THEN NULL "
+                     f"ELSE CAST({default} AS {number}) END")
+    return f"coalesce({', '.join(tries)})"
 
 
 def parse_locale_decimal(c: str, precision: int = 18, scale: int = 2,
@@ -76,8 +78,8 @@ def parse_date(c: str, formats=DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; impossible dates (``2025-02-30``) and
     other formats give NULL instead of an error."""
     txt = strip_sql(f"CAST({sql_ident(c)} AS STRING)")
-    tries = ", ".join(f"try_to_date(t, {sql_string(f)})" for f in formats)
-    return F.expr(f"transform(array({txt}), t -> coalesce({tries}))[0]")
+    tries = ", ".join(f"try_to_date({txt}, {sql_string(f)})" for f in formats)
+    return F.expr(f"coalesce({tries})")
 
 
 # Fixed value: the staging date guard.

@@ -92,7 +92,7 @@ def filter_account_prefix(df: DataFrame, code_col: str = "CODIGO_CONTABIL",
         .where(F.col(code_col).startswith(prefix))
 
 
-def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "REGISTRO_OPERADORA"),
+def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("REGISTRO_OPERADORA", "source_file"),
                   code_col: str = "CODIGO_CONTABIL",
                   tie_order: Sequence[str] = ("DATA_BASE", "V_INICIAL", "V_FINAL", "DESCRICAO"),
                   keep_ties: bool = False, split_length: int = 4) -> DataFrame:
@@ -112,6 +112,9 @@ def leaf_accounts(df: DataFrame, group_cols: Sequence[str] = ("source_file", "RE
       of each part (few, whatever the group's size) looks at the next part's
       leading characters in a second window.
 
+    The windows sort by ``group_cols`` in the given order: with the column of
+    most values first, most comparisons end at the sort prefix.
+
     Rows with a NULL group key or code are dropped (D16).
     """
     keys = [*group_cols, code_col]
@@ -163,7 +166,7 @@ def normalize_accounts(lines: DataFrame, prefix: str = EXPENSE_ACCOUNT_PREFIX,
         df = df.withColumn("source_file", F.lit(None).cast("string"))
     # files are told apart by their path: base names may repeat
     by_path = "source_path" in df.columns
-    leaves = leaf_accounts(df, ("source_path" if by_path else "source_file", "REGISTRO_OPERADORA"),
+    leaves = leaf_accounts(df, ("REGISTRO_OPERADORA", "source_path" if by_path else "source_file"),
                            keep_ties=keep_ties, split_length=len(prefix) + 1)
     out = leaves.withColumn("VALOR_DESPESAS", (F.col("V_FINAL") - F.col("V_INICIAL")).cast("decimal(18,2)")) \
         .filter(F.col("VALOR_DESPESAS") != 0)
